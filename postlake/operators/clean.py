@@ -15,34 +15,51 @@ from pyspark.sql import functions as F
 from ..functions.constants import BOOL_COLUMNS, CLEAN_COLUMNS, COUNT_COLUMNS, DEDUP_KEYS
 from ..functions.parse import derive_date, hashtags_str, parse_hashtags, parse_ts, to_bool, to_long
 from ..functions.text import clean_location, clean_text
+from .barrier import materialize
 
 
-def typed_posts(df: DataFrame) -> DataFrame:
-    """All per-row projections of the clean job in one ``select``.
+def typed_posts(df: DataFrame, barrier: bool = True) -> DataFrame:
+    """All per-row derivations of the clean job, each evaluated once.
 
     ``date`` and ``user_created`` are required (used without a presence check,
     as in the reference); every other derived column exists only when its
     input column does.
+
+    The columns the validity filters test (counts, ``tweet_ts``,
+    ``text_clean``) are produced by a one-row generator (``barrier``), so the
+    filters test the computed values instead of re-running the regex and cast
+    chains inside a pushed-down predicate; the other derivations are a plain
+    projection that Catalyst places after the filters, so dropped rows never
+    pay for hashtag parsing or location cleanup.
     """
     cols = set(df.columns)
-    out: list[Column] = []
-    for c in df.columns:
-        if c in COUNT_COLUMNS:
-            out.append(to_long(c).alias(c))
-        elif c in BOOL_COLUMNS:
-            out.append(to_bool(c).alias(c))
-        else:
-            out.append(F.col(c))
-    ts = parse_ts("date")
-    out += [ts.alias("tweet_ts"), parse_ts("user_created").alias("user_created_ts")]
+    tested: dict[str, Column] = {c: to_long(c) for c in df.columns if c in COUNT_COLUMNS}
+    tested["tweet_ts"] = parse_ts("date")
+    if "text" in cols:
+        tested["text_clean"] = clean_text("text")
+    if barrier:
+        x = materialize(df, tested)
+    else:
+        x = df.select(*[F.col(c) for c in df.columns if c not in tested], *[e.alias(n) for n, e in tested.items()])
+    rest: dict[str, Column] = {c: to_bool(c) for c in df.columns if c in BOOL_COLUMNS}
+    rest["user_created_ts"] = parse_ts("user_created")
+    if "text" in cols:
+        rest["text_raw"] = F.col("text")
+    if "hashtags" in cols:
+        rest["hashtags_str"] = hashtags_str("hashtags")
+        rest["hashtags_arr"] = parse_hashtags("hashtags")
+    if "user_location" in cols:
+        rest["user_location_clean"] = clean_location("user_location")
+    rest["tweet_date"] = derive_date("tweet_ts")
+    x = x.withColumns(rest)
+    order = list(df.columns) + ["tweet_ts", "user_created_ts"]
     if "text" in cols:
-        out += [F.col("text").alias("text_raw"), clean_text("text").alias("text_clean")]
+        order += ["text_raw", "text_clean"]
     if "hashtags" in cols:
-        out += [hashtags_str("hashtags").alias("hashtags_str"), parse_hashtags("hashtags").alias("hashtags_arr")]
+        order += ["hashtags_str", "hashtags_arr"]
     if "user_location" in cols:
-        out.append(clean_location("user_location").alias("user_location_clean"))
-    out.append(derive_date(ts).alias("tweet_date"))
-    return df.select(*out)
+        order.append("user_location_clean")
+    return x.select(*order, "tweet_date")
 
 
 def valid_posts(df: DataFrame) -> DataFrame:
@@ -104,7 +121,7 @@ def select_existing(df: DataFrame, desired: Sequence[str] = CLEAN_COLUMNS) -> Da
     return df.select(*cols) if cols else df
 
 
-def clean_posts(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def clean_posts(raw: DataFrame, order_by: Sequence[str] | None = None, barrier: bool = True) -> DataFrame:
     """J1 body: raw all-string posts -> clean posts (unwritten).
 
     Columns are projected to the output set *before* the dedup shuffle (the
@@ -113,7 +130,7 @@ def clean_posts(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFr
     tie-break columns; ones outside the output set ride along through the
     dedup and are dropped afterwards.
     """
-    typed = nonnegative_counts(valid_posts(typed_posts(raw)))
+    typed = nonnegative_counts(valid_posts(typed_posts(raw, barrier)))
     out_cols = [c for c in CLEAN_COLUMNS if c in typed.columns]
     if not out_cols:
         return dedup_posts(typed, order_by=order_by)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from ..functions.constants import ID_TO_LABEL, SCORE_BATCH_SIZE
 from ..functions.probs import label_name
 from ..functions.text import model_text
+from .barrier import materialize
 
 LOGITS = "__logits"
 
@@ -44,7 +45,7 @@ class ColumnScorer(Scorer):
         raise NotImplementedError
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
-        return df.withColumn(out_col, self.logits(F.col(text_col)))
+        return materialize(df, {out_col: self.logits(F.col(text_col))})
 
 
 # --- fixed values of the deterministic test scorer (FIXTURES.md section 5) ---
@@ -103,7 +104,8 @@ class BatchScorer(Scorer):
         return score
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
-        return df.withColumn(out_col, self._udf()(F.col(text_col)))
+        x = df.withColumn("__udf_logits", self._udf()(F.col(text_col)))
+        return materialize(x, {out_col: F.col("__udf_logits")}).drop("__udf_logits")
 
 
 def letter_share_factory(letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE):
@@ -138,8 +140,8 @@ class ModelScorer(Scorer):
 
         cols = df.columns
         x = df.withColumn(self.input_col, model_text(text_col))
-        y = self.model.transform(x)
-        return y.select(*cols, vector_to_array(F.col("rawPrediction")).alias(out_col))
+        y = self.model.transform(x).select(*cols, F.col("rawPrediction"))
+        return materialize(y, {out_col: vector_to_array(F.col("rawPrediction"))}).drop("rawPrediction")
 
 
 # --- probability columns ------------------------------------------------------
@@ -159,7 +161,7 @@ def prob_columns(logits: Column | str, k: int = 3) -> list[Column]:
 
 
 def add_probs(df: DataFrame, logits_col: str = LOGITS, k: int = 3, out_col: str = "__probs") -> DataFrame:
-    return df.withColumn(out_col, F.array(*prob_columns(logits_col, k)))
+    return materialize(df, {out_col: F.array(*prob_columns(logits_col, k))})
 
 
 def score_posts(
