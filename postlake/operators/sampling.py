@@ -44,6 +44,7 @@ def rank_cutoff(
     group_col: str | None = None,
     rank_limit: int = RANK_LIMIT,
     flag: str | None = None,
+    counts: dict | None = None,
 ) -> DataFrame:
     """Rows whose rank in (key, tie_cols) order within their group is <= quota.
 
@@ -59,7 +60,11 @@ def rank_cutoff(
 
     # per group: (mode, prefix of the cut bucket, rows still needed in it, bucket size)
     state: dict = {}
-    for gv, n in _group_counts(base, grp).items():
+    if counts is None:
+        counts = _group_counts(base, grp)
+    else:
+        counts = {norm(gv): n for gv, n in counts.items()}
+    for gv, n in counts.items():
         q = int(quotas.get(gv, 0) or 0)
         if q <= 0:
             state[gv] = ("none", "", 0, 0)
@@ -147,7 +152,9 @@ def sample_exact(
     total = df.count()
     if total <= n:
         return df
-    return rank_cutoff(df, order_key(id_cols, seed), list(id_cols), {None: int(n)}, None, rank_limit)
+    return rank_cutoff(
+        df, order_key(id_cols, seed), list(id_cols), {None: int(n)}, None, rank_limit, counts={None: total}
+    )
 
 
 def approximate_mode(class_counts: dict, n_draws: int) -> dict:
@@ -193,7 +200,8 @@ def stratified_split(
     validation rows, train rows allocated to classes by largest remainder.
     Within a class the train rows are the first in seeded hash order.
     """
-    counts = {k: v for k, v in _group_counts(df, label_col).items() if k is not None}
+    all_counts = _group_counts(df, label_col)
+    counts = {k: v for k, v in all_counts.items() if k is not None}
     quotas = split_quotas(counts, test_size)
     return rank_cutoff(
         df.filter(F.col(label_col).isNotNull()),
@@ -203,4 +211,5 @@ def stratified_split(
         label_col,
         rank_limit,
         flag=flag,
+        counts=counts,
     )

@@ -30,6 +30,7 @@ from ..functions.probs import label_id
 from ..functions.text import is_blank, model_text
 from .metrics import eval_metrics
 from .sampling import order_key, sample_exact, stratified_split
+from ..session import default_parallelism
 from .scoring import LOGITS, ModelScorer, Scorer, pseudo_label
 
 MODEL_INPUT = "__model_text"
@@ -52,13 +53,18 @@ def threshold_schedule(start: float, iterations: int) -> list[float]:
 
 def build_pipeline(
     label_col: str = "label_id",
-    num_features: int = 1 << 18,
-    max_iter: int = 100,
+    num_features: int = 1 << 16,
+    max_iter: int = 50,
     reg_param: float = 1e-3,
     elastic_net: float = 0.0,
     use_idf: bool = True,
 ):
-    """G7 student: RegexTokenizer -> HashingTF -> IDF -> multinomial LR."""
+    """G7 student: RegexTokenizer -> HashingTF -> IDF -> multinomial LR.
+
+    Each optimizer iteration aggregates a dense ``classes x num_features``
+    gradient, so ``num_features`` sets the per-iteration cost; 2^16 buckets
+    suit short posts and training sets of the documented size (thousands to
+    tens of thousands of rows). Raise it for large vocabularies."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -85,10 +91,41 @@ def build_pipeline(
     return Pipeline(stages=stages)
 
 
-def train_classifier(df: DataFrame, text_col: str = "text", label_col: str = "label_id", **params):
-    """Fit the student on ``(text, label_id)`` rows; returns a ModelScorer."""
+ROWS_PER_TRAIN_PARTITION = 100_000
+
+
+def train_partitions(spark: SparkSession, n_rows: int, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> int:
+    """Partitions for an optimizer pass: enough for ``rows_per_partition``,
+    never more than the cluster's parallelism. Every L-BFGS iteration
+    aggregates one dense ``classes x features`` gradient per partition, so
+    a small training set spread over many partitions pays that cost for
+    nothing."""
+    return max(1, min(default_parallelism(spark), -(-n_rows // rows_per_partition)))
+
+
+def train_classifier(
+    df: DataFrame,
+    text_col: str = "text",
+    label_col: str = "label_id",
+    n_rows: int | None = None,
+    **params,
+):
+    """Fit the student on ``(text, label_id)`` rows; returns a ModelScorer.
+
+    The training rows are laid out in ``train_partitions`` partitions and
+    persisted for the optimizer's passes (memory and disk, so a lost executor
+    recomputes only its blocks)."""
+    spark = df.sparkSession
     x = df.select(model_text(text_col).alias(MODEL_INPUT), F.col(label_col).cast("double").alias("label_id"))
-    model = build_pipeline(label_col="label_id", **params).fit(x)
+    n = n_rows if n_rows is not None else x.count()
+    target = train_partitions(spark, n)
+    if x.rdd.getNumPartitions() != target:
+        x = x.repartition(target)
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = build_pipeline(label_col="label_id", **params).fit(x)
+    finally:
+        x.unpersist()
     return ModelScorer(model, input_col=MODEL_INPUT)
 
 
@@ -189,8 +226,8 @@ def self_train(
     val = split.filter(~F.col("is_train")).drop("is_train")
     unl = unl.select(*ids, text_col).persist(StorageLevel.MEMORY_AND_DISK)
 
-    current = teacher or train_classifier(train, text_col, "label_id", **model_params)
     n_train = train.count()
+    current = teacher or train_classifier(train, text_col, "label_id", n_rows=n_train, **model_params)
     n_val = val.count()
     n_unl = unl.count()
 
@@ -198,11 +235,10 @@ def self_train(
     best: tuple[float, int, Scorer] | None = None
     for i, t in enumerate(threshold_schedule(threshold, iterations)):
         pseudo = pseudo_label(unl, current, t, text_col)
-        combined = combine_train(train, pseudo, text_col).persist(StorageLevel.MEMORY_AND_DISK)
-        n_pseudo = combined.count() - n_train
-        model = train_classifier(combined, text_col, "label_id", **model_params)
+        combined = combine_train(train, pseudo, text_col)
+        n_pseudo = pseudo.count()
+        model = train_classifier(combined, text_col, "label_id", n_rows=n_train + n_pseudo, **model_params)
         m = evaluate(model, val, text_col, "label_id", ids, batch_size, seed)
-        combined.unpersist()
         rounds.append(
             {
                 "step": i + 1,
