@@ -36,8 +36,16 @@ def clean_location(col: Column | str) -> Column:
 
 
 def py_strip(col: Column | str) -> Column:
-    """Python ``str.strip()`` (Unicode whitespace) as a JVM expression."""
-    return F.regexp_replace(_c(col), f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
+    """Python ``str.strip()`` (Unicode whitespace) as a JVM expression.
+
+    Only anchored-at-start patterns are used: an end-anchored ``[...]+$`` is
+    retried from every position of the text (quadratic in long runs of
+    words), so the tail is stripped on the reversed string, and only when
+    the last character is whitespace at all."""
+    lead = f"^{PY_SPACE_CLASS}+"
+    head = F.regexp_replace(_c(col), lead, "")
+    tail_ws = F.substring(head, -1, 1).rlike(f"^{PY_SPACE_CLASS}$")
+    return F.when(tail_ws, F.reverse(F.regexp_replace(F.reverse(head), lead, ""))).otherwise(head)
 
 
 def is_blank(col: Column | str) -> Column:
