@@ -220,7 +220,8 @@ def self_train(
     if exclude_labelled:
         unl = unl.join(lab.select(*ids), ids, "left_anti")
 
-    split = stratified_split(lab.select(*ids, text_col, "label_id"), "label_id", ids, test_size, seed)
+    lab_in = lab.select(*ids, text_col, "label_id").persist(StorageLevel.MEMORY_AND_DISK)
+    split = stratified_split(lab_in, "label_id", ids, test_size, seed)
     split = split.persist(StorageLevel.MEMORY_AND_DISK)
     train = split.filter("is_train").drop("is_train")
     val = split.filter(~F.col("is_train")).drop("is_train")
@@ -234,10 +235,13 @@ def self_train(
     rounds: list[dict] = []
     best: tuple[float, int, Scorer] | None = None
     for i, t in enumerate(threshold_schedule(threshold, iterations)):
-        pseudo = pseudo_label(unl, current, t, text_col)
-        combined = combine_train(train, pseudo, text_col)
+        # one scoring pass over the whole unlabelled set per round
+        pseudo = pseudo_label(unl, current, t, text_col).select(text_col, "label_id")
+        pseudo = pseudo.persist(StorageLevel.MEMORY_AND_DISK)
         n_pseudo = pseudo.count()
+        combined = combine_train(train, pseudo, text_col)
         model = train_classifier(combined, text_col, "label_id", n_rows=n_train + n_pseudo, **model_params)
+        pseudo.unpersist()
         m = evaluate(model, val, text_col, "label_id", ids, batch_size, seed)
         rounds.append(
             {
@@ -262,6 +266,7 @@ def self_train(
     if output_dir:
         save_model(chosen, output_dir)
     split.unpersist()
+    lab_in.unpersist()
     unl.unpersist()
     return SelfTrainResult(
         scorer=chosen,
