@@ -30,7 +30,7 @@ from ..functions.probs import label_id
 from ..functions.text import is_blank, model_text
 from .metrics import eval_metrics
 from .sampling import order_key, sample_exact, stratified_split
-from ..session import default_parallelism
+from ..session import cut_lineage, default_parallelism
 from .scoring import LOGITS, ModelScorer, Scorer, pseudo_label
 
 MODEL_INPUT = "__model_text"
@@ -200,6 +200,7 @@ def self_train(
     exclude_labelled: bool = False,
     seed: int = SEED,
     test_size: float = VALIDATION_FRACTION,
+    checkpoint_inputs: bool = True,
     **model_params,
 ) -> SelfTrainResult:
     """Split -> (pseudo-label -> union -> train -> evaluate) x n.
@@ -212,6 +213,11 @@ def self_train(
     ``keep='last'`` returns/saves the last round's model (the reference's
     behaviour, whose "best" resets every round); ``keep='best'`` keeps the round
     with the lowest validation loss, earliest on ties.
+
+    The split and the unlabelled set are read once per round; with
+    ``checkpoint_inputs`` they are written once to the shared checkpoint folder
+    (lineage cut, a lost executor costs a re-read, not a recomputed join),
+    otherwise persisted in memory and disk.
     """
     spark: SparkSession = labelled.sparkSession
     ids = list(id_cols)
@@ -222,10 +228,15 @@ def self_train(
 
     lab_in = lab.select(*ids, text_col, "label_id").persist(StorageLevel.MEMORY_AND_DISK)
     split = stratified_split(lab_in, "label_id", ids, test_size, seed)
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
+    unl = unl.select(*ids, text_col)
+    if checkpoint_inputs:
+        split, unl = cut_lineage(split), cut_lineage(unl)
+        lab_in.unpersist()
+    else:
+        split = split.persist(StorageLevel.MEMORY_AND_DISK)
+        unl = unl.persist(StorageLevel.MEMORY_AND_DISK)
     train = split.filter("is_train").drop("is_train")
     val = split.filter(~F.col("is_train")).drop("is_train")
-    unl = unl.select(*ids, text_col).persist(StorageLevel.MEMORY_AND_DISK)
 
     n_train = train.count()
     current = teacher or train_classifier(train, text_col, "label_id", n_rows=n_train, **model_params)
