@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.probs import log_softmax_at
 from ..functions.text import is_blank
 
 
@@ -45,10 +46,7 @@ def acceptance(df: DataFrame, thresholds: Sequence[float], conf_col: str = "conf
 
 def cross_entropy(logits: Column, label: Column) -> Column:
     """Per-row cross-entropy from logits: logsumexp(l) - l[label]."""
-    l = logits.cast("array<double>")
-    mx = F.array_max(l)
-    lse = mx + F.log(F.aggregate(l, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - mx)))
-    return lse - F.get(l, label.cast("int"))
+    return -log_softmax_at(logits, label)
 
 
 def eval_metrics(

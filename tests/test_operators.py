@@ -137,7 +137,8 @@ def test_pseudo_label_threshold_inclusive(spark):
     t = scored.agg(F.min("confidence")).first()[0]
     assert pseudo_label(docs, LetterShareScorer(), t).count() == docs.count()
     plan = pseudo_label(docs, LetterShareScorer(), 0.9)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_replace") <= 1  # model text computed once, not re-expanded in the filter
+    filters = [line for line in plan.splitlines() if line.strip().lstrip("+- :").startswith("Filter")]
+    assert filters and all("regexp_replace" not in f and "exp(" not in f.lower() for f in filters)
 
 
 def test_distribution_and_acceptance(spark):

@@ -149,3 +149,18 @@ def test_self_train_deterministic_and_saved(spark):
     m = load_model(out)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     assert m.add_logits(docs, "text").filter(F.size("__logits") == 3).count() == docs.count()
+
+
+def test_envelope_json_sink(spark):
+    import datetime as dt
+
+    from postlake.sources.ingest import write_envelope_json
+
+    conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    root = scratch_path(spark, "json_root")
+    path = write_envelope_json(conv, root, "conversations", "conv_id", when=dt.datetime(2021, 2, 3, 4, 5, 6))
+    assert path.endswith("covid_data/20210203040506/data.json")
+    back = spark.read.json(path)
+    assert back.count() == conv.count()
+    bad = back.groupBy("conv_id", "record_count").count().filter(F.col("count") != F.col("record_count"))
+    assert bad.count() == 0
