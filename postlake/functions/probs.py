@@ -13,12 +13,25 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element
+    ``transform``): a value used inside a lambda would otherwise be
+    recomputed for every array element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def softmax(logits: Column | str) -> Column:
-    """Numerically stable softmax: shift by the max, exponentiate, normalise."""
+    """Numerically stable softmax: shift by the max, exponentiate, normalise.
+    The max and the normaliser are computed once per row (O(k))."""
     l = _c(logits).cast("array<double>")
-    shifted = F.transform(l, lambda x: F.exp(x - F.array_max(l)))
-    total = F.aggregate(shifted, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return F.transform(shifted, lambda x: x / total)
+    shifted = _let(F.array_max(l), lambda m: F.transform(l, lambda x: F.exp(x - m)))
+    return _let(
+        shifted,
+        lambda e: _let(
+            F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, x: acc + x),
+            lambda z: F.transform(e, lambda x: x / z),
+        ),
+    )
 
 
 def argmax(probs: Column | str) -> Column:
@@ -34,9 +47,11 @@ def confidence(probs: Column | str) -> Column:
 def log_softmax_at(logits: Column | str, idx: Column | str) -> Column:
     """``log p[idx]`` from logits (log-sum-exp form, never -inf for finite logits)."""
     l = _c(logits).cast("array<double>")
-    mx = F.array_max(l)
-    lse = mx + F.log(F.aggregate(l, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - mx)))
-    return F.get(l, _c(idx).cast("int")) - lse
+
+    def lse(mx: Column) -> Column:
+        return mx + F.log(F.aggregate(l, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - mx)))
+
+    return F.get(l, _c(idx).cast("int")) - _let(F.array_max(l), lse)
 
 
 def label_id(col: Column | str, mapping: dict[str, int] | None = None) -> Column:

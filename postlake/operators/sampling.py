@@ -25,7 +25,7 @@ from ..functions.constants import SEED, VALIDATION_FRACTION
 
 HEX_DIGITS = 32  # md5 hex length
 DIGITS_PER_PASS = 4  # 16 bits -> at most 65,536 buckets per group and pass
-RANK_LIMIT = 2_000_000  # largest bucket ranked by a window in one task
+RANK_LIMIT = 50_000  # largest bucket (full-width rows) ranked by a window in one task
 
 
 def order_key(id_cols: Sequence[str], seed: int = SEED) -> Column:
