@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import read_table
+
 # Select list shared by the Spark and DuckDB forms; `d` is documents and
 # `k.off` is 0 for the original post and 1000000 for its repost.
 RAW_POSTS_SELECT = """
@@ -77,7 +79,7 @@ where not exists (select 1 from labels l where l.doc_id = d.doc_id)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,12 +46,32 @@ def read_posts_csv(
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     df = reader.csv(path if isinstance(path, str) else list(path))
-    if rebalance and multiline:
-        n = df.rdd.getNumPartitions()
-        par = default_parallelism(spark)
-        if n < par:
-            df = df.repartition(par)
-    return df
+    return spread(df) if rebalance and multiline else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows of an under-parallel scan over the cluster's cores.
+
+    A scan yields one task per file split (Parquet: per row group, CSV with
+    multi-line records: per file). An input made of a few large files or a
+    single row group would run all the per-row work that follows (regexes,
+    scoring, tokenising) on a handful of cores. When the scan has fewer
+    partitions than the cluster has cores, the rows are spread right after it
+    (one exchange of the scanned columns only: pruning and pushed filters still
+    reach the scan). A scan with enough splits, i.e. any table at cluster
+    scale, is returned unchanged, so no shuffle is added there.
+    Spark sorts each map task's rows before a round-robin exchange, so a
+    retried task sends every row to the same place again.
+    """
+    par = default_parallelism(df.sparkSession)
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+def read_table(spark: SparkSession, path: str | Sequence[str], rebalance: bool = True) -> DataFrame:
+    """Parquet input table; spread over the cores when the files have too
+    few row groups to keep them busy (see ``spread``)."""
+    df = spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
+    return spread(df) if rebalance else df
 
 
 def na_to_null(df: DataFrame, na_values: Sequence[str] = PANDAS_NA_VALUES, columns: Sequence[str] | None = None) -> DataFrame:

@@ -12,7 +12,15 @@ from postlake.plans.fixtures import RAW_COLUMNS, labelled, raw_posts_strings, un
 from postlake.plans.jobs import clean_job, ingest_job, sentiment_job
 from postlake.session import scratch_path
 from postlake.sources.ingest import envelope, ingest_manifest, list_files, pick_input_file, route_source
-from postlake.sources.readers import read_clean, read_posts_csv, read_text_csv, read_whole_text, require_columns
+from postlake.sources.readers import (
+    read_clean,
+    read_posts_csv,
+    read_table,
+    read_text_csv,
+    read_whole_text,
+    require_columns,
+    spread,
+)
 from postlake.sources.writers import scored_path, write_scored
 
 
@@ -33,6 +41,26 @@ def test_csv_scan_edge_cases(spark):
     assert rows == [("1", 'x, "q"\nnext', "3"), ("4", "5", None), ("6", "7", "8")]
 
 
+def test_under_parallel_scan_is_spread(spark):
+    # the given tables are single-row-group files: one busy scan task
+    par = spark.sparkContext.defaultParallelism
+    raw = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    t = read_table(spark, f"{SF_MID}/documents.parquet")
+    assert raw.rdd.getNumPartitions() < par
+    assert t.rdd.getNumPartitions() == par
+    sizes = t.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) == par
+    assert t.count() == raw.count()
+    assert sorted(r.doc_id for r in t.select("doc_id").collect()) == sorted(r.doc_id for r in raw.select("doc_id").collect())
+    # pruning and pushed filters still reach the scan below the exchange
+    plan = t.filter(F.col("doc_id") > 10).select("doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), GreaterThan(doc_id,10)]" in plan
+    assert "ReadSchema: struct<doc_id:bigint>" in plan
+    # an input that already has enough partitions is left alone (no exchange)
+    wide = spark.range(0, 1000, 1, par * 2)
+    assert spread(wide) is wide
+
+
 def test_na_tokens_only_in_text_scans(spark):
     d = local(scratch_path(spark, "csv_na"))
     write_text(f"{d}/a.csv", "text,sentiment\nNA,positive\nnull,negative\nok,neutral\n")
