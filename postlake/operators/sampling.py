@@ -11,6 +11,13 @@ partitioned by a three-valued label would put a whole group into one task, so
 (16 bits per pass, a bounded ``groupBy`` count) until the bucket holding the
 cut has at most ``rank_limit`` rows, and only that bucket is ranked exactly.
 Everything below the cut bucket is selected by a plain filter.
+
+A cut bucket that holds a single key value (many copies of one id: a group of
+copies may be a third of the table) cannot be narrowed further. Its rows tie
+on the whole sort order, so any ``need`` of them are a correct answer: they
+are written once to the shared folder (stable partitions) and the first
+``need`` are taken by position from per-partition counts, the way
+``zipWithIndex`` numbers rows, without moving them into one task.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import SEED, VALIDATION_FRACTION
+from ..session import cut_lineage
 
 HEX_DIGITS = 32  # md5 hex length
 DIGITS_PER_PASS = 4  # 16 bits -> at most 65,536 buckets per group and pass
@@ -80,7 +88,9 @@ def rank_cutoff(
             break
         in_prefix = _any_group(grp, {gv: F.col(k).startswith(F.lit(s[1])) for gv, s in open_groups.items()})
         bucket = F.substring(F.col(k), plen + 1, DIGITS_PER_PASS)
-        hist = base.filter(in_prefix).groupBy(F.col(grp).alias("__g"), bucket.alias("__b")).count()
+        hist = base.filter(in_prefix).groupBy(F.col(grp).alias("__g"), bucket.alias("__b")).agg(
+            F.count(F.lit(1)).alias("count"), F.min(k).alias("__lo"), F.max(k).alias("__hi")
+        )
         w = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("__before", F.coalesce(F.sum("count").over(w), F.lit(0)))
         need = F.lit(None).cast("bigint")
@@ -91,32 +101,82 @@ def rank_cutoff(
         ).collect()
         for row in cut_rows:
             _, prefix, q, _ = state[row["__g"]]
-            state[row["__g"]] = ("cut", prefix + row["__b"], q - int(row["__before"]), int(row["count"]))
+            left, size = q - int(row["__before"]), int(row["count"])
+            if row["__lo"] == row["__hi"] and size > rank_limit:
+                # one key value: its rows tie, no further pass can split them
+                state[row["__g"]] = ("tie", row["__lo"], left, size)
+            else:
+                state[row["__g"]] = ("cut", prefix + row["__b"], left, size)
         plen += DIGITS_PER_PASS
 
     below: dict = {}
     in_cut: dict = {}
+    in_tie: dict = {}
     need_expr = F.lit(0)
     for gv, (mode, prefix, q, _) in state.items():
         if mode == "all":
             below[gv] = F.lit(True)
-        elif mode == "cut":
+        elif mode in ("cut", "tie"):
             below[gv] = F.col(k) < F.lit(prefix)
-            in_cut[gv] = F.col(k).startswith(F.lit(prefix))
+            if mode == "cut":
+                in_cut[gv] = F.col(k).startswith(F.lit(prefix))
+            else:
+                in_tie[gv] = F.col(k) == F.lit(prefix)
             need_expr = F.when(_is_group(grp, gv), F.lit(q)).otherwise(need_expr)
     below_c = _any_group(grp, below)
     in_cut_c = _any_group(grp, in_cut)
+    in_tie_c = _any_group(grp, in_tie)
 
     w = Window.partitionBy(grp).orderBy(F.col(k), *[F.col(c) for c in tie_cols])
-    ranked = base.filter(in_cut_c).withColumn("__rn", F.row_number().over(w))
     cols = df.columns
+    parts = []
     if flag is None:
-        a = base.filter(below_c).select(*cols)
-        b = ranked.filter(F.col("__rn") <= need_expr).select(*cols)
-        return a.unionByName(b)
-    a = base.filter(~in_cut_c).select(*cols, below_c.alias(flag))
-    b = ranked.select(*cols, (F.col("__rn") <= need_expr).alias(flag))
-    return a.unionByName(b)
+        parts.append(base.filter(below_c).select(*cols))
+    else:
+        parts.append(base.filter(~(in_cut_c | in_tie_c)).select(*cols, below_c.alias(flag)))
+    if in_cut:
+        ranked = base.filter(in_cut_c).withColumn("__rn", F.row_number().over(w))
+        take = F.col("__rn") <= need_expr
+        parts.append(ranked.filter(take).select(*cols) if flag is None else ranked.select(*cols, take.alias(flag)))
+    if in_tie:
+        tied, take = _take_by_position(base.filter(in_tie_c), grp, need_expr)
+        parts.append(tied.filter(take).select(*cols) if flag is None else tied.select(*cols, take.alias(flag)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _take_by_position(tied: DataFrame, grp: str, need: Column) -> tuple[DataFrame, Column]:
+    """Rows of buckets that tie on the whole order, plus a Column telling
+    whether a row is among the first ``need`` of its group by position.
+
+    The rows are sorted by group inside each partition (no exchange) and
+    checkpointed to the shared folder, so the per-partition counts and the
+    selection see the same partitions (also after a lost executor). A row's
+    position in its group is its position in the partition minus the rows of
+    smaller groups there, plus the group's rows in earlier partitions; both
+    offsets come from one small row per (partition, group).
+    """
+    tied = cut_lineage(tied.sortWithinPartitions(grp))
+    pid = F.spark_partition_id()
+    counts = tied.groupBy(pid.alias("__pid"), grp).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.unboundedPreceding, -1
+    in_part = Window.partitionBy("__pid").orderBy(grp).rowsBetween(*earlier)
+    in_group = Window.partitionBy(grp).orderBy("__pid").rowsBetween(*earlier)
+    offsets = counts.select(
+        "__pid",
+        grp,
+        F.coalesce(F.sum("__n").over(in_part), F.lit(0)).alias("__start"),
+        F.coalesce(F.sum("__n").over(in_group), F.lit(0)).alias("__before"),
+    )
+    pos = tied.select(
+        "*",
+        pid.alias("__pid"),
+        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("__pos"),
+    )
+    rank = F.col("__before") + F.col("__pos") - F.col("__start")
+    return pos.join(offsets, ["__pid", grp]), rank < need
 
 
 def _is_group(col: str, gv) -> Column:

@@ -48,3 +48,55 @@ def test_hot_date_is_split_across_files(spark):
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1  # the hot day was split over several tasks
     assert spark.read.parquet(out).count() == 60000
+
+
+def hot_copies(spark, n=30000):
+    # a third of the rows are copies of one id (7); label in 0..2
+    return spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+        (F.col("id") % 5).alias("v"),
+        (F.col("id") % 2).cast("int").alias("label_id"),
+    )
+
+
+def _md5_order(ids, seed=42):
+    import hashlib
+
+    return sorted(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
+
+
+def _no_single_task(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan, plan
+
+
+def test_sample_exact_hot_copies_stays_distributed(spark):
+    from postlake.operators.sampling import sample_exact
+
+    df = hot_copies(spark)
+    ids = [r.doc_id for r in df.select("doc_id").collect()]
+    for n in (12000, 3000, 25000):
+        out = sample_exact(df, n, ["doc_id"], rank_limit=1000)
+        _no_single_task(out)
+        got = sorted(r.doc_id for r in out.select("doc_id").collect())
+        assert got == sorted(_md5_order(ids)[:n])  # brute force: first n in hash order
+
+
+def test_stratified_split_hot_copies_quotas(spark):
+    from postlake.operators.sampling import split_quotas, stratified_split
+
+    df = hot_copies(spark)
+    out = stratified_split(df, "label_id", ["doc_id"], rank_limit=1000)
+    _no_single_task(out)
+    assert out.count() == 30000
+    counts = {r.label_id: r["count"] for r in df.groupBy("label_id").count().collect()}
+    quotas = split_quotas(counts)
+    got = {r.label_id: r["n"] for r in out.filter("is_train").groupBy("label_id").agg(F.count("*").alias("n")).collect()}
+    assert got == quotas
+    # within each class the train rows are the first in hash order (brute force)
+    rows = df.collect()
+    for lab, q in quotas.items():
+        ids = [r.doc_id for r in rows if r.label_id == lab]
+        want = sorted(_md5_order(ids)[:q])
+        have = sorted(r.doc_id for r in out.filter(F.col("is_train") & (F.col("label_id") == lab)).collect())
+        assert have == want
