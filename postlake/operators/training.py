@@ -93,15 +93,37 @@ def build_pipeline(
 
 
 ROWS_PER_TRAIN_PARTITION = 100_000
+TOKENS_PER_TRAIN_PARTITION = 1_000_000
+DEEP_AGGREGATION_PARTITIONS = 1_000
+
+
+def train_partitions(
+    spark: SparkSession,
+    n_rows: int,
+    n_tokens: int = 0,
+    rows_per_partition: int = ROWS_PER_TRAIN_PARTITION,
+    tokens_per_partition: int = TOKENS_PER_TRAIN_PARTITION,
+) -> int:
+    """Partitions for an optimizer pass, never more than the cluster's
+    parallelism.
+
+    An iteration's work per row is proportional to its non-zero features
+    (about its tokens), while every partition also returns one dense
+    ``classes x features`` gradient. Partitions are sized so each holds about
+    ``tokens_per_partition`` tokens (and at most ``rows_per_partition`` rows):
+    long documents get several partitions even when they are few, and short
+    posts do not pay a dense gradient per handful of rows.
+    """
+    by_rows = -(-n_rows // rows_per_partition)
+    by_tokens = -(-n_tokens // tokens_per_partition) if n_tokens else 0
+    return max(1, min(default_parallelism(spark), max(by_rows, by_tokens)))
 
 
-def train_partitions(spark: SparkSession, n_rows: int, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> int:
-    """Partitions for an optimizer pass: enough for ``rows_per_partition``,
-    never more than the cluster's parallelism. Every L-BFGS iteration
-    aggregates one dense ``classes x features`` gradient per partition, so
-    a small training set spread over many partitions pays that cost for
-    nothing."""
-    return max(1, min(default_parallelism(spark), -(-n_rows // rows_per_partition)))
+def aggregation_depth(partitions: int) -> int:
+    """Tree depth for merging the per-partition gradients: a third level once
+    there are so many partitions that ~sqrt(P) dense gradients per merge task
+    would dominate an iteration."""
+    return 3 if partitions > DEEP_AGGREGATION_PARTITIONS else 2
 
 
 def train_classifier(
@@ -114,10 +136,12 @@ def train_classifier(
     """Fit the student on ``(text, label_id)`` rows; returns a ModelScorer.
 
     Feature extraction (tokenise, hash, IDF fit) runs on the input's own
-    partitions, i.e. at full parallelism. Only the sparse feature vectors are
-    then shuffled into ``train_partitions`` partitions and persisted for the
-    optimizer, whose iterations each aggregate one dense gradient per
-    partition. The fitted stages are assembled into one ``PipelineModel``.
+    partitions, i.e. at full parallelism; the tokenised rows are cached once,
+    and the pass that fills the cache also counts rows and tokens. Only the
+    sparse feature vectors are then shuffled into ``train_partitions``
+    partitions and persisted for the optimizer, whose iterations each
+    aggregate one dense gradient per partition. The fitted stages are
+    assembled into one ``PipelineModel``.
     """
     from pyspark.ml import Estimator, PipelineModel
 
@@ -127,18 +151,25 @@ def train_classifier(
     *featurizers, lr = stages
     fitted, held = [], []
     cur = x
+    n, n_tokens = n_rows, 0
     for st in featurizers:
         if isinstance(st, Estimator):
             # its fit is one pass and its transform another: tokenise once
             cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(cur)
+            if "__tokens" in cur.columns and not n_tokens:
+                stats = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("__tokens")).alias("t")).first()
+                n, n_tokens = int(stats["n"]), int(stats["t"] or 0)
             m = st.fit(cur)
         else:
             m = st
         fitted.append(m)
         cur = m.transform(cur)
-    n = n_rows if n_rows is not None else x.count()
-    feats = cur.select("__features", "label_id").repartition(train_partitions(spark, n))
+    if n is None:
+        n = x.count()
+    parts = train_partitions(spark, n, n_tokens)
+    lr = lr.copy().setAggregationDepth(aggregation_depth(parts))
+    feats = cur.select("__features", "label_id").repartition(parts)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         feats.count()

@@ -175,3 +175,13 @@ def test_eval_metrics_batch_mean(spark):
 def test_best_step_first_on_ties(spark):
     m = spark.createDataFrame([(1, 0.5), (2, 0.4), (3, 0.4)], "step int, val_loss double")
     assert best_step(m).first().best_step == 2
+
+
+def test_train_partitions_follow_tokens_not_rows(spark):
+    from postlake.operators.training import aggregation_depth, train_partitions
+
+    par = spark.sparkContext.defaultParallelism
+    assert train_partitions(spark, 8_000) == 1  # few short rows: one dense gradient
+    assert train_partitions(spark, 8_000, 3_300_000) == min(par, 4)  # long documents
+    assert train_partitions(spark, 10**9, 10**12) == par  # never above parallelism
+    assert aggregation_depth(8) == 2 and aggregation_depth(5_000) == 3
