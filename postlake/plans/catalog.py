@@ -399,24 +399,38 @@ def q_eval_cross_entropy(spark, sf, batch_size: int = 4):
 
 
 def q_self_train_round(spark, sf):
+    """One round's bookkeeping (A1 + A4 + U1) as a single aggregate over the
+    tagged union of its inputs: one job with map-side partial counts."""
     lab = prepare_labelled(labelled(spark, sf))
     s = stratified_split(lab.select("doc_id", "text", "label_id"), "label_id", ["doc_id"])
     unl = _unlabelled_ready(spark, sf)
     pseudo = pseudo_label(unl, LetterShareScorer(), THRESHOLD)
     combined = combine_train(s.filter("is_train"), pseudo)
-    counts = [
-        unl.agg(F.count(F.lit(1)).alias("unlabelled")),
-        pseudo.agg(F.count(F.lit(1)).alias("pseudo")),
-        s.agg(F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("validation")),
-        combined.agg(F.count(F.lit(1)).alias("combined")),
-    ]
-    row = {}
-    for c in counts:
-        row.update(c.first().asDict())
-    pct = row["pseudo"] * 100.0 / row["unlabelled"] if row["unlabelled"] else 0.0
-    return spark.createDataFrame(
-        [(1, THRESHOLD, row["unlabelled"], row["pseudo"], round(pct, R6), row["train"], row["combined"], row["validation"])],
-        "step int, threshold double, unlabelled long, pseudo long, pseudo_percent double, train long, combined long, validation long",
+    none = F.lit(None).cast("boolean")
+    tagged = (
+        unl.select(F.lit("u").alias("t"), none.alias("is_train"))
+        .unionByName(pseudo.select(F.lit("p").alias("t"), none.alias("is_train")))
+        .unionByName(s.select(F.lit("s").alias("t"), "is_train"))
+        .unionByName(combined.select(F.lit("c").alias("t"), none.alias("is_train")))
+    )
+    tag = F.col("t")
+    c = tagged.agg(
+        F.count_if(tag == "u").alias("unlabelled"),
+        F.count_if(tag == "p").alias("pseudo"),
+        F.count_if((tag == "s") & F.col("is_train")).alias("train"),
+        F.count_if(tag == "c").alias("combined"),
+        F.count_if((tag == "s") & ~F.col("is_train")).alias("validation"),
+    )
+    pct = F.when(F.col("unlabelled") == 0, F.lit(0.0)).otherwise(F.col("pseudo") * F.lit(100.0) / F.col("unlabelled"))
+    return c.select(
+        F.lit(1).alias("step"),
+        F.lit(THRESHOLD).cast("double").alias("threshold"),
+        "unlabelled",
+        "pseudo",
+        _r(pct).alias("pseudo_percent"),
+        "train",
+        "combined",
+        "validation",
     )
 
 
