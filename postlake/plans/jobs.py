@@ -74,12 +74,18 @@ def sentiment_job(
     """
     df = source if source is not None else read_text_csv(spark, csv_path)
     require_columns(df, text_col)
+    held = None
     if sample_size:
+        # the exact sample reads its input several times (count, hash-prefix
+        # histograms, pick): parse the CSV once
+        held = df = df.persist(StorageLevel.MEMORY_AND_DISK)
         df = sample_exact(df, sample_size, list(id_cols or df.columns), seed)
     df = nonblank_text(df, text_col)
     scored = score_posts(df, scorer, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     if output_path is not None or csv_path:
         write_scored(scored, output_path, src=csv_path)
+        if held is not None:
+            held.unpersist()
     return scored, label_distribution(scored, "sentiment")
 
 
@@ -108,20 +114,28 @@ def self_train_job(
     unl = read_text_csv(spark, unlabeled)
     require_columns(unl, text_col)
     ids = list(id_cols or [text_col])
-    return self_train(
-        lab,
-        unl,
-        text_col=text_col,
-        id_cols=ids,
-        labelled_size=labeled_size,
-        unlabelled_size=unlabeled_size,
-        threshold=confidence,
-        iterations=iterations,
-        teacher=teacher,
-        output_dir=output_dir,
-        batch_size=batch_size,
-        **kw,
-    )
+    # sampling reads each input several times before self_train cuts the
+    # lineage: parse each CSV once
+    held = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in (lab, unl)]
+    lab, unl = held
+    try:
+        return self_train(
+            lab,
+            unl,
+            text_col=text_col,
+            id_cols=ids,
+            labelled_size=labeled_size,
+            unlabelled_size=unlabeled_size,
+            threshold=confidence,
+            iterations=iterations,
+            teacher=teacher,
+            output_dir=output_dir,
+            batch_size=batch_size,
+            **kw,
+        )
+    finally:
+        for d in held:
+            d.unpersist()
 
 
 def ingest_job(spark: SparkSession, event: dict, raw_root: str, base: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from conftest import SF_MID, SF_SMALL
 from postlake.operators.scoring import LetterShareScorer
 from postlake.operators.training import load_model, self_train
 from postlake.plans.fixtures import RAW_COLUMNS, labelled, raw_posts_strings, unlabelled
-from postlake.plans.jobs import clean_job, ingest_job, sentiment_job
+from postlake.plans.jobs import clean_job, ingest_job, self_train_job, sentiment_job
 from postlake.session import scratch_path
 from postlake.sources.ingest import envelope, ingest_manifest, list_files, pick_input_file, route_source
 from postlake.sources.readers import (
@@ -160,6 +160,24 @@ def test_sentiment_job(spark):
     assert "positive_prob" in read_posts_csv(spark, out).columns
 
 
+def test_self_train_job_from_csv_with_sizes(spark):
+    lab_csv, unl_csv = scratch_path(spark, "lab_csv"), scratch_path(spark, "unl_csv")
+    write_scored(labelled(spark, SF_MID).withColumn("doc_id", F.col("doc_id").cast("string")), lab_csv)
+    write_scored(unlabelled(spark, SF_MID).withColumn("doc_id", F.col("doc_id").cast("string")), unl_csv)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    out = local(scratch_path(spark, "job_model"))
+    res = self_train_job(
+        spark, lab_csv, unl_csv, labeled_size=300, unlabeled_size=200, iterations=1,
+        output_dir=out, teacher=LetterShareScorer(), id_cols=["doc_id"], max_iter=5,
+    )
+    r = res.rounds[0]
+    # 300 sampled labelled rows (all labels known) -> ceil(0.2 * 300) validation rows
+    assert r["train"] + r["validation"] == 300 and r["validation"] == 60
+    assert r["unlabelled"] == 200 and 0 <= r["pseudo"] <= 200
+    assert os.path.isdir(out)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before  # inputs released
+
+
 def test_self_train_deterministic_and_saved(spark):
     lab, unl = labelled(spark, SF_SMALL), unlabelled(spark, SF_SMALL)
     out = scratch_path(spark, "model")
