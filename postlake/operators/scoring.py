@@ -6,7 +6,10 @@ A scorer adds a ``logits array<double>`` column; everything after it
 * ``ColumnScorer`` - logits as a Column expression; no Python worker at all.
 * ``BatchScorer``  - a Python model behind an iterator ``pandas_udf``: the
   factory runs once per task, Arrow ships only the text column, and texts are
-  re-chunked into the model's batch size. Rows stay where they are (the
+  re-chunked into the model's batch size. Arrow batches are bounded by rows
+  and by bytes (``spark.sql.execution.arrow.maxRecordsPerBatch`` /
+  ``maxBytesPerBatch``, 10k rows / 64 MB by default), so long documents
+  cannot make a worker hold an unbounded batch. Rows stay where they are (the
   prediction is a column of the same row), so there is no positional join.
 * ``ModelScorer``  - a fitted Spark ML ``PipelineModel`` (see ``training``).
 """

@@ -59,7 +59,9 @@ def spread(df: DataFrame) -> DataFrame:
     partitions than the cluster has cores, the rows are spread right after it
     (one exchange of the scanned columns only: pruning and pushed filters still
     reach the scan). A scan with enough splits, i.e. any table at cluster
-    scale, is returned unchanged, so no shuffle is added there.
+    scale, is returned unchanged, so no shuffle is added there; when it does
+    trigger, the data moved is less than one wave of file splits (fewer
+    splits than cores, each at most ``spark.sql.files.maxPartitionBytes``).
     Spark sorts each map task's rows before a round-robin exchange, so a
     retried task sends every row to the same place again.
     """
