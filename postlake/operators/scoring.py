@@ -139,12 +139,43 @@ class ModelScorer(Scorer):
         self.n_classes = n_classes
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
-        from pyspark.ml.functions import vector_to_array
-
         cols = df.columns
         x = df.withColumn(self.input_col, model_text(text_col))
-        y = self.model.transform(x).select(*cols, F.col("rawPrediction"))
-        return materialize(y, {out_col: vector_to_array(F.col("rawPrediction"))}).drop("rawPrediction")
+        return _logits_of(self.model.transform(x), cols, out_col)
+
+    def add_logits_featurized(self, df: DataFrame, tf_col: str, out_col: str = LOGITS) -> DataFrame:
+        """Logits for rows that already carry the hashed term frequencies of
+        the pipeline's tokenise + hash stages: only the fitted stages after
+        them (IDF, classifier) run."""
+        from pyspark.ml import PipelineModel
+        from pyspark.ml.feature import HashingTF, RegexTokenizer
+
+        stages = self.model.stages
+        if not (isinstance(stages[0], RegexTokenizer) and isinstance(stages[1], HashingTF)):
+            raise TypeError("the model does not start with tokenise + hash stages")
+        cols = df.columns
+        x = df.withColumn(stages[1].getOutputCol(), F.col(tf_col))
+        return _logits_of(PipelineModel(stages[2:]).transform(x), cols, out_col)
+
+
+def _logits_of(transformed: DataFrame, cols: list[str], out_col: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    y = transformed.select(*cols, F.col("rawPrediction"))
+    return materialize(y, {out_col: vector_to_array(F.col("rawPrediction"))}).drop("rawPrediction")
+
+
+class FeaturizedScorer(Scorer):
+    """A ``ModelScorer`` applied to rows that carry its term-frequency vectors
+    in ``tf_col`` (the text column passed to ``add_logits`` is not read)."""
+
+    def __init__(self, inner: ModelScorer, tf_col: str):
+        self.inner = inner
+        self.tf_col = tf_col
+        self.n_classes = inner.n_classes
+
+    def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
+        return self.inner.add_logits_featurized(df, self.tf_col, out_col)
 
 
 # --- probability columns ------------------------------------------------------

@@ -32,7 +32,7 @@ from ..functions.text import is_blank, model_text
 from .metrics import eval_metrics
 from .sampling import order_key, sample_exact, stratified_split
 from ..session import cut_lineage, default_parallelism
-from .scoring import LOGITS, ModelScorer, Scorer, pseudo_label
+from .scoring import LOGITS, FeaturizedScorer, ModelScorer, Scorer, pseudo_label
 
 MODEL_INPUT = "__model_text"
 
@@ -126,50 +126,65 @@ def aggregation_depth(partitions: int) -> int:
     return 3 if partitions > DEEP_AGGREGATION_PARTITIONS else 2
 
 
+TF_COL = "__tf_cached"
+NTOK_COL = "__ntok"
+
+
+def featurize(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (), **params) -> DataFrame:
+    """The pipeline's tokenise + hash stages, once: ``keep`` columns plus the
+    term-frequency vector (``TF_COL``) and the token count (``NTOK_COL``).
+
+    Both stages are fixed functions of the text (no fitting), so a training
+    loop can store these vectors once and fit / apply only the later stages
+    every round."""
+    tok, tf = build_pipeline(**params).getStages()[:2]
+    x = df.select(*keep, model_text(text_col).alias(MODEL_INPUT))
+    y = tf.transform(tok.transform(x))
+    return y.select(*keep, F.col(tf.getOutputCol()).alias(TF_COL), F.size("__tokens").alias(NTOK_COL))
+
+
 def train_classifier(
     df: DataFrame,
     text_col: str = "text",
     label_col: str = "label_id",
-    n_rows: int | None = None,
+    featurized: bool = False,
     **params,
 ):
-    """Fit the student on ``(text, label_id)`` rows; returns a ModelScorer.
+    """Fit the student on ``(text, label_id)`` rows; returns a ModelScorer
+    holding the whole text pipeline.
 
-    Feature extraction (tokenise, hash, IDF fit) runs on the input's own
-    partitions, i.e. at full parallelism; the tokenised rows are cached once,
+    Feature extraction runs on the input's own partitions, i.e. at full
+    parallelism (``featurized=True``: the rows already carry ``TF_COL`` and
+    ``NTOK_COL`` from ``featurize``). The term frequencies are cached once,
     and the pass that fills the cache also counts rows and tokens. Only the
     sparse feature vectors are then shuffled into ``train_partitions``
     partitions and persisted for the optimizer, whose iterations each
-    aggregate one dense gradient per partition. The fitted stages are
-    assembled into one ``PipelineModel``.
+    aggregate one dense gradient per partition.
     """
-    from pyspark.ml import Estimator, PipelineModel
+    from pyspark.ml import PipelineModel
 
     spark = df.sparkSession
-    x = df.select(model_text(text_col).alias(MODEL_INPUT), F.col(label_col).cast("double").alias("label_id"))
-    stages = build_pipeline(label_col="label_id", **params).getStages()
-    *featurizers, lr = stages
-    fitted, held = [], []
-    cur = x
-    n, n_tokens = n_rows, 0
-    for st in featurizers:
-        if isinstance(st, Estimator):
-            # its fit is one pass and its transform another: tokenise once
-            cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(cur)
-            if "__tokens" in cur.columns and not n_tokens:
-                stats = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("__tokens")).alias("t")).first()
-                n, n_tokens = int(stats["n"]), int(stats["t"] or 0)
-            m = st.fit(cur)
-        else:
-            m = st
+    tok, tf, *rest = build_pipeline(label_col="label_id", **params).getStages()
+    *mid, lr = rest
+    label = F.col(label_col).cast("double").alias("label_id")
+    if featurized:
+        cur = df.select(F.col(TF_COL).alias(tf.getOutputCol()), label, NTOK_COL)
+    else:
+        x = df.select(model_text(text_col).alias(MODEL_INPUT), label)
+        y = tf.transform(tok.transform(x))
+        cur = y.select(tf.getOutputCol(), "label_id", F.size("__tokens").alias(NTOK_COL))
+    cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+    held = [cur]
+    stats = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(NTOK_COL).alias("t")).first()
+    n, n_tokens = int(stats["n"]), int(stats["t"] or 0)
+    fitted = []
+    for st in mid:  # IDF: one pass to fit, its transform feeds the optimizer
+        m = st.fit(cur)
         fitted.append(m)
         cur = m.transform(cur)
-    if n is None:
-        n = x.count()
     parts = train_partitions(spark, n, n_tokens)
     lr = lr.copy().setAggregationDepth(aggregation_depth(parts))
-    feats = cur.select("__features", "label_id").repartition(parts)
+    feats = cur.select(lr.getFeaturesCol(), "label_id").repartition(parts)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         feats.count()
@@ -180,7 +195,13 @@ def train_classifier(
         feats.unpersist()
         for h in held:
             h.unpersist()
-    return ModelScorer(PipelineModel(fitted + [lr_model]), input_col=MODEL_INPUT)
+    return ModelScorer(PipelineModel([tok, tf, *fitted, lr_model]), input_col=MODEL_INPUT)
+
+
+def on_features(scorer: Scorer) -> Scorer:
+    """The scorer to use on ``featurize``d rows: a fitted student applies only
+    its later stages; any other scorer (e.g. a teacher) reads the text."""
+    return FeaturizedScorer(scorer, TF_COL) if isinstance(scorer, ModelScorer) else scorer
 
 
 def evaluate(
@@ -231,9 +252,11 @@ def prepare_unlabelled(
     return sample_exact(f, size, list(id_cols), seed)
 
 
-def combine_train(train: DataFrame, pseudo: DataFrame, text_col: str = "text") -> DataFrame:
+def combine_train(
+    train: DataFrame, pseudo: DataFrame, text_col: str = "text", extra: Sequence[str] = ()
+) -> DataFrame:
     """Train split + pseudo-labelled rows, duplicates kept (UNION ALL)."""
-    cols = [text_col, "label_id"]
+    cols = [text_col, "label_id", *extra]
     return train.select(*cols).unionByName(pseudo.select(*cols))
 
 
@@ -282,7 +305,10 @@ def self_train(
 
     lab_in = lab.select(*ids, text_col, "label_id").persist(StorageLevel.MEMORY_AND_DISK)
     split = stratified_split(lab_in, "label_id", ids, test_size, seed)
-    unl = unl.select(*ids, text_col)
+    # tokenise + hash once; every round fits / applies only IDF and the classifier
+    feat = [TF_COL, NTOK_COL]
+    split = featurize(split, text_col, [*ids, text_col, "label_id", "is_train"], **model_params)
+    unl = featurize(unl, text_col, [*ids, text_col], **model_params)
     if checkpoint_inputs:
         split, unl = cut_lineage(split), cut_lineage(unl)
         lab_in.unpersist()
@@ -293,7 +319,7 @@ def self_train(
     val = split.filter(~F.col("is_train")).drop("is_train")
 
     n_train = train.count()
-    current = teacher or train_classifier(train, text_col, "label_id", n_rows=n_train, **model_params)
+    current = teacher or train_classifier(train, text_col, "label_id", featurized=True, **model_params)
     n_val = val.count()
     n_unl = unl.count()
 
@@ -302,15 +328,15 @@ def self_train(
     for i, t in enumerate(threshold_schedule(threshold, iterations)):
         # one scoring pass over the whole unlabelled set per round
         t0 = time.perf_counter()
-        pseudo = pseudo_label(unl, current, t, text_col).select(text_col, "label_id")
+        pseudo = pseudo_label(unl, on_features(current), t, text_col).select(text_col, "label_id", *feat)
         pseudo = pseudo.persist(StorageLevel.MEMORY_AND_DISK)
         n_pseudo = pseudo.count()
         t1 = time.perf_counter()
-        combined = combine_train(train, pseudo, text_col)
-        model = train_classifier(combined, text_col, "label_id", n_rows=n_train + n_pseudo, **model_params)
+        combined = combine_train(train, pseudo, text_col, feat)
+        model = train_classifier(combined, text_col, "label_id", featurized=True, **model_params)
         pseudo.unpersist()
         t2 = time.perf_counter()
-        m = evaluate(model, val, text_col, "label_id", ids, batch_size, seed)
+        m = evaluate(on_features(model), val, text_col, "label_id", ids, batch_size, seed)
         t3 = time.perf_counter()
         rounds.append(
             {

@@ -185,3 +185,21 @@ def test_train_partitions_follow_tokens_not_rows(spark):
     assert train_partitions(spark, 8_000, 3_300_000) == min(par, 4)  # long documents
     assert train_partitions(spark, 10**9, 10**12) == par  # never above parallelism
     assert aggregation_depth(8) == 2 and aggregation_depth(5_000) == 3
+
+
+def test_featurized_path_equals_text_path(spark):
+    from postlake.operators.scoring import LOGITS
+    from postlake.operators.training import featurize, on_features, prepare_labelled, train_classifier
+
+    lab = prepare_labelled(labelled(spark, SF_SMALL)).select("doc_id", "text", "label_id")
+    feats = featurize(lab, "text", ["doc_id", "text", "label_id"], max_iter=5)
+    from_text = train_classifier(lab, "text", "label_id", max_iter=5)
+    from_feats = train_classifier(feats, "text", "label_id", featurized=True, max_iter=5)
+
+    def logits(df):
+        return {r.doc_id: [round(v, 9) for v in r[LOGITS]] for r in df.select("doc_id", LOGITS).collect()}
+
+    a = logits(from_text.add_logits(lab, "text"))
+    b = logits(on_features(from_text).add_logits(feats, "text"))
+    c = logits(from_feats.add_logits(lab, "text"))  # the returned model reads text
+    assert a == b == c and len(a) == lab.count()
