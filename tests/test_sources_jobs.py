@@ -210,3 +210,24 @@ def test_envelope_json_sink(spark):
     assert back.count() == conv.count()
     bad = back.groupBy("conv_id", "record_count").count().filter(F.col("count") != F.col("record_count"))
     assert bad.count() == 0
+
+
+def test_self_train_keep_best_and_exclude_labelled(spark):
+    from postlake.operators.sampling import stratified_split
+    from postlake.operators.training import evaluate, prepare_labelled
+    from postlake.plans.fixtures import table
+
+    lab = labelled(spark, SF_SMALL)
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")  # labelled docs included
+    res = self_train(
+        lab, docs, iterations=2, teacher=LetterShareScorer(), max_iter=5,
+        keep="best", exclude_labelled=True, checkpoint_inputs=False,
+    )
+    n_lab = lab.count()
+    assert all(r["unlabelled"] == docs.count() - n_lab for r in res.rounds)  # anti-join applied
+    losses = [r["val_loss"] for r in res.rounds]
+    assert res.best_round == 1 + losses.index(min(losses))  # earliest on ties
+    split = stratified_split(prepare_labelled(lab).select("doc_id", "text", "label_id"), "label_id", ["doc_id"])
+    val = split.filter(~F.col("is_train"))
+    m = evaluate(res.scorer, val, "text", "label_id", ["doc_id"])
+    assert m["loss"] == pytest.approx(min(losses), rel=1e-9)  # the kept model is the best round's
