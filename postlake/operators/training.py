@@ -291,10 +291,13 @@ def self_train(
     behaviour, whose "best" resets every round); ``keep='best'`` keeps the round
     with the lowest validation loss, earliest on ties.
 
-    The split and the unlabelled set are read once per round; with
-    ``checkpoint_inputs`` they are written once to the shared checkpoint folder
-    (lineage cut, a lost executor costs a re-read, not a recomputed join),
-    otherwise persisted in memory and disk.
+    The split and the unlabelled set are tokenised and hashed once
+    (``featurize``) and read once per round; with ``checkpoint_inputs`` they
+    are written once to the shared checkpoint folder (lineage cut, a lost
+    executor costs a re-read, not a recomputed join and tokenisation),
+    otherwise persisted in memory and disk. Rounds fit and apply only IDF and
+    the classifier on the stored vectors (``on_features``); a teacher scorer
+    reads the text, and every returned model is the whole text pipeline.
     """
     spark: SparkSession = labelled.sparkSession
     ids = list(id_cols)
