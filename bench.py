@@ -95,6 +95,8 @@ def main():
                            teacher=LetterShareScorer(), max_iter=30)
     )
     info["self_train_sec_per_round"] = q["self_train"] / iters
+    for phase in ("pseudo_label", "fit", "evaluate"):
+        info[f"self_train_sec_{phase}_per_round"] = sum(r[f"sec_{phase}"] for r in res.rounds) / len(res.rounds)
     info["self_train_val_accuracy"] = res.rounds[-1]["val_accuracy"]
 
     total = sum(q.values())
