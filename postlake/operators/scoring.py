@@ -111,6 +111,20 @@ class BatchScorer(Scorer):
         return materialize(x, {out_col: F.col("__udf_logits")}).drop("__udf_logits")
 
 
+def score_batches(
+    df: DataFrame,
+    scorer_factory: Callable[[], Callable[[list[str]], np.ndarray]],
+    batch_size: int = SCORE_BATCH_SIZE,
+    text_col: str = "text",
+    n_classes: int = 3,
+    out_col: str = LOGITS,
+) -> DataFrame:
+    """G1: batch inference over all rows - ``df`` plus the class logits of
+    ``text_col`` (model loaded once per task, texts in batches of
+    ``batch_size``)."""
+    return BatchScorer(scorer_factory, n_classes, batch_size).add_logits(df, text_col, out_col)
+
+
 def letter_share_factory(letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE):
     """Factory for the pandas form of the test scorer (same numbers as
     ``LetterShareScorer``); exercises the Python batch path."""

@@ -408,6 +408,10 @@ def save_model(scorer: Scorer, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+# K5 under its inventory name: the loop saves the model it keeps
+save_best = save_model
+
+
 def load_model(path: str) -> ModelScorer:
     from pyspark.ml import PipelineModel
 

@@ -42,6 +42,7 @@ from ..operators.scoring import (
     LetterShareScorer,
     letter_share_factory,
     pseudo_label,
+    score_batches,
     score_posts,
 )
 from ..operators.training import (
@@ -314,8 +315,7 @@ def q_score_posts(spark, sf):
 
 def q_score_batches(spark, sf):
     docs = nonblank_text(table(spark, sf, "documents").select("doc_id", "text"))
-    scorer = BatchScorer(letter_share_factory(), n_classes=3, batch_size=32)
-    x = scorer.add_logits(docs, "text")
+    x = score_batches(docs, letter_share_factory(), batch_size=32)
     return x.select("doc_id", *[_r(F.get(F.col(LOGITS), i)).alias(f"l{i}") for i in range(3)])
 
 
