@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +54,16 @@ def rank_cutoff(
     rank_limit: int = RANK_LIMIT,
     flag: str | None = None,
     counts: dict | None = None,
+    first_hist: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose rank in (key, tie_cols) order within their group is <= quota.
 
     ``quotas`` maps group value -> quota (key ``None`` when ``group_col`` is
     None); groups missing from it get quota 0. With ``flag`` set, every row is
     returned and ``flag`` tells whether it is inside its quota (each row is
-    read by exactly one side of a union, no join back).
+    read by exactly one side of a union, no join back). ``first_hist`` is the
+    first-level histogram of ``_first_histogram`` when the caller already has
+    it (it is then not recomputed).
     """
     k, grp = "__key", "__grp"
     base = df.withColumn(k, key).withColumn(grp, F.col(group_col) if group_col else F.lit(0))
@@ -86,11 +90,11 @@ def rank_cutoff(
         open_groups = {gv: s for gv, s in state.items() if s[0] == "cut" and s[3] > rank_limit}
         if not open_groups:
             break
-        in_prefix = _any_group(grp, {gv: F.col(k).startswith(F.lit(s[1])) for gv, s in open_groups.items()})
-        bucket = F.substring(F.col(k), plen + 1, DIGITS_PER_PASS)
-        hist = base.filter(in_prefix).groupBy(F.col(grp).alias("__g"), bucket.alias("__b")).agg(
-            F.count(F.lit(1)).alias("count"), F.min(k).alias("__lo"), F.max(k).alias("__hi")
-        )
+        if plen == 0 and first_hist is not None:
+            hist = first_hist  # every group, prefix "": rows of closed groups find no cut below
+        else:
+            in_prefix = _any_group(grp, {gv: F.col(k).startswith(F.lit(s[1])) for gv, s in open_groups.items()})
+            hist = _histogram(base.filter(in_prefix), k, grp, plen)
         w = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("__before", F.coalesce(F.sum("count").over(w), F.lit(0)))
         need = F.lit(None).cast("bigint")
@@ -195,6 +199,25 @@ def _group_counts(df: DataFrame, group_col: str) -> dict:
     return {r[0]: int(r[1]) for r in df.groupBy(group_col).count().collect()}
 
 
+def _histogram(rows: DataFrame, k: str, grp: str, plen: int) -> DataFrame:
+    """Rows per (group, next DIGITS_PER_PASS hex digits of the key after
+    ``plen``), with the smallest and largest key of each bucket."""
+    bucket = F.substring(F.col(k), plen + 1, DIGITS_PER_PASS)
+    return rows.groupBy(F.col(grp).alias("__g"), bucket.alias("__b")).agg(
+        F.count(F.lit(1)).alias("count"), F.min(k).alias("__lo"), F.max(k).alias("__hi")
+    )
+
+
+def _first_histogram(df: DataFrame, key: Column, group_col: str | None) -> tuple[DataFrame, dict]:
+    """The first narrowing pass and the group sizes in one scan: the
+    first-level histogram (at most 16^DIGITS_PER_PASS rows per group, kept
+    in memory and disk) and the rows per group summed from it."""
+    rows = df.select(key.alias("__key"), (F.col(group_col) if group_col else F.lit(0)).alias("__grp"))
+    hist = _histogram(rows, "__key", "__grp", 0).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = {r[0]: int(r[1]) for r in hist.groupBy("__g").agg(F.sum("count")).collect()}
+    return hist, counts
+
+
 def sample_exact(
     df: DataFrame,
     n: int | None,
@@ -209,12 +232,17 @@ def sample_exact(
     """
     if not n:
         return df
-    total = df.count()
-    if total <= n:
-        return df
-    return rank_cutoff(
-        df, order_key(id_cols, seed), list(id_cols), {None: int(n)}, None, rank_limit, counts={None: total}
-    )
+    key = order_key(id_cols, seed)
+    hist, counts = _first_histogram(df, key, None)
+    try:
+        total = sum(counts.values())
+        if total <= n:
+            return df
+        return rank_cutoff(
+            df, key, list(id_cols), {None: int(n)}, None, rank_limit, counts={None: total}, first_hist=hist
+        )
+    finally:
+        hist.unpersist()
 
 
 def approximate_mode(class_counts: dict, n_draws: int) -> dict:
@@ -260,16 +288,21 @@ def stratified_split(
     validation rows, train rows allocated to classes by largest remainder.
     Within a class the train rows are the first in seeded hash order.
     """
-    all_counts = _group_counts(df, label_col)
-    counts = {k: v for k, v in all_counts.items() if k is not None}
-    quotas = split_quotas(counts, test_size)
-    return rank_cutoff(
-        df.filter(F.col(label_col).isNotNull()),
-        order_key(id_cols, seed),
-        list(id_cols),
-        quotas,
-        label_col,
-        rank_limit,
-        flag=flag,
-        counts=counts,
-    )
+    key = order_key(id_cols, seed)
+    hist, all_counts = _first_histogram(df, key, label_col)
+    try:
+        counts = {k: v for k, v in all_counts.items() if k is not None}
+        quotas = split_quotas(counts, test_size)
+        return rank_cutoff(
+            df.filter(F.col(label_col).isNotNull()),
+            key,
+            list(id_cols),
+            quotas,
+            label_col,
+            rank_limit,
+            flag=flag,
+            counts=counts,
+            first_hist=hist,
+        )
+    finally:
+        hist.unpersist()
