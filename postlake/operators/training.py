@@ -321,9 +321,9 @@ def self_train(
     train = split.filter("is_train").drop("is_train")
     val = split.filter(~F.col("is_train")).drop("is_train")
 
-    n_train = train.count()
+    sizes = split.agg(F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("val")).first()
+    n_train, n_val = int(sizes["train"]), int(sizes["val"])
     current = teacher or train_classifier(train, text_col, "label_id", featurized=True, **model_params)
-    n_val = val.count()
     n_unl = unl.count()
 
     rounds: list[dict] = []
