@@ -28,3 +28,17 @@ def test_incremental_clean_matches_batch(spark):
     assert first == total.count()  # every repost was a duplicate of a post from the first batch
     keys = ["user_name", "tweet_ts", "text_clean"]
     assert total.select(*keys).exceptAll(batch.select(*keys)).count() == 0
+
+
+def test_windowed_dedup_drops_duplicates_arriving_within_the_window(spark):
+    raw = raw_posts_strings(spark, SF_MID)
+    land = scratch_path(spark, "landing_w")
+    out = scratch_path(spark, "stream_out_w")
+    ckpt = scratch_path(spark, "stream_ckpt_w")
+    write_scored(raw.filter(F.col("post_id").cast("long") < 1000000), f"{land}/part1")
+    run_once(spark, f"{land}/*", out, RAW_COLUMNS, ckpt, dedup_window="1 hour")
+    write_scored(raw.filter(F.col("post_id").cast("long") >= 1000000), f"{land}/part2")
+    run_once(spark, f"{land}/*", out, RAW_COLUMNS, ckpt, dedup_window="1 hour")
+    total = spark.read.parquet(out)
+    keys = ["user_name", "tweet_ts", "text_clean"]
+    assert total.count() == total.select(*keys).distinct().count() == 760  # no post dropped as late
