@@ -27,7 +27,7 @@ from ..operators.sampling import sample_exact
 from ..operators.scoring import Scorer, score_posts
 from ..operators.training import SelfTrainResult, self_train
 from ..sources.ingest import ingest_manifest, land_raw, list_files, pick_input_file, route_source
-from ..sources.readers import nonblank_text, read_posts_csv, read_text_csv, require_columns
+from ..sources.readers import nonblank_text, read_raw, read_text_csv, require_columns
 from ..sources.writers import write_clean, write_scored
 
 
@@ -37,10 +37,15 @@ def clean_job(
     output_path: str | None = None,
     order_by: Sequence[str] | None = None,
     layout: str = "rebalance",
+    input_format: str = "csv",
 ) -> dict:
     """Raw CSV -> typed, cleaned, filtered, deduplicated Parquet
     partitioned by ``tweet_date``. Paths come from the arguments or from
-    ``spark.etl.input`` / ``spark.etl.output``."""
+    ``spark.etl.input`` / ``spark.etl.output``.
+
+    ``input_format='parquet'`` reads a raw zone landed by ``land_raw``
+    instead: the same all-string rows, parsed once at landing and splittable
+    by row group, where a multi-line CSV is one task per file on every run."""
     input_path = input_path or spark.conf.get("spark.etl.input", None)
     output_path = output_path or spark.conf.get("spark.etl.output", None)
     if not input_path or not output_path:
@@ -48,7 +53,7 @@ def clean_job(
             "Missing input/output. Provide --input and --output OR set --conf spark.etl.input / spark.etl.output"
         )
     t0 = time.time()
-    raw = read_posts_csv(spark, input_path)
+    raw = read_raw(spark, input_path, input_format)
     out = clean_posts(raw, order_by=order_by)
     write_clean(out, output_path, layout=layout)
     return {"input": input_path, "output": output_path, "seconds": time.time() - t0}
@@ -157,6 +162,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     c = sub.add_parser("clean", help="raw CSV -> clean partitioned Parquet")
     c.add_argument("--input")
     c.add_argument("--output")
+    c.add_argument("--input-format", default="csv", choices=["csv", "parquet"],
+                   help="parquet: a raw zone landed by the ingest job")
     sc = sub.add_parser("score", help="score a CSV with a saved model; write scored CSV + distribution")
     sc.add_argument("--input", required=True)
     sc.add_argument("--model", required=True, help="model saved by self-train (--output-dir)")
@@ -177,7 +184,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     # spark-submit supplies the master; a plain `python -m` run gets local[*]
     spark = SparkSession.builder.appName(f"postlake-{args.job}").getOrCreate()
     if args.job == "clean":
-        print(clean_job(spark, args.input, args.output))
+        print(clean_job(spark, args.input, args.output, input_format=args.input_format))
     elif args.job == "score":
         from ..operators.training import load_model
 

@@ -115,10 +115,13 @@ def nonblank_text(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def read_raw(spark: SparkSession, uri: str, fmt: str = "csv", **kw) -> DataFrame:
-    """One URI into ``spark.read``; ``csv`` uses the posts scan, anything
-    else the named Spark source (``parquet`` for a landed raw zone)."""
+    """One URI into ``spark.read``; ``csv`` uses the posts scan,
+    ``parquet`` the table scan (a landed raw zone: splittable, parsed once),
+    anything else the named Spark source."""
     if fmt == "csv":
         return read_posts_csv(spark, uri, **kw)
+    if fmt == "parquet":
+        return read_table(spark, uri, **kw)
     return spark.read.format(fmt).load(uri)
 
 

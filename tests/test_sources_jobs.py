@@ -98,6 +98,21 @@ def test_clean_job_end_to_end(spark):
         clean_job(spark, None, None)
 
 
+def test_clean_job_from_landed_raw_zone_equals_csv(spark):
+    from postlake.sources.ingest import land_raw
+
+    src = scratch_path(spark, "raw_csv_z")
+    write_scored(raw_posts_strings(spark, SF_MID), src)
+    landed = land_raw(spark, src, scratch_path(spark, "raw_zone"))
+    a, b = scratch_path(spark, "clean_csv"), scratch_path(spark, "clean_pq")
+    clean_job(spark, src, a, order_by=["post_id"])
+    clean_job(spark, landed, b, order_by=["post_id"], input_format="parquet")
+    ta = read_clean(spark, a).withColumn("hashtags_arr", F.array_join("hashtags_arr", "|"))
+    tb = read_clean(spark, b).withColumn("hashtags_arr", F.array_join("hashtags_arr", "|"))
+    assert ta.count() == 760
+    assert ta.exceptAll(tb).count() == 0 and tb.exceptAll(ta).count() == 0
+
+
 def test_listing_manifest_and_pick_brute_force(spark):
     files = list_files(spark, SF_SMALL, glob="*.parquet")
     names = sorted(n for n in os.listdir(SF_SMALL) if n.endswith(".parquet"))
