@@ -55,6 +55,7 @@ def rank_cutoff(
     flag: str | None = None,
     counts: dict | None = None,
     first_hist: DataFrame | None = None,
+    start: tuple[dict, int] | None = None,
 ) -> DataFrame:
     """Rows whose rank in (key, tie_cols) order within their group is <= quota.
 
@@ -63,7 +64,8 @@ def rank_cutoff(
     returned and ``flag`` tells whether it is inside its quota (each row is
     read by exactly one side of a union, no join back). ``first_hist`` is the
     first-level histogram of ``_first_histogram`` when the caller already has
-    it (it is then not recomputed).
+    it (it is then not recomputed); ``start`` = (state per group, prefix
+    length) resumes the narrowing after passes the caller has made.
     """
     k, grp = "__key", "__grp"
     base = df.withColumn(k, key).withColumn(grp, F.col(group_col) if group_col else F.lit(0))
@@ -86,6 +88,9 @@ def rank_cutoff(
             state[gv] = ("cut", "", q, n)
 
     plen = 0
+    if start is not None:
+        state.update({norm(gv): st for gv, st in start[0].items()})
+        plen = start[1]
     while plen < HEX_DIGITS:
         open_groups = {gv: s for gv, s in state.items() if s[0] == "cut" and s[3] > rank_limit}
         if not open_groups:
@@ -104,13 +109,7 @@ def rank_cutoff(
             (F.col("__before") < need) & (F.col("__before") + F.col("count") >= need)
         ).collect()
         for row in cut_rows:
-            _, prefix, q, _ = state[row["__g"]]
-            left, size = q - int(row["__before"]), int(row["count"])
-            if row["__lo"] == row["__hi"] and size > rank_limit:
-                # one key value: its rows tie, no further pass can split them
-                state[row["__g"]] = ("tie", row["__lo"], left, size)
-            else:
-                state[row["__g"]] = ("cut", prefix + row["__b"], left, size)
+            state[row["__g"]] = _narrowed(state[row["__g"]], row, rank_limit, base, k, grp)
         plen += DIGITS_PER_PASS
 
     below: dict = {}
@@ -183,6 +182,18 @@ def _take_by_position(tied: DataFrame, grp: str, need: Column) -> tuple[DataFram
     return pos.join(offsets, ["__pid", grp]), rank < need
 
 
+def _narrowed(st: tuple, row, rank_limit: int, rows: DataFrame, k: str, grp: str) -> tuple:
+    """A group's state after a histogram pass found its cut bucket ``row``."""
+    _, prefix, q, _ = st
+    left, size, prefix = q - int(row["__before"]), int(row["count"]), prefix + row["__b"]
+    if size > rank_limit and row["__hlo"] == row["__hhi"]:
+        single = _single_key(rows, k, grp, row["__g"], prefix)
+        if single is not None:
+            # one key value: its rows tie, no further pass can split them
+            return ("tie", single, left, size)
+    return ("cut", prefix, left, size)
+
+
 def _is_group(col: str, gv) -> Column:
     return F.col(col).isNull() if gv is None else (F.col(col) == F.lit(gv))
 
@@ -201,13 +212,25 @@ def _group_counts(df: DataFrame, group_col: str) -> dict:
 
 def _histogram(rows: DataFrame, k: str, grp: str, plen: int) -> DataFrame:
     """Rows per (group, next DIGITS_PER_PASS hex digits of the key after
-    ``plen``), with the smallest and largest key of each bucket."""
+    ``plen``), with the min and max of a 64-bit hash of the keys (fixed-width,
+    so the histogram stays a hash aggregate): a bucket whose hashes are all
+    equal probably holds a single key value."""
     bucket = F.substring(F.col(k), plen + 1, DIGITS_PER_PASS)
+    h = F.xxhash64(F.col(k))
     return rows.groupBy(F.col(grp).alias("__g"), bucket.alias("__b")).agg(
-        F.count(F.lit(1)).alias("count"), F.min(k).alias("__lo"), F.max(k).alias("__hi")
+        F.count(F.lit(1)).alias("count"), F.min(h).alias("__hlo"), F.max(h).alias("__hhi")
     )
 
 
+def _single_key(rows: DataFrame, k: str, grp: str, gv, prefix: str) -> str | None:
+    """Exact check of a bucket that looks single-keyed: its key if all its
+    rows share one key value, else None (one pass over that bucket only)."""
+    r = rows.filter(_is_group(grp, gv) & F.col(k).startswith(F.lit(prefix))).agg(
+        F.min(k).alias("lo"), F.max(k).alias("hi")
+    ).first()
+    return r["lo"] if r["lo"] is not None and r["lo"] == r["hi"] else None
+
+
 def _first_histogram(df: DataFrame, key: Column, group_col: str | None) -> tuple[DataFrame, dict]:
     """The first narrowing pass and the group sizes in one scan: the
     first-level histogram (at most 16^DIGITS_PER_PASS rows per group, kept
@@ -232,17 +255,29 @@ def sample_exact(
     """
     if not n:
         return df
+    n = int(n)
     key = order_key(id_cols, seed)
-    hist, counts = _first_histogram(df, key, None)
-    try:
-        total = sum(counts.values())
-        if total <= n:
-            return df
-        return rank_cutoff(
-            df, key, list(id_cols), {None: int(n)}, None, rank_limit, counts={None: total}, first_hist=hist
-        )
-    finally:
-        hist.unpersist()
+    keyed = df.select(key.alias("__key"), F.lit(0).alias("__grp"))
+    # one job: the table size and the first-level bucket holding the n-th key
+    hist = _histogram(keyed, "__key", "__grp", 0)
+    w = Window.partitionBy("__g").orderBy("__b")
+    hist = hist.select(
+        "*",
+        F.coalesce(F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.sum("count").over(Window.partitionBy("__g")).alias("__total"),
+    )
+    rows = hist.filter(
+        (F.col("__before") == 0) | ((F.col("__before") < n) & (F.col("__before") + F.col("count") >= n))
+    ).collect()
+    total = int(rows[0]["__total"]) if rows else 0
+    if total <= n:
+        return df
+    cut = next(r for r in rows if r["__before"] < n <= r["__before"] + r["count"])
+    state = _narrowed(("cut", "", n, total), cut, rank_limit, keyed, "__key", "__grp")
+    return rank_cutoff(
+        df, key, list(id_cols), {None: n}, None, rank_limit, counts={None: total},
+        start=({None: state}, DIGITS_PER_PASS),
+    )
 
 
 def approximate_mode(class_counts: dict, n_draws: int) -> dict:
