@@ -203,3 +203,15 @@ def test_featurized_path_equals_text_path(spark):
     b = logits(on_features(from_text).add_logits(feats, "text"))
     c = logits(from_feats.add_logits(lab, "text"))  # the returned model reads text
     assert a == b == c and len(a) == lab.count()
+
+
+def test_sample_exact_boundaries_brute_force(spark):
+    docs = table(spark, SF_SMALL, "documents").select("doc_id")
+    ids = [r.doc_id for r in docs.collect()]
+    order = sorted(ids, key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    total = len(ids)
+    for n in (1, total - 1, total, total + 5):
+        for limit in (50_000, 3):
+            got = sorted(r.doc_id for r in sample_exact(docs, n, ["doc_id"], rank_limit=limit).collect())
+            assert got == sorted(order[: min(n, total)]), (n, limit)
+    assert sample_exact(docs.filter("doc_id < 0"), 5, ["doc_id"]).count() == 0
