@@ -8,9 +8,11 @@ Both operators reduce to one primitive: keep the first ``q_g`` rows of every
 group ``g`` in hash order. A global ``orderBy(...).limit(n)`` or a window
 partitioned by a three-valued label would put a whole group into one task, so
 ``rank_cutoff`` narrows each group's cut point with hash-prefix histograms
-(16 bits per pass, a bounded ``groupBy`` count) until the bucket holding the
-cut has at most ``rank_limit`` rows, and only that bucket is ranked exactly.
-Everything below the cut bucket is selected by a plain filter.
+(16 bits per pass, a bounded hash-aggregate count) until the bucket holding
+the cut has at most ``rank_limit`` rows, and only that bucket is ranked
+exactly. Everything below the cut bucket is selected by a plain filter. The
+sizes come with the first histogram (the sample's size and first cut in one
+job), so no separate counting scan is made.
 
 A cut bucket that holds a single key value (many copies of one id: a group of
 copies may be a third of the table) cannot be narrowed further. Its rows tie
