@@ -10,9 +10,9 @@ partitioned by a three-valued label would put a whole group into one task, so
 ``rank_cutoff`` narrows each group's cut point with hash-prefix histograms
 (16 bits per pass, a bounded hash-aggregate count) until the bucket holding
 the cut has at most ``rank_limit`` rows, and only that bucket is ranked
-exactly. Everything below the cut bucket is selected by a plain filter. The
-sizes come with the first histogram (the sample's size and first cut in one
-job), so no separate counting scan is made.
+exactly. Everything below the cut bucket is selected by a plain filter. A
+sample gets its table size and first cut from one job (no separate counting
+scan); a split counts its classes first (a few rows), as its quotas need them.
 
 A cut bucket that holds a single key value (many copies of one id: a group of
 copies may be a third of the table) cannot be narrowed further. Its rows tie
@@ -27,7 +27,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +55,6 @@ def rank_cutoff(
     rank_limit: int = RANK_LIMIT,
     flag: str | None = None,
     counts: dict | None = None,
-    first_hist: DataFrame | None = None,
     start: tuple[dict, int] | None = None,
 ) -> DataFrame:
     """Rows whose rank in (key, tie_cols) order within their group is <= quota.
@@ -64,10 +62,9 @@ def rank_cutoff(
     ``quotas`` maps group value -> quota (key ``None`` when ``group_col`` is
     None); groups missing from it get quota 0. With ``flag`` set, every row is
     returned and ``flag`` tells whether it is inside its quota (each row is
-    read by exactly one side of a union, no join back). ``first_hist`` is the
-    first-level histogram of ``_first_histogram`` when the caller already has
-    it (it is then not recomputed); ``start`` = (state per group, prefix
-    length) resumes the narrowing after passes the caller has made.
+    read by exactly one side of a union, no join back). ``start`` = (state
+    per group, prefix length) resumes the narrowing after passes the caller
+    has made.
     """
     k, grp = "__key", "__grp"
     base = df.withColumn(k, key).withColumn(grp, F.col(group_col) if group_col else F.lit(0))
@@ -97,11 +94,8 @@ def rank_cutoff(
         open_groups = {gv: s for gv, s in state.items() if s[0] == "cut" and s[3] > rank_limit}
         if not open_groups:
             break
-        if plen == 0 and first_hist is not None:
-            hist = first_hist  # every group, prefix "": rows of closed groups find no cut below
-        else:
-            in_prefix = _any_group(grp, {gv: F.col(k).startswith(F.lit(s[1])) for gv, s in open_groups.items()})
-            hist = _histogram(base.filter(in_prefix), k, grp, plen)
+        in_prefix = _any_group(grp, {gv: F.col(k).startswith(F.lit(s[1])) for gv, s in open_groups.items()})
+        hist = _histogram(base.filter(in_prefix), k, grp, plen)
         w = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("__before", F.coalesce(F.sum("count").over(w), F.lit(0)))
         need = F.lit(None).cast("bigint")
@@ -233,16 +227,6 @@ def _single_key(rows: DataFrame, k: str, grp: str, gv, prefix: str) -> str | Non
     return r["lo"] if r["lo"] is not None and r["lo"] == r["hi"] else None
 
 
-def _first_histogram(df: DataFrame, key: Column, group_col: str | None) -> tuple[DataFrame, dict]:
-    """The first narrowing pass and the group sizes in one scan: the
-    first-level histogram (at most 16^DIGITS_PER_PASS rows per group, kept
-    in memory and disk) and the rows per group summed from it."""
-    rows = df.select(key.alias("__key"), (F.col(group_col) if group_col else F.lit(0)).alias("__grp"))
-    hist = _histogram(rows, "__key", "__grp", 0).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {r[0]: int(r[1]) for r in hist.groupBy("__g").agg(F.sum("count")).collect()}
-    return hist, counts
-
-
 def sample_exact(
     df: DataFrame,
     n: int | None,
@@ -325,21 +309,18 @@ def stratified_split(
     validation rows, train rows allocated to classes by largest remainder.
     Within a class the train rows are the first in seeded hash order.
     """
-    key = order_key(id_cols, seed)
-    hist, all_counts = _first_histogram(df, key, label_col)
-    try:
-        counts = {k: v for k, v in all_counts.items() if k is not None}
-        quotas = split_quotas(counts, test_size)
-        return rank_cutoff(
-            df.filter(F.col(label_col).isNotNull()),
-            key,
-            list(id_cols),
-            quotas,
-            label_col,
-            rank_limit,
-            flag=flag,
-            counts=counts,
-            first_hist=hist,
-        )
-    finally:
-        hist.unpersist()
+    # class sizes first (a few rows): the quotas need all of them, and a
+    # class under ``rank_limit`` rows needs no histogram pass at all
+    all_counts = _group_counts(df, label_col)
+    counts = {k: v for k, v in all_counts.items() if k is not None}
+    quotas = split_quotas(counts, test_size)
+    return rank_cutoff(
+        df.filter(F.col(label_col).isNotNull()),
+        order_key(id_cols, seed),
+        list(id_cols),
+        quotas,
+        label_col,
+        rank_limit,
+        flag=flag,
+        counts=counts,
+    )
