@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import langid
+from postlake.llm import langid, packing, quality, simhash
 from postlake.llm.common import crc_fold, fresh, materialise, table
 
 
@@ -21,8 +21,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn(found, langid.identify(docs, model)).where(~F.col(f"{found}.rejected")).drop(found)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the scorer calls bad go."""
+    found = fresh(docs, "found")
+    return docs.withColumn(found, quality.judge(docs, quality.fit(docs))).where(F.col(f"{found}.keep")).drop(found)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints link, the one with the smallest doc_id stays."""
+    return simhash.keep_one(docs, words=3, distance=3)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 ids, each with its place in a sequence."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("language_id", language_id),
+    ("quality_classifier", quality_classifier),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("packing", sequence_packing),
 ]
 
 #: Trained models and tokenizers are beyond SQL; tests hold the rows against brute force.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, packing, quality, simhash
 from .common import crc_fold, table
 
 
@@ -17,6 +17,29 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
 
 
-QUERIES = {"op6_language_id": op6_language_id}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = quality.fit(docs)
+    found = docs.select("doc_id", quality.judge(docs, scorer).alias("found"))
+    votes = F.concat_ws("", F.transform("found.votes", lambda v: v.cast("string")))
+    return found.select("doc_id", "found.quality_score", "found.keep", votes.alias("votes"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    "op2_packing": op2_packing,
+    "op6_language_id": op6_language_id,
+    "op7_quality": op7_quality,
+    "op10_simhash": op10_simhash,
+}
 
 ORACLE: dict[str, str] = {}
