@@ -13,13 +13,13 @@ Ids are those of a tokenizer file that splits at white space, so the ids of a
 text are those of its words in turn; words met before are looked up.
 
 Edge cases: a null text counts as empty; an empty text has the end id alone. A
-repeated row is packed as often as it occurs (pieces of a row stay together by
-a row number). A null key is carried along. An empty table gives no pieces.
+repeated row is packed as often as it occurs. A null key is carried along. An empty table gives no pieces.
 Other columns are not read.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,8 +57,6 @@ class WordIds:
     """
 
     def __init__(self, path: str, most: int = 600_000):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -263,7 +261,8 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
     if capacity % grid:
         raise ValueError("capacity must be a multiple of grid")
     own = ["start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
-    cut = materialise(pieces(docs, text, key, capacity, path, with_ids=with_ids), "packing-pieces")
+    cut = pieces(docs, text, key, capacity, path, with_ids=with_ids)
+    cut = materialise(cut.withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
     # class capacity / grid (the last) holds pieces that fill a sequence alone
     wide = F.ceil(F.col("length") / grid).cast("int") - 1
     last = capacity // grid - 1
@@ -271,7 +270,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
     demand = np.array([counts.get(c, 0) for c in range(last)], np.int64)
     made = plan(demand, last + 1)
     shared = docs.sparkSession.sparkContext.broadcast(made)  # a few patterns for each class
-    ranked = numbered(cut.withColumn("c", wide), ["c"], ["key", "start", "ids_crc32", "length"], "rank", sum(counts.values()), task_rows)
+    ranked = numbered(cut.withColumn("c", wide), ["c"], ["row"], "rank", sum(counts.values()), task_rows)
 
     @F.arrow_udf("long")
     def place(c: pa.Array, rank: pa.Array) -> pa.Array:
@@ -285,8 +284,6 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
                 out[rows] = p.first[k][i] + (rank[rows] - p.begins[k][i]) // p.places[k][i]
         return pa.array(out)
 
-    from pyspark.sql import Window
-
     placed = ranked.select("key", *own, place("c", "rank").alias("sequence_id"))
     # at most capacity pieces share a sequence
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "key", "start").rowsBetween(Window.unboundedPreceding, -1)

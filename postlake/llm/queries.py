@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, simhash
+from . import ann, langid, licenses, packing, quality, sentencepieces, sharding, simhash, topk
 from .common import crc_fold, table
 
 
@@ -29,6 +29,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -36,10 +57,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_exact_topk": op3_exact_topk,
+    "op5_nearest": op5_nearest,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
+    "op8_licenses": op8_licenses,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+#: Brute force over all pairs of a query and a row, in integers.
+OP3_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(cast(q.e as double[]), cast(c.e as double[])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+) where rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op3_exact_topk": OP3_SQL, "op8_licenses": licenses.oracle()}
