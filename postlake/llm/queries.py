@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, licenses, packing, quality, sentencepieces, sharding, simhash, topk
+from . import ann, langid, licenses, packing, quality, sentencepieces, sharding, simhash, topk, toxicity
 from .common import crc_fold, table
 
 
@@ -42,6 +42,14 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -60,6 +68,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op3_exact_topk": op3_exact_topk,
+    "op4_toxicity": op4_toxicity,
     "op5_nearest": op5_nearest,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
