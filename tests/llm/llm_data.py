@@ -1,0 +1,52 @@
+"""Small tables with the cases that every operator has to stand."""
+
+import random
+
+SF = "/root/testdata/sf0.001"
+WORDS = "the of and to in is that it was for on as river stone cloud walks reads green quiet table paper under over north south".split()
+
+#: Names that the operators use inside; extra columns of these names must not disturb them.
+CLASH = {
+    "key": "1L", "size": "'x'", "rank": "7", "row": "'r'", "salt": "1", "found": "'f'", "votes": "'v'", "fp": "3L", "part": "0", "tree": "9L", "class": "'c'",
+    "component_id": "5L", "shard": "3", "slot": "1", "text_crc32": "0", "same": "'s'", "ids": "'i'", "hits": "'h'", "length": "1", "start": "2", "score": "0.5D",
+    "keep": "true", "rejected": "false", "word": "'w'", "count": "2", "u": "1", "v": "2", "c": "3",
+}
+
+
+def prose(seed, n):
+    r = random.Random(seed)
+    words = [r.choice(WORDS) for _ in range(n)]
+    return " ".join(w + ("." if i % 9 == 8 else "") for i, w in enumerate(words))
+
+
+LONG = prose(99, 30_000)
+
+EDGE_ROWS = [
+    (1, prose(1, 40), "en"),
+    (2, prose(1, 40), "en"),  # a copy
+    (2, prose(1, 40), "en"),  # a repeated row
+    (3, "", "en"),
+    (4, None, "en"),
+    (None, prose(2, 30), None),  # no key
+    (None, None, None),
+    (5, "   \n\t ", "fr"),
+    (6, "1234 5678", "fr"),
+    (7, LONG, "en"),
+    (8, "x" * 5_000, "de"),  # one long word
+    (9, "été \U0001f30d naïve 世界", "fr"),
+    (10, "Released under the MIT License.", "en"),
+    (11, prose(3, 80), "en"),
+]
+
+
+def edge_docs(spark):
+    docs = spark.createDataFrame(EDGE_ROWS, "doc_id long, text string, lang string")
+    return docs.selectExpr("*", *(f"{v} as `{k}`" for k, v in CLASH.items()))
+
+
+def no_docs(spark):
+    return edge_docs(spark).limit(0)
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
