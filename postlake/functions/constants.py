@@ -75,7 +75,6 @@ VALIDATION_FRACTION = 0.2
 SEED = 42
 
 # Self-training defaults: command line vs function.
-CLI_UNLABELED_SIZE = 50000
 CLI_ITERATIONS = 2
 FN_ITERATIONS = 1
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import ID_TO_LABEL, LABEL_TO_ID
+from .parse import word_value
 
 
 def _c(col: Column | str) -> Column:
@@ -56,11 +57,7 @@ def log_softmax_at(logits: Column | str, idx: Column | str) -> Column:
 
 def label_id(col: Column | str, mapping: dict[str, int] | None = None) -> Column:
     """Exact (case-sensitive) label name -> id; unknown -> null."""
-    m = mapping or LABEL_TO_ID
-    expr = F.lit(None).cast("int")
-    for name, i in reversed(list(m.items())):
-        expr = F.when(_c(col) == F.lit(name), F.lit(i)).otherwise(expr)
-    return expr
+    return word_value(col, mapping or LABEL_TO_ID).cast("int")
 
 
 def label_name(col: Column | str, id2label: dict[int, str] | None = None) -> Column:

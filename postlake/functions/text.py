@@ -60,6 +60,6 @@ def model_text(col: Column | str) -> Column:
 
 
 def truncate_tokens(col: Column | str, n: int = MAX_TOKENS) -> Column:
-    """Keep the first ``n`` whitespace tokens (a model input limit; the scorers
-    in this package see whole texts unless they declare a limit)."""
+    """The first ``n`` whitespace tokens, the input limit of a model. Scorers
+    with ``max_tokens``, and training, apply it."""
     return F.array_join(F.slice(F.split(_c(col), WHITESPACE_PATTERN), 1, n), " ")

@@ -96,10 +96,11 @@ def dedup_posts(
     with fewer than two present nothing is removed, as in the reference.
 
     The survivor is the row with the smallest ``order_by`` values (default: the
-    remaining columns in order), picked by ``min_by`` in a grouped aggregate
-    rather than a ``row_number`` window: the aggregate runs partially on the map
-    side, so even a key holding a third of the table sends at most one row per
-    map task through the shuffle, and the plan has a single exchange.
+    remaining columns in order): the ``min`` of one struct that holds every
+    other column, in that order, so each row travels once. A grouped aggregate
+    runs partially on the map side (a ``row_number`` window would not), so even
+    a key holding a third of the table sends at most one row per map task
+    through the shuffle, and the plan has a single exchange.
     """
     if keys is None:
         keys = [c for c in DEDUP_KEYS if c in df.columns]
@@ -111,7 +112,7 @@ def dedup_posts(
         return df.dropDuplicates(keys)
     order = [c for c in (order_by or []) if c in rest]
     order = order + [c for c in rest if c not in order]
-    survivor = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
+    survivor = F.min(F.struct(*[F.col(c) for c in order]))
     return df.groupBy(*keys).agg(survivor.alias("_survivor")).select(*keys, "_survivor.*").select(*df.columns)
 
 
@@ -131,9 +132,7 @@ def clean_posts(raw: DataFrame, order_by: Sequence[str] | None = None, barrier:
     dedup and are dropped afterwards.
     """
     typed = nonnegative_counts(valid_posts(typed_posts(raw, barrier)))
-    out_cols = [c for c in CLEAN_COLUMNS if c in typed.columns]
-    if not out_cols:
-        return dedup_posts(typed, order_by=order_by)
+    out_cols = select_existing(typed).columns
     extra = [c for c in (order_by or []) if c not in out_cols]
     slim = typed.select(*out_cols, *extra)
     return dedup_posts(slim, order_by=order_by).select(*out_cols)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,37 +48,71 @@ def cross_entropy(logits: Column, label: Column) -> Column:
     return -log_softmax_at(logits, label)
 
 
-def eval_metrics(
+TAIL_SALTS = 1_024
+
+
+def eval_report(
     df: DataFrame,
     logits_col: str,
     label_col: str,
     order_key: Column | None = None,
     batch_size: int | None = None,
-) -> dict:
-    """A5 + A6: accuracy (row mean) and cross-entropy loss in one aggregate.
-
-    ``loss`` is the row mean. ``loss_batch_mean`` is the reference's mean of
-    batch means for batches of ``batch_size`` in ``order_key`` order: full
-    batches weigh equally, so only the short last batch (fewer than
-    ``batch_size`` rows, found with a bounded top-r) needs special handling.
+) -> DataFrame:
+    """A5 + A6 as one row: ``n, loss, loss_batch_mean, accuracy, null_losses``.
+
+    ``loss`` is the row mean of the cross-entropy. ``loss_batch_mean`` is the
+    mean of batch means for batches of ``batch_size`` in ``order_key`` order:
+    full batches weigh equally, so only the rows of a short last batch matter
+    one by one. Those are among the last ``batch_size - 1`` rows of each of a
+    fixed number of salts, which bounds what the aggregate holds. Both losses
+    are null when some row has none (``null_losses`` of them).
     """
     ce = cross_entropy(F.col(logits_col), F.col(label_col))
     l = F.col(logits_col)
     pred = (F.array_position(l, F.array_max(l)) - 1).cast("int")
-    x = df.select(ce.alias("__ce"), (pred == F.col(label_col)).cast("int").alias("__ok"),
-                  *( [order_key.alias("__ord")] if order_key is not None else [] ))
-    r = x.agg(F.count(F.lit(1)).alias("n"), F.sum("__ce").alias("s"), F.sum("__ok").alias("ok")).first()
-    n, s, ok = int(r["n"]), float(r["s"] or 0.0), int(r["ok"] or 0)
-    out = {"n": n, "loss": s / n if n else float("nan"), "accuracy": ok / n if n else float("nan")}
-    if batch_size and order_key is not None and n:
-        b = int(batch_size)
-        rem = n % b
-        if rem == 0:
-            out["loss_batch_mean"] = out["loss"]
-        else:
-            tail = x.orderBy(F.desc("__ord")).limit(rem).agg(F.sum("__ce")).first()[0] or 0.0
-            nb = math.ceil(n / b)
-            out["loss_batch_mean"] = ((s - tail) / b + tail / rem) / nb
+    size = int(batch_size) if batch_size and order_key is not None else 1
+    x = df.select(
+        ce.alias("ce"),
+        (pred == F.col(label_col)).cast("int").alias("ok"),
+        (order_key if size > 1 else F.lit("")).alias("ord"),
+    )
+    if size > 1:
+        last = Window.partitionBy(F.pmod(F.xxhash64("ord"), F.lit(TAIL_SALTS))).orderBy(F.desc("ord"))
+        x = x.withColumn("late", F.row_number().over(last) < size)
+    else:
+        x = x.withColumn("late", F.lit(False))
+    r = x.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("ce").alias("s"),
+        F.avg("ok").alias("accuracy"),
+        F.count_if(F.col("ce").isNull()).alias("null_losses"),
+        F.collect_list(F.when(F.col("late"), F.struct("ord", "ce"))).alias("late"),
+    )
+    whole = F.col("null_losses") == 0
+    rem = (F.col("n") % size).cast("int")
+    tail = F.aggregate(F.slice(F.sort_array("late", asc=False), 1, rem), F.lit(0.0), lambda a, v: a + v.ce)
+    batches = F.ceil(F.col("n") / size)
+    loss = F.try_divide(F.col("s"), F.col("n"))
+    means = F.when(rem == 0, loss).otherwise(((F.col("s") - tail) / size + F.try_divide(tail, rem)) / batches)
+    return r.select("n", F.when(whole, loss).alias("loss"), F.when(whole, means).alias("loss_batch_mean"), "accuracy", "null_losses")
+
+
+def eval_metrics(
+    df: DataFrame,
+    logits_col: str,
+    label_col: str,
+    order_key: Column | None = None,
+    batch_size: int | None = None,
+) -> dict:
+    """``eval_report`` on the driver. A row without a loss (null logits, or a
+    label that no logit belongs to) is an error, never a small loss."""
+    r = eval_report(df, logits_col, label_col, order_key, batch_size).first()
+    if r["null_losses"]:
+        raise ValueError(f"{r['null_losses']} of {r['n']} rows have no loss: null logits, or labels beyond the classes")
+    nan = float("nan")
+    out = {"n": int(r["n"]), "loss": nan if r["loss"] is None else float(r["loss"]), "accuracy": nan if r["accuracy"] is None else float(r["accuracy"])}
+    if batch_size and order_key is not None and out["n"]:
+        out["loss_batch_mean"] = float(r["loss_batch_mean"])
     return out
 
 

@@ -1,25 +1,20 @@
 """Deterministic sampling and stratified splitting.
 
-Row choice is driven by a seeded hash, ``md5('<seed>:<id>')``, so a re-run (or
-a recomputed partition after a lost executor) picks exactly the same rows, and
-DuckDB can reproduce the choice with the same expression.
-
-Both operators reduce to one primitive: keep the first ``q_g`` rows of every
-group ``g`` in hash order. A global ``orderBy(...).limit(n)`` or a window
-partitioned by a three-valued label would put a whole group into one task, so
-``rank_cutoff`` narrows each group's cut point with hash-prefix histograms
-(16 bits per pass, a bounded hash-aggregate count) until the bucket holding
-the cut has at most ``rank_limit`` rows, and only that bucket is ranked
-exactly. Everything below the cut bucket is selected by a plain filter. A
-sample gets its table size and first cut from one job (no separate counting
-scan); a split counts its classes first (a few rows), as its quotas need them.
-
-A cut bucket that holds a single key value (many copies of one id: a group of
-copies may be a third of the table) cannot be narrowed further. Its rows tie
-on the whole sort order, so any ``need`` of them are a correct answer: they
-are written once to the shared folder (stable partitions) and the first
-``need`` are taken by position from per-partition counts, the way
-``zipWithIndex`` numbers rows, without moving them into one task.
+Row choice is driven by a seeded hash of the id columns (``order_key``), so a
+re-run, or a partition computed again after a lost executor, picks exactly the
+same rows, and DuckDB can reproduce the choice with the same expression.
+
+Both operators keep the first ``q_g`` rows of every group ``g`` in the order of
+(id hash, hash of the whole row). They find each group's cut point, the key of
+its ``q_g``-th row, by histograms over 16 further bits of the hash per pass (a
+hash aggregate of at most 65,536 buckets a group, of which one row a group
+reaches the driver), until the bucket of the cut holds one key. The rows are
+then flagged by comparison with the cut, in one scan and without moving any.
+No table size changes the rule, and no group meets in one task.
+
+Only the row hash can tell rows of one id apart; it is computed for the rows at
+the cut alone. Rows still tied are equal in every column, so which of them are
+in makes no difference: one of them is repeated as often as it is needed.
 """
 
 from __future__ import annotations
@@ -31,239 +26,150 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import SEED, VALIDATION_FRACTION
-from ..session import cut_lineage
 
-HEX_DIGITS = 32  # md5 hex length
-DIGITS_PER_PASS = 4  # 16 bits -> at most 65,536 buckets per group and pass
-RANK_LIMIT = 50_000  # largest bucket (full-width rows) ranked by a window in one task
+HEX_DIGITS = 32  # of an md5
+DIGITS_PER_PASS = 4  # 16 bits: at most 65,536 buckets per group and pass
+MAX_CLASSES = 10_000  # classes whose counts the driver takes
+REPEATS_PER_ROW = 10_000  # of a tied row, made by one row of the step before
 
 
 def order_key(id_cols: Sequence[str], seed: int = SEED) -> Column:
-    """Seeded hash order key: ``md5('<seed>:<id1>:<id2>...')``."""
+    """Seeded hash of the ids. Each id goes in with its length, and null as a
+    mark of its own, so different ids never give the same text."""
     parts: list[Column] = [F.lit(str(seed))]
     for c in id_cols:
-        parts += [F.lit(":"), F.coalesce(F.col(c).cast("string"), F.lit(""))]
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.lit(":"), F.length(text).cast("string"), F.lit(":"), text), F.lit(":-")))
     return F.md5(F.concat(*parts))
 
 
-def rank_cutoff(
-    df: DataFrame,
-    key: Column,
-    tie_cols: Sequence[str],
-    quotas: dict,
-    group_col: str | None = None,
-    rank_limit: int = RANK_LIMIT,
-    flag: str | None = None,
-    counts: dict | None = None,
-    start: tuple[dict, int] | None = None,
-) -> DataFrame:
-    """Rows whose rank in (key, tie_cols) order within their group is <= quota.
-
-    ``quotas`` maps group value -> quota (key ``None`` when ``group_col`` is
-    None); groups missing from it get quota 0. With ``flag`` set, every row is
-    returned and ``flag`` tells whether it is inside its quota (each row is
-    read by exactly one side of a union, no join back). ``start`` = (state
-    per group, prefix length) resumes the narrowing after passes the caller
-    has made.
-    """
-    k, grp = "__key", "__grp"
-    base = df.withColumn(k, key).withColumn(grp, F.col(group_col) if group_col else F.lit(0))
-    norm = (lambda v: v) if group_col else (lambda v: 0)
-    quotas = {norm(gv): q for gv, q in quotas.items()}
-
-    # per group: (mode, prefix of the cut bucket, rows still needed in it, bucket size)
-    state: dict = {}
-    if counts is None:
-        counts = _group_counts(base, grp)
-    else:
-        counts = {norm(gv): n for gv, n in counts.items()}
-    for gv, n in counts.items():
-        q = int(quotas.get(gv, 0) or 0)
-        if q <= 0:
-            state[gv] = ("none", "", 0, 0)
-        elif q >= n:
-            state[gv] = ("all", "", 0, 0)
-        else:
-            state[gv] = ("cut", "", q, n)
-
-    plen = 0
-    if start is not None:
-        state.update({norm(gv): st for gv, st in start[0].items()})
-        plen = start[1]
-    while plen < HEX_DIGITS:
-        open_groups = {gv: s for gv, s in state.items() if s[0] == "cut" and s[3] > rank_limit}
-        if not open_groups:
-            break
-        in_prefix = _any_group(grp, {gv: F.col(k).startswith(F.lit(s[1])) for gv, s in open_groups.items()})
-        hist = _histogram(base.filter(in_prefix), k, grp, plen)
-        w = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("__before", F.coalesce(F.sum("count").over(w), F.lit(0)))
-        need = F.lit(None).cast("bigint")
-        for gv, s in open_groups.items():
-            need = F.when(_is_group("__g", gv), F.lit(s[2])).otherwise(need)
-        cut_rows = hist.filter(
-            (F.col("__before") < need) & (F.col("__before") + F.col("count") >= need)
-        ).collect()
-        for row in cut_rows:
-            state[row["__g"]] = _narrowed(state[row["__g"]], row, rank_limit, base, k, grp)
-        plen += DIGITS_PER_PASS
-
-    below: dict = {}
-    in_cut: dict = {}
-    in_tie: dict = {}
-    need_expr = F.lit(0)
-    for gv, (mode, prefix, q, _) in state.items():
-        if mode == "all":
-            below[gv] = F.lit(True)
-        elif mode in ("cut", "tie"):
-            below[gv] = F.col(k) < F.lit(prefix)
-            if mode == "cut":
-                in_cut[gv] = F.col(k).startswith(F.lit(prefix))
-            else:
-                in_tie[gv] = F.col(k) == F.lit(prefix)
-            need_expr = F.when(_is_group(grp, gv), F.lit(q)).otherwise(need_expr)
-    below_c = _any_group(grp, below)
-    in_cut_c = _any_group(grp, in_cut)
-    in_tie_c = _any_group(grp, in_tie)
-
-    w = Window.partitionBy(grp).orderBy(F.col(k), *[F.col(c) for c in tie_cols])
-    cols = df.columns
-    parts = []
-    if flag is None:
-        parts.append(base.filter(below_c).select(*cols))
-    else:
-        parts.append(base.filter(~(in_cut_c | in_tie_c)).select(*cols, below_c.alias(flag)))
-    if in_cut:
-        ranked = base.filter(in_cut_c).withColumn("__rn", F.row_number().over(w))
-        take = F.col("__rn") <= need_expr
-        parts.append(ranked.filter(take).select(*cols) if flag is None else ranked.select(*cols, take.alias(flag)))
-    if in_tie:
-        tied, take = _take_by_position(base.filter(in_tie_c), grp, need_expr)
-        parts.append(tied.filter(take).select(*cols) if flag is None else tied.select(*cols, take.alias(flag)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def row_key(df: DataFrame, seed: int = SEED) -> Column:
+    """Seeded hash of all columns."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
-def _take_by_position(tied: DataFrame, grp: str, need: Column) -> tuple[DataFrame, Column]:
-    """Rows of buckets that tie on the whole order, plus a Column telling
-    whether a row is among the first ``need`` of its group by position.
-
-    The rows are sorted by group inside each partition (no exchange) and
-    checkpointed to the shared folder, so the per-partition counts and the
-    selection see the same partitions (also after a lost executor). A row's
-    position in its group is its position in the partition minus the rows of
-    smaller groups there, plus the group's rows in earlier partitions; both
-    offsets come from one small row per (partition, group).
-    """
-    tied = cut_lineage(tied.sortWithinPartitions(grp))
-    pid = F.spark_partition_id()
-    counts = tied.groupBy(pid.alias("__pid"), grp).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.unboundedPreceding, -1
-    in_part = Window.partitionBy("__pid").orderBy(grp).rowsBetween(*earlier)
-    in_group = Window.partitionBy(grp).orderBy("__pid").rowsBetween(*earlier)
-    offsets = counts.select(
-        "__pid",
-        grp,
-        F.coalesce(F.sum("__n").over(in_part), F.lit(0)).alias("__start"),
-        F.coalesce(F.sum("__n").over(in_group), F.lit(0)).alias("__before"),
-    )
-    pos = tied.select(
-        "*",
-        pid.alias("__pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("__pos"),
-    )
-    rank = F.col("__before") + F.col("__pos") - F.col("__start")
-    return pos.join(offsets, ["__pid", grp]), rank < need
-
-
-def _narrowed(st: tuple, row, rank_limit: int, rows: DataFrame, k: str, grp: str) -> tuple:
-    """A group's state after a histogram pass found its cut bucket ``row``."""
-    _, prefix, q, _ = st
-    left, size, prefix = q - int(row["__before"]), int(row["count"]), prefix + row["__b"]
-    if size > rank_limit and row["__hlo"] == row["__hhi"]:
-        single = _single_key(rows, k, grp, row["__g"], prefix)
-        if single is not None:
-            # one key value: its rows tie, no further pass can split them
-            return ("tie", single, left, size)
-    return ("cut", prefix, left, size)
-
-
-def _is_group(col: str, gv) -> Column:
-    return F.col(col).isNull() if gv is None else (F.col(col) == F.lit(gv))
+def _is_group(col: str, value) -> Column:
+    return F.col(col).isNull() if value is None else (F.col(col) == F.lit(value))
 
 
 def _any_group(col: str, conds: dict) -> Column:
     out = F.lit(False)
-    for gv, c in conds.items():
-        out = out | (_is_group(col, gv) & c)
+    for value, c in conds.items():
+        out = out | (_is_group(col, value) & c)
     return out
 
 
-def _group_counts(df: DataFrame, group_col: str) -> dict:
-    """Rows per group: a partially aggregated count, one small row per group."""
-    return {r[0]: int(r[1]) for r in df.groupBy(group_col).count().collect()}
-
-
-def _histogram(rows: DataFrame, k: str, grp: str, plen: int) -> DataFrame:
-    """Rows per (group, next DIGITS_PER_PASS hex digits of the key after
-    ``plen``), with the min and max of a 64-bit hash of the keys (fixed-width,
-    so the histogram stays a hash aggregate): a bucket whose hashes are all
-    equal probably holds a single key value."""
-    bucket = F.substring(F.col(k), plen + 1, DIGITS_PER_PASS)
-    h = F.xxhash64(F.col(k))
-    return rows.groupBy(F.col(grp).alias("__g"), bucket.alias("__b")).agg(
-        F.count(F.lit(1)).alias("count"), F.min(h).alias("__hlo"), F.max(h).alias("__hhi")
-    )
+def cut_keys(keyed: DataFrame, quotas: dict) -> dict:
+    """Of rows (``k`` hash, ``g`` group): {group: (cut key, rows needed at it,
+    rows there are at it)}. A group with no more rows than its quota is left out.
+    """
+    open_ = {g: ("", int(q)) for g, q in quotas.items() if q and q > 0}
+    cuts: dict = {}
+    size = 0
+    while open_:
+        inside = _any_group("g", {g: F.col("k").startswith(F.lit(prefix)) for g, (prefix, _) in open_.items()})
+        h = F.xxhash64("k")  # of fixed width, so this stays a hash aggregate
+        hist = keyed.where(inside).groupBy("g", F.substring("k", size + 1, DIGITS_PER_PASS).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(h).alias("low"), F.max(h).alias("high")
+        )
+        before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        need = F.lit(None).cast("bigint")
+        for g, (_, q) in open_.items():
+            need = F.when(_is_group("g", g), F.lit(q)).otherwise(need)
+        found = hist.where((F.col("before") < need) & (F.col("before") + F.col("n") >= need)).collect()  # one row a group
+        size += DIGITS_PER_PASS
+        still = {}
+        for r in found:
+            prefix, q = open_[r["g"]]
+            prefix, q = prefix + r["b"], q - int(r["before"])
+            one = r["low"] == r["high"]
+            key = _only_key(keyed, r["g"], prefix) if one or size >= HEX_DIGITS else None
+            if key is not None:
+                cuts[r["g"]] = (key, q, int(r["n"]))
+            else:
+                still[r["g"]] = (prefix, q)
+        open_ = still
+    return cuts
 
 
-def _single_key(rows: DataFrame, k: str, grp: str, gv, prefix: str) -> str | None:
-    """Exact check of a bucket that looks single-keyed: its key if all its
-    rows share one key value, else None (one pass over that bucket only)."""
-    r = rows.filter(_is_group(grp, gv) & F.col(k).startswith(F.lit(prefix))).agg(
-        F.min(k).alias("lo"), F.max(k).alias("hi")
-    ).first()
-    return r["lo"] if r["lo"] is not None and r["lo"] == r["hi"] else None
+def _only_key(keyed: DataFrame, group, prefix: str) -> str | None:
+    """The key of a bucket all of whose rows share it, else None."""
+    r = keyed.where(_is_group("g", group) & F.col("k").startswith(F.lit(prefix))).agg(F.min("k").alias("low"), F.max("k").alias("high")).first()
+    return r["low"] if r["low"] == r["high"] else None
 
 
-def sample_exact(
+def first_in_order(
     df: DataFrame,
-    n: int | None,
     id_cols: Sequence[str],
+    quotas: dict,
+    group_col: str | None = None,
     seed: int = SEED,
-    rank_limit: int = RANK_LIMIT,
+    flag: str | None = None,
 ) -> DataFrame:
-    """Exactly ``n`` rows without replacement when the table has more than
-    ``n`` rows; the table itself otherwise (``n`` of 0/None means no sampling).
-
-    The sample is the ``n`` smallest rows in ``md5('<seed>:<id>')`` order.
+    """The first ``quotas[g]`` rows of each group ``g`` in (id hash, row hash)
+    order (groups without a quota: none; ``quotas[None]`` with no ``group_col``).
+    With ``flag`` all rows come back, and ``flag`` tells which those are.
     """
-    if not n:
-        return df
-    n = int(n)
     key = order_key(id_cols, seed)
-    keyed = df.select(key.alias("__key"), F.lit(0).alias("__grp"))
-    # one job: the table size and the first-level bucket holding the n-th key
-    hist = _histogram(keyed, "__key", "__grp", 0)
-    w = Window.partitionBy("__g").orderBy("__b")
-    hist = hist.select(
-        "*",
-        F.coalesce(F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("count").over(Window.partitionBy("__g")).alias("__total"),
-    )
-    rows = hist.filter(
-        (F.col("__before") == 0) | ((F.col("__before") < n) & (F.col("__before") + F.col("count") >= n))
-    ).collect()
-    total = int(rows[0]["__total"]) if rows else 0
-    if total <= n:
-        return df
-    cut = next(r for r in rows if r["__before"] < n <= r["__before"] + r["count"])
-    state = _narrowed(("cut", "", n, total), cut, rank_limit, keyed, "__key", "__grp")
-    return rank_cutoff(
-        df, key, list(id_cols), {None: n}, None, rank_limit, counts={None: total},
-        start=({None: state}, DIGITS_PER_PASS),
-    )
+    group = F.col(group_col) if group_col else F.lit(0)
+    if not group_col:
+        quotas = {0: quotas[None]}
+    quotas = {g: q for g, q in quotas.items() if q and q > 0}
+    cuts = cut_keys(df.select(key.alias("k"), group.alias("g")), quotas)
+
+    # rows of several with the id of the cut: go on by the hash of the row
+    shared = {g: c for g, c in cuts.items() if c[1] < c[2]}
+    finer: dict = {}
+    if shared:
+        at_cut = df.select(key.alias("id_key"), group.alias("g"), row_key(df, seed).alias("k"))
+        at_cut = at_cut.where(_any_group("g", {g: F.col("id_key") == F.lit(c[0]) for g, c in shared.items()})).select("k", "g")
+        finer = cut_keys(at_cut, {g: c[1] for g, c in shared.items()})
+
+    work = df.withColumns({"__key": key, "__group": group})
+    if finer:
+        at_shared = _any_group("__group", {g: F.col("__key") == F.lit(shared[g][0]) for g in finer})
+        work = work.withColumn("__row", F.when(at_shared, row_key(df, seed)))
+    taken: dict = {}
+    tied: dict = {}
+    for g in quotas:
+        if g not in cuts:
+            taken[g] = F.lit(True)
+        elif g not in finer:
+            taken[g] = F.col("__key") <= F.lit(cuts[g][0])
+        else:
+            (id_cut, _, _), (row_cut, need, there) = cuts[g], finer[g]
+            at = F.col("__key") == F.lit(id_cut)
+            taken[g] = (F.col("__key") < F.lit(id_cut)) | (at & (F.col("__row") <= F.lit(row_cut)))
+            if need < there:
+                tied[g] = (at & (F.col("__row") == F.lit(row_cut)), need, there)
+    in_ = _any_group("__group", taken)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    rest = work
+    if tied:
+        rest = work.where(~F.coalesce(_any_group("__group", {g: t[0] for g, t in tied.items()}), F.lit(False)))
+    out = rest.where(in_).select(*cols) if flag is None else rest.select(*cols, F.coalesce(in_, F.lit(False)).alias(flag))
+    for g, (equal, need, there) in tied.items():
+        alike = work.where(_is_group("__group", g) & equal).select(*cols)
+        copies = _repeated(alike, need if flag is None else there)
+        out = out.union(copies.select(*cols) if flag is None else copies.select(*cols, (F.col("__copy") < need).alias(flag)))
+    return out
+
+
+def _repeated(alike: DataFrame, times: int) -> DataFrame:
+    """Rows that are all equal, as ``times`` rows numbered ``__copy``. One of them
+    is repeated in two steps with a shuffle between, so many tasks make them."""
+    one = alike.agg(F.first(F.struct("*")).alias("row"))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.lit(times - 1).cast("bigint"), F.lit(REPEATS_PER_ROW).cast("bigint"))
+    dealt = one.select("row", F.explode(starts).alias("start")).repartition("start")
+    end = F.least(F.col("start") + REPEATS_PER_ROW, F.lit(times)) - 1
+    return dealt.select("row.*", F.explode(F.sequence("start", end)).alias("__copy"))
+
+
+def sample_exact(df: DataFrame, n: int | None, id_cols: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Exactly ``n`` rows without replacement when the table has more than
+    ``n`` rows; the table itself otherwise (``n`` of 0/None means no sampling)."""
+    return first_in_order(df, id_cols, {None: int(n)}, None, seed) if n else df
 
 
 def approximate_mode(class_counts: dict, n_draws: int) -> dict:
@@ -294,6 +200,15 @@ def split_quotas(class_counts: dict, test_size: float = VALIDATION_FRACTION) ->
     return approximate_mode(class_counts, n_train)
 
 
+def class_counts(df: DataFrame, label_col: str) -> dict:
+    """Rows of each class, nulls left out. A column with more than
+    ``MAX_CLASSES`` values is no class column and is refused."""
+    rows = df.where(F.col(label_col).isNotNull()).groupBy(label_col).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label_col!r} has more than {MAX_CLASSES} values; a split needs a class column")
+    return {r[0]: int(r[1]) for r in rows}
+
+
 def stratified_split(
     df: DataFrame,
     label_col: str,
@@ -301,26 +216,13 @@ def stratified_split(
     test_size: float = VALIDATION_FRACTION,
     seed: int = SEED,
     flag: str = "is_train",
-    rank_limit: int = RANK_LIMIT,
 ) -> DataFrame:
     """D3: every row plus a boolean ``flag`` (train / validation).
 
     Class sizes follow the stratified-shuffle contract: ``ceil(test_size*N)``
     validation rows, train rows allocated to classes by largest remainder.
-    Within a class the train rows are the first in seeded hash order.
+    Within a class the train rows are the first in seeded hash order. Rows
+    without a label are left out.
     """
-    # class sizes first (a few rows): the quotas need all of them, and a
-    # class under ``rank_limit`` rows needs no histogram pass at all
-    all_counts = _group_counts(df, label_col)
-    counts = {k: v for k, v in all_counts.items() if k is not None}
-    quotas = split_quotas(counts, test_size)
-    return rank_cutoff(
-        df.filter(F.col(label_col).isNotNull()),
-        order_key(id_cols, seed),
-        list(id_cols),
-        quotas,
-        label_col,
-        rank_limit,
-        flag=flag,
-        counts=counts,
-    )
+    quotas = split_quotas(class_counts(df, label_col), test_size)
+    return first_in_order(df.where(F.col(label_col).isNotNull()), id_cols, quotas, label_col, seed, flag)

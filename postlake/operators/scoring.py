@@ -24,18 +24,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.constants import ID_TO_LABEL, SCORE_BATCH_SIZE
+from ..functions.constants import ID_TO_LABEL, MAX_TOKENS, SCORE_BATCH_SIZE
 from ..functions.probs import label_name
-from ..functions.text import model_text
+from ..functions.text import model_text, truncate_tokens
 from .barrier import materialize
 
 LOGITS = "__logits"
 
 
 class Scorer:
-    """Adds ``out_col`` (array<double> of class logits) for ``text_col``."""
+    """Adds ``out_col`` (array<double> of class logits) for ``text_col``.
+
+    ``max_tokens`` is the model's input limit (P17); None sees whole texts."""
 
     n_classes: int = 3
+    max_tokens: int | None = None
+
+    def clip(self, text: Column) -> Column:
+        return truncate_tokens(text, self.max_tokens) if self.max_tokens else text
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
         raise NotImplementedError
@@ -48,7 +54,7 @@ class ColumnScorer(Scorer):
         raise NotImplementedError
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
-        return materialize(df, {out_col: self.logits(F.col(text_col))})
+        return materialize(df, {out_col: self.logits(self.clip(F.col(text_col)))})
 
 
 # --- fixed values of the deterministic test scorer (FIXTURES.md section 5) ---
@@ -61,7 +67,8 @@ class LetterShareScorer(ColumnScorer):
     """Deterministic stand-in model for tests and the bench: the logit of class
     k is ``40 x`` the share of letter k (a, e, o) in the lower-cased text."""
 
-    def __init__(self, letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE):
+    def __init__(self, letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE, max_tokens: int | None = None):
+        self.max_tokens = max_tokens
         self.letters = list(letters)
         self.scale = float(scale)
         self.n_classes = len(self.letters)
@@ -85,7 +92,9 @@ class BatchScorer(Scorer):
         factory: Callable[[], Callable[[list[str]], np.ndarray]],
         n_classes: int = 3,
         batch_size: int = SCORE_BATCH_SIZE,
+        max_tokens: int | None = MAX_TOKENS,
     ):
+        self.max_tokens = max_tokens
         self.factory = factory
         self.n_classes = n_classes
         self.batch_size = int(batch_size)
@@ -107,7 +116,7 @@ class BatchScorer(Scorer):
         return score
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
-        x = df.withColumn("__udf_logits", self._udf()(F.col(text_col)))
+        x = df.withColumn("__udf_logits", self._udf()(self.clip(F.col(text_col))))
         return materialize(x, {out_col: F.col("__udf_logits")}).drop("__udf_logits")
 
 
@@ -118,11 +127,12 @@ def score_batches(
     text_col: str = "text",
     n_classes: int = 3,
     out_col: str = LOGITS,
+    max_tokens: int | None = MAX_TOKENS,
 ) -> DataFrame:
     """G1: batch inference over all rows - ``df`` plus the class logits of
-    ``text_col`` (model loaded once per task, texts in batches of
-    ``batch_size``)."""
-    return BatchScorer(scorer_factory, n_classes, batch_size).add_logits(df, text_col, out_col)
+    ``text_col`` (model loaded once per task, texts of at most ``max_tokens``
+    tokens in batches of ``batch_size``)."""
+    return BatchScorer(scorer_factory, n_classes, batch_size, max_tokens).add_logits(df, text_col, out_col)
 
 
 def letter_share_factory(letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE):
@@ -145,17 +155,19 @@ def letter_share_factory(letters: Sequence[str] = TEST_LETTERS, scale: float = T
 
 class ModelScorer(Scorer):
     """Fitted Spark ML pipeline whose last stage yields ``rawPrediction``
-    (multinomial logistic regression margins = logits)."""
+    (multinomial logistic regression margins = logits). A class that no training
+    row had, or that the model does not know, gets ``ABSENT_MARGIN``."""
 
-    def __init__(self, model, input_col: str = "__model_text", n_classes: int = 3):
+    def __init__(self, model, input_col: str = "__model_text", n_classes: int = 3, max_tokens: int | None = MAX_TOKENS):
+        self.max_tokens = max_tokens
         self.model = model
         self.input_col = input_col
         self.n_classes = n_classes
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
         cols = df.columns
-        x = df.withColumn(self.input_col, model_text(text_col))
-        return _logits_of(self.model.transform(x), cols, out_col)
+        x = df.withColumn(self.input_col, self.clip(model_text(text_col)))
+        return _logits_of(self.model.transform(x), cols, out_col, self.n_classes)
 
     def add_logits_featurized(self, df: DataFrame, tf_col: str, out_col: str = LOGITS) -> DataFrame:
         """Logits for rows that already carry the hashed term frequencies of
@@ -169,14 +181,24 @@ class ModelScorer(Scorer):
             raise TypeError("the model does not start with tokenise + hash stages")
         cols = df.columns
         x = df.withColumn(stages[1].getOutputCol(), F.col(tf_col))
-        return _logits_of(PipelineModel(stages[2:]).transform(x), cols, out_col)
+        return _logits_of(PipelineModel(stages[2:]).transform(x), cols, out_col, self.n_classes)
+
+
+#: Logit of a class that a model does not know: finite, and no chance after softmax.
+ABSENT_MARGIN = -1e6
+
+
+def known_margins(margins: Column, n_classes: int) -> Column:
+    """``n_classes`` logits from a model's margins; a class without one, or with
+    an infinite one, gets ``ABSENT_MARGIN``."""
+    return F.array(*(F.greatest(F.coalesce(F.get(margins, i), F.lit(ABSENT_MARGIN)), F.lit(ABSENT_MARGIN)) for i in range(n_classes)))
 
 
-def _logits_of(transformed: DataFrame, cols: list[str], out_col: str) -> DataFrame:
+def _logits_of(transformed: DataFrame, cols: list[str], out_col: str, n_classes: int) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    y = transformed.select(*cols, F.col("rawPrediction"))
-    return materialize(y, {out_col: vector_to_array(F.col("rawPrediction"))}).drop("rawPrediction")
+    y = materialize(transformed.select(*cols, "rawPrediction"), {"__margins": vector_to_array(F.col("rawPrediction"))})
+    return materialize(y, {out_col: known_margins(F.col("__margins"), n_classes)}).drop("rawPrediction", "__margins")
 
 
 class FeaturizedScorer(Scorer):
@@ -249,8 +271,10 @@ def pseudo_label(
     with the predicted ``label_id`` and its ``confidence``. The model input is
     the stripped text, as in the reference's pseudo-labelling pass."""
     cols = df.columns
-    x = df.withColumn("__model_text", model_text(text_col))
-    s = score_posts(x, scorer, "__model_text")
+    if isinstance(scorer, FeaturizedScorer):  # reads stored vectors, no text
+        s = score_posts(df, scorer, text_col)
+    else:
+        s = score_posts(df.withColumn("__model_text", model_text(text_col)), scorer, "__model_text")
     return s.filter(F.col("confidence") >= F.lit(float(threshold))).select(
         *cols, F.col("sentiment_id").alias("label_id"), "confidence"
     )

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 from ..functions.constants import (
     CONFIDENCE_THRESHOLD,
     FN_ITERATIONS,
+    ID_TO_LABEL,
+    MAX_TOKENS,
     SEED,
     THRESHOLD_CAP,
     THRESHOLD_STEP,
@@ -28,11 +31,11 @@ from ..functions.constants import (
     VALIDATION_FRACTION,
 )
 from ..functions.probs import label_id
-from ..functions.text import is_blank, model_text
+from ..functions.text import is_blank, model_text, truncate_tokens
 from .metrics import eval_metrics
 from .sampling import order_key, sample_exact, stratified_split
-from ..session import cut_lineage, default_parallelism
-from .scoring import LOGITS, FeaturizedScorer, ModelScorer, Scorer, pseudo_label
+from ..session import drop_path, scratch_path
+from .scoring import LOGITS, FeaturizedScorer, ModelScorer, Scorer, known_margins, pseudo_label
 
 MODEL_INPUT = "__model_text"
 
@@ -94,18 +97,15 @@ def build_pipeline(
 
 ROWS_PER_TRAIN_PARTITION = 100_000
 TOKENS_PER_TRAIN_PARTITION = 1_000_000
-DEEP_AGGREGATION_PARTITIONS = 1_000
 
 
 def train_partitions(
-    spark: SparkSession,
     n_rows: int,
     n_tokens: int = 0,
     rows_per_partition: int = ROWS_PER_TRAIN_PARTITION,
     tokens_per_partition: int = TOKENS_PER_TRAIN_PARTITION,
 ) -> int:
-    """Partitions for an optimizer pass, never more than the cluster's
-    parallelism.
+    """Partitions for an optimizer pass, from the data alone.
 
     An iteration's work per row is proportional to its non-zero features
     (about its tokens), while every partition also returns one dense
@@ -114,88 +114,99 @@ def train_partitions(
     long documents get several partitions even when they are few, and short
     posts do not pay a dense gradient per handful of rows.
     """
-    by_rows = -(-n_rows // rows_per_partition)
-    by_tokens = -(-n_tokens // tokens_per_partition) if n_tokens else 0
-    return max(1, min(default_parallelism(spark), max(by_rows, by_tokens)))
-
-
-def aggregation_depth(partitions: int) -> int:
-    """Tree depth for merging the per-partition gradients: a third level once
-    there are so many partitions that ~sqrt(P) dense gradients per merge task
-    would dominate an iteration."""
-    return 3 if partitions > DEEP_AGGREGATION_PARTITIONS else 2
+    return max(1, -(-n_rows // rows_per_partition), -(-n_tokens // tokens_per_partition))
 
 
 TF_COL = "__tf_cached"
 NTOK_COL = "__ntok"
 
 
-def featurize(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (), **params) -> DataFrame:
+def featurize(
+    df: DataFrame, text_col: str = "text", keep: Sequence[str] = (), max_tokens: int | None = MAX_TOKENS, **params
+) -> DataFrame:
     """The pipeline's tokenise + hash stages, once: ``keep`` columns plus the
-    term-frequency vector (``TF_COL``) and the token count (``NTOK_COL``).
+    term-frequency vector (``TF_COL``) and the token count (``NTOK_COL``) of
+    the first ``max_tokens`` tokens.
 
     Both stages are fixed functions of the text (no fitting), so a training
     loop can store these vectors once and fit / apply only the later stages
     every round."""
     tok, tf = build_pipeline(**params).getStages()[:2]
-    x = df.select(*keep, model_text(text_col).alias(MODEL_INPUT))
+    x = df.select(*keep, _model_input(text_col, max_tokens).alias(MODEL_INPUT))
     y = tf.transform(tok.transform(x))
     return y.select(*keep, F.col(tf.getOutputCol()).alias(TF_COL), F.size("__tokens").alias(NTOK_COL))
 
 
+def _model_input(text_col: str, max_tokens: int | None):
+    text = model_text(text_col)
+    return truncate_tokens(text, max_tokens) if max_tokens else text
+
+
+def _class_label(label_col: str, n_classes: int):
+    """The label as a double that says how many classes there are, so that a
+    class without a training row keeps its place in the model."""
+    meta = {"ml_attr": {"type": "nominal", "name": "label_id", "vals": [str(i) for i in range(n_classes)]}}
+    return F.col(label_col).cast("double").alias("label_id", metadata=meta)
+
+
 def train_classifier(
     df: DataFrame,
     text_col: str = "text",
     label_col: str = "label_id",
     featurized: bool = False,
+    n_classes: int = len(ID_TO_LABEL),
+    max_tokens: int | None = MAX_TOKENS,
+    aggregation_depth: int = 2,
+    report: dict | None = None,
+    flag: str | None = None,
     **params,
 ):
     """Fit the student on ``(text, label_id)`` rows; returns a ModelScorer
     holding the whole text pipeline.
 
-    Feature extraction runs on the input's own partitions, i.e. at full
-    parallelism (``featurized=True``: the rows already carry ``TF_COL`` and
-    ``NTOK_COL`` from ``featurize``). The term frequencies are cached once,
-    and the pass that fills the cache also counts rows and tokens. Only the
-    sparse feature vectors are then shuffled into ``train_partitions``
-    partitions and persisted for the optimizer, whose iterations each
-    aggregate one dense gradient per partition.
+    Feature extraction runs on the input's own partitions (``featurized=True``:
+    the rows already carry ``TF_COL`` and ``NTOK_COL`` from ``featurize``). The
+    term frequencies are cached once, by the pass that counts rows and tokens;
+    only the sparse feature vectors are then shuffled into ``train_partitions``
+    partitions, which the optimizer's first pass caches. Each iteration
+    aggregates one dense gradient per partition, in a tree of
+    ``aggregation_depth`` levels (take 3 for thousands of partitions).
+
+    ``report`` gets the rows, those with ``flag`` set, the tokens, and the loss
+    and accuracy of the fitted model on its own training rows.
     """
     from pyspark.ml import PipelineModel
 
-    spark = df.sparkSession
     tok, tf, *rest = build_pipeline(label_col="label_id", **params).getStages()
     *mid, lr = rest
-    label = F.col(label_col).cast("double").alias("label_id")
+    marked = (F.col(flag) if flag else F.lit(False)).alias("__flag")
     if featurized:
-        cur = df.select(F.col(TF_COL).alias(tf.getOutputCol()), label, NTOK_COL)
+        cur = df.select(F.col(TF_COL).alias(tf.getOutputCol()), label_col, NTOK_COL, marked)
     else:
-        x = df.select(model_text(text_col).alias(MODEL_INPUT), label)
-        y = tf.transform(tok.transform(x))
-        cur = y.select(tf.getOutputCol(), "label_id", F.size("__tokens").alias(NTOK_COL))
-    cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-    held = [cur]
-    stats = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(NTOK_COL).alias("t")).first()
-    n, n_tokens = int(stats["n"]), int(stats["t"] or 0)
-    fitted = []
-    for st in mid:  # IDF: one pass to fit, its transform feeds the optimizer
-        m = st.fit(cur)
-        fitted.append(m)
-        cur = m.transform(cur)
-    parts = train_partitions(spark, n, n_tokens)
-    lr = lr.copy().setAggregationDepth(aggregation_depth(parts))
-    feats = cur.select(lr.getFeaturesCol(), "label_id").repartition(parts)
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+        x = featurize(df.withColumn("__flag", marked), text_col, [label_col, "__flag"], max_tokens, **params)
+        cur = x.withColumnRenamed(TF_COL, tf.getOutputCol())
+    held = [cur.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        feats.count()
-        for h in held:
-            h.unpersist()
-        lr_model = lr.fit(feats)
+        stats = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(NTOK_COL).alias("t"), F.count_if("__flag").alias("f")).first()
+        cur = cur.withColumn("label_id", _class_label(label_col, n_classes))
+        fitted = []
+        for st in mid:  # IDF: one pass to fit, its transform feeds the optimizer
+            m = st.fit(cur)
+            fitted.append(m)
+            cur = m.transform(cur)
+        parts = train_partitions(int(stats["n"]), int(stats["t"] or 0))
+        feats = cur.select(lr.getFeaturesCol(), "label_id").repartition(parts)
+        held.append(feats.persist(StorageLevel.MEMORY_AND_DISK))
+        lr_model = lr.copy().setAggregationDepth(aggregation_depth).fit(feats)
+        scorer = ModelScorer(PipelineModel([tok, tf, *fitted, lr_model]), MODEL_INPUT, n_classes, max_tokens)
+        if report is not None:
+            margins = known_margins(vector_to_array(F.col("rawPrediction")), n_classes)
+            own = eval_metrics(lr_model.transform(feats).select(margins.alias(LOGITS), F.col("label_id").cast("int").alias("label_id")), LOGITS, "label_id")
+            report.update(rows=int(stats["n"]), flagged=int(stats["f"]), tokens=int(stats["t"] or 0), loss=own["loss"], accuracy=own["accuracy"])
     finally:
-        feats.unpersist()
         for h in held:
             h.unpersist()
-    return ModelScorer(PipelineModel([tok, tf, *fitted, lr_model]), input_col=MODEL_INPUT)
+    return scorer
 
 
 def on_features(scorer: Scorer) -> Scorer:
@@ -213,18 +224,26 @@ def evaluate(
     batch_size: int = TRAIN_BATCH_SIZE,
     seed: int = SEED,
 ) -> dict:
-    """Validation loss (row mean and batch-mean parity form) + accuracy."""
-    x = val.withColumn(MODEL_INPUT, model_text(text_col))
-    scored = scorer.add_logits(x, MODEL_INPUT)
+    """Validation loss (row mean and batch-mean parity form) + accuracy. A
+    row without a loss is an error."""
+    scored = evaluation_rows(scorer, val, text_col)
     return eval_metrics(scored, LOGITS, label_col, order_key(list(id_cols), seed), batch_size)
 
 
+def evaluation_rows(scorer: Scorer, val: DataFrame, text_col: str = "text") -> DataFrame:
+    """``val`` with the logits of its stripped texts."""
+    if isinstance(scorer, FeaturizedScorer):
+        return scorer.add_logits(val, text_col)
+    return scorer.add_logits(val.withColumn(MODEL_INPUT, model_text(text_col)), MODEL_INPUT)
+
+
 @dataclass
 class SelfTrainResult:
     scorer: Scorer
     metrics: DataFrame
     rounds: list[dict] = field(default_factory=list)
     best_round: int | None = None
+    label_counts: dict[int, int] = field(default_factory=dict)
 
 
 def prepare_labelled(
@@ -253,10 +272,10 @@ def prepare_unlabelled(
 
 
 def combine_train(
-    train: DataFrame, pseudo: DataFrame, text_col: str = "text", extra: Sequence[str] = ()
+    train: DataFrame, pseudo: DataFrame, text_col: str | None = "text", extra: Sequence[str] = ()
 ) -> DataFrame:
     """Train split + pseudo-labelled rows, duplicates kept (UNION ALL)."""
-    cols = [text_col, "label_id", *extra]
+    cols = [*([text_col] if text_col else []), "label_id", *extra]
     return train.select(*cols).unionByName(pseudo.select(*cols))
 
 
@@ -277,7 +296,8 @@ def self_train(
     exclude_labelled: bool = False,
     seed: int = SEED,
     test_size: float = VALIDATION_FRACTION,
-    checkpoint_inputs: bool = True,
+    max_tokens: int | None = MAX_TOKENS,
+    n_classes: int = len(ID_TO_LABEL),
     **model_params,
 ) -> SelfTrainResult:
     """Split -> (pseudo-label -> union -> train -> evaluate) x n.
@@ -292,12 +312,13 @@ def self_train(
     with the lowest validation loss, earliest on ties.
 
     The split and the unlabelled set are tokenised and hashed once
-    (``featurize``) and read once per round; with ``checkpoint_inputs`` they
-    are written once to the shared checkpoint folder (lineage cut, a lost
-    executor costs a re-read, not a recomputed join and tokenisation),
-    otherwise persisted in memory and disk. Rounds fit and apply only IDF and
-    the classifier on the stored vectors (``on_features``); a teacher scorer
-    reads the text, and every returned model is the whole text pipeline.
+    (``featurize``) and written once, as Parquet in the shared folder, of which
+    each round reads the columns it needs (a lost executor costs a re-read, not
+    the joins and the tokenisation). The tables are deleted at the end. Rounds
+    fit and apply only IDF and the classifier on the stored vectors
+    (``on_features``); a teacher scorer reads the text, and every returned model
+    is the whole text pipeline. ``label_counts`` of the result has the rows of
+    each class of the labelled set.
     """
     spark: SparkSession = labelled.sparkSession
     ids = list(id_cols)
@@ -305,75 +326,78 @@ def self_train(
     unl = prepare_unlabelled(unlabelled, text_col, unlabelled_size, ids, seed)
     if exclude_labelled:
         unl = unl.join(lab.select(*ids), ids, "left_anti")
-
-    lab_in = lab.select(*ids, text_col, "label_id").persist(StorageLevel.MEMORY_AND_DISK)
-    split = stratified_split(lab_in, "label_id", ids, test_size, seed)
-    # tokenise + hash once; every round fits / applies only IDF and the classifier
     feat = [TF_COL, NTOK_COL]
-    split = featurize(split, text_col, [*ids, text_col, "label_id", "is_train"], **model_params)
-    unl = featurize(unl, text_col, [*ids, text_col], **model_params)
-    if checkpoint_inputs:
-        split, unl = cut_lineage(split), cut_lineage(unl)
-        lab_in.unpersist()
-    else:
-        split = split.persist(StorageLevel.MEMORY_AND_DISK)
-        unl = unl.persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.filter("is_train").drop("is_train")
-    val = split.filter(~F.col("is_train")).drop("is_train")
-
-    sizes = split.agg(F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("val")).first()
-    n_train, n_val = int(sizes["train"]), int(sizes["val"])
-    current = teacher or train_classifier(train, text_col, "label_id", featurized=True, **model_params)
-    n_unl = unl.count()
-
-    rounds: list[dict] = []
-    best: tuple[float, int, Scorer] | None = None
-    for i, t in enumerate(threshold_schedule(threshold, iterations)):
-        # one scoring pass over the whole unlabelled set per round
-        t0 = time.perf_counter()
-        pseudo = pseudo_label(unl, on_features(current), t, text_col).select(text_col, "label_id", *feat)
-        pseudo = pseudo.persist(StorageLevel.MEMORY_AND_DISK)
-        n_pseudo = pseudo.count()
-        t1 = time.perf_counter()
-        combined = combine_train(train, pseudo, text_col, feat)
-        model = train_classifier(combined, text_col, "label_id", featurized=True, **model_params)
-        pseudo.unpersist()
-        t2 = time.perf_counter()
-        m = evaluate(on_features(model), val, text_col, "label_id", ids, batch_size, seed)
-        t3 = time.perf_counter()
-        rounds.append(
-            {
-                "step": i + 1,
-                "threshold": float(t),
-                "unlabelled": n_unl,
-                "pseudo": n_pseudo,
-                "pseudo_percent": (n_pseudo * 100.0 / n_unl) if n_unl else 0.0,
-                "train": n_train,
-                "combined": n_train + n_pseudo,
-                "validation": n_val,
-                "val_loss": m["loss"],
-                "val_loss_batch_mean": m.get("loss_batch_mean", m["loss"]),
-                "val_accuracy": m["accuracy"],
-                "sec_pseudo_label": t1 - t0,
-                "sec_fit": t2 - t1,
-                "sec_evaluate": t3 - t2,
-            }
-        )
-        if best is None or m["loss"] < best[0]:
-            best = (m["loss"], i + 1, model)
-        current = model
-
-    chosen = best[2] if (keep == "best" and best is not None) else current
-    if output_dir:
-        save_model(chosen, output_dir)
-    split.unpersist()
-    lab_in.unpersist()
-    unl.unpersist()
+    scratch: list[str] = []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(scratch_path(spark, name))
+        df.write.parquet(scratch[-1])
+        return spark.read.parquet(scratch[-1])
+
+    try:
+        # tokenise + hash once; every round fits / applies only IDF and the classifier
+        lab_in = stored(featurize(lab, text_col, [*ids, "label_id"], max_tokens, **model_params), "self-train-labelled")
+        split = stored(stratified_split(lab_in, "label_id", ids, test_size, seed), "self-train-split")
+        # only a teacher that reads text needs the unlabelled texts
+        text = [text_col] if teacher is not None and not isinstance(teacher, ModelScorer) else []
+        unl = stored(featurize(unl, text_col, [*ids, *text], max_tokens, **model_params), "self-train-unlabelled")
+        train = split.where("is_train").select("label_id", *feat)
+        val = split.where(~F.col("is_train")).select(*ids, "label_id", *feat)
+        counts = split.groupBy("label_id").agg(F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("val")).collect()  # one row a class
+        labels = {int(r["label_id"]): int(r["train"] + r["val"]) for r in counts}
+        n_train, n_val = (sum(int(r[c]) for r in counts) for c in ("train", "val"))
+        n_unl = unl.count()
+        fit = dict(featurized=True, n_classes=n_classes, max_tokens=max_tokens, **model_params)
+        current = teacher or train_classifier(train, text_col, "label_id", **fit)
+
+        rounds: list[dict] = []
+        best: tuple[float, int, Scorer] | None = None
+        for i, t in enumerate(threshold_schedule(threshold, iterations)):
+            # one scoring pass over the whole unlabelled set per round; its rows go straight into the fit
+            t0 = time.perf_counter()
+            source = unl if not isinstance(current, ModelScorer) else unl.drop(*text)
+            pseudo = pseudo_label(source, on_features(current), t, text_col).select("label_id", *feat)
+            combined = combine_train(train.withColumn("pseudo", F.lit(False)), pseudo.withColumn("pseudo", F.lit(True)), None, [*feat, "pseudo"])
+            own: dict = {}
+            model = train_classifier(combined, text_col, "label_id", flag="pseudo", report=own, **fit)
+            t1 = time.perf_counter()
+            m = evaluate(on_features(model), val, text_col, "label_id", ids, batch_size, seed)
+            t2 = time.perf_counter()
+            rounds.append(
+                {
+                    "step": i + 1,
+                    "threshold": float(t),
+                    "unlabelled": n_unl,
+                    "pseudo": own["flagged"],
+                    "pseudo_percent": (own["flagged"] * 100.0 / n_unl) if n_unl else 0.0,
+                    "train": n_train,
+                    "combined": own["rows"],
+                    "validation": n_val,
+                    "train_loss": own["loss"],
+                    "train_accuracy": own["accuracy"],
+                    "val_loss": m["loss"],
+                    "val_loss_batch_mean": m.get("loss_batch_mean", m["loss"]),
+                    "val_accuracy": m["accuracy"],
+                    "sec_fit": t1 - t0,
+                    "sec_evaluate": t2 - t1,
+                }
+            )
+            if best is None or m["loss"] < best[0]:
+                best = (m["loss"], i + 1, model)
+            current = model
+
+        chosen = best[2] if (keep == "best" and best is not None) else current
+        if output_dir:
+            save_model(chosen, output_dir)
+    finally:
+        for path in scratch:
+            drop_path(spark, path)
     return SelfTrainResult(
         scorer=chosen,
         metrics=metrics_frame(spark, rounds),
         rounds=rounds,
         best_round=best[1] if best else None,
+        label_counts=labels,
     )
 
 
@@ -387,6 +411,8 @@ METRICS_SCHEMA = T.StructType(
         T.StructField("train", T.LongType()),
         T.StructField("combined", T.LongType()),
         T.StructField("validation", T.LongType()),
+        T.StructField("train_loss", T.DoubleType()),
+        T.StructField("train_accuracy", T.DoubleType()),
         T.StructField("val_loss", T.DoubleType()),
         T.StructField("val_loss_batch_mean", T.DoubleType()),
         T.StructField("val_accuracy", T.DoubleType()),
@@ -408,11 +434,7 @@ def save_model(scorer: Scorer, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-# K5 under its inventory name: the loop saves the model it keeps
-save_best = save_model
-
-
-def load_model(path: str) -> ModelScorer:
+def load_model(path: str, n_classes: int = len(ID_TO_LABEL), max_tokens: int | None = MAX_TOKENS) -> ModelScorer:
     from pyspark.ml import PipelineModel
 
-    return ModelScorer(PipelineModel.load(path), input_col=MODEL_INPUT)
+    return ModelScorer(PipelineModel.load(path), MODEL_INPUT, n_classes, max_tokens)

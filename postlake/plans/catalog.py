@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
+    argmax,
     clean_location,
     clean_text,
+    confidence,
     derive_date,
     hashtags_str,
     label_id,
@@ -32,9 +34,9 @@ from ..functions import (
     to_long,
     truncate_tokens,
 )
-from ..functions.constants import CLEAN_COLUMNS, COUNT_COLUMNS
+from ..functions.constants import CLEAN_COLUMNS, COUNT_COLUMNS, ID_TO_LABEL, MAX_TOKENS, TRAIN_BATCH_SIZE
 from ..operators.clean import clean_posts, dedup_posts, nonnegative_counts, typed_posts, valid_posts
-from ..operators.metrics import acceptance, cross_entropy, label_distribution, stage_counts
+from ..operators.metrics import acceptance, best_step, eval_report, label_distribution, stage_counts
 from ..operators.sampling import order_key, sample_exact, stratified_split
 from ..operators.scoring import (
     LOGITS,
@@ -47,6 +49,8 @@ from ..operators.scoring import (
 )
 from ..operators.training import (
     combine_train,
+    evaluation_rows,
+    load_model,
     prepare_labelled,
     prepare_unlabelled,
     self_train,
@@ -54,16 +58,26 @@ from ..operators.training import (
     train_classifier,
 )
 from ..session import scratch_path
-from ..sources.ingest import envelope, ingest_manifest, land_raw, list_files, select_input_file
+from ..sources.ingest import (
+    RAW_FILE_SIZE,
+    RAW_RECORD,
+    envelope,
+    ingest_manifest,
+    land_raw,
+    select_input_file,
+    write_envelope_json,
+)
 from ..sources.readers import nonblank_text, read_clean, read_posts_csv, read_text_csv, read_whole_text
 from ..sources.writers import write_clean, write_scored
 from .fixtures import RAW_COLUMNS, labelled, raw_posts, raw_posts_strings, table, unlabelled
+from .jobs import sentiment_job
 
 R6 = 6
 SAMPLE_N = 500
 THRESHOLD = 0.9
 ROUNDS = 3
 DATE_FROM, DATE_TO = "2021-03-01", "2021-06-30"
+PICK_NAME = "960"
 
 
 def _ntz(c: Column | str) -> Column:
@@ -179,9 +193,27 @@ def q_csv_scan_na_tokens(spark, sf):
     return read_text_csv(spark, path).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "sentiment")
 
 
+def _ragged_csv(spark, sf) -> str:
+    """Posts as ``post_id,source`` lines, a third each with two fields too many,
+    with one too few, and as the header has them. Written line by line."""
+    path = scratch_path(spark, "ragged_csv")
+    r = raw_posts(spark, sf)
+    post = F.col("post_id").cast("string")
+    line = F.when(F.col("post_id") % 3 == 0, F.concat_ws(",", post, "source", "user_name", F.lit("more"))).when(
+        F.col("post_id") % 3 == 1, post).otherwise(F.concat_ws(",", post, "source"))
+    writer = r.select(line.alias("post_id,source")).write.option("header", "true").option("sep", chr(1)).option("quote", "")
+    writer.csv(path)
+    return path
+
+
 def q_land_raw_rows(spark, sf):
-    landed = land_raw(spark, _raw_csv(spark, sf), scratch_path(spark, "raw_zone"))
-    return spark.read.parquet(landed).select(*RAW_COLUMNS)
+    """All rows of two landed files: one that fits its header, one that doesn't."""
+    zone = scratch_path(spark, "raw_zone")
+    posts = spark.read.parquet(land_raw(spark, _raw_csv(spark, sf), zone))
+    ragged = spark.read.parquet(land_raw(spark, _ragged_csv(spark, sf), zone))
+    absent = {c: F.lit(None).cast("string") for c in RAW_COLUMNS if c not in ragged.columns}
+    rows = posts.unionByName(ragged.withColumns(absent))
+    return rows.select(*RAW_COLUMNS, F.col(RAW_RECORD).alias("raw_record"), (F.col(RAW_FILE_SIZE) > 0).alias("has_file_size"))
 
 
 def _clean_table(spark, sf) -> str:
@@ -213,24 +245,48 @@ def q_write_scored_roundtrip(spark, sf):
 
 
 def q_whole_text_read(spark, sf):
-    df = read_whole_text(spark, _raw_csv(spark, sf) + "/*.csv")
-    return df.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.length("value").alias("n_chars"))
+    """Texts written as lines of files by language, and each file read whole:
+    its characters are those of its texts and one line end each."""
+    path = scratch_path(spark, "texts_by_lang")
+    docs = table(spark, sf, "documents")
+    docs.select("text", "lang").write.partitionBy("lang").text(path)
+    whole = read_whole_text(spark, path + "/*/*.txt")
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1)
+    return whole.groupBy(lang.alias("lang")).agg(F.sum(F.length("value")).alias("n_chars"))
+
+
+def _listed_pages(spark, sf) -> DataFrame:
+    """``pages`` as a file listing: a page's URL is its path, its HTML its bytes."""
+    pages = table(spark, sf, "pages")
+    name = F.element_at(F.split("url", "/"), -1)
+    return pages.select(F.col("url").alias("path"), name.alias("file_name"), F.octet_length("html").cast("bigint").alias("length"))
 
 
 def q_ingest_manifest(spark, sf):
-    files = list_files(spark, sf, glob="*.parquet")
-    return ingest_manifest(files, "test_local", raw_root="raw-zone")
+    m = ingest_manifest(_listed_pages(spark, sf), "test_local", raw_root="raw-zone")
+    return m.withColumn("file_size_mb", _r("file_size_mb"))
 
 
 def q_pick_csv_file(spark, sf):
-    return select_input_file(list_files(spark, sf, glob="*.parquet"), preferred="orders.parquet").select("file_name", "length")
+    """Two picks from one listing: by a name that is listed, and by one that is not."""
+    files = _listed_pages(spark, sf)
+    named = select_input_file(files, PICK_NAME).select(F.lit("named").alias("pick"), "*")
+    return named.unionByName(select_input_file(files, "no such file").select(F.lit("first").alias("pick"), "*"))
 
 
 def q_record_envelope(spark, sf):
     conv = table(spark, sf, "conversations")
-    env = envelope(conv, "conversations", "conv_id").drop("timestamp")
-    chars = conv.groupBy("conv_id").agg(F.sum(F.length("text")).alias("total_chars"))
-    return env.join(chars, "conv_id")
+    return envelope(conv, "conversations", "conv_id", more=[F.sum(F.length("text")).alias("total_chars")]).drop("timestamp")
+
+
+def q_enveloped_records(spark, sf):
+    """Every record with its header fields, through the JSON sink; a seventh of
+    the conversations have no key."""
+    conv = table(spark, sf, "conversations")
+    keyed = conv.withColumn("batch", F.when(F.col("conv_id") % 7 != 0, F.col("conv_id")))
+    path = write_envelope_json(keyed.select("batch", "conv_id", "turn", "text"), scratch_path(spark, "json_zone"), "conversations", "batch", metadata={"dataset": "chats"})
+    back = spark.read.schema("batch bigint, conv_id bigint, turn bigint, text string, source string, record_count bigint, dataset string").json(path)
+    return back.select("batch", "conv_id", "turn", F.length("text").alias("n_chars"), "source", "record_count", "dataset")
 
 
 def q_split_s3_uri(spark, sf):
@@ -313,9 +369,16 @@ def q_score_posts(spark, sf):
     return _score_cols(_scored_documents(spark, sf))
 
 
+def q_score_posts_truncated(spark, sf):
+    """Texts of more than the model's tokens, scored on the first of them."""
+    docs = nonblank_text(table(spark, sf, "documents").select("doc_id", "text"))
+    long = docs.where(F.size(F.split("text", r"\s+")) > MAX_TOKENS)
+    return _score_cols(score_posts(long, LetterShareScorer(max_tokens=MAX_TOKENS), "text"))
+
+
 def q_score_batches(spark, sf):
     docs = nonblank_text(table(spark, sf, "documents").select("doc_id", "text"))
-    x = score_batches(docs, letter_share_factory(), batch_size=32)
+    x = score_batches(docs, letter_share_factory(), batch_size=32, max_tokens=None)
     return x.select("doc_id", *[_r(F.get(F.col(LOGITS), i)).alias(f"l{i}") for i in range(3)])
 
 
@@ -325,8 +388,8 @@ def q_softmax_probs(spark, sf):
     x = e.select("vec_id", p.alias("p"))
     return x.select(
         "vec_id",
-        (F.array_position("p", F.array_max("p")) - 1).cast("int").alias("argmax"),
-        _r(F.array_max("p")).alias("confidence"),
+        argmax("p").alias("argmax"),
+        _r(confidence("p")).alias("confidence"),
         _r(F.aggregate("p", F.lit(0.0), lambda a, v: a + v)).alias("prob_sum"),
     )
 
@@ -337,9 +400,11 @@ def q_label_distribution(spark, sf):
 
 
 def q_sentiment_report(spark, sf):
+    """The sentiment job, and the distribution of the labels in the file it wrote."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    sampled = nonblank_text(sample_exact(docs, SAMPLE_N, ["doc_id"]))
-    d = label_distribution(score_posts(sampled, LetterShareScorer(), "text"), "sentiment")
+    path = scratch_path(spark, "sentiment_report")
+    sentiment_job(spark, None, LetterShareScorer(), path, SAMPLE_N, id_cols=["doc_id"], source=docs)
+    d = label_distribution(read_posts_csv(spark, path), "sentiment")
     return d.select("sentiment", "count", _r("percent").alias("percent"))
 
 
@@ -361,67 +426,39 @@ def q_pseudo_acceptance(spark, sf):
 
 
 def q_combine_train(spark, sf):
-    s = _split(spark, sf)
-    train = s.filter("is_train")
-    pseudo = pseudo_label(_unlabelled_ready(spark, sf), LetterShareScorer(), THRESHOLD)
-    t = train.select("doc_id", "text", "label_id", F.lit("train").alias("origin"))
-    p = pseudo.select("doc_id", "text", "label_id", F.lit("pseudo").alias("origin"))
-    return t.unionByName(p).select("doc_id", "label_id", "origin")
+    train = _split(spark, sf).where("is_train").withColumn("origin", F.lit("train"))
+    pseudo = pseudo_label(_unlabelled_ready(spark, sf), LetterShareScorer(), THRESHOLD).withColumn("origin", F.lit("pseudo"))
+    return combine_train(train, pseudo, None, ["doc_id", "origin"]).select("doc_id", "label_id", "origin")
 
 
-def _val_scored(spark, sf) -> DataFrame:
-    val = _split(spark, sf).filter(~F.col("is_train"))
-    x = val.withColumn("__m", model_text("text"))
-    return LetterShareScorer().add_logits(x, "__m")
+def _val_report(spark, sf, batch_size: int = TRAIN_BATCH_SIZE) -> DataFrame:
+    val = _split(spark, sf).where(~F.col("is_train"))
+    return eval_report(evaluation_rows(LetterShareScorer(), val), LOGITS, "label_id", order_key(["doc_id"]), batch_size)
 
 
 def q_eval_accuracy(spark, sf):
-    x = _val_scored(spark, sf)
-    l = F.col(LOGITS)
-    ok = ((F.array_position(l, F.array_max(l)) - 1).cast("int") == F.col("label_id")).cast("int")
-    return x.agg(F.count(F.lit(1)).alias("n"), _r(F.avg(ok)).alias("accuracy"))
+    return _val_report(spark, sf).select("n", _r("accuracy").alias("accuracy"))
 
 
-def q_eval_cross_entropy(spark, sf, batch_size: int = 4):
-    x = _val_scored(spark, sf).select(
-        cross_entropy(F.col(LOGITS), F.col("label_id")).alias("ce"), order_key(["doc_id"]).alias("ord")
-    )
-    n = x.count()
-    rem = n % batch_size
-    tail = x.orderBy(F.desc("ord")).limit(rem).agg(F.sum("ce")).first()[0] if rem else 0.0
-    nb = -(-n // batch_size)
-    agg = x.agg(F.count(F.lit(1)).alias("n"), F.sum("ce").alias("s"), F.avg("ce").alias("loss"))
-    if rem:
-        bm = ((F.col("s") - F.lit(tail)) / F.lit(batch_size) + F.lit(tail) / F.lit(rem)) / F.lit(nb)
-    else:
-        bm = F.col("loss")
-    return agg.select("n", _r("loss").alias("loss"), _r(bm).alias("loss_batch_mean"))
+def q_eval_cross_entropy(spark, sf):
+    return _val_report(spark, sf).select("n", _r("loss").alias("loss"), _r("loss_batch_mean").alias("loss_batch_mean"))
 
 
 def q_self_train_round(spark, sf):
-    """One round's bookkeeping (A1 + A4 + U1) as a single aggregate over the
-    tagged union of its inputs: one job with map-side partial counts."""
-    lab = prepare_labelled(labelled(spark, sf))
-    s = stratified_split(lab.select("doc_id", "text", "label_id"), "label_id", ["doc_id"])
-    unl = _unlabelled_ready(spark, sf)
-    pseudo = pseudo_label(unl, LetterShareScorer(), THRESHOLD)
-    combined = combine_train(s.filter("is_train"), pseudo)
-    none = F.lit(None).cast("boolean")
-    tagged = (
-        unl.select(F.lit("u").alias("t"), none.alias("is_train"))
-        .unionByName(pseudo.select(F.lit("p").alias("t"), none.alias("is_train")))
-        .unionByName(s.select(F.lit("s").alias("t"), "is_train"))
-        .unionByName(combined.select(F.lit("c").alias("t"), none.alias("is_train")))
+    """One round's counts (A1 + A4 + U1): the unlabelled rows scored once and
+    flagged, the split once, and one aggregate over both."""
+    split = _split(spark, sf).select(F.col("is_train"), F.lit(None).cast("boolean").alias("accepted"))
+    model_input = _unlabelled_ready(spark, sf).withColumn("__m", model_text("text"))
+    scored = score_posts(model_input, LetterShareScorer(), "__m")
+    flagged = scored.select(F.lit(None).cast("boolean").alias("is_train"), (F.col("confidence") >= THRESHOLD).alias("accepted"))
+    c = split.unionByName(flagged).agg(
+        F.count("accepted").alias("unlabelled"),
+        F.count_if("accepted").alias("pseudo"),
+        F.count_if("is_train").alias("train"),
+        F.count_if(F.coalesce("is_train", "accepted") & (F.col("is_train").isNotNull() | F.col("accepted"))).alias("combined"),
+        F.count_if(~F.col("is_train")).alias("validation"),
     )
-    tag = F.col("t")
-    c = tagged.agg(
-        F.count_if(tag == "u").alias("unlabelled"),
-        F.count_if(tag == "p").alias("pseudo"),
-        F.count_if((tag == "s") & F.col("is_train")).alias("train"),
-        F.count_if(tag == "c").alias("combined"),
-        F.count_if((tag == "s") & ~F.col("is_train")).alias("validation"),
-    )
-    pct = F.when(F.col("unlabelled") == 0, F.lit(0.0)).otherwise(F.col("pseudo") * F.lit(100.0) / F.col("unlabelled"))
+    pct = F.coalesce(F.try_divide(F.col("pseudo") * F.lit(100.0), F.col("unlabelled")), F.lit(0.0))
     return c.select(
         F.lit(1).alias("step"),
         F.lit(THRESHOLD).cast("double").alias("threshold"),
@@ -435,29 +472,33 @@ def q_self_train_round(spark, sf):
 
 
 def q_train_predict(spark, sf):
+    """The student on its own training rows. Where free intercepts are at their
+    best, the mean chance of each class is that class's share of the rows."""
     s = _split(spark, sf)
-    model = train_classifier(s.filter("is_train"), "text", "label_id", max_iter=30)
-    val = s.filter(~F.col("is_train")).select("doc_id", "text", "label_id")
-    return score_posts(val, model, "text").select("doc_id", "label_id", "sentiment_id", _r("confidence").alias("confidence"))
+    train = s.where("is_train").select("doc_id", "text", "label_id")
+    model = train_classifier(train, "text", "label_id", max_iter=60)
+    names = [ID_TO_LABEL[i] for i in sorted(ID_TO_LABEL)]
+    scored = score_posts(train, model, "text")
+    each = F.explode(F.array(*(
+        F.struct(F.lit(i).alias("label_id"), F.lit(n).alias("sentiment"), F.col(f"{n}_prob").alias("p"), (F.col("label_id") == i).cast("int").alias("own"))
+        for i, n in enumerate(names))))
+    by = scored.select(each.alias("e")).groupBy("e.label_id", "e.sentiment")
+    near = F.abs(F.avg("e.p") - F.avg("e.own")) < 1e-3
+    return by.agg(F.sum("e.own").alias("n_train"), near.alias("mean_is_share"))
 
 
 def q_self_train_best(spark, sf):
-    res = self_train(
-        labelled(spark, sf),
-        unlabelled(spark, sf),
-        iterations=2,
-        teacher=LetterShareScorer(),
-        output_dir=scratch_path(spark, "best_model"),
-        max_iter=30,
-    )
-    m = res.metrics
-    from pyspark.sql import Window
-
-    best = F.min_by("step", F.struct("val_loss", "step")).over(Window.partitionBy(F.lit(0)))
-    return m.withColumn("best_step", best).select(
-        "step", "threshold", "pseudo", "combined", _r("val_loss").alias("val_loss"),
-        _r("val_accuracy").alias("val_accuracy"), (F.col("step") == F.col("best_step")).alias("is_best"),
-    )
+    """One round of the loop with the test teacher: its counts, that it is the
+    best one, and that the saved model scores as the one in hand."""
+    path = scratch_path(spark, "best_model")
+    res = self_train(labelled(spark, sf), unlabelled(spark, sf), threshold=THRESHOLD, iterations=1, teacher=LetterShareScorer(), output_dir=path, max_iter=15)
+    docs = table(spark, sf, "documents").select("text")
+    both = load_model(path).add_logits(res.scorer.add_logits(docs, "text", "__kept"), "text", "__loaded")
+    same = both.agg(F.count_if(~F.col("__kept").eqNullSafe(F.col("__loaded"))).alias("differ")).select(F.lit(1).alias("step"), (F.col("differ") == 0).alias("same_after_load"))
+    best = best_step(res.metrics).select(F.col("best_step").alias("step"))
+    m = res.metrics.join(best, "step").join(same, "step")
+    finite = (F.col("train_loss") < 1e6) & (F.col("val_loss") < 1e6) & F.col("train_accuracy").between(0, 1) & F.col("val_accuracy").between(0, 1)
+    return m.select("step", "threshold", "unlabelled", "pseudo", "train", "combined", "validation", finite.alias("finite_metrics"), "same_after_load")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -486,6 +527,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_manifest": q_ingest_manifest,
     "pick_csv_file": q_pick_csv_file,
     "record_envelope": q_record_envelope,
+    "enveloped_records": q_enveloped_records,
     "split_s3_uri": q_split_s3_uri,
     "run_key_format": q_run_key_format,
     # labels, sampling, splitting, counts
@@ -498,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_counts": q_stage_counts,
     # scoring and self-training
     "score_posts": q_score_posts,
+    "score_posts_truncated": q_score_posts_truncated,
     "score_batches": q_score_batches,
     "softmax_probs": q_softmax_probs,
     "label_distribution": q_label_distribution,

@@ -78,17 +78,17 @@ where not exists (select 1 from labels l where l.doc_id = d.doc_id)
 """
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", partitions)
 
 
-def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_posts(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """All-string raw posts, one scan of ``documents``.
 
     The repost copy is produced by ``explode`` on a per-row array instead of a
     join with a two-row table, so the plan is a single narrow stage.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", partitions)
     return spark.sql(
         f"""
         select {RAW_POSTS_SELECT}
@@ -104,22 +104,22 @@ def raw_posts_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_posts(spark, sf_dir).withColumn("post_id", F.col("post_id").cast("string"))
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """``doc_id, text, sentiment`` for every labelled document.
 
     A shuffle join on ``doc_id`` at scale; Catalyst/AQE broadcasts ``labels``
     only when its measured size is under the broadcast threshold.
     """
     lab = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", partitions).select("doc_id", "text")
     sentiment = (
         F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
     )
     return lab.join(docs, "doc_id").select("doc_id", "text", sentiment.alias("sentiment"))
 
 
-def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unlabelled(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """``doc_id, text`` of documents without a label (left anti join)."""
     lab = table(spark, sf_dir, "labels").select("doc_id")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", partitions).select("doc_id", "text")
     return docs.join(lab, "doc_id", "left_anti")

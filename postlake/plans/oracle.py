@@ -1,10 +1,4 @@
-"""DuckDB oracle SQL for the registered queries (same column names/values).
-
-Queries whose result depends on files Spark itself writes or lists
-(``whole_text_read``, ``ingest_manifest``, ``pick_csv_file``) and those that
-fit a model (``train_predict``, ``self_train_best``) have no entry: they get
-the driver's rows-only check and unit tests against brute force instead.
-"""
+"""DuckDB oracle SQL for the registered queries (same column names/values)."""
 
 from __future__ import annotations
 
@@ -118,7 +112,7 @@ q1 as (select cc.label_id, (cc.n * tot.n_train) // tot.total as fl, (cc.n * tot.
 q2 as (select *, row_number() over (order by rem desc, label_id) as rr, n_train - sum(fl) over () as extra from q1),
 quota as (select label_id, fl + case when rr <= extra then 1 else 0 end as qt from q2),
 ranked as (select labk.*, row_number() over (partition by label_id
-             order by md5(concat('42', ':', cast(doc_id as varchar))), doc_id) as rk from labk),
+             order by md5(concat('42:', length(cast(doc_id as varchar)), ':', cast(doc_id as varchar))), doc_id) as rk from labk),
 split as (select ranked.*, ranked.rk <= quota.qt as is_train from ranked join quota on ranked.label_id = quota.label_id)"""
 
 UNL_READY = f"""{UNL},
@@ -139,6 +133,8 @@ def scored(src: str, text: str, name: str = "sc") -> str:
 
 SENT = "case sid when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end"
 
+FILES = """files as (select url as path, split_part(url, '/', -1) as file_name, octet_length(encode(html)) as length from pages)"""
+
 DOCS_OK = f"docs_ok as (select doc_id, text from documents where not {blank('text')})"
 
 PSEUDO = f"""{UNL_READY},
@@ -157,7 +153,7 @@ val_m as (select doc_id, label_id, {strip('text')} as m from split where not is_
 val_ce as (select doc_id, label_id, sid,
   greatest(l0, l1, l2) + ln(exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2)))
   - case label_id when 0 then l0 when 1 then l1 else l2 end as ce,
-  md5(concat('42', ':', cast(doc_id as varchar))) as ord from vs)"""
+  md5(concat('42:', length(cast(doc_id as varchar)), ':', cast(doc_id as varchar))) as ord from vs)"""
 
 
 ORACLE: dict[str, str] = {
@@ -178,7 +174,21 @@ ORACLE: dict[str, str] = {
     "dedup_posts": f"with {RAW}, {TYPED}, {CLEAN} select post_id, user_name, tweet_ts, text_clean from clean",
     "csv_scan_multiline": f"with {RAW} select {RAW_SELECT} from raw_posts",
     "csv_scan_na_tokens": f"with {LAB} select doc_id, text, sentiment from lab",
-    "land_raw_rows": f"with {RAW} select {RAW_SELECT} from raw_posts",
+    "land_raw_rows": f"""with {RAW}, ragged as (select cast(post_id as varchar) as id, source, post_id % 3 as kind,
+          case post_id % 3 when 0 then concat_ws(',', post_id, source, user_name, 'more') when 1 then cast(post_id as varchar) end as record
+        from raw_posts)
+        select {RAW_SELECT}, cast(null as varchar) as raw_record, true as has_file_size from raw_posts
+        union all select id, null, null, null, null, null, null, null, null, null, null, null,
+          case when kind <> 1 then source end, null, record, true from ragged""",
+    "whole_text_read": """select lang, cast(sum(length(text) + 1) as bigint) as n_chars from documents group by lang""",
+    "ingest_manifest": f"""with {FILES} select 'raw-zone/raw/' || file_name as location, 'test_local' as source, file_name,
+        replace(file_name, '.csv', '') as dataset, round(length / 1048576.0, 6) as file_size_mb, cast(null as varchar) as source_uri from files""",
+    "pick_csv_file": f"""with {FILES}
+        select * from (select 'named' as pick, * from files order by file_name <> '960', path, length limit 1)
+        union all select * from (select 'first' as pick, * from files order by path, length limit 1)""",
+    "enveloped_records": """with k as (select case when conv_id % 7 <> 0 then conv_id end as batch, * from conversations)
+        select batch, conv_id, turn, length(text) as n_chars, 'conversations' as source,
+          count(*) over (partition by batch) as record_count, 'chats' as dataset from k""",
     "write_partitioned_roundtrip": f"with {RAW}, {TYPED}, {CLEAN} select {CLEAN_SELECT} from clean",
     "partition_pruned_read": f"""with {RAW}, {TYPED}, {CLEAN} select {CLEAN_SELECT} from clean
         where tweet_date between date '2021-03-01' and date '2021-06-30'""",
@@ -204,7 +214,7 @@ ORACLE: dict[str, str] = {
         array_to_string(regexp_split_to_array(text, '\s+')[1:512], ' ') as model_input from documents""",
     "nonblank_text": f"select doc_id, n_chars from documents where not {blank('text')}",
     "sample_exact": """select doc_id, lang, source from documents
-        order by md5(concat('42', ':', cast(doc_id as varchar))), doc_id limit 500""",
+        order by md5(concat('42:', length(cast(doc_id as varchar)), ':', cast(doc_id as varchar))), doc_id limit 500""",
     "stratified_split": f"""with {SPLIT}
         select doc_id, sentiment, case when is_train then 'train' else 'val' end as split from split""",
     "stage_counts": f"""select count(*) as total, count(*) filter (where not {blank('d.text')}) as valid_text,
@@ -214,6 +224,12 @@ ORACLE: dict[str, str] = {
     "score_posts": f"""with {DOCS_OK}, {scored('docs_ok', 'text')}
         select doc_id, {SENT} as sentiment, sid as sentiment_id, round(conf, 6) as confidence,
         round(p0, 6) as negative_prob, round(p1, 6) as neutral_prob, round(p2, 6) as positive_prob from sc""",
+    "score_posts_truncated": f"""with {DOCS_OK},
+        clipped as (select doc_id, array_to_string(regexp_split_to_array(text, '\\s+')[1:512], ' ') as text from docs_ok
+          where len(regexp_split_to_array(text, '\\s+')) > 512),
+        {scored('clipped', 'text')}
+        select doc_id, {SENT} as sentiment, sid as sentiment_id, round(conf, 6) as confidence,
+        round(p0, 6) as negative_prob, round(p1, 6) as neutral_prob, round(p2, 6) as positive_prob from sc""",
     "score_batches": f"""with {DOCS_OK}, {scored('docs_ok', 'text')}
         select doc_id, round(l0, 6) as l0, round(l1, 6) as l1, round(l2, 6) as l2 from sc""",
     "softmax_probs": """with e as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as l from embeddings),
@@ -225,7 +241,7 @@ ORACLE: dict[str, str] = {
         d as (select {SENT} as sentiment, count(*) as count from sc group by 1)
         select sentiment, count, round(count * 100.0 / sum(count) over (), 6) as percent from d""",
     "sentiment_report": f"""with smp as (select doc_id, text from documents
-          order by md5(concat('42', ':', cast(doc_id as varchar))), doc_id limit 500),
+          order by md5(concat('42:', length(cast(doc_id as varchar)), ':', cast(doc_id as varchar))), doc_id limit 500),
         ok as (select * from smp where not {blank('text')}),
         {scored('ok', 'text')},
         d as (select {SENT} as sentiment, count(*) as count from sc group by 1)
@@ -255,4 +271,13 @@ ORACLE: dict[str, str] = {
         select 1 as step, cast(0.9 as double) as threshold, unlabelled, pseudo,
           round(case when unlabelled = 0 then 0.0 else pseudo * 100.0 / unlabelled end, 6) as pseudo_percent,
           train, train + pseudo as combined, validation from c""",
+    # at the optimum of a model with free intercepts the mean chances are the class shares
+    "train_predict": f"""with {SPLIT} select l.label_id, l.sentiment, count(*) filter (where s.is_train and s.label_id = l.label_id) as n_train,
+        true as mean_is_share
+        from (values (0, 'negative'), (1, 'neutral'), (2, 'positive')) l(label_id, sentiment), split s group by all""",
+    "self_train_best": f"""with {SPLIT}, {PSEUDO}
+        select 1 as step, cast(0.9 as double) as threshold, (select count(*) from unl_ready) as unlabelled,
+          (select count(*) from pseudo) as pseudo, (select count(*) from split where is_train) as train,
+          (select count(*) from pseudo) + (select count(*) from split where is_train) as combined,
+          (select count(*) from split where not is_train) as validation, true as finite_metrics, true as same_after_load""",
 }

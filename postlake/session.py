@@ -7,11 +7,10 @@ place that decides where intermediate tables and checkpoints live.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -79,18 +78,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``).
-
-    Used where a driver loop would otherwise grow the plan round after round,
-    and where recomputation after a lost executor would be expensive.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return int(os.cpu_count() or 8)
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that ``scratch_path`` named."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from ..functions.constants import PANDAS_NA_VALUES
 from ..functions.text import is_blank
-from ..session import default_parallelism
 
 
 def csv_options(multiline: bool = True) -> dict[str, str]:
@@ -36,44 +35,23 @@ def read_posts_csv(
 ) -> DataFrame:
     """Every column as a string, no type inference.
 
-    A multi-line CSV file cannot be split, so the scan has one task per file.
-    With ``rebalance`` and fewer files than cores, the rows are spread
-    round-robin right after the scan so the expensive per-row work that
-    follows runs on the whole cluster (one extra exchange of raw rows; not
-    done when there are enough files already).
+    A multi-line CSV file cannot be split, so the scan has one task per file
+    whatever its size. ``rebalance`` deals its rows out again in partitions of
+    the advisory size (adaptive execution sizes them by the data), so that the
+    per-row work that follows does not stay in those tasks.
     """
     reader = spark.read.options(**csv_options(multiline))
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     df = reader.csv(path if isinstance(path, str) else list(path))
-    return spread(df) if rebalance and multiline else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows of an under-parallel scan over the cluster's cores.
-
-    A scan yields one task per file split (Parquet: per row group, CSV with
-    multi-line records: per file). An input made of a few large files or a
-    single row group would run all the per-row work that follows (regexes,
-    scoring, tokenising) on a handful of cores. When the scan has fewer
-    partitions than the cluster has cores, the rows are spread right after it
-    (one exchange of the scanned columns only: pruning and pushed filters still
-    reach the scan). A scan with enough splits, i.e. any table at cluster
-    scale, is returned unchanged, so no shuffle is added there; when it does
-    trigger, the data moved is less than one wave of file splits (fewer
-    splits than cores, each at most ``spark.sql.files.maxPartitionBytes``).
-    Spark sorts each map task's rows before a round-robin exchange, so a
-    retried task sends every row to the same place again.
-    """
-    par = default_parallelism(df.sparkSession)
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    return df.hint("rebalance") if rebalance and multiline else df
 
 
-def read_table(spark: SparkSession, path: str | Sequence[str], rebalance: bool = True) -> DataFrame:
-    """Parquet input table; spread over the cores when the files have too
-    few row groups to keep them busy (see ``spread``)."""
+def read_table(spark: SparkSession, path: str | Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Parquet input table, in its file splits. ``partitions`` deals the rows
+    out to so many, for a table of few row groups and much work per row."""
     df = spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
-    return spread(df) if rebalance else df
+    return df.repartition(partitions) if partitions else df
 
 
 def na_to_null(df: DataFrame, na_values: Sequence[str] = PANDAS_NA_VALUES, columns: Sequence[str] | None = None) -> DataFrame:

@@ -7,12 +7,11 @@ Streaming over the landing folder, so each new file is cleaned once:
 * the parse, cast, text and hashtag expressions are the batch ones
   (stateless, they run unchanged on a streaming DataFrame);
 * the global dedup is a streaming ``dropDuplicates`` on the same keys (the
-  first arriving row survives). By default it is exact across all batches,
-  with one state entry per key (use the RocksDB state store for large
-  tables). ``dedup_window`` bounds the state instead: the watermark is then on
-  the *arrival* time, which only grows, so no post is ever dropped as late
-  (an event-time watermark on ``tweet_ts`` would drop old posts landing in a
-  later file); only duplicates arriving further apart than the window stay;
+  first arriving row survives), exact across all batches: one state entry per
+  key is kept (use the RocksDB state store for large tables);
+* the caller names the checkpoint folder. It holds what has been read and
+  which keys were seen; a run with another folder would not know the files
+  that the sink has already committed;
 * the sink is the date-partitioned Parquet table, written by the file sink
   with its own commit log under the checkpoint folder (exactly-once across
   restarts and lost executors).
@@ -23,13 +22,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.constants import CLEAN_COLUMNS, DEDUP_KEYS
 from ..operators.clean import nonnegative_counts, typed_posts, valid_posts
-from ..session import scratch_path
 from ..sources.readers import csv_options
 
 
@@ -37,7 +34,6 @@ def clean_stream_frame(
     spark: SparkSession,
     input_dir: str,
     columns: Sequence[str],
-    dedup_window: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of clean posts from CSV files landing in ``input_dir``."""
@@ -51,15 +47,7 @@ def clean_stream_frame(
     keys = [c for c in DEDUP_KEYS if c in typed.columns]
     x = typed.select(*out_cols)
     if len(keys) >= 2:
-        if dedup_window:
-            x = (
-                x.withColumn("__arrived", F.current_timestamp())
-                .withWatermark("__arrived", dedup_window)
-                .dropDuplicatesWithinWatermark(keys)
-                .drop("__arrived")
-            )
-        else:
-            x = x.dropDuplicates(keys)
+        x = x.dropDuplicates(keys)
     return x
 
 
@@ -68,19 +56,19 @@ def start_clean_stream(
     input_dir: str,
     output_path: str,
     columns: Sequence[str],
-    checkpoint: str | None = None,
-    dedup_window: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental clean job. ``available_now`` processes what has
     landed and stops (a scheduled run); otherwise it keeps running with
     ``processing_time`` triggers."""
-    df = clean_stream_frame(spark, input_dir, columns, dedup_window)
-    ckpt = checkpoint or scratch_path(spark, "clean_stream_ckpt")
+    if not checkpoint:
+        raise ValueError("a stream needs the same checkpoint folder on every run")
+    df = clean_stream_frame(spark, input_dir, columns)
     w = (
         df.writeStream.format("parquet")
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .partitionBy("tweet_date")
         .outputMode("append")
     )

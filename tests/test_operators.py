@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from postlake.operators.clean import clean_posts, dedup_posts, typed_posts
-from postlake.operators.metrics import acceptance, best_step, eval_metrics, label_distribution
-from postlake.operators.sampling import approximate_mode, rank_cutoff, sample_exact, split_quotas, stratified_split
+from postlake.operators.metrics import acceptance, best_step, eval_metrics, eval_report, label_distribution
+from postlake.operators.sampling import approximate_mode, first_in_order, order_key, sample_exact, split_quotas, stratified_split
 from postlake.operators.scoring import (
     LOGITS,
     BatchScorer,
@@ -23,7 +23,7 @@ from postlake.plans.fixtures import labelled, raw_posts, table
 
 
 def md5_order(ids, seed=42):
-    return sorted(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
+    return sorted(ids, key=lambda i: hashlib.md5(f"{seed}:{len(str(i))}:{i}".encode()).hexdigest())
 
 
 def test_clean_posts_counts(spark):
@@ -65,19 +65,16 @@ def test_sample_exact_brute_force(spark):
     docs = table(spark, SF_SMALL, "documents")
     ids = [r[0] for r in docs.select("doc_id").collect()]
     for n in (1, 37, 150):
-        for limit in (2_000_000, 5):
-            got = sorted(r[0] for r in sample_exact(docs, n, ["doc_id"], rank_limit=limit).select("doc_id").collect())
-            assert got == sorted(md5_order(ids)[:n])
+        got = sorted(r[0] for r in sample_exact(docs, n, ["doc_id"]).select("doc_id").collect())
+        assert got == sorted(md5_order(ids)[:n])
     assert sample_exact(docs, 10_000, ["doc_id"]).count() == len(ids)
     assert sample_exact(docs, None, ["doc_id"]).count() == len(ids)
 
 
-def test_rank_cutoff_groups_match_window(spark):
+def test_first_in_order_by_group(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "lang")
-    from postlake.operators.sampling import order_key
-
     quotas = {"en": 17, "fr": 3, "de": 0, "es": 1000}
-    got = rank_cutoff(docs, order_key(["doc_id"]), ["doc_id"], quotas, "lang", rank_limit=4)
+    got = first_in_order(docs, ["doc_id"], quotas, "lang")
     exp = {}
     for lang, ids in docs.groupBy("lang").agg(F.collect_list("doc_id")).collect():
         exp[lang] = sorted(md5_order(ids)[: quotas.get(lang, 0)])
@@ -105,10 +102,6 @@ def test_stratified_split_sizes(spark):
     }
     n_val = sum(v for (s, t), v in sizes.items() if not t)
     assert n_val == math.ceil(0.2 * 399)
-    small = stratified_split(lab, "sentiment", ["doc_id"], rank_limit=7)
-    a = {tuple(r) for r in sp.select("doc_id", "is_train").collect()}
-    b = {tuple(r) for r in small.select("doc_id", "is_train").collect()}
-    assert a == b
 
 
 def test_threshold_schedule():
@@ -120,7 +113,7 @@ def test_threshold_schedule():
 def test_scorers_agree_and_probs_sum_to_one(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
     a = score_posts(docs, LetterShareScorer(), "text")
-    b = score_posts(docs, BatchScorer(letter_share_factory(), batch_size=7), "text")
+    b = score_posts(docs, BatchScorer(letter_share_factory(), batch_size=7, max_tokens=None), "text")
     ra = {r.doc_id: r for r in a.collect()}
     rb = {r.doc_id: r for r in b.collect()}
     assert ra.keys() == rb.keys()
@@ -154,8 +147,6 @@ def test_distribution_and_acceptance(spark):
 def test_eval_metrics_batch_mean(spark):
     rows = [(i, [float(i % 3), 0.0, 1.0], i % 3) for i in range(10)]
     df = spark.createDataFrame(rows, "doc_id long, l array<double>, y int")
-    from postlake.operators.sampling import order_key
-
     m = eval_metrics(df, "l", "y", order_key(["doc_id"]), batch_size=4)
     import numpy as np
 
@@ -177,14 +168,99 @@ def test_best_step_first_on_ties(spark):
     assert best_step(m).first().best_step == 2
 
 
-def test_train_partitions_follow_tokens_not_rows(spark):
-    from postlake.operators.training import aggregation_depth, train_partitions
+def test_train_partitions_follow_the_data():
+    from postlake.operators.training import train_partitions
+
+    assert train_partitions(8_000) == 1  # few short rows: one dense gradient
+    assert train_partitions(8_000, 3_300_000) == 4  # long documents
+    assert train_partitions(10**9, 3 * 10**10) == 30_000
+
+
+def slow_first(rows, ids, n, seed=42):
+    """The first n rows by (hash of the ids, hash of the row), in Python."""
+    import json
+
+    def key(r):
+        parts = "".join(":-" if r[c] is None else f":{len(str(r[c]))}:{r[c]}" for c in ids)
+        body = json.dumps({k: v for k, v in r.items() if v is not None}, separators=(",", ":"))
+        return hashlib.md5(f"{seed}{parts}".encode()).hexdigest(), hashlib.md5(f"{seed}:{body}".encode()).hexdigest()
+
+    return sorted(rows, key=key)[:n]
+
+
+def test_ids_that_collide_when_joined_and_null_ids_keep_one_order(spark):
+    """One order whatever the size: more than any limit that was, and less."""
+    for copies in (3, 400):
+        rows = [dict(a=a, b=b, v=v) for a, b in (("a:b", "c"), ("a", "b:c"), (None, "x"), ("", "x"), ("-", "x"), (None, None)) for v in range(copies)]
+        df = spark.createDataFrame([tuple(r.values()) for r in rows], "a string, b string, v long")
+        keys = df.select(order_key(["a", "b"]).alias("k")).distinct().count()
+        assert keys == 6
+        for n in (1, copies - 1, copies, 2 * copies + 1, len(rows) - 1):
+            got = sorted(map(str, (tuple(r) for r in sample_exact(df, n, ["a", "b"]).collect())))
+            assert got == sorted(str(tuple(r.values())) for r in slow_first(rows, ["a", "b"], n))
+
+
+def test_equal_rows_at_the_cut_are_repeated_exactly(spark):
+    from collections import Counter
+
+    from postlake.operators import sampling
+
+    df = spark.createDataFrame([(7, "x", 1)] * 25_000 + [(i, "y", 0) for i in range(100, 150)], "doc_id long, t string, y int")
+    for n in (1, 12_345, 24_999, 25_020):
+        got = Counter(tuple(r) for r in sample_exact(df, n, ["doc_id"]).collect())
+        assert sum(got.values()) == n
+        assert got == Counter(tuple(r.values()) for r in slow_first([dict(doc_id=7, t="x", y=1)] * 25_000 + [dict(doc_id=i, t="y", y=0) for i in range(100, 150)], ["doc_id"], n))
+    flagged = sampling.first_in_order(df, ["doc_id"], {None: 12_345}, flag="f")
+    assert flagged.count() == 25_050 and flagged.where("f").count() == 12_345
+
+
+def test_a_column_of_many_values_is_no_class_column(spark, monkeypatch):
+    from postlake.operators import sampling
+
+    monkeypatch.setattr(sampling, "MAX_CLASSES", 5)
+    with pytest.raises(ValueError, match="class column"):
+        stratified_split(spark.range(20), "id", ["id"])
+
+
+def test_flag_takes_one_scan_and_no_union(spark):
+    plan = stratified_split(labelled(spark, SF_SMALL), "sentiment", ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "Window" not in plan
+
+
+def test_two_class_student_has_three_finite_chances(spark):
+    from postlake.operators.training import evaluate, load_model, save_model, train_classifier
+    from postlake.session import scratch_path
+
+    for labels in ((0, 1), (0, 2), (2,)):
+        rows = [(i, f"word{i % len(labels)} text", labels[i % len(labels)]) for i in range(40)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, label_id int")
+        model = train_classifier(df, "text", "label_id", max_iter=10)
+        path = scratch_path(spark, "two_class")
+        save_model(model, path)
+        for m in (model, load_model(path)):
+            out = score_posts(df, m, "text").collect()
+            for r in out:
+                p = [r.negative_prob, r.neutral_prob, r.positive_prob]
+                assert all(math.isfinite(x) for x in p) and abs(sum(p) - 1) < 1e-9
+                assert r.sentiment_id in labels and r.sentiment is not None
+        assert evaluate(model, df)["accuracy"] == 1.0
+
+
+def test_null_loss_is_an_error_not_the_best_loss(spark):
+    df = spark.createDataFrame([(1, [0.1, 0.2, 0.3], 1), (2, None, 0)], "doc_id long, l array<double>, y int")
+    with pytest.raises(ValueError, match="1 of 2"):
+        eval_metrics(df, "l", "y")
+    r = eval_report(df, "l", "y").first()
+    assert r.null_losses == 1 and r.loss is None
+    assert math.isnan(eval_metrics(df.limit(0), "l", "y")["loss"])
+
 
-    par = spark.sparkContext.defaultParallelism
-    assert train_partitions(spark, 8_000) == 1  # few short rows: one dense gradient
-    assert train_partitions(spark, 8_000, 3_300_000) == min(par, 4)  # long documents
-    assert train_partitions(spark, 10**9, 10**12) == par  # never above parallelism
-    assert aggregation_depth(8) == 2 and aggregation_depth(5_000) == 3
+def test_scorers_with_a_token_limit_read_the_first_tokens(spark):
+    text = " ".join(["aaa"] * 5 + ["ooo"] * 50)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert score_posts(df, LetterShareScorer(), "text").first().sentiment_id == 2
+    assert score_posts(df, LetterShareScorer(max_tokens=5), "text").first().sentiment_id == 0
+    assert score_posts(df, BatchScorer(letter_share_factory(), max_tokens=5), "text").first().sentiment_id == 0
 
 
 def test_featurized_path_equals_text_path(spark):
@@ -208,10 +284,8 @@ def test_featurized_path_equals_text_path(spark):
 def test_sample_exact_boundaries_brute_force(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id")
     ids = [r.doc_id for r in docs.collect()]
-    order = sorted(ids, key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
     total = len(ids)
     for n in (1, total - 1, total, total + 5):
-        for limit in (50_000, 3):
-            got = sorted(r.doc_id for r in sample_exact(docs, n, ["doc_id"], rank_limit=limit).collect())
-            assert got == sorted(order[: min(n, total)]), (n, limit)
+        got = sorted(r.doc_id for r in sample_exact(docs, n, ["doc_id"]).collect())
+        assert got == sorted(md5_order(ids)[: min(n, total)]), n
     assert sample_exact(docs.filter("doc_id < 0"), 5, ["doc_id"]).count() == 0

@@ -19,7 +19,6 @@ from postlake.sources.readers import (
     read_text_csv,
     read_whole_text,
     require_columns,
-    spread,
 )
 from postlake.sources.writers import scored_path, write_scored
 
@@ -41,24 +40,74 @@ def test_csv_scan_edge_cases(spark):
     assert rows == [("1", 'x, "q"\nnext', "3"), ("4", "5", None), ("6", "7", "8")]
 
 
-def test_under_parallel_scan_is_spread(spark):
-    # the given tables are single-row-group files: one busy scan task
-    par = spark.sparkContext.defaultParallelism
-    raw = spark.read.parquet(f"{SF_MID}/documents.parquet")
+def test_table_scan_adds_no_exchange_unless_asked(spark):
     t = read_table(spark, f"{SF_MID}/documents.parquet")
-    assert raw.rdd.getNumPartitions() < par
-    assert t.rdd.getNumPartitions() == par
-    sizes = t.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-    assert len(sizes) == par
-    assert t.count() == raw.count()
-    assert sorted(r.doc_id for r in t.select("doc_id").collect()) == sorted(r.doc_id for r in raw.select("doc_id").collect())
-    # pruning and pushed filters still reach the scan below the exchange
     plan = t.filter(F.col("doc_id") > 10).select("doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(doc_id), GreaterThan(doc_id,10)]" in plan
-    assert "ReadSchema: struct<doc_id:bigint>" in plan
-    # an input that already has enough partitions is left alone (no exchange)
-    wide = spark.range(0, 1000, 1, par * 2)
-    assert spread(wide) is wide
+    assert "ReadSchema: struct<doc_id:bigint>" in plan and "Exchange" not in plan
+    wide = read_table(spark, f"{SF_MID}/documents.parquet", partitions=6)
+    assert wide.rdd.getNumPartitions() == 6 and wide.count() == t.count()
+
+
+def test_no_core_count_decides_a_plan():
+    import postlake
+
+    root = os.path.dirname(postlake.__file__)
+    sources = [os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py")]
+    assert not [p for p in sources if "defaultParallelism" in open(p).read() or "cpu_count" in open(p).read()]
+
+
+def test_landing_keeps_records_that_do_not_fit_the_header(spark):
+    from postlake.sources.ingest import RAW_FILE, RAW_FILE_SIZE, RAW_RECORD, land_raw
+
+    d = local(scratch_path(spark, "ragged"))
+    body = 'a,b\n1,2\n3,4,5,6\n7\n8,"x, ""y""\nz"\n'
+    write_text(f"{d}/r.csv", body)
+    rows = spark.read.parquet(land_raw(spark, f"{d}/r.csv", scratch_path(spark, "zone"))).orderBy("a").collect()
+    assert [(r.a, r.b, r[RAW_RECORD]) for r in rows] == [("1", "2", None), ("3", "4", "3,4,5,6"), ("7", None, "7"), ("8", 'x, "y"\nz', None)]
+    assert {(r[RAW_FILE], r[RAW_FILE_SIZE]) for r in rows} == {("r.csv", len(body))}
+
+
+def test_records_with_null_keys_stay_in_the_envelope(spark):
+    from postlake.sources.ingest import enveloped
+
+    df = spark.createDataFrame([(1, "a", "x"), (1, None, "y"), (None, "a", "z"), (None, None, "u"), (None, None, "w")], "k long, j string, v string")
+    got = {r.v: r.record_count for r in enveloped(df, "s", ["k", "j"]).collect()}
+    assert got == {"x": 1, "y": 1, "z": 1, "u": 2, "w": 2}
+
+
+def test_pick_from_a_listing_with_equal_paths_gives_one_row(spark):
+    from postlake.sources.ingest import select_input_file
+
+    files = spark.createDataFrame([("/b", "b", 2), ("/a", "a", 1), ("/a", "a", 1)], "path string, file_name string, length long")
+    assert [tuple(r) for r in select_input_file(files).collect()] == [("/a", "a", 1)]
+    assert [tuple(r) for r in select_input_file(files, "b").collect()] == [("/b", "b", 2)]
+    assert select_input_file(files.limit(0)).count() == 0
+
+
+def test_named_scorer_and_command_line(spark):
+    from postlake.plans.jobs import _parser, named_scorer
+
+    assert isinstance(named_scorer("postlake.operators.scoring:LetterShareScorer"), LetterShareScorer)
+    with pytest.raises(ValueError):
+        named_scorer("postlake.operators.scoring")
+    with pytest.raises(TypeError):
+        named_scorer("builtins:dict")
+    args = _parser().parse_args(["self-train", "-l", "a", "-u", "b", "--text-col", "text_clean", "--input-format", "parquet"])
+    assert args.unlabeled_size is None and args.text_col == "text_clean"
+    assert _parser().parse_args(["ingest", "--location", "x.csv", "--raw-root", "z"]).source == "test"
+
+
+def test_sentiment_job_on_the_clean_table_with_own_labels(spark):
+    from postlake.operators.clean import clean_posts
+    from postlake.plans.fixtures import raw_posts
+    from postlake.sources.writers import write_clean
+
+    out = scratch_path(spark, "clean_in")
+    write_clean(clean_posts(raw_posts(spark, SF_SMALL)), out)
+    scored, dist = sentiment_job(spark, out, LetterShareScorer(), scratch_path(spark, "s"), text_col="text_clean", id2label={0: "A", 1: "E", 2: "O"}, input_format="parquet")
+    assert {r.sentiment for r in dist.collect()} <= {"A", "E", "O"} and "A_prob" in scored.columns
+    assert scored.count() == read_clean(spark, out).count()
 
 
 def test_na_tokens_only_in_text_scans(spark):
@@ -204,7 +253,11 @@ def test_self_train_deterministic_and_saved(spark):
     assert len(ra) == 2
     for x, y in zip(ra, rb):
         assert x[:8] == y[:8]
-        assert x[8] == pytest.approx(y[8], rel=1e-6)
+        assert x[8:] == pytest.approx(y[8:], rel=1e-6)
+    for r in a.rounds:
+        assert r["combined"] == r["train"] + r["pseudo"]
+        assert 0 < r["train_loss"] < 50 and 0 <= r["train_accuracy"] <= 1
+    assert sum(a.label_counts.values()) == lab.count()
     assert [r["threshold"] for r in a.rounds] == pytest.approx([0.9, 0.92])
     assert a.rounds[0]["train"] + a.rounds[0]["validation"] == 87
     m = load_model(out)
@@ -236,7 +289,7 @@ def test_self_train_keep_best_and_exclude_labelled(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")  # labelled docs included
     res = self_train(
         lab, docs, iterations=2, teacher=LetterShareScorer(), max_iter=5,
-        keep="best", exclude_labelled=True, checkpoint_inputs=False,
+        keep="best", exclude_labelled=True,
     )
     n_lab = lab.count()
     assert all(r["unlabelled"] == docs.count() - n_lab for r in res.rounds)  # anti-join applied

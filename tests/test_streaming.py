@@ -1,5 +1,6 @@
 """Incremental clean job over landed files (Structured Streaming)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
@@ -7,7 +8,7 @@ from postlake.operators.clean import clean_posts
 from postlake.plans.fixtures import RAW_COLUMNS, raw_posts_strings
 from postlake.session import scratch_path
 from postlake.sources.writers import write_scored
-from postlake.streaming.clean_stream import run_once
+from postlake.streaming.clean_stream import run_once, start_clean_stream
 
 
 def test_incremental_clean_matches_batch(spark):
@@ -30,15 +31,8 @@ def test_incremental_clean_matches_batch(spark):
     assert total.select(*keys).exceptAll(batch.select(*keys)).count() == 0
 
 
-def test_windowed_dedup_drops_duplicates_arriving_within_the_window(spark):
-    raw = raw_posts_strings(spark, SF_MID)
-    land = scratch_path(spark, "landing_w")
-    out = scratch_path(spark, "stream_out_w")
-    ckpt = scratch_path(spark, "stream_ckpt_w")
-    write_scored(raw.filter(F.col("post_id").cast("long") < 1000000), f"{land}/part1")
-    run_once(spark, f"{land}/*", out, RAW_COLUMNS, ckpt, dedup_window="1 hour")
-    write_scored(raw.filter(F.col("post_id").cast("long") >= 1000000), f"{land}/part2")
-    run_once(spark, f"{land}/*", out, RAW_COLUMNS, ckpt, dedup_window="1 hour")
-    total = spark.read.parquet(out)
-    keys = ["user_name", "tweet_ts", "text_clean"]
-    assert total.count() == total.select(*keys).distinct().count() == 760  # no post dropped as late
+def test_a_stream_without_its_checkpoint_is_refused(spark):
+    with pytest.raises(ValueError):
+        start_clean_stream(spark, "/nowhere", "/nowhere/out", RAW_COLUMNS, "")
+    with pytest.raises(TypeError):
+        start_clean_stream(spark, "/nowhere", "/nowhere/out", RAW_COLUMNS)
