@@ -189,9 +189,11 @@ ABSENT_MARGIN = -1e6
 
 
 def known_margins(margins: Column, n_classes: int) -> Column:
-    """``n_classes`` logits from a model's margins; a class without one, or with
-    an infinite one, gets ``ABSENT_MARGIN``."""
-    return F.array(*(F.greatest(F.coalesce(F.get(margins, i), F.lit(ABSENT_MARGIN)), F.lit(ABSENT_MARGIN)) for i in range(n_classes)))
+    """``n_classes`` finite logits from a model's margins; a class without one
+    gets ``ABSENT_MARGIN``, the only class of the training rows (for which a
+    model's margin is infinite) at most its opposite."""
+    low, high = F.lit(ABSENT_MARGIN), F.lit(-ABSENT_MARGIN)
+    return F.array(*(F.least(F.greatest(F.coalesce(F.get(margins, i), low), low), high) for i in range(n_classes)))
 
 
 def _logits_of(transformed: DataFrame, cols: list[str], out_col: str, n_classes: int) -> DataFrame:
