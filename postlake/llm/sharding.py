@@ -14,8 +14,8 @@ their class by rank.
 
 Edge cases: null texts form one group, empty ones another; each row counts its
 UTF-8 bytes (null: none) plus 1. Repeated rows belong to one group and each take
-a slot. Null keys are carried along. An empty table gives no rows. A group
-larger than a bin should be sets the capacity. Other columns are not read.
+a slot. Null keys are carried along. An empty table gives no rows. A group that
+is larger than an even share has a bin to itself. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -127,7 +127,24 @@ def pack_classes(classes: list[tuple[int, int]], bins: int | None = None, capaci
         got = best_fit_decreasing(classes, max(capacity or 0, largest))
         assert got
         return got
-    low = max(largest, -(-sum(s * n for s, n in classes) // bins))
+    # a group above an even share of what is left has a bin to itself
+    left, alone = dict(classes), []
+    total = sum(s * n for s, n in classes)
+    for size in sorted(left, reverse=True):
+        while left[size] and len(alone) + 1 < bins and size * (bins - len(alone)) > total:
+            first = sum(r.count for r in alone if r.size == size)
+            alone.append(Run(size, first, 1, len(alone)))
+            left[size] -= 1
+            total -= size
+    rest = [(s, n) for s, n in left.items() if n]
+    runs, _ = _even(rest, bins - len(alone), total, slack) if rest else ([], 0)
+    taken = {r.size: sum(x.count for x in alone if x.size == r.size) for r in alone}
+    return alone + [Run(r.size, r.first + taken.get(r.size, 0), r.count, r.shard + len(alone)) for r in runs], bins
+
+
+def _even(classes: list[tuple[int, int]], bins: int, total: int, slack: int) -> tuple[list[Run], int]:
+    """Best-fit-decreasing into ``bins`` bins of the least capacity that does."""
+    low = max(max(s for s, _ in classes), -(-total // bins))
     if got := best_fit_decreasing(classes, low, bins, open_more=False):
         return got
     step = max(1, low // slack)

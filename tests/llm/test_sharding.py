@@ -44,6 +44,17 @@ def test_given_number_of_bins_is_near_equal():
     assert n == 8 and max(load.values()) - min(load.values()) < 0.01 * sum(load.values()) / 8
 
 
+def test_groups_above_an_even_share_stand_alone():
+    classes = {900: 1, 300: 2, 10: 100, 7: 30}
+    runs, n = sharding.pack_classes(list(classes.items()), bins=8)
+    load, ranks = defaultdict(int), defaultdict(list)
+    for x in runs:
+        load[x.shard] += x.size * x.count
+        ranks[x.size] += range(x.first, x.first + x.count)
+    assert n == 8 and set(load) == set(range(8)) and {s: sorted(r) for s, r in ranks.items()} == {s: list(range(n)) for s, n in classes.items()}
+    assert sorted(load.values())[-3:] == [300, 300, 900] and max(sorted(load.values())[:5]) - min(load.values()) <= 30
+
+
 def test_rooms_is_a_search_tree():
     r, rooms, held = random.Random(2), sharding.Rooms(), []
     for i in range(500):
