@@ -6,8 +6,9 @@ not yet opened, nearest centre first, and so ranks the leaves it would visit.
 How many it visits is calibrated: a bounded sample of queries is answered by
 brute force over all rows, and the visits are widened, separately for queries
 that lie near their first leaf and far from it, until the recall asked for is
-reached. Queries then travel to their leaves, whose rows lie in blocks of
-bounded size, and are scored there in full.
+reached. Neighbouring leaves lie together in blocks of bounded size; queries
+travel to the blocks of the leaves they visit and are scored there, leaf by
+leaf, against those leaves' rows. A block gives a query's best ``k`` at most.
 
 The largest inner product is the smallest distance once each row gets one more
 component that brings its length to that of the longest row (and a query a
@@ -16,7 +17,7 @@ zero), which is how the tree measures.
 Edge cases: vectors that are null, zero or hold a null or non-finite component,
 those not of the most frequent length, and rows with a null id, take no part. A
 query's own row (same id) is no candidate. Rows that repeat an id are candidates
-each. With fewer rows than ``k`` + 1 all are returned. An empty table, or one
+each, and queries each. With fewer rows than ``k`` + 1 all are returned. An empty table, or one
 without queries, gives no rows. Other columns are not read.
 """
 
@@ -112,7 +113,7 @@ def grow(sample: np.ndarray, longest: float, branching: int = 8, leaf_rows: int
     centre, first, count, leaf = [x.mean(axis=0) if len(x) else tree.centre[0]], [0], [0], [-1]
     todo, leaves = [(0, np.arange(len(x)))], 0
     while todo:
-        node, who = todo.pop(0)
+        node, who = todo.pop()  # depth first: neighbouring leaves get neighbouring numbers
         centres = near = None
         if len(who) > leaf_rows:
             centres, near = _kmeans(x[who], min(branching, len(who)), rng)
@@ -200,24 +201,34 @@ def calibrate(index: Index, queries: np.ndarray, leaves_of_best: list[np.ndarray
     return Index(index.tree, bounds, np.array(visits), hit / max(total, 1))
 
 
-def _unpack(ids: bytes, matrix: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    who = np.frombuffer(ids, "<i8")
-    return who, np.frombuffer(matrix, "<f8").reshape(len(who), width)
+def _best_of_each(parts: list[list[np.ndarray]], k: int) -> list[np.ndarray]:
+    """Of rows (asker, id, score) the ``k`` best for each asker, ties to smaller ids."""
+    query, other, score = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((other, -score, query))
+    query, other, score = query[order], other[order], score[order]
+    new = np.concatenate(([True], query[1:] != query[:-1])) if len(query) else np.empty(0, bool)
+    begin = np.maximum.accumulate(np.where(new, np.arange(len(query)), 0)) if len(query) else np.empty(0, np.int64)
+    first = np.arange(len(query)) - begin < k
+    return [query[first], other[first], score[first]]
 
 
-def _gather(names: list[str], id: str):
-    """One row of bytes for a group of vectors."""
+def _packed(t: pa.Table, names: list[str], more: dict[str, str]) -> pa.Table:
+    """A group of rows as one row: ``names`` of the first, the vectors, and the
+    columns ``more`` (name: numpy type), as bytes."""
+    flat = t["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return pa.table({
+        **{n: t[n][:1] for n in names},
+        **{n: pa.array([t[n].to_numpy().astype(kind).tobytes()]) for n, kind in more.items()},
+        "matrix": pa.array([flat.astype("<f8").tobytes()]),
+    })
 
-    def run(t: pa.Table) -> pa.Table:
-        flat = t["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        own = {n: t[n][:1] for n in names}
-        return pa.table({**own, "ids": pa.array([t[id].to_numpy().astype("<i8").tobytes()]), "matrix": pa.array([flat.astype("<f8").tobytes()])})
 
-    return run
+def _vectors(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, "<f8").reshape(-1, width)
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding", target: float = 0.96,
-           sample_rows: int = 16_000, calibration: int = 200, block_rows: int = 4_096, query_rows: int = 512, report: dict | None = None) -> DataFrame:
+           sample_rows: int = 16_000, calibration: int = 200, block_rows: int = 16_384, query_rows: int = 512, report: dict | None = None) -> DataFrame:
     """(query_id, rank, id, score): for each row that ``queries`` admits, the ``k``
     nearest found. The tree is fitted on about ``sample_rows`` rows, the visits on
     about ``calibration`` queries; ``report`` gets the recall reached on those."""
@@ -283,43 +294,58 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
         report.update(recall=index.recall, visits=index.visits.tolist(), leaves=tree.leaves, rows=n)
     guide = spark.sparkContext.broadcast(index)
 
-    sizes = indexed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))  # one row for each leaf
-    in_blocks = indexed.join(F.broadcast(sizes), "leaf").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-    stored = in_blocks.select("leaf", "block", "id", "vector").groupBy("leaf", "block").applyInArrow(_gather(["leaf", "block"], "id"), "leaf int, block int, ids binary, matrix binary")
+    # neighbouring leaves share a group of about block_rows rows; a larger leaf is a group of several blocks
+    span = max(1, round(tree.leaves * block_rows / max(n, 1)))
+    grouped = indexed.withColumn("group", (F.col("leaf") / span).cast("int"))
+    sizes = grouped.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))  # at most one row for each leaf
+    in_blocks = grouped.join(F.broadcast(sizes), "group").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    stored = in_blocks.select("group", "block", "id", "leaf", "vector").groupBy("group", "block").applyInArrow(
+        lambda t: _packed(t.sort_by("leaf"), ["group", "block"], {"id": "<i8", "leaf": "<i4"}), "group int, block int, id binary, leaf binary, matrix binary")
 
-    @F.arrow_udf("array<int>")
-    def leaves_of(batch: pa.Array) -> pa.Array:
+    @F.arrow_udf("array<struct<group:int,leaves:array<int>>>")
+    def visits(batch: pa.Array) -> pa.Array:
         flat = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
-        return pa.array([guide.value.leaves_of(q) for q in flat], pa.list_(pa.int32()))
+        out = []
+        for q in flat:
+            by: dict[int, list[int]] = {}
+            for leaf in guide.value.leaves_of(q).tolist():
+                by.setdefault(leaf // span, []).append(leaf)
+            out.append([{"group": g, "leaves": v} for g, v in by.items()])
+        return pa.array(out, pa.list_(pa.struct([("group", pa.int32()), ("leaves", pa.list_(pa.int32()))])))
+
+    def gather(t: pa.Table) -> pa.Table:
+        leaves = t["leaves"].combine_chunks()
+        out = _packed(t, ["group", "part"], {"id": "<i8", "row": "<i8"})
+        lens = np.diff(leaves.offsets.to_numpy()).astype("<i4")
+        return out.append_column("lens", pa.array([lens.tobytes()])).append_column("leaves", pa.array([leaves.flatten().to_numpy().astype("<i4").tobytes()]))
 
     parts = max(1, -(-int(asked or 0) // query_rows))
-    sent = indexed.where("asks").select("id", "vector", F.explode(leaves_of("vector")).alias("leaf"), F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"))
-    asking = sent.groupBy("leaf", "part").applyInArrow(_gather(["leaf", "part"], "id"), "leaf int, part int, ids binary, matrix binary")
-    pairs = asking.select("leaf", F.col("ids").alias("qids"), F.col("matrix").alias("queries")).join(stored.drop("block"), "leaf")
-
-    def answer(batches: Iterator[pa.RecordBatch], hold: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-        # a query meets many leaves of a task; only its best of those leave it
-        kept = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-        more, held = [kept], 0
+    sent = grouped.where("asks").select("id", "row", "vector", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"), F.inline(visits("vector")))
+    asking = sent.groupBy("group", "part").applyInArrow(gather, "group int, part int, id binary, row binary, matrix binary, lens binary, leaves binary")
+    asking = asking.select("group", *(F.col(c).alias(f"q_{c}") for c in ("id", "row", "matrix", "lens", "leaves")))
+    pairs = asking.join(stored.drop("block"), "group")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, matrix = _unpack(row["ids"], row["matrix"], width)
-                who, q = _unpack(row["qids"], row["queries"], width)
-                out = [best_of(s, ids, own, k) for s, own in zip(_dot(q, matrix), who)]
-                found = [len(s) for s, _ in out]
-                more.append([np.repeat(who, found), np.concatenate([i for _, i in out]), np.concatenate([s for s, _ in out])])
-                held += sum(found)
-                if held > hold:
-                    kept = _best_of_each(more, k)
-                    if len(kept[0]) > hold // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept], names=["query_id", "other", "score"])
-                        kept = [x[:0] for x in kept]
-                    more, held = [kept], len(kept[0])
-        kept = _best_of_each(more, k)
-        for i in range(0, len(kept[0]), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in kept], names=["query_id", "other", "score"])
-
-    scored = pairs.mapInArrow(answer, "query_id long, other long, score double")
-    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "other")
+            for r in batch.to_pylist():
+                ids, leaf, x = np.frombuffer(r["id"], "<i8"), np.frombuffer(r["leaf"], "<i4"), _vectors(r["matrix"], width)
+                who, asker, q = np.frombuffer(r["q_id"], "<i8"), np.frombuffer(r["q_row"], "<i8"), _vectors(r["q_matrix"], width)
+                wanted, visitor = np.frombuffer(r["q_leaves"], "<i4"), np.repeat(np.arange(len(q)), np.frombuffer(r["q_lens"], "<i4"))
+                by_leaf = np.argsort(wanted, kind="stable")
+                found: list[list[np.ndarray]] = [[] for _ in q]
+                for v in np.unique(leaf):  # a leaf's rows against the queries that visit it
+                    rows = slice(np.searchsorted(leaf, v), np.searchsorted(leaf, v, side="right"))
+                    there = visitor[by_leaf[np.searchsorted(wanted[by_leaf], v) : np.searchsorted(wanted[by_leaf], v, side="right")]]
+                    for i, s in zip(there, _dot(q[there], x[rows])):
+                        score, other = best_of(s, ids[rows], who[i], k)
+                        found[i].append([np.full(len(score), asker[i]), other, score])
+                flat = [f for fs in found for f in fs]
+                if flat:
+                    best = _best_of_each(flat, k)
+                    own = dict(zip(asker.tolist(), who.tolist()))
+                    yield pa.RecordBatch.from_arrays([pa.array(best[0]), pa.array(np.array([own[a] for a in best[0].tolist()], np.int64)), pa.array(best[1]), pa.array(best[2])], names=["asker", "query_id", "other", "score"])
+
+    scored = pairs.mapInArrow(answer, "asker long, query_id long, other long, score double")
+    first = Window.partitionBy("asker").orderBy(F.desc("score"), "other")
     ranked = scored.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("other").alias(id), "score")
