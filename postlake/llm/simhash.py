@@ -115,6 +115,8 @@ class Forest:
 
     def search(self, groups: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         """(probe, member) of each member within ``radius`` of a probe in its group."""
+        if not len(self.groups):
+            return (np.empty(0, np.int64),) * 2
         at = np.minimum(np.searchsorted(self.groups, groups), len(self.groups) - 1)
         probe = np.flatnonzero(self.groups[at] == groups)
         node = self.root[at[probe]]

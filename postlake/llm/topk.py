@@ -96,7 +96,7 @@ def threshold_search(lists: Lists, ids: np.ndarray, query: np.ndarray, own: int,
 
 def blocks(rows: DataFrame, block_rows: int, n: int, name: str) -> DataFrame:
     """Rows (``id`` long, ``vector`` of doubles, ``row`` number) dealt by hash to blocks of
-    about ``block_rows`` rows of one length: (name, width, ids, matrix), as bytes."""
+    about ``block_rows`` rows of one length: (name, width, ids, row_ids, matrix), as bytes."""
     count = max(1, -(-n // block_rows))
     dealt = rows.withColumn("width", F.size("vector")).withColumn(name, F.pmod(F.xxhash64("row"), F.lit(count)).cast("int"))
 
@@ -106,9 +106,9 @@ def blocks(rows: DataFrame, block_rows: int, n: int, name: str) -> DataFrame:
         flat = t["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         order = np.argsort(ids, kind="stable")
         matrix = flat.astype("<f8").reshape(len(ids), width)[order]
-        return pa.table({name: t[name][:1], "width": t["width"][:1], "ids": pa.array([ids[order].astype("<i8").tobytes()]), "matrix": pa.array([matrix.tobytes()])})
+        return pa.table({name: t[name][:1], "width": t["width"][:1], "ids": pa.array([ids[order].astype("<i8").tobytes()]), "row_ids": pa.array([t["row"].to_numpy()[order].astype("<i8").tobytes()]), "matrix": pa.array([matrix.tobytes()])})
 
-    return dealt.groupBy(name, "width").applyInArrow(gather, f"{name} int, width int, ids binary, matrix binary")
+    return dealt.groupBy(name, "width").applyInArrow(gather, f"{name} int, width int, ids binary, row_ids binary, matrix binary")
 
 
 def _matrix(ids: bytes, matrix: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,8 +127,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id: str = "vec_id", v
     stored = materialise(blocks(rows.select("id", "vector", "row"), block_rows, n, "block"), "topk-blocks")
     asking = blocks(rows.where("asks").select("id", "vector", "row"), query_rows, asked, "qblock")
     per_block = max(1, -(-n // block_rows))
-    asking = asking.select("width", "qblock", F.col("ids").alias("qids"), F.col("matrix").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(per_block - 1))).alias("block"))
-    pairs = asking.join(stored, ["block", "width"])
+    asking = asking.select("width", "qblock", F.col("ids").alias("qids"), F.col("row_ids").alias("qrows"), F.col("matrix").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(per_block - 1))).alias("block"))
+    pairs = asking.join(stored.drop("row_ids"), ["block", "width"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, lists, ids = None, None, None
@@ -140,13 +140,14 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id: str = "vec_id", v
                 out = [(q, *threshold_search(lists, ids, v, q, k)) for q, v in zip(*_matrix(row["qids"], row["queries"], row["width"]))]
                 found = [len(i) for _, i, _ in out]
                 yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(np.frombuffer(row["qrows"], "<i8"), found)),
                     pa.array(np.repeat(np.array([q for q, _, _ in out], np.int64), found)),
                     pa.array(np.concatenate([i for _, i, _ in out]).astype(np.int64)),
                     pa.array(np.concatenate([s for _, _, s in out]).astype(np.float64)),
-                ], names=["query_id", "other", "score"])
+                ], names=["asker", "query_id", "other", "score"])
 
-    found = pairs.mapInArrow(search, "query_id long, other long, score double")
-    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "other")
+    found = pairs.mapInArrow(search, "asker long, query_id long, other long, score double")
+    first = Window.partitionBy("asker").orderBy(F.desc("score"), "other")
     ranked = found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
     score = F.col("score").cast("long") if scale else F.col("score")
     return ranked.select("query_id", "rank", F.col("other").alias(id), score.alias("score"))
