@@ -5,8 +5,8 @@ length class (``grid`` ids wide, so at most ``capacity / grid`` classes whatever
 the corpus). A linear program over patterns (how many rests of each class one
 sequence takes) covers the counts with the fewest sequences: its columns are
 generated by a knapsack dynamic program that prices patterns with the duals.
-The solution is rounded down, what it leaves over is packed first-fit
-decreasing, and the ranked rests of each class are dealt to the places that the
+The solution is rounded down, patterns that the rests left over still fill are
+used once more, what is left then is packed first-fit decreasing, and the ranked rests of each class are dealt to the places that the
 patterns have for it. The driver sees class counts and patterns only.
 
 Ids are those of a tokenizer file that splits at white space, so the ids of a
@@ -176,11 +176,11 @@ def cover(demand: np.ndarray, most: int, rounds: int = 4_000, gap: float = 1e-3,
     pool = np.unique(np.stack(first_fit(few, most))[:, live], axis=0).astype(float)
     value = np.zeros(len(demand))
     for _ in range(rounds):
-        duals = np.maximum(inverse.sum(axis=0), 0)  # each pattern costs one sequence
+        duals = inverse.sum(axis=0)  # each pattern costs one sequence
         price = pool @ duals
         column = pool[int(price.argmax())]
         if price.max() <= 1 + 1e-7:
-            value[live] = duals
+            value[live] = np.maximum(duals, 0)  # a rest that is worth less than nothing is in no best pattern
             worth, pattern = best_pattern(value, most)
             if worth <= 1 + 1e-7 or want @ duals / worth >= (1 - gap) * use.sum():
                 break
@@ -241,6 +241,10 @@ def plan(demand: np.ndarray, most: int) -> Plan:
             if full:
                 uses.append((p, full))
                 left -= full * p
+        for p, _ in sorted(zip(patterns, use), key=lambda z: np.floor(z[1] + 1e-6) - z[1]):  # the nearest to another use first
+            if p.any() and (left >= p).all():
+                uses.append((p, 1))
+                left -= p
     uses += [(p, 1) for p in first_fit(left, most)]
     begins, first, places = ([[] for _ in demand] for _ in range(3))
     at, dealt = 0, np.zeros(len(demand), np.int64)
