@@ -288,7 +288,7 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     held = rng.random(len(texts)) < 0.2
     parts, label, origin = [], [], []
     for i in np.flatnonzero(~held & first):
-        for part in _excerpts(texts[i], 10 if toxic[i] else 5, rng):
+        for part in _excerpts(texts[i], 8 if toxic[i] else 4, rng):
             parts.append(part)
             label.append(toxic[i])
             origin.append(i)
