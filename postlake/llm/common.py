@@ -110,12 +110,3 @@ def mix(h: np.ndarray) -> np.ndarray:
         h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
         return h ^ (h >> np.uint64(29))
 
-
-def segment_sums(values: np.ndarray, starts: np.ndarray, total: int) -> np.ndarray:
-    """Sums of ``values[starts[i]:starts[i + 1]]``; an empty segment gives 0."""
-    out = np.zeros((len(starts), *values.shape[1:]), dtype=values.dtype)
-    ends = np.append(starts[1:], total)
-    full = ends > starts
-    if full.any():
-        out[full] = np.add.reduceat(values[:total], starts[full], axis=0)
-    return out
