@@ -17,8 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from postlake.operators.clean import clean_posts  # noqa: E402
 from postlake.operators.metrics import label_distribution  # noqa: E402
 from postlake.operators.sampling import sample_exact, stratified_split  # noqa: E402

@@ -40,7 +40,6 @@ from ..operators.metrics import acceptance, best_step, eval_report, label_distri
 from ..operators.sampling import order_key, sample_exact, stratified_split
 from ..operators.scoring import (
     LOGITS,
-    BatchScorer,
     LetterShareScorer,
     letter_share_factory,
     pseudo_label,
