@@ -37,13 +37,22 @@ from .common import materialise, numbered
 #: White space as the tokenizer's normalizer knows it.
 _SPACE = re.compile("[" + "".join(map(chr, (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))) + "]+")
 _NOT_SPACE = "".join(map(chr, range(28, 32)))  # what str.split() takes for white space beyond that
-PIECES = "key long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def _words(text: str) -> list[str]:
     return _SPACE.split(text) if any(c in text for c in _NOT_SPACE) else text.split()
 
 
+def _parts(text: str, most: int = 1 << 20) -> Iterator[str]:
+    """``text`` in parts of ``most`` characters and what it takes to the next white space."""
+    at = 0
+    while len(text) - at > most and (m := _SPACE.search(text, at + most)):
+        yield text[at : m.end()]
+        at = m.end()
+    yield text[at:]
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -83,9 +92,18 @@ class WordIds:
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
         for a in range(0, len(texts), 256):
+            few = [t or "" for t in texts[a : a + 256]]
+            if max(map(len, few)) > 1 << 20:  # one by one, and part by part
+                for t in few:
+                    yield b"".join(ids for part in _parts(t) for ids in self._batch([part]))
+            else:
+                yield from self._batch(few)
+
+    def _batch(self, texts: list[str]) -> Iterator[bytes]:
+        if texts:
             if len(self.known) > self.most:
                 self.known.clear()
-            split = [_words(t or "") for t in texts[a : a + 256]]
+            split = [_words(t) for t in texts]
             new = set().union(*split).difference(self.known)
             long = {w: self._ids(w) for w in new if len(w) > 64}
             self._learn(list(new.difference(long)))
@@ -114,23 +132,24 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: i
     the ids themselves (as those bytes)."""
     path = path or tokenizer_path()
     end = int(end_id).to_bytes(4, "little")
-    fields = T._parse_datatype_string(PIECES + (", ids binary" if with_ids else ""))
+    fields = T.StructType([T.StructField("key", docs.schema[key].dataType), *T._parse_datatype_string(PIECES + (", ids binary" if with_ids else "")).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path)
         for batch in batches:
             out: list[tuple] = []
-            for k, ids in zip(batch.column(0).to_pylist(), words.texts(batch.column(1).to_pylist())):
+            for i, ids in enumerate(words.texts(batch.column(1).to_pylist())):
                 ids += end
                 n = len(ids) // 4
                 for a in range(0, n, capacity):
                     part = ids[4 * a : 4 * (a + capacity)]
-                    out.append((k, a, len(part) // 4, zlib.crc32(part), n, *([part] if with_ids else [])))
-            columns = [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 5 + [pa.binary()])] if out else []
-            if columns:
-                yield pa.RecordBatch.from_arrays(columns, names=fields.names[: len(columns)])
+                    out.append((i, a, len(part) // 4, zlib.crc32(part), n, *([part] if with_ids else [])))
+            if out:
+                row, *rest = zip(*out)
+                columns = [pa.array(c, t) for c, t in zip(rest, [pa.int64()] * 4 + [pa.binary()])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *columns], names=fields.names)
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, fields)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, fields)
 
 
 def best_pattern(value: np.ndarray, most: int) -> tuple[float, np.ndarray]:

@@ -14,6 +14,7 @@ shares of repeated words and sentences: they don't depend on a vocabulary.
 
 Edge cases: a null text counts as empty. On a text without a word all are silent
 but ``no_words``, which calls it bad; it is rejected with score 0.
+Texts are judged whole, one at a time, in memory of some times their length.
 Repeated rows get equal results and count as often as they occur. An empty
 table gives an empty result. Other columns of the input are not read.
 """

@@ -173,9 +173,26 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         for a in range(0, len(texts), 128):
+            marked = [(MARK + t).replace(" ", MARK) if t else "" for t in texts[a : a + 128]]
+            if max(map(len, marked)) > 1 << 20:  # one by one, and part by part
+                for t in marked:
+                    yield b"".join(ids for part in self._parts(t) for ids in self._batch([part]))
+            else:
+                yield from self._batch(marked)
+
+    def _parts(self, marked: str, most: int = 1 << 20) -> Iterator[str]:
+        """Parts of about ``most`` characters that end where a segment does."""
+        at = 0
+        edge = re.compile(f"(?<=[^{MARK}]){MARK}")
+        while self.segment and len(marked) - at > most and (m := edge.search(marked, at + most)):
+            yield marked[at : m.start()]
+            at = m.start()
+        yield marked[at:]
+
+    def _batch(self, marked: list[str]) -> Iterator[bytes]:
+        if marked:
             if len(self.known) > self.most:
                 self.known.clear()
-            marked = [(MARK + t).replace(" ", MARK) if t else "" for t in texts[a : a + 128]]
             split = [self.segment.findall(t) if self.segment else [t] for t in marked]
             new = sorted(set().union(*split).difference(self.known))
             size = 0

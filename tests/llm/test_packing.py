@@ -25,6 +25,21 @@ def test_word_ids_equal_the_tokenizers(tokenizer, spark):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_parts_of_a_long_text_end_at_white_space(tokenizer):
+    text = " ".join(["one two, three"] * 400) + " " + "x" * 900 + "\n\nend"
+    parts = list(packing._parts(text, 100))
+    assert "".join(parts) == text and len(parts) > 30 and all(p[-1].isspace() for p in parts[:-1])
+    long = "word and, more. " * 80_000
+    got = next(packing.WordIds(packing.tokenizer_path()).texts([long]))
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode("word and, more. ", add_special_tokens=False).ids * 80_000
+
+
+def test_keys_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), (None, "x"), ("b", None)], "doc_id string, text string")
+    rows = packing.pack(docs).collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["None", "a", "b"]
+
+
 def test_best_pattern_is_the_best_of_all():
     r = np.random.default_rng(0)
 

@@ -35,6 +35,15 @@ def test_encoding_and_decoding_equal_the_library(library):
             assert decoder.decode(ids) == t
 
 
+def test_parts_of_a_long_text_end_where_segments_do(library):
+    encoder = S.coders()[0]
+    marked = (S.MARK + "one  two\nthree   four five " * 50).replace(" ", S.MARK)
+    parts = list(encoder._parts(marked, 40))
+    assert "".join(parts) == marked and len(parts) > 10 and all(p[0] == S.MARK and q[-1] != S.MARK for q, p in zip(parts, parts[1:]))
+    long = "some  words here.\n" * 70_000
+    assert ids_of(next(encoder.encode([long]))) == library.encode(long)
+
+
 def small(words):
     """A vocabulary from merges, in order of rank."""
     chars = sorted({c for w in words for c in w})
