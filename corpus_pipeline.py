@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm import langid, packing, quality, simhash
-from postlake.llm.common import crc_fold, fresh, materialise, table
+from postlake.llm.common import crc_fold, drop, fresh, materialise, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = materialise(docs, f"pipeline-{name}")
-    return docs
+    """Every stage over what the one before kept; each but the last is written
+    below ``spark.checkpoint.dir``, and deleted once its successor is."""
+    docs, before = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES[:-1]:
+        written: list[str] = []
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}", written)
+        drop(spark, before)
+        before = written
+    return STAGES[-1][1](spark, docs, sf_dir)

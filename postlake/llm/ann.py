@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_share, materialise
+from .common import drop, hash_share, materialise
 from .topk import usable
 
 
@@ -236,7 +236,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
     part = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
     part = part.where(F.col("id").isNotNull() & usable(F.col("vector")))
     part = part.where(F.exists("vector", lambda x: x != 0))
-    rows = materialise(part.select("id", F.transform("vector", lambda x: x.cast("double")).alias("vector"), "asks", F.monotonically_increasing_id().alias("row")), "ann-rows")
+    paths: list[str] = []
+    rows = materialise(part.select("id", F.transform("vector", lambda x: x.cast("double")).alias("vector"), "asks", F.monotonically_increasing_id().alias("row")), "ann-rows", paths)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     widths = rows.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest"), F.sum(F.col("asks").cast("int")).alias("asked"))
     top = widths.orderBy(F.desc("n"), "width").limit(1).collect()
@@ -259,6 +260,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
         return pa.array(shared.value.assign(flat).astype(np.int32))
 
     indexed = materialise(rows.withColumn("leaf", leaf_of("vector")), "ann-index")
+    drop(spark, paths)
 
     # brute force for the calibration queries: each task keeps its own best
     probe_ids, probes = some(indexed.where("asks"), calibration, asked or 0, "calibration")

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,17 +16,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts lineage and pays an expensive pass once; the files are in the shared
-    folder, so a lost executor loses none of them.
+    folder, so a lost executor loses none of them. ``paths`` gets the place, for
+    ``drop`` once nothing reads the table any more.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables, and empty the list."""
+    while paths:
+        drop_path(spark, paths.pop())
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores put before it until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

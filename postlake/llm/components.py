@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import drop, materialise
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -21,8 +21,10 @@ def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Each is written to the shared folder. No component meets in one task: a
     hub's neighbours are joined to its minimum, which is pre-aggregated.
     """
+    spark = edges.sparkSession
+    old: list[str] = []
     tidy = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = materialise(tidy, "edges")
+    now = materialise(tidy, "edges", old)
     seen = _signature(now)
     for _ in range(most_rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -30,7 +32,10 @@ def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialise(rest.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        new: list[str] = []
+        now = materialise(rest.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges", new)
+        drop(spark, old)
+        old = new
         if (sign := _signature(now)) == seen:
             return now
         seen = sign

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, numbered
+from .common import drop, materialise, numbered
 
 _EXACT = 16
 _LEADING = 12
@@ -172,14 +172,15 @@ def shard(docs: DataFrame, shards: int | None = 8, capacity: int | None = None,
     """(key, size, text_crc32, shard, slot): all rows of ``docs``, in ``shards``
     shards of near equal bytes, or in the fewest of ``capacity`` bytes."""
     value = F.col(text)
+    paths: list[str] = []
     rows = materialise(docs.select(
         F.col(key).alias("key"),
         (F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(value, F.lit("")).cast("binary")).alias("text_crc32"),
         F.coalesce(F.unhex(F.sha2(value, 256)), F.lit("null").cast("binary")).alias("same"),
         F.monotonically_increasing_id().alias("row"),
-    ), "shard-rows")
-    groups = materialise(rows.groupBy("same").agg(F.sum("size").alias("bytes")).withColumn("class", size_class(F.col("bytes"))).select("same", "class"), "shard-groups")
+    ), "shard-rows", paths)
+    groups = materialise(rows.groupBy("same").agg(F.sum("size").alias("bytes")).withColumn("class", size_class(F.col("bytes"))).select("same", "class"), "shard-groups", paths)
     counts = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()  # under 200,000 classes
     runs, _ = pack_classes([(r["class"], r["n"]) for r in counts], shards, capacity)
     spark = docs.sparkSession
@@ -189,6 +190,7 @@ def shard(docs: DataFrame, shards: int | None = 8, capacity: int | None = None,
     own = F.filter("runs", lambda r: (r.first <= F.col("rank")) & (F.col("rank") < r.until))[0].shard
     homes = ranked.join(per_class, "class").select("same", own.alias("shard"))
     dealt = materialise(rows.join(homes, "same").select("key", "size", "text_crc32", "shard", "row"), "shard-dealt")
+    drop(spark, paths)
     n = dealt.count()
     slots = numbered(dealt, ["shard"], ["row"], "slot", n, task_rows)
     return slots.select(F.col("key").alias(key), "size", "text_crc32", "shard", "slot")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import drop, materialise
 from .components import star_components
 
 _SPACE = re.compile(rb"[ \t-\r]")
@@ -196,7 +196,7 @@ def _finer(fp: Column, i: Column, tree: Column, distance: int) -> Column:
     return out
 
 
-def link(prints: DataFrame, distance: int = 3, tree_rows: int = 8_192, task_rows: int = 50_000) -> DataFrame:
+def link(prints: DataFrame, distance: int = 3, tree_rows: int = 8_192, task_rows: int = 50_000, paths: list[str] | None = None) -> DataFrame:
     """Edges (``u``, ``v``) that connect the distinct longs ``fp`` of ``prints``
     as their Hamming distances of ``distance`` or less do (not all such pairs).
 
@@ -209,7 +209,7 @@ def link(prints: DataFrame, distance: int = 3, tree_rows: int = 8_192, task_rows
     large = coarse.groupBy("tree").count().where(F.col("count") > tree_rows).select("tree", F.lit(True).alias("split"))
     split = F.coalesce(F.col("split"), F.lit(False))
     keys = F.when(split, _finer(F.col("fp"), F.col("i"), F.col("tree"), distance)).otherwise(F.array("tree"))
-    fine = materialise(coarse.join(large, "tree", "left").select("fp", F.explode(keys).alias("tree")), "simhash-trees")
+    fine = materialise(coarse.join(large, "tree", "left").select("fp", F.explode(keys).alias("tree")), "simhash-trees", paths)
     counts = fine.groupBy("tree").count().where(F.col("count") > tree_rows)
     parts = counts.select("tree", F.ceil(F.col("count") / tree_rows).cast("int").alias("parts"), "count")
     extra = parts.select(F.coalesce(F.sum(F.col("count") * (F.col("parts") - 1)), F.lit(0))).first()[0]
@@ -227,7 +227,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     made = docs.select(F.col(key).alias("key"), fingerprints(F.col(text), words).alias("fp"))
     rows = materialise(made, "simhash-rows")
     prints = materialise(rows.groupBy("fp").agg(F.min("key").alias("low")), "simhash-prints")
-    stars = star_components(link(prints.select("fp"), distance, **options))
+    trees: list[str] = []
+    stars = star_components(link(prints.select("fp"), distance, paths=trees, **options))
+    drop(docs.sparkSession, trees)
     hung = prints.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
     hung = hung.withColumn("root", F.coalesce("root", "fp"))
     lows = hung.groupBy("root").agg(F.min("low").alias("component_id"))
