@@ -337,7 +337,7 @@ def self_train(
     try:
         # tokenise + hash once; every round fits / applies only IDF and the classifier
         lab_in = stored(featurize(lab, text_col, [*ids, "label_id"], max_tokens, **model_params), "self-train-labelled")
-        split = stored(stratified_split(lab_in, "label_id", ids, test_size, seed), "self-train-split")
+        split = stratified_split(lab_in, "label_id", ids, test_size, seed)  # a comparison of id hashes per row
         # only a teacher that reads text needs the unlabelled texts
         text = [text_col] if teacher is not None and not isinstance(teacher, ModelScorer) else []
         unl = stored(featurize(unl, text_col, [*ids, *text], max_tokens, **model_params), "self-train-unlabelled")
