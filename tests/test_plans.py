@@ -9,8 +9,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from postlake.plans.catalog import QUERIES
 
 # these two fit Spark ML models while the query is built (their result is a
 # small report); their plans are checked through the operators they call
@@ -18,9 +18,9 @@ SKIP = {"train_predict", "self_train_best"}
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|TakeOrderedAndProject|CollectLimit|GlobalLimit")
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if k not in SKIP))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if k not in SKIP))
 def test_no_single_task_step(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
     assert not [l for l in lines if FORBIDDEN.search(l)]
     for i, line in enumerate(lines):
