@@ -283,8 +283,8 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     if len(set(toxic.tolist())) < 2:
         return Model(None, np.zeros(3), share)
     rng = np.random.default_rng(seed)
-    _, once = np.unique(np.array(texts, object).astype(str), return_index=True)  # copies teach nothing more
-    first = np.isin(np.arange(len(texts)), once)
+    at_first = {t: i for i, t in reversed(list(enumerate(texts)))}
+    first = np.isin(np.arange(len(texts)), list(at_first.values()))  # copies teach nothing more
     held = rng.random(len(texts)) < 0.2
     parts, label, origin = [], [], []
     for i in np.flatnonzero(~held & first):
