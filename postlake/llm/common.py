@@ -119,3 +119,23 @@ def mix(h: np.ndarray) -> np.ndarray:
         h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
         return h ^ (h >> np.uint64(29))
 
+
+class Memo:
+    """Values of the keys met lately: two generations of about ``most`` keys. A
+    key of the older one that is met again moves to the newer."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """Those of ``keys`` without a value; those with one are in ``now``."""
+        if len(self.now) > self.most:
+            self.before, self.now = self.now, {}
+        new = keys.difference(self.now)
+        if self.before:
+            again = [k for k in new if k in self.before]
+            self.now.update((k, self.before[k]) for k in again)
+            new.difference_update(again)
+        return new

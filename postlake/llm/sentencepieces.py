@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import codepoints
+from .common import Memo, codepoints
 
 MARK = chr(0x2581)
 
@@ -147,12 +147,11 @@ def _search(words: list[np.ndarray], keys: list[np.ndarray], after: bool) -> np.
 
 
 class Encoder:
-    """Encodes batches of texts; remembers the ids of at most ``most`` segments."""
+    """Encodes batches of texts; remembers the ids of segments met lately."""
 
-    def __init__(self, pieces: Pieces, most: int = 400_000):
+    def __init__(self, pieces: Pieces, most: int = 300_000):
         self.p = pieces
-        self.most = most
-        self.known: dict[str, bytes] = {}
+        self.memo = Memo(most)
         used = [pieces.text[i] for i in pieces.normal]
         self.alphabet = np.array(sorted({ord(c) for t in used for c in t}), np.uint32)
         self.longest = max(map(len, used), default=1)
@@ -172,8 +171,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        for a in range(0, len(texts), 128):
-            marked = [(MARK + t).replace(" ", MARK) if t else "" for t in texts[a : a + 128]]
+        for a in range(0, len(texts), 512):
+            marked = [(MARK + t).replace(" ", MARK) if t else "" for t in texts[a : a + 512]]
             if max(map(len, marked)) > 1 << 20:  # one by one, and part by part
                 for t in marked:
                     yield b"".join(ids for part in self._parts(t) for ids in self._batch([part]))
@@ -191,21 +190,19 @@ class Encoder:
 
     def _batch(self, marked: list[str]) -> Iterator[bytes]:
         if marked:
-            if len(self.known) > self.most:
-                self.known.clear()
             split = [self.segment.findall(t) if self.segment else [t] for t in marked]
-            new = sorted(set().union(*split).difference(self.known))
+            new = list(self.memo.missing(set().union(*split)))
             size = 0
             group: list[str] = []
             for s in new:
-                if size + len(s) > 1 << 17 and group:
+                if size + len(s) > 1 << 19 and group:
                     self._learn(group)
                     size, group = 0, []
                 group.append(s)
                 size += len(s) + 1
             self._learn(group)
             for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+                yield b"".join(map(self.memo.now.__getitem__, words))
 
     def _edges(self, cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, piece) of every occurrence of a piece in ``cp``."""
@@ -257,9 +254,8 @@ class Encoder:
                 at = np.setdiff1d(key, new)
                 keep = np.searchsorted(self.pair, at)
                 self.pair, self.may = self.pair[keep], self.may[keep]
-            pair = np.concatenate((self.pair, new))
-            order = np.argsort(pair, kind="stable")
-            self.pair, self.may = pair[order], np.concatenate((self.may, fits))[order]
+            at = np.searchsorted(self.pair, new)
+            self.pair, self.may = np.insert(self.pair, at, new), np.insert(self.may, at, fits)
         out[inner] = self.may[np.searchsorted(self.pair, key)][back] if len(key) else True
         return out
 
@@ -276,9 +272,9 @@ class Encoder:
         start, piece = np.concatenate((start, alone)), np.concatenate((piece, np.full(len(alone), -1)))
         end = start + self.length[piece]
         base = np.repeat(first, size + 1)  # of the segment of each position
-        order = np.argsort(end - base[start], kind="stable")
-        start, piece, end = start[order], piece[order], end[order]
-        step = (end - base[start])
+        step = end - base[start]
+        order = np.argsort(step.astype(np.uint16) if size.max() < 1 << 16 else step, kind="stable")
+        start, piece, end, step = start[order], piece[order], end[order], step[order]
         NONE, START = -3, -2
         last = np.full(len(cp) + 1, NONE, np.int64)
         last[first] = START
@@ -317,7 +313,7 @@ class Encoder:
         byte_at = 4 * np.append(to, len(ids))[edge]
         raw = ids.tobytes()
         for s, a, b in zip(segments, byte_at[:-1].tolist(), byte_at[1:].tolist()):
-            self.known[s] = raw[a:b]
+            self.memo.now[s] = raw[a:b]
 
 
 class Decoder:

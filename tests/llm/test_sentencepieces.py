@@ -82,7 +82,7 @@ def test_relaxed_edges_equal_merging(seed):
         pytest.skip("a letter is in no merge")
     encoder._learn(sorted(set(texts)))
     for t in texts:
-        assert ids_of(encoder.known[t]) == merged(pieces, t), (t, words)
+        assert ids_of(encoder.memo.now[t]) == merged(pieces, t), (t, words)
 
 
 def test_edges_are_all_occurrences():
