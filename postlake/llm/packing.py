@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, numbered
+from .common import Memo, materialise, numbered
 
 #: White space as the tokenizer's normalizer knows it.
 _SPACE = re.compile("[" + "".join(map(chr, (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))) + "]+")
@@ -62,33 +62,48 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class WordIds:
     """Ids of a text as little-endian unsigned 32-bit bytes, by its words.
 
-    Holds the ids of at most ``most`` words of up to 64 characters, then starts anew.
+    Remembers the ids of words of up to 64 characters met lately.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.most = most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.memo = Memo(most)
 
     def _learn(self, words: list[str]) -> None:
         """Letters before closing marks are words of their own to the tokenizer,
         and of either case; so "Word." needs the ids of "word" and of "."."""
-        parts = {}
+        known, parts, alone = self.memo.now, [], set()
         for w in words:
             core = w.lower().rstrip(".,;:!?")
-            if core.isalpha() and "Σ" not in w and (w.isascii() or unicodedata.is_normalized("NFC", w)):
-                parts[w] = (core, w[len(core) :]) if len(core) < len(w) else (core,)
+            if core.isalpha() and (w.isascii() or ("Σ" not in w and unicodedata.is_normalized("NFC", w))):
+                parts.append((w, core, w[len(core) :]))
             else:
-                parts[w] = (w,)
-        new = list({p for ps in parts.values() for p in ps}.difference(self.known))
-        for e, w in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, ps in parts.items():
-            if w not in self.known:
-                self.known[w] = b"".join(self.known[p] for p in ps)
+                alone.add(w)
+        self._letters([c for c in {c for _, c, _ in parts} if c not in known])
+        alone.update(t for t in {t for _, _, t in parts} if t not in known)
+        some = list(alone)
+        for e, w in zip(self.tokenizer.encode_batch_fast(some, add_special_tokens=False), some):
+            known[w] = np.array(e.ids, "<u4").tobytes()
+        known.update((w, known[c] + known[t]) for w, c, t in parts if t or w not in known)
+
+    def _letters(self, words: list[str], most: int = 2_000) -> None:
+        """Ids of words of letters, many in one text: each ends with the one of
+        its ids that ends a word."""
+        for a in range(0, len(words), most):
+            some = words[a : a + most]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            if len(ends) == len(some):
+                self.memo.now.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+            else:  # letters to us, not all to the tokenizer
+                self.memo.now.update((w, self._ids(w)) for w in some)
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
         for a in range(0, len(texts), 256):
@@ -101,17 +116,16 @@ class WordIds:
 
     def _batch(self, texts: list[str]) -> Iterator[bytes]:
         if texts:
-            if len(self.known) > self.most:
-                self.known.clear()
             split = [_words(t) for t in texts]
-            new = set().union(*split).difference(self.known)
+            new = self.memo.missing(set().union(*split))
+            known = self.memo.now
             long = {w: self._ids(w) for w in new if len(w) > 64}
             self._learn(list(new.difference(long)))
             for words in split:
                 if long and not long.keys().isdisjoint(words):
-                    yield b"".join(long[w] if w in long else self.known[w] for w in words)
+                    yield b"".join(long[w] if w in long else known[w] for w in words)
                 else:
-                    yield b"".join(map(self.known.__getitem__, words))
+                    yield b"".join(map(known.__getitem__, words))
 
     def _ids(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
