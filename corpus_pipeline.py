@@ -28,8 +28,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints link, the one with the smallest doc_id stays."""
-    return simhash.keep_one(docs, words=3, distance=3)
+    """Of documents whose fingerprints link, the one with the smallest doc_id stays,
+    or one of them where none has a doc_id."""
+    return simhash.keep_one(docs, words=3, distance=3, keyless_stay=False)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, materialise
+from .common import drop, fresh, materialise
 from .components import star_components
 
 _SPACE = re.compile(rb"[ \t-\r]")
@@ -222,25 +222,39 @@ def link(prints: DataFrame, distance: int = 3, tree_rows: int = 8_192, task_rows
     return dealt.groupBy(bucket.alias("bucket")).applyInArrow(_links(distance), "u long, v long")
 
 
+def _rooted(prints: DataFrame, distance: int, **options) -> DataFrame:
+    """``prints`` with ``root``, which fingerprints that are connected share."""
+    trees: list[str] = []
+    stars = star_components(link(prints.select("fp"), distance, paths=trees, **options))
+    drop(prints.sparkSession, trees)
+    hung = prints.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
+    return hung.withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 3, distance: int = 3, **options) -> DataFrame:
     """(key, ``fp`` long, ``component_id``: the smallest key linked, itself included)."""
     made = docs.select(F.col(key).alias("key"), fingerprints(F.col(text), words).alias("fp"))
     rows = materialise(made, "simhash-rows")
     prints = materialise(rows.groupBy("fp").agg(F.min("key").alias("low")), "simhash-prints")
-    trees: list[str] = []
-    stars = star_components(link(prints.select("fp"), distance, paths=trees, **options))
-    drop(docs.sparkSession, trees)
-    hung = prints.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
-    hung = hung.withColumn("root", F.coalesce("root", "fp"))
+    hung = _rooted(prints, distance, **options)
     lows = hung.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = hung.join(lows, "root").select("fp", "component_id")
     return rows.join(ids, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its component, with all
-    columns; rows that repeat a kept key stay once. Rows without a key stay."""
-    found = near_duplicates(docs, text, key, **options)
-    kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    one = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
-    return one.select(*docs.columns).union(docs.where(F.col(key).isNull()))
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 3, distance: int = 3, keyless_stay: bool = True, **options) -> DataFrame:
+    """One row of each component of ``docs``, with all columns: that of the
+    smallest key, of equal keys the first row written. A key may stay on several
+    rows whose texts do not link. Rows without a key stay; without
+    ``keyless_stay`` they are copies like any other, and come after all keys."""
+    row = fresh(docs, "row")
+    fp = fresh(docs, "fp")
+    made = docs.withColumn(fp, fingerprints(F.col(text), words)).withColumn(row, F.monotonically_increasing_id())
+    rows = materialise(made, "simhash-rows")
+    first = F.min(F.struct(F.col(key).isNull().alias("keyless"), F.col(key).alias("key"), F.col(row).alias("row")))
+    prints = materialise(rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("low")), "simhash-prints")
+    kept = _rooted(prints, distance, **options).groupBy("root").agg(F.min("low").alias("low"))
+    if keyless_stay:
+        kept = kept.where(~F.col("low.keyless"))
+    one = rows.join(kept.select(F.col("low.row").alias(row)), row, "left_semi").select(*docs.columns)
+    return one.union(rows.where(F.col(key).isNull()).select(*docs.columns)) if keyless_stay else one

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from llm_data import SF, edge_docs, no_docs
+from llm_data import SF, edge_docs, no_docs, prose
 
 import corpus_pipeline as P
 from postlake.llm import packing
@@ -31,6 +31,12 @@ def test_near_dedup_stage_equals_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {low for _, _, low in slow_components(rows)}
 
 
+def test_near_dedup_stage_loses_no_text_and_keeps_no_copy(spark):
+    rows = [(3, prose(20, 60)), (7, prose(21, 60)), (7, prose(20, 60)), (None, prose(21, 60)), (None, prose(22, 60)), (None, prose(22, 60))]
+    kept = P.simhash_near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[1], rows[4]], key=str)
+
+
 def test_clean_documents_stay_in_the_filters(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -132,6 +132,21 @@ def test_keep_one_keeps_columns_and_smallest_keys(spark):
     assert keys.count(None) == 2  # rows without a key stay
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    """Also where a key is on many texts that link to nothing, or is null."""
+    rows = [(3, prose(20, 60)), (7, prose(21, 60)), (7, prose(20, 60)), (7, prose(21, 60))]
+    rows += [(9, prose(s, 60)) for s in range(30, 50)]
+    rows += [(None, prose(21, 60)), (None, prose(22, 60)), (None, prose(22, 60)), (None, prose(23, 60))]
+    found = slow_components(rows)
+    assert len({fp for _, fp, _ in found}) == 24
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [rows[0], rows[1], *rows[4:24], rows[25], rows[27]]
+    got = [tuple(r) for r in simhash.keep_one(frame, keyless_stay=False).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    got = [tuple(r) for r in simhash.keep_one(frame).collect()]
+    assert sorted(got, key=str) == sorted([*want[:22], *rows[24:]], key=str)
+
+
 def test_stars_do_not_grow_with_pairs():
     n = 400
     p = np.unique(np.array([1 << i | 1 << j for i in range(40) for j in range(i)][:n], np.uint64))
