@@ -6,7 +6,8 @@ not yet opened, nearest centre first, and so ranks the leaves it would visit.
 How many it visits is calibrated: a bounded sample of queries is answered by
 brute force over all rows, and the visits are widened, separately for queries
 that lie near their first leaf and far from it, until the recall asked for is
-reached. Neighbouring leaves lie together in blocks of bounded size; queries
+reached. A query whose leaves hold fewer than ``k`` candidates goes on until they
+do. Neighbouring leaves lie together in blocks of bounded size; queries
 travel to the blocks of the leaves they visit and are scored there, leaf by
 leaf, against those leaves' rows. A block gives a query's best ``k`` at most.
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -74,14 +75,16 @@ class Tree:
             todo += [(a + c, part) for c in range(n) if len(part := who[near == c])]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> np.ndarray:
-        """The first ``most`` leaves, best bin first."""
+    def visits(self, query: np.ndarray, most: int, held: np.ndarray | None = None, k: int = 0) -> np.ndarray:
+        """The first ``most`` leaves, best bin first, and more until those
+        visited hold ``k`` by ``held``, the number of each leaf."""
         q = np.append(query, 0.0)
         queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        while queue and (len(out) < most or k > 0):
             _, node = heapq.heappop(queue)
             if self.leaf[node] >= 0:
                 out.append(int(self.leaf[node]))
+                k -= 0 if held is None else int(held[out[-1]])
                 continue
             a, n = int(self.first[node]), int(self.count[node])
             gap = ((self.centre[a : a + n] - q) ** 2).sum(axis=1)
@@ -165,10 +168,12 @@ class Index:
     bounds: np.ndarray  # of the first leaf's gap, between classes of queries
     visits: np.ndarray  # leaves to visit, for each class
     recall: float  # on the calibration queries
+    held: np.ndarray | None = None  # candidates that each leaf has for any query, at least
+    k: int = 0  # candidates that a query's leaves have to hold, if there are as many
 
     def leaves_of(self, query: np.ndarray) -> np.ndarray:
         first = self.tree.visits(query, 1)
-        return self.tree.visits(query, int(self.visits[self._class(query, first)]))
+        return self.tree.visits(query, int(self.visits[self._class(query, first)]), self.held, self.k)
 
     def _class(self, query: np.ndarray, first: np.ndarray) -> int:
         return int(np.searchsorted(self.bounds, self.gap(query, int(first[0]))))
@@ -294,7 +299,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
     index = calibrate(Index(tree, np.empty(0), np.empty(0), 0.0), probes, truth, target)
     if report is not None:
         report.update(recall=index.recall, visits=index.visits.tolist(), leaves=tree.leaves, rows=n)
-    guide = spark.sparkContext.broadcast(index)
+    # a query's own id is no candidate: a leaf has its rows but those of its most frequent id for any query
+    of_id = indexed.groupBy("leaf", "id").agg(F.count(F.lit(1)).alias("n"))
+    counts = of_id.groupBy("leaf").agg((F.sum("n") - F.max("n")).alias("held")).toPandas()  # at most one row for each leaf
+    held = np.zeros(tree.leaves, np.int64)
+    held[counts["leaf"]] = counts["held"]
+    guide = spark.sparkContext.broadcast(replace(index, held=held, k=k))
 
     # neighbouring leaves share a group of about block_rows rows; a larger leaf is a group of several blocks
     span = max(1, round(tree.leaves * block_rows / max(n, 1)))

@@ -101,3 +101,15 @@ def test_widening_reaches_the_recall_asked_for(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     ann.search(frame, F.col("vec_id") % 20 == 0, target=0.95, report=report)
     assert report["recall"] >= 0.95 and report["rows"] == 2000
+
+
+def test_small_leaves_give_way_to_more_until_k_are_found(spark, monkeypatch):
+    """Where calibration, having seen copies only, has one leaf visited."""
+    r = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(r.normal(size=(300, 8)))] + [(1_000, v) for v in r.normal(size=(25, 8))] + [(1_020, r.normal(size=8))] * 25
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    grow = ann.grow
+    monkeypatch.setattr(ann, "grow", lambda sample, longest: grow(sample, longest, leaf_rows=10))
+    monkeypatch.setattr(ann, "calibrate", lambda index, *_: ann.Index(index.tree, np.empty(0), np.array([1]), 1.0))
+    found = ann.search(frame, F.col("vec_id") % 20 == 0, k=20).groupBy("query_id").count().collect()
+    assert {x["query_id"]: x["count"] for x in found} == {i: 20 * (25 if i >= 1_000 else 1) for i, _ in rows if i % 20 == 0}
