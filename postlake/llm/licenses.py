@@ -57,6 +57,7 @@ SENTENCES = {
     "agpl-work": "This work is licensed under the GNU Affero General Public License, version 3",
     "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "mpl-subject-start": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    "mpl-version": "2.0",  # the sentence after "v.", where the text is cut
     "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     "cc-by": "Licensed under CC BY 4.0",
     "cc-by-sa": "Licensed under CC BY-SA 4.0",
@@ -117,6 +118,9 @@ RULES = [
     ("Apache-2.0", ["spdx-apache"]),
     ("GPL-3.0-only", ["spdx-gpl3"]),
     ("Proprietary", ["reserved"]),
+    ("MPL-2.0", ["mpl-subject-start", "mpl-version", "mpl-copy"]),
+    ("MPL-2.0", ["mpl-subject-start", "mpl-version"]),
+    ("MPL-2.0", ["mpl-copy"]),
 ]
 
 

@@ -65,3 +65,18 @@ def test_plan_is_native_and_shuffles_nothing(spark):
 
 def test_every_rule_names_known_sentences():
     assert all(x in licenses.SENTENCES for _, parts in licenses.RULES for x in parts)
+
+
+def test_every_rule_matches_its_own_sentences(spark):
+    """Written as plain text, one after the other, in one match of its license."""
+    texts = [(k, "Intro. " + ". ".join(licenses.SENTENCES[x] for x in parts) + ". More.") for k, (_, parts) in enumerate(licenses.RULES)]
+    found = {}
+    for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, []).append((r.license, r.sentence))
+    assert found == {k: [(name, 2)] for k, (name, _) in enumerate(licenses.RULES)}
+
+
+def test_mpl_header_is_one_match(spark):
+    text = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    got = licenses.scan(spark.createDataFrame([(1, text), (2, "Version. 2.0. Public.")], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.license, r.sentence, r.sentences) for r in got] == [(1, "MPL-2.0", 1, 3)]
