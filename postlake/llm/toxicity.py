@@ -262,19 +262,25 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return b
 
 
-def _excerpts(text: str, most: int, rng: np.random.Generator) -> list[str]:
-    """At most ``most`` windows of a text, as texts."""
-    words = text.split()
-    begins = np.arange(0, max(1, len(words) - STRIDE), STRIDE)
-    chosen = begins if len(begins) <= most else rng.choice(begins, most, replace=False)
-    return [" ".join(words[i : i + WINDOW]) for i in chosen]
+def _read_in_runs(texts: list[str], most: int = 1 << 18) -> Words:
+    """``read_words`` of all texts, with the characters of one run held at a time."""
+    runs = [read_words(texts[a:b]) for a, b in text_runs(texts, most)] or [read_words([])]
+    key, sample, number = np.unique(np.concatenate([r.key for r in runs]), return_index=True, return_inverse=True)
+    number = np.split(number.reshape(-1).astype(np.int32), np.cumsum([len(r.key) for r in runs])[:-1])
+    size = np.concatenate([np.diff(r.pair_at) for r in runs])
+    first, count = (np.cumsum(size) - size)[sample], size[sample]
+    pair_at = np.concatenate(([0], np.cumsum(count)))
+    where = np.repeat(first - pair_at[:-1], count) + np.arange(pair_at[-1])
+    text_at = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(r.text_at) for r in runs]))))
+    which = np.concatenate([n[r.which] for n, r in zip(number, runs)])
+    return Words(key, np.concatenate([r.pair for r in runs])[where], pair_at, which, text_at)
 
 
 def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None, share: float | None = None, steps: int = 300, batch: int = 128, seed: int = 11) -> Model:
     """Fit the network on four texts in five, and the calibration on the fifth.
 
     ``weight`` says how many labelled texts each stands for; a step of Adam takes
-    ``batch`` windows, a quarter of them of toxic texts: what is as frequent in
+    ``batch`` of all windows of the texts learned from, a quarter of them of toxic texts: what is as frequent in
     both kinds of text then looks harmless.
     """
     toxic = np.asarray(toxic, int)
@@ -286,27 +292,22 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     at_first = {t: i for i, t in reversed(list(enumerate(texts)))}
     first = np.isin(np.arange(len(texts)), list(at_first.values()))  # copies teach nothing more
     held = rng.random(len(texts)) < 0.2
-    parts, label, origin = [], [], []
-    for i in np.flatnonzero(~held & first):
-        for part in _excerpts(texts[i], 8 if toxic[i] else 4, rng):
-            parts.append(part)
-            label.append(toxic[i])
-            origin.append(i)
-    words = read_words(parts)
-    size = np.minimum(WINDOW, np.diff(words.text_at))
-    label = np.array(label)
-    sides = [np.flatnonzero((label == y) & (size > 0)) for y in (0, 1)]
+    learned = np.flatnonzero(~held & first)
+    words = _read_in_runs([texts[i] for i in learned])
+    text, begin, size = windows(words.text_at)
+    label = toxic[learned][text]
+    sides = [np.flatnonzero(label == y) for y in (0, 1)]
     if not all(len(s) for s in sides):
         return Model(None, np.zeros(3), share)
     # words in several of the texts learned from get an embedding
-    text_of = np.repeat(np.array(origin), np.diff(words.text_at))
-    pairs = np.unique(words.which * (max(origin) + 1) + text_of) // (max(origin) + 1)
+    text_of = np.repeat(np.arange(len(learned)), np.diff(words.text_at))
+    pairs = np.unique(words.which.astype(np.int64) * len(learned) + text_of) // len(learned)
     net = Network.new(words.key[np.bincount(pairs, minlength=len(words.key)) >= max(3, SEEN_IN * (~held).sum())], seed)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     seen_g = np.zeros_like(net.words), np.zeros_like(net.pairs)  # Adagrad's sums, for the embeddings
     for step in range(1, steps + 1):
         pick = np.concatenate([rng.choice(sides[0], batch - batch // 4), rng.choice(sides[1], batch // 4)])
-        order, seen, n = _laid_out(words, words.text_at[:-1][pick], size[pick])
+        order, seen, n = _laid_out(words, begin[pick], size[pick])
         y = label[pick][order]
         part, seen = np.unique(seen, return_inverse=True)  # only this batch's words
         seen = seen.reshape(len(n), -1)

@@ -138,3 +138,27 @@ def test_query_ranks_held_out_documents(spark):
     pos, neg = ([r.score for r in held if r.toxic == y] for y in (1, 0))
     auc = np.mean([[(a > b) + 0.5 * (a == b) for b in neg] for a in pos])
     assert auc > 0.8  # 4 in 10 of these labels are noise
+
+
+def test_all_windows_of_long_texts_are_learned_from(monkeypatch):
+    texts = [prose(s, 1_000) for s in range(40)]
+    seen, laid_out = {}, T._laid_out
+
+    def spy(words, begin, size):
+        seen.setdefault(id(words), (words, set()))[1].update(begin.tolist())
+        return laid_out(words, begin, size)
+
+    monkeypatch.setattr(T, "_laid_out", spy)
+    T.train(texts, np.arange(40) % 2, steps=100)
+    words, begins = next(iter(seen.values()))  # the first is that of training
+    n = len(words.text_at) - 1
+    assert n < 40 and np.diff(words.text_at).tolist() == [1_000] * n
+    assert len(begins) > 0.95 * len(T.windows(words.text_at)[0]) == 0.95 * 31 * n
+
+
+def test_words_read_in_runs_are_those_read_at_once():
+    texts = [prose(s, 50) for s in range(20)] + ["", "12 été x", " "]
+    one, runs = T.read_words(texts), T._read_in_runs(texts, 300)
+    for name in ("key", "pair", "pair_at", "which", "text_at"):
+        assert (getattr(one, name) == getattr(runs, name)).all()
+    assert len(T._read_in_runs([]).which) == 0
