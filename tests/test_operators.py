@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from locations import SF_MID, SF_SMALL
 from postlake.operators.clean import clean_posts, dedup_posts, typed_posts
 from postlake.operators.metrics import acceptance, best_step, eval_metrics, eval_report, label_distribution
 from postlake.operators.sampling import approximate_mode, first_in_order, order_key, sample_exact, split_quotas, stratified_split

@@ -9,7 +9,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 from postlake.plans.catalog import QUERIES
 
 # these two fit Spark ML models while the query is built (their result is a

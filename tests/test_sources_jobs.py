@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from locations import SF_MID, SF_SMALL
 from postlake.operators.scoring import LetterShareScorer
 from postlake.operators.training import load_model, self_train
 from postlake.plans.fixtures import RAW_COLUMNS, labelled, raw_posts_strings, unlabelled

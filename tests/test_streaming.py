@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from locations import SF_MID
 from postlake.operators.clean import clean_posts
 from postlake.plans.fixtures import RAW_COLUMNS, raw_posts_strings
 from postlake.session import scratch_path
