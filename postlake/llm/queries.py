@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, licenses, packing, quality, sentencepieces, sharding, simhash, topk, toxicity
+from . import ann, convrepair, hardneg, langid, licenses, linededup, packing, quality, sentencepieces, sharding, simhash, topk, toxicity
 from .common import crc_fold, table
 
 
@@ -64,6 +64,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabelled)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = convrepair.damaged(table(spark, sf_dir, "conversations"))
+    found = convrepair.repair(rows, "conv", copies=copies).digests()
+    return found.withColumnsRenamed({"conv": "conv_id", "sha256": "repaired_sha256"})
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -75,6 +91,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash": op10_simhash,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: Brute force over all pairs of a query and a row, in integers.
@@ -92,4 +111,42 @@ select query_id, cast(rank as int) as rank, vec_id, score from (
 ) where rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op3_exact_topk": OP3_SQL, "op8_licenses": licenses.oracle()}
+#: Every line grouped by its key; the lines that stay, put together again.
+OP11_SQL = r"""
+with d as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+l as (select r, doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d),
+k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+known as (select key, max(doc_id) as keeper from k where length(key) >= 40 group by key having count(distinct r) >= 5),
+m as (select k.*, known.key is not null and k.doc_id is distinct from known.keeper as gone from k left join known on k.key = known.key)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from m group by r, doc_id
+"""
+
+#: Brute force over all pairs of an anchor and a row, in integers.
+OP12_SQL = """
+with v as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.r, a.vec_id as anchor_id, a.label, c.vec_id, c.label as other, cast(list_inner_product(cast(a.e as double[]), cast(c.e as double[])) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.e) = len(c.e) where a.vec_id % 100 = 0
+),
+p as (select * from (select *, row_number() over (partition by r order by score desc, vec_id) as place from s where other = label) where place <= 5),
+n as (
+  select p.r, p.place, p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+    row_number() over (partition by p.r, p.place order by s.score desc, s.vec_id) as rank
+  from p join s on p.r = s.r and s.other <> s.label and 80 * p.score <= 100 * s.score and s.score <= p.score
+)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_exact_topk": OP3_SQL,
+    "op8_licenses": licenses.oracle(),
+    "op11_line_dedup": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+}
