@@ -19,8 +19,8 @@ number of the former. The best of all blocks are merged.
 
 The band of a positive score p has the scores n with
 ``low * p <= 100 * n <= high * p``. Components are floor(scale * x), so scores
-are whole numbers, exact in doubles while the sums stay below 2 ** 53; beyond
-that they are summed as Python integers.
+are whole numbers, exact while the product of two rows' lengths stays below
+2 ** 53. Beyond that they are rounded, and null where they don't fit a long.
 
 Edge cases: rows with a null id, a null label, a null vector or one that holds a
 null or non-finite component take no part. An empty vector scores 0; only
@@ -81,10 +81,7 @@ def bounds(a: Summary, v: Summary, level: int) -> tuple[np.ndarray, np.ndarray]:
 def scores(a: Summary, v: Summary, alive: np.ndarray) -> np.ndarray:
     """The scores of the pairs alive, -inf for the others."""
     out = np.full(alive.shape, -np.inf)
-    if float(a.length.max(initial=0)) * float(v.length.max(initial=0)) >= 2.0**53:  # whole numbers beyond doubles
-        for i, j in np.argwhere(alive):
-            out[i, j] = sum(int(x) * int(y) for x, y in zip(a.rows[i], v.rows[j]))
-    elif alive.mean() > 0.05 if alive.size else False:  # many: one matrix product is cheaper than pair by pair
+    if alive.sum() > 0.05 * alive.size:  # many: one matrix product is cheaper than pair by pair
         out = np.where(alive, a.rows @ v.rows.T, -np.inf)
     else:
         i, j = np.nonzero(alive)
@@ -183,6 +180,10 @@ class _Unit:
         self.given = np.frombuffer(row["a_given"], "<f8").reshape(len(self.who), -1) if "a_given" in row else None
 
 
+def _floor(x: Column) -> Column:
+    return F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)  # doubles beyond are whole
+
+
 def mine(vectors: DataFrame, anchors: Column, label: Column, positives: int = 5, k: int = 5, low: int = 80, high: int = 100, scale: int = 256,
          id: str = "vec_id", vector: str = "embedding", block_rows: int = 4_096, anchor_rows: int = 128, together: int = 4) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score): for
@@ -190,7 +191,7 @@ def mine(vectors: DataFrame, anchors: Column, label: Column, positives: int = 5,
     ``label`` and, for each, the ``k`` best rows of other labels in its band."""
     part = vectors.select(F.col(id).cast("long").alias("id"), label.cast("long").alias("label"), F.col(vector).alias("vector"), F.coalesce(anchors, F.lit(False)).alias("asks"))
     part = part.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector")))
-    whole = F.transform("vector", lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    whole = F.transform("vector", lambda x: _floor(x.cast("double") * scale))
     paths: list[str] = []
     rows = materialise(part.select("id", "label", whole.alias("vector"), F.size("vector").alias("width"), "asks", F.monotonically_increasing_id().alias("row")), "hardneg-rows", paths)
     n, asked = rows.select(F.count(F.lit(1)), F.count_if("asks")).first()
@@ -239,7 +240,7 @@ def mine(vectors: DataFrame, anchors: Column, label: Column, positives: int = 5,
     anchor = paired.select(F.col("row").alias("asker"), F.col("id").alias("anchor_id"), F.inline("best").alias("place", "positive_id", "positive_score"))
     drop(vectors.sparkSession, paths)
     return ranked.join(anchor, ["asker", "place"]).select(
-        "anchor_id", "positive_id", "rank", F.col("other").alias("negative_id"), F.col("positive_score").cast("long").alias("positive_score"), F.col("score").cast("long").alias("negative_score"))
+        "anchor_id", "positive_id", "rank", F.col("other").alias("negative_id"), F.col("positive_score").try_cast("long").alias("positive_score"), F.col("score").try_cast("long").alias("negative_score"))
 
 
 def _batch(found: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:

@@ -28,7 +28,8 @@ Edge cases: a null or empty text is one empty line. A document is a row: rows
 that repeat an id count each, and all rows of the largest id keep their lines. A
 null id is below every other; where all holders have none, all keep. A key that
 a document holds several times counts once. Very long texts are read whole. An
-empty table gives no rows. Other columns stay, whatever their names.
+empty table gives no rows. Other columns stay, whatever their names; one named as the
+result (``out``) is replaced.
 """
 
 from __future__ import annotations
@@ -274,4 +275,4 @@ def _dropped_by_join(docs: DataFrame, text: str, id: str, out: str, known: DataF
     def apply(texts: pa.Array, gone: pa.Array) -> pa.Array:
         return _keep(_texts(texts), {r: set(g) for r, g in enumerate(gone.to_pylist()) if g})
 
-    return both.withColumn(out, _as_text(apply(F.col(text), gone))).select(*docs.columns, out)
+    return both.withColumn(out, _as_text(apply(F.col(text), gone))).select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()), out)

@@ -144,9 +144,83 @@ n as (
 select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 5
 """
 
+
+
+def _op13_sql() -> str:
+    """Damage, faults and the cheapest edits, row by row: a list of four strings, for
+    each state ten digits of cost and the audit, so that the least string is the one wanted."""
+
+    def add(s: str, cost: str, edit: str) -> str:
+        return f"lpad(cast(cast({s}[1:10] as bigint) + {cost} as varchar), 10, '0') || {s}[11:] || '{edit}'"
+
+    s0, s1, s2, s3 = (f"s[{i}]" for i in range(1, 5))
+    inserts = f"""[{s0}, {s1}, least({s2}, {add(s0, '3', 'I')}, {add(s1, '3', 'I')}, {add(s3, '3', 'I')}),
+      least({s3}, {add(s2, '3', 'I')}, {add(s0, '6', 'II')}, {add(s1, '6', 'II')})]"""
+    late = "cast(x[3] as bigint)"
+    to_s = f"case when x[2] = 's' then {add(s0, late, 'K')} end"
+    to_u = ", ".join(f"case when x[2] = 'u' then {add(s, late, 'K')} else {add(s, '3 + ' + late, 'R')} end" for s in (s0, s1, s3))
+    to_a = f"case when x[2] = 'a' then {add(s2, late, 'K')} else {add(s2, '3 + ' + late, 'R')} end"
+    gone = [add(s, "4", "D") for s in (s0, s1, s2, s3)]
+    row = f"[{gone[0]}, least({gone[1]}, {to_s}), least({gone[2]}, {to_u}), least({gone[3]}, {to_a})]"
+    return f"""
+with bytes as (
+  select *, list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda c: cast(ascii(c) as bigint)) as b
+  from conversations
+),
+crc as (
+  select * exclude (b), xor(list_reduce(list_prepend(4294967295, b), lambda c, y: list_reduce(
+    [xor(c, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, i: xor(z >> 1, 3988292384 * (z & 1)))), 4294967295) % 20 as h from bytes
+),
+made as (
+  select conv_id, turn, case when h = 4 then 'user' else coalesce(role, ' ') end as role,
+    case when h = 1 then '' when h = 2 then translate(coalesce(text, ' '), '.!?', '') else coalesce(text, ' ') end as text,
+    unnest(range(case when h = 0 then 0 when h = 3 then 2 else 1 end)) as copy from crc
+),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as again,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as said from made
+),
+marked as (
+  select *, role[1:1] as initial, case when said = '' then 1 when again > 1 then 2 when right(said, 1) not in ('.', '!', '?') then 3 else 0 end as fault,
+    lag(role[1:1]) over (partition by conv_id order by i) as before from placed
+),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal,
+    list(case when fault in (1, 2) then ['D', '', '0'] else ['E', initial, case when fault = 3 then '3' else '0' end] end order by i) as steps
+  from marked group by conv_id
+),
+ends as (
+  select *, list_reduce(list_prepend(['0000000000', null, null, null], list_concat(flatten(list_transform(steps, lambda e: [['I'], e])), [['I']])),
+    lambda s, x: case x[1] when 'I' then {inserts} when 'D' then [{', '.join(gone)}] else {row} end) as s from counted
+),
+best as (select *, cast(least(s[1], s[4])[1:10] as bigint) as cost, least(s[1], s[4])[11:] as audit from ends),
+letters as (
+  select conv_id, unnest(string_split(audit, '')) as e, unnest(range(len(audit))) as pos from best where audit <> ''
+),
+edits as (select *, sum(case when e = 'I' then 0 else 1 end) over (partition by conv_id order by pos) as i from letters),
+stay as (
+  select edits.conv_id, pos, e, role, text, row_number() over (partition by edits.conv_id order by pos) - 1 as place,
+    first_value(case when e = 'K' and role[1:1] = 's' then 1 else 0 end) over (partition by edits.conv_id order by pos) as lead
+  from edits left join marked on edits.conv_id is not distinct from marked.conv_id and edits.i = marked.i and e <> 'I' where e <> 'D'
+),
+repaired as (
+  select conv_id, string_agg(case when e = 'K' then role when (place - lead) % 2 = 0 then 'user' else 'assistant' end || ':' ||
+    case when e = 'I' then '' else text end, chr(10) order by pos) as body from stay group by conv_id
+)
+select a.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit, sha256(coalesce(body, '')) as repaired_sha256
+from (select distinct conv_id from conversations) a left join best on a.conv_id is not distinct from best.conv_id
+  left join repaired on a.conv_id is not distinct from repaired.conv_id
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_exact_topk": OP3_SQL,
     "op8_licenses": licenses.oracle(),
     "op11_line_dedup": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
+    "op13_conversation_repair": _op13_sql(),
 }
