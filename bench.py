@@ -55,7 +55,7 @@ def main():
     run(clean_posts(raw_posts(spark, "/root/testdata/sf0.001")))
     run(score_posts(table(spark, "/root/testdata/sf0.001", "documents"), BatchScorer(letter_share_factory()), "text"))
     self_train(labelled(spark, "/root/testdata/sf0.001"), unlabelled(spark, "/root/testdata/sf0.001"),
-               iterations=1, teacher=LetterShareScorer(), max_iter=5)
+               iterations=1, teacher=LetterShareScorer(), epochs=1)
 
     # J1 clean job: CSV -> typed/clean/filter/dedup -> partitioned parquet
     src = scratch_path(spark, "bench_raw_csv")
@@ -91,10 +91,10 @@ def main():
     iters = 2
     q["self_train"], res = timed(
         lambda: self_train(labelled(spark, sf_dir, parts), unlabelled(spark, sf_dir, parts), iterations=iters,
-                           teacher=LetterShareScorer(), max_iter=30)
+                           teacher=LetterShareScorer())
     )
     info["self_train_sec_per_round"] = q["self_train"] / iters
-    for phase in ("fit", "evaluate"):  # the fit scores the pseudo-labels as it reads
+    for phase in ("fit", "evaluate"):  # three steps a round; the fit scores the pseudo-labels as it reads
         info[f"self_train_sec_{phase}_per_round"] = sum(r[f"sec_{phase}"] for r in res.rounds) / len(res.rounds)
     info["self_train_val_accuracy"] = res.rounds[-1]["val_accuracy"]
 

@@ -67,6 +67,7 @@ SCORE_COLUMNS = [
 # Model and training parameters.
 SCORE_BATCH_SIZE = 32
 TRAIN_BATCH_SIZE = 4
+TRAIN_EPOCHS = 3
 MAX_TOKENS = 512
 CONFIDENCE_THRESHOLD = 0.9
 THRESHOLD_STEP = 0.02

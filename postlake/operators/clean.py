@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.constants import BOOL_COLUMNS, CLEAN_COLUMNS, COUNT_COLUMNS, DEDUP_KEYS
@@ -122,17 +122,37 @@ def select_existing(df: DataFrame, desired: Sequence[str] = CLEAN_COLUMNS) -> Da
     return df.select(*cols) if cols else df
 
 
-def clean_posts(raw: DataFrame, order_by: Sequence[str] | None = None, barrier: bool = True) -> DataFrame:
+class StageCounts:
+    """A1: row counts of named stages, taken by the job that computes them: no scan is
+    added. Read them once the job's action is over (a task that runs again after a
+    lost executor may count its rows twice)."""
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def mark(self, df: DataFrame, **counts: Column) -> DataFrame:
+        """``df``, with a count of the rows for which each condition holds."""
+        seen = Observation()
+        self._seen.update(dict.fromkeys(counts, seen))
+        return df.observe(seen, *(F.count_if(c).alias(n) for n, c in counts.items()))
+
+    def read(self) -> dict[str, int]:
+        return {n: int(seen.get[n]) for n, seen in self._seen.items()}
+
+
+def clean_posts(raw: DataFrame, order_by: Sequence[str] | None = None, barrier: bool = True, counts: StageCounts | None = None) -> DataFrame:
     """J1 body: raw all-string posts -> clean posts (unwritten).
 
     Columns are projected to the output set *before* the dedup shuffle (the
     survivor is arbitrary in the reference, and the dropped inputs are never
     read again), so only output columns cross the network. ``order_by`` names
     tie-break columns; ones outside the output set ride along through the
-    dedup and are dropped afterwards.
+    dedup and are dropped afterwards. ``counts`` gets the rows read (``total``), those
+    that pass the filters (``valid``) and those that stay (``written``).
     """
-    typed = nonnegative_counts(valid_posts(typed_posts(raw, barrier)))
+    mark = counts.mark if counts else lambda df, **_: df
+    typed = nonnegative_counts(valid_posts(typed_posts(mark(raw, total=F.lit(True)), barrier)))
     out_cols = select_existing(typed).columns
     extra = [c for c in (order_by or []) if c not in out_cols]
-    slim = typed.select(*out_cols, *extra)
-    return dedup_posts(slim, order_by=order_by).select(*out_cols)
+    slim = mark(typed.select(*out_cols, *extra), valid=F.lit(True))
+    return mark(dedup_posts(slim, order_by=order_by).select(*out_cols), written=F.lit(True))

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.constants import ID_TO_LABEL, MAX_TOKENS, SCORE_BATCH_SIZE
 from ..functions.probs import label_name
+from ..functions.subwords import truncate_subwords
 from ..functions.text import model_text, truncate_tokens
 from .barrier import materialize
 
@@ -35,12 +36,17 @@ LOGITS = "__logits"
 class Scorer:
     """Adds ``out_col`` (array<double> of class logits) for ``text_col``.
 
-    ``max_tokens`` is the model's input limit (P17); None sees whole texts."""
+    ``max_tokens`` is the model's input limit (P17); None sees whole texts. It counts
+    the tokens of ``tokenizer``, a tokenizer file (with the two special ones that a
+    model adds), or white-space tokens without one."""
 
     n_classes: int = 3
     max_tokens: int | None = None
+    tokenizer: str | None = None
 
     def clip(self, text: Column) -> Column:
+        if self.max_tokens and self.tokenizer:
+            return truncate_subwords(text, self.tokenizer, self.max_tokens)
         return truncate_tokens(text, self.max_tokens) if self.max_tokens else text
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
@@ -54,6 +60,9 @@ class ColumnScorer(Scorer):
         raise NotImplementedError
 
     def add_logits(self, df: DataFrame, text_col: str, out_col: str = LOGITS) -> DataFrame:
+        if self.tokenizer and self.max_tokens:  # the logits read the cut text several times
+            x = materialize(df.withColumn("__clipped", self.clip(F.col(text_col))), {"__cut": F.col("__clipped")})
+            return materialize(x, {out_col: self.logits(F.col("__cut"))}).drop("__clipped", "__cut")
         return materialize(df, {out_col: self.logits(self.clip(F.col(text_col)))})
 
 
@@ -67,8 +76,8 @@ class LetterShareScorer(ColumnScorer):
     """Deterministic stand-in model for tests and the bench: the logit of class
     k is ``40 x`` the share of letter k (a, e, o) in the lower-cased text."""
 
-    def __init__(self, letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE, max_tokens: int | None = None):
-        self.max_tokens = max_tokens
+    def __init__(self, letters: Sequence[str] = TEST_LETTERS, scale: float = TEST_SCALE, max_tokens: int | None = None, tokenizer: str | None = None):
+        self.max_tokens, self.tokenizer = max_tokens, tokenizer
         self.letters = list(letters)
         self.scale = float(scale)
         self.n_classes = len(self.letters)
@@ -93,8 +102,9 @@ class BatchScorer(Scorer):
         n_classes: int = 3,
         batch_size: int = SCORE_BATCH_SIZE,
         max_tokens: int | None = MAX_TOKENS,
+        tokenizer: str | None = None,
     ):
-        self.max_tokens = max_tokens
+        self.max_tokens, self.tokenizer = max_tokens, tokenizer
         self.factory = factory
         self.n_classes = n_classes
         self.batch_size = int(batch_size)
@@ -273,7 +283,7 @@ def pseudo_label(
     with the predicted ``label_id`` and its ``confidence``. The model input is
     the stripped text, as in the reference's pseudo-labelling pass."""
     cols = df.columns
-    if isinstance(scorer, FeaturizedScorer):  # reads stored vectors, no text
+    if isinstance(scorer, FeaturizedScorer) or getattr(scorer, "featurized", False):  # reads stored vectors, no text
         s = score_posts(df, scorer, text_col)
     else:
         s = score_posts(df.withColumn("__model_text", model_text(text_col)), scorer, "__model_text")

@@ -1,23 +1,26 @@
 """Self-training (G7-G10, U1, K5) as a driver loop of Spark jobs.
 
-The reference fine-tunes a transformer on one machine. Here the student is a
-Spark ML pipeline (tokenise -> hashed term frequencies -> IDF -> multinomial
-logistic regression), fitted with distributed tree aggregation, and every
-data step (pseudo-labelling, union, evaluation) is a DataFrame job. The loop
-itself only carries a handful of numbers per round on the driver.
+The reference fine-tunes a transformer on one machine, in epochs, and each round
+goes on from the weights of the one before. Here the student is a softmax over
+hashed words trained the same way (``student``): a step is a distributed pass, a
+round has a few, and weights are carried on. A Spark ML pipeline (tokenise ->
+hashed term frequencies -> IDF -> multinomial logistic regression), fitted anew
+in each round, is the other choice. Every data step (pseudo-labelling, union,
+evaluation) is a DataFrame job. The loop itself only carries a handful of
+numbers for each step, and one model, on the driver.
 """
 
 from __future__ import annotations
 
 import time
+from functools import reduce
 from dataclasses import dataclass, field
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.constants import (
     CONFIDENCE_THRESHOLD,
@@ -28,14 +31,17 @@ from ..functions.constants import (
     THRESHOLD_CAP,
     THRESHOLD_STEP,
     TRAIN_BATCH_SIZE,
+    TRAIN_EPOCHS,
     VALIDATION_FRACTION,
 )
 from ..functions.probs import label_id
 from ..functions.text import is_blank, model_text, truncate_tokens
+from .barrier import materialize
 from .metrics import eval_metrics
 from .sampling import order_key, sample_exact, stratified_split
-from ..session import drop_path, scratch_path
+from ..session import drop_path, is_folder, scratch_path
 from .scoring import LOGITS, FeaturizedScorer, ModelScorer, Scorer, known_margins, pseudo_label
+from .student import TOKENS, Student, StudentScorer, hashed_words, pack, train_steps
 
 MODEL_INPUT = "__model_text"
 
@@ -151,7 +157,7 @@ def _class_label(label_col: str, n_classes: int):
 
 def train_classifier(
     df: DataFrame,
-    text_col: str = "text",
+    text_col: str | None = "text",
     label_col: str = "label_id",
     featurized: bool = False,
     n_classes: int = len(ID_TO_LABEL),
@@ -212,6 +218,8 @@ def train_classifier(
 def on_features(scorer: Scorer) -> Scorer:
     """The scorer to use on ``featurize``d rows: a fitted student applies only
     its later stages; any other scorer (e.g. a teacher) reads the text."""
+    if isinstance(scorer, StudentScorer):
+        return StudentScorer(scorer.student, featurized=True)
     return FeaturizedScorer(scorer, TF_COL) if isinstance(scorer, ModelScorer) else scorer
 
 
@@ -232,18 +240,82 @@ def evaluate(
 
 def evaluation_rows(scorer: Scorer, val: DataFrame, text_col: str = "text") -> DataFrame:
     """``val`` with the logits of its stripped texts."""
-    if isinstance(scorer, FeaturizedScorer):
+    if isinstance(scorer, FeaturizedScorer) or getattr(scorer, "featurized", False):
         return scorer.add_logits(val, text_col)
     return scorer.add_logits(val.withColumn(MODEL_INPUT, model_text(text_col)), MODEL_INPUT)
 
 
+class StepTrainer:
+    """G7 in steps: ``epochs`` passes in a round, from the weights of the round before."""
+
+    features = [TOKENS, NTOK_COL]
+
+    def __init__(self, spark: SparkSession, epochs: int, batch_size: int, seed: int, n_classes: int, max_tokens: int | None, ids: Sequence[str], **params):
+        self.spark, self.epochs, self.batch_size, self.seed, self.ids = spark, epochs, batch_size, seed, list(ids)
+        self.rate = {k: params.pop(k) for k in ("rate",) if k in params}
+        self.student = Student.new(n_classes, max_tokens=max_tokens, **params)
+
+    def featurize(self, df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+        words = hashed_words(_model_input(text_col, self.student.max_tokens), self.student.buckets)
+        x = materialize(df.select(*dict.fromkeys([*keep, text_col])), {TOKENS: words})
+        return x.select(*keep, TOKENS, F.size(TOKENS).alias(NTOK_COL))
+
+    def fit(self, df: DataFrame, flag: str | None, validate) -> tuple[Scorer, Scorer, int, list[dict], dict]:
+        """(last scorer, best scorer, best step, steps, counts); the next call goes on from the last."""
+        paths = [scratch_path(self.spark, "train-rows"), scratch_path(self.spark, "train-blocks")]
+        try:
+            df.select(*self.ids, "label_id", *self.features, (F.col(flag) if flag else F.lit(False)).alias("__flag")).write.parquet(paths[0])
+            rows = self.spark.read.parquet(paths[0])
+            c = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("__flag").alias("flagged"), F.coalesce(F.sum(NTOK_COL), F.lit(0)).alias("tokens")).first()
+            blocks, n = pack(rows, c["rows"], c["tokens"], self.ids, self.seed)
+            blocks.write.parquet(paths[1])
+            done = train_steps(self.spark.read.parquet(paths[1]), n, self.student, lambda s: validate(StudentScorer(s)), self.epochs, self.batch_size, seed=self.seed, **self.rate)
+        finally:
+            for path in paths:
+                drop_path(self.spark, path)
+        self.student = done.last
+        return StudentScorer(done.last), StudentScorer(done.best), done.best_step, done.steps, c.asDict()
+
+
+class MlTrainer:
+    """G7 as one Spark ML fit in a round, from zero each time."""
+
+    features = [TF_COL, NTOK_COL]
+
+    def __init__(self, n_classes: int, max_tokens: int | None, **params):
+        self.params, self.n_classes, self.max_tokens = params, n_classes, max_tokens
+
+    def featurize(self, df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+        return featurize(df, text_col, keep, self.max_tokens, **self.params)
+
+    def fit(self, df: DataFrame, flag: str | None, validate) -> tuple[Scorer, Scorer, int, list[dict], dict]:
+        own: dict = {}
+        model = train_classifier(df, None, "label_id", True, self.n_classes, self.max_tokens, report=own, flag=flag, **self.params)
+        found = validate(model)
+        step = {"step": 1, "start_loss": None, "train_loss": own["loss"], "train_accuracy": own["accuracy"], **{f"val_{k}": v for k, v in found.items()}}
+        return model, model, 1, [step], own
+
+
 @dataclass
 class SelfTrainResult:
+    """``metrics``: a row for each round and step, ``best`` at the best step of its
+    round. ``rounds`` has the last step of each round, with its best one."""
+
     scorer: Scorer
     metrics: DataFrame
     rounds: list[dict] = field(default_factory=list)
     best_round: int | None = None
     label_counts: dict[int, int] = field(default_factory=dict)
+    steps: list[dict] = field(default_factory=list)
+    counts: dict[str, int] = field(default_factory=dict)
+
+
+def without_labelled(unlabelled: DataFrame, labelled: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Leakage control: the unlabelled rows whose ``ids`` no labelled row has; a null
+    id equals a null id."""
+    known = labelled.select(*(F.col(c).alias(f"__known_{c}") for c in ids)).distinct()
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__known_{c}")) for c in ids))
+    return unlabelled.join(known, same, "left_anti")
 
 
 def prepare_labelled(
@@ -298,6 +370,7 @@ def self_train(
     test_size: float = VALIDATION_FRACTION,
     max_tokens: int | None = MAX_TOKENS,
     n_classes: int = len(ID_TO_LABEL),
+    epochs: int | None = TRAIN_EPOCHS,
     **model_params,
 ) -> SelfTrainResult:
     """Split -> (pseudo-label -> union -> train -> evaluate) x n.
@@ -307,26 +380,37 @@ def self_train(
     original train split. With no ``teacher`` the first pseudo-labelling model
     is fitted on the train split (no pre-trained weights exist here).
 
-    ``keep='last'`` returns/saves the last round's model (the reference's
-    behaviour, whose "best" resets every round); ``keep='best'`` keeps the round
-    with the lowest validation loss, earliest on ties.
-
-    The split and the unlabelled set are tokenised and hashed once
-    (``featurize``) and written once, as Parquet in the shared folder, of which
-    each round reads the columns it needs (a lost executor costs a re-read, not
-    the joins and the tokenisation). The tables are deleted at the end. Rounds
-    fit and apply only IDF and the classifier on the stored vectors
-    (``on_features``); a teacher scorer reads the text, and every returned model
-    is the whole text pipeline. ``label_counts`` of the result has the rows of
-    each class of the labelled set.
+    A round has ``epochs`` steps and goes on from the weights that the round
+    before ended with; a teacher that is a ``StudentScorer`` gives its weights to
+    the first. After each step the validation rows are scored. ``epochs=None``
+    fits a Spark ML pipeline from zero in each round instead.
+
+    The best step (least mean of batch means, earliest on ties) counts anew in each
+    round. ``keep='last'`` returns the weights after the last step and saves the
+    last round's best step, as the reference does; ``keep='best'`` returns and
+    saves the best step of all rounds.
+
+    The split and the unlabelled set are tokenised and hashed once and written
+    once, as Parquet in the shared folder, of which each round reads the columns
+    it needs (a lost executor costs a re-read, not the joins and the
+    tokenisation). The tables are deleted at the end. A teacher scorer reads the
+    text, and every returned model is the whole text pipeline. ``label_counts``
+    of the result has the rows of each class of the labelled set; its ``counts``
+    are observed as those rows are written.
     """
     spark: SparkSession = labelled.sparkSession
     ids = list(id_cols)
     lab = prepare_labelled(labelled, label_col, labelled_size, ids, seed)
     unl = prepare_unlabelled(unlabelled, text_col, unlabelled_size, ids, seed)
     if exclude_labelled:
-        unl = unl.join(lab.select(*ids), ids, "left_anti")
-    feat = [TF_COL, NTOK_COL]
+        unl = without_labelled(unl, lab, ids)
+    if epochs is None:
+        trainer: StepTrainer | MlTrainer = MlTrainer(n_classes, max_tokens, **model_params)
+    else:
+        trainer = StepTrainer(spark, epochs, batch_size, seed, n_classes, max_tokens, ids, **model_params)
+        if isinstance(teacher, StudentScorer):
+            trainer.student = teacher.student
+    feat = trainer.features
     scratch: list[str] = []
 
     def stored(df: DataFrame, name: str) -> DataFrame:
@@ -335,106 +419,104 @@ def self_train(
         return spark.read.parquet(scratch[-1])
 
     try:
-        # tokenise + hash once; every round fits / applies only IDF and the classifier
-        lab_in = stored(featurize(lab, text_col, [*ids, "label_id"], max_tokens, **model_params), "self-train-labelled")
+        # tokenise + hash once; every round reads the vectors
+        lab_seen, unl_seen = Observation(), Observation()
+        lab_in = stored(trainer.featurize(lab, text_col, [*ids, "label_id"]).observe(lab_seen, F.count(F.lit(1)).alias("n")), "self-train-labelled")
         split = stratified_split(lab_in, "label_id", ids, test_size, seed)  # a comparison of id hashes per row
         # only a teacher that reads text needs the unlabelled texts
-        text = [text_col] if teacher is not None and not isinstance(teacher, ModelScorer) else []
-        unl = stored(featurize(unl, text_col, [*ids, *text], max_tokens, **model_params), "self-train-unlabelled")
-        train = split.where("is_train").select("label_id", *feat)
+        text = [text_col] if teacher is not None and on_features(teacher) is teacher else []
+        unl = stored(trainer.featurize(unl, text_col, [*ids, *text]).observe(unl_seen, F.count(F.lit(1)).alias("n")), "self-train-unlabelled")
+        train = split.where("is_train").select(*ids, "label_id", *feat)
         val = split.where(~F.col("is_train")).select(*ids, "label_id", *feat)
         counts = split.groupBy("label_id").agg(F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("val")).collect()  # one row a class
         labels = {int(r["label_id"]): int(r["train"] + r["val"]) for r in counts}
         n_train, n_val = (sum(int(r[c]) for r in counts) for c in ("train", "val"))
-        n_unl = unl.count()
-        fit = dict(featurized=True, n_classes=n_classes, max_tokens=max_tokens, **model_params)
-        current = teacher or train_classifier(train, text_col, "label_id", **fit)
+        n_unl = int(unl_seen.get["n"])
+        if epochs is not None:  # each step reads the validation rows: flagged once
+            val = stored(val, "self-train-validation")
+        spent = [0.0]
+
+        def validate(scorer: Scorer) -> dict:
+            t = time.perf_counter()
+            found = evaluate(on_features(scorer), val, text_col, "label_id", ids, batch_size, seed)
+            spent[0] += time.perf_counter() - t
+            return {"loss": found["loss"], "loss_batch_mean": found.get("loss_batch_mean", found["loss"]), "accuracy": found["accuracy"]}
+
+        marked = train.withColumn("pseudo", F.lit(False))
+        current = teacher or trainer.fit(marked, None, lambda scorer: {})[0] if epochs is not None else teacher or train_classifier(train, None, "label_id", True, n_classes, max_tokens, **model_params)
 
         rounds: list[dict] = []
+        steps: list[dict] = []
         best: tuple[float, int, Scorer] | None = None
         for i, t in enumerate(threshold_schedule(threshold, iterations)):
             # one scoring pass over the whole unlabelled set per round; its rows go straight into the fit
-            t0 = time.perf_counter()
-            source = unl if not isinstance(current, ModelScorer) else unl.drop(*text)
-            pseudo = pseudo_label(source, on_features(current), t, text_col).select("label_id", *feat)
-            combined = combine_train(train.withColumn("pseudo", F.lit(False)), pseudo.withColumn("pseudo", F.lit(True)), None, [*feat, "pseudo"])
-            own: dict = {}
-            model = train_classifier(combined, text_col, "label_id", flag="pseudo", report=own, **fit)
-            t1 = time.perf_counter()
-            m = evaluate(on_features(model), val, text_col, "label_id", ids, batch_size, seed)
-            t2 = time.perf_counter()
-            rounds.append(
-                {
-                    "step": i + 1,
-                    "threshold": float(t),
-                    "unlabelled": n_unl,
-                    "pseudo": own["flagged"],
-                    "pseudo_percent": (own["flagged"] * 100.0 / n_unl) if n_unl else 0.0,
-                    "train": n_train,
-                    "combined": own["rows"],
-                    "validation": n_val,
-                    "train_loss": own["loss"],
-                    "train_accuracy": own["accuracy"],
-                    "val_loss": m["loss"],
-                    "val_loss_batch_mean": m.get("loss_batch_mean", m["loss"]),
-                    "val_accuracy": m["accuracy"],
-                    "sec_fit": t1 - t0,
-                    "sec_evaluate": t2 - t1,
-                }
-            )
-            if best is None or m["loss"] < best[0]:
-                best = (m["loss"], i + 1, model)
-            current = model
+            t0, spent[0] = time.perf_counter(), 0.0
+            source = unl if text and current is teacher else unl.drop(*text)
+            pseudo = pseudo_label(source, on_features(current), t, text_col).select(*ids, "label_id", *feat)
+            combined = combine_train(marked, pseudo.withColumn("pseudo", F.lit(True)), None, [*ids, *feat, "pseudo"])
+            current, top, top_step, found, own = trainer.fit(combined, "pseudo", validate)
+            fixed = {
+                "round": i + 1,
+                "threshold": float(t),
+                "unlabelled": n_unl,
+                "pseudo": int(own["flagged"]),
+                "pseudo_percent": (own["flagged"] * 100.0 / n_unl) if n_unl else 0.0,
+                "train": n_train,
+                "combined": int(own["rows"]),
+                "validation": n_val,
+            }
+            steps += [{**fixed, **s, "best": s["step"] == top_step} for s in found]
+            rounds.append({**steps[-1], "best_step": top_step, "sec_fit": time.perf_counter() - t0 - spent[0], "sec_evaluate": spent[0]})
+            loss = found[top_step - 1]["val_loss_batch_mean"]
+            if best is None or loss < best[0]:
+                best = (loss, i + 1, top)
 
         chosen = best[2] if (keep == "best" and best is not None) else current
         if output_dir:
-            save_model(chosen, output_dir)
+            save_model(chosen if keep == "best" else top if rounds else current, output_dir)
     finally:
         for path in scratch:
             drop_path(spark, path)
     return SelfTrainResult(
         scorer=chosen,
-        metrics=metrics_frame(spark, rounds),
+        metrics=metrics_frame(spark, steps),
         rounds=rounds,
         best_round=best[1] if best else None,
         label_counts=labels,
+        steps=steps,
+        counts={"labelled": int(lab_seen.get["n"]), "unlabelled": n_unl, **{f"accepted_{r['round']}": r["pseudo"] for r in rounds}},
     )
 
 
-METRICS_SCHEMA = T.StructType(
-    [
-        T.StructField("step", T.IntegerType()),
-        T.StructField("threshold", T.DoubleType()),
-        T.StructField("unlabelled", T.LongType()),
-        T.StructField("pseudo", T.LongType()),
-        T.StructField("pseudo_percent", T.DoubleType()),
-        T.StructField("train", T.LongType()),
-        T.StructField("combined", T.LongType()),
-        T.StructField("validation", T.LongType()),
-        T.StructField("train_loss", T.DoubleType()),
-        T.StructField("train_accuracy", T.DoubleType()),
-        T.StructField("val_loss", T.DoubleType()),
-        T.StructField("val_loss_batch_mean", T.DoubleType()),
-        T.StructField("val_accuracy", T.DoubleType()),
-    ]
+METRICS_SCHEMA = (
+    "round int, step int, threshold double, unlabelled long, pseudo long, pseudo_percent double, train long, combined long, validation long, "
+    "start_loss double, train_loss double, train_accuracy double, val_loss double, val_loss_batch_mean double, val_accuracy double, best boolean"
 )
 
 
-def metrics_frame(spark: SparkSession, rounds: list[dict]) -> DataFrame:
-    """One row per round (a small report: rows = iterations)."""
-    names = [f.name for f in METRICS_SCHEMA.fields]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rounds], METRICS_SCHEMA)
+def metrics_frame(spark: SparkSession, steps: list[dict]) -> DataFrame:
+    """One row per round and step (a small report: rounds x epochs)."""
+    names = [c.split()[0] for c in METRICS_SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(s[n] for n in names) for s in steps], METRICS_SCHEMA)
 
 
 def save_model(scorer: Scorer, path: str) -> None:
-    """K5: persist the chosen model (Spark ML writer, overwrite)."""
+    """K5: persist the chosen model (overwrite): a student's weights as a Parquet
+    table, a pipeline with the Spark ML writer."""
+    if isinstance(scorer, StudentScorer):
+        scorer.student.save(SparkSession.active(), path)
+        return
     model = getattr(scorer, "model", None)
     if model is None:
-        raise TypeError("only a fitted Spark ML model can be saved")
+        raise TypeError("only a trained student or a fitted Spark ML model can be saved")
     model.write().overwrite().save(path)
 
 
-def load_model(path: str, n_classes: int = len(ID_TO_LABEL), max_tokens: int | None = MAX_TOKENS) -> ModelScorer:
+def load_model(path: str, n_classes: int = len(ID_TO_LABEL), max_tokens: int | None = MAX_TOKENS) -> Scorer:
+    """The scorer that ``save_model`` wrote to ``path``."""
     from pyspark.ml import PipelineModel
 
-    return ModelScorer(PipelineModel.load(path), MODEL_INPUT, n_classes, max_tokens)
+    spark = SparkSession.active()
+    if is_folder(spark, f"{path.rstrip('/')}/stages"):
+        return ModelScorer(PipelineModel.load(path), MODEL_INPUT, n_classes, max_tokens)
+    return StudentScorer(Student.load(spark, path))

@@ -10,8 +10,9 @@ matching SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -34,7 +35,8 @@ from ..functions import (
     to_long,
     truncate_tokens,
 )
-from ..functions.constants import CLEAN_COLUMNS, COUNT_COLUMNS, ID_TO_LABEL, MAX_TOKENS, TRAIN_BATCH_SIZE
+from ..functions.constants import CLEAN_COLUMNS, COUNT_COLUMNS, ID_TO_LABEL, LABEL_TO_ID, MAX_TOKENS, SEED, TRAIN_BATCH_SIZE, TRAIN_EPOCHS
+from ..functions.subwords import truncate_subwords
 from ..operators.clean import clean_posts, dedup_posts, nonnegative_counts, typed_posts, valid_posts
 from ..operators.metrics import acceptance, best_step, eval_report, label_distribution, stage_counts
 from ..operators.sampling import order_key, sample_exact, stratified_split
@@ -47,6 +49,7 @@ from ..operators.scoring import (
     score_posts,
 )
 from ..operators.training import (
+    StepTrainer,
     combine_train,
     evaluation_rows,
     load_model,
@@ -54,7 +57,7 @@ from ..operators.training import (
     prepare_unlabelled,
     self_train,
     threshold_schedule,
-    train_classifier,
+    without_labelled,
 )
 from ..session import scratch_path
 from ..sources.ingest import (
@@ -69,7 +72,7 @@ from ..sources.ingest import (
 from ..sources.readers import nonblank_text, read_clean, read_posts_csv, read_text_csv, read_whole_text
 from ..sources.writers import write_clean, write_scored
 from .fixtures import RAW_COLUMNS, labelled, raw_posts, raw_posts_strings, table, unlabelled
-from .jobs import sentiment_job
+from .jobs import clean_job, ingest_job, self_train_job, sentiment_job
 
 R6 = 6
 SAMPLE_N = 500
@@ -470,34 +473,180 @@ def q_self_train_round(spark, sf):
     )
 
 
-def q_train_predict(spark, sf):
-    """The student on its own training rows. Where free intercepts are at their
-    best, the mean chance of each class is that class's share of the rows."""
+def _trained(spark, sf):
+    """(scorer of the student after its steps, validation rows): steps and weights
+    come from the train split alone."""
     s = _split(spark, sf)
-    train = s.where("is_train").select("doc_id", "text", "label_id")
-    model = train_classifier(train, "text", "label_id", max_iter=60)
-    names = [ID_TO_LABEL[i] for i in sorted(ID_TO_LABEL)]
-    scored = score_posts(train, model, "text")
-    each = F.explode(F.array(*(
-        F.struct(F.lit(i).alias("label_id"), F.lit(n).alias("sentiment"), F.col(f"{n}_prob").alias("p"), (F.col("label_id") == i).cast("int").alias("own"))
-        for i, n in enumerate(names))))
-    by = scored.select(each.alias("e")).groupBy("e.label_id", "e.sentiment")
-    near = F.abs(F.avg("e.p") - F.avg("e.own")) < 1e-3
-    return by.agg(F.sum("e.own").alias("n_train"), near.alias("mean_is_share"))
+    path = scratch_path(spark, "split")
+    s.select("doc_id", "text", "sentiment", "label_id", "is_train").write.parquet(path)
+    s = spark.read.parquet(path)
+    trainer = StepTrainer(spark, TRAIN_EPOCHS, TRAIN_BATCH_SIZE, SEED, len(ID_TO_LABEL), MAX_TOKENS, ["doc_id"])
+    rows = trainer.featurize(s.where("is_train"), "text", ["doc_id", "label_id"])
+    return trainer.fit(rows, None, lambda scorer: {})[0], s.where(~F.col("is_train"))
+
+
+def q_train_predict(spark, sf):
+    """G7 + G8: the student's label and chances for each validation document, and
+    whether the evaluator's loss and accuracy are those of these rows."""
+    scorer, val = _trained(spark, sf)
+    path = scratch_path(spark, "predictions")
+    scored = score_posts(val.withColumn("__m", model_text("text")), scorer, "__m")
+    scored.select("doc_id", "label_id", "sentiment_id", *(f"{n}_prob" for n in LABEL_TO_ID)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    p = F.element_at(F.array(*(f"{n}_prob" for n in LABEL_TO_ID)), F.col("label_id") + 1)
+    own = rows.agg(F.avg(-F.ln(p)).alias("own_loss"), F.avg((F.col("sentiment_id") == F.col("label_id")).cast("int")).alias("own_accuracy"))
+    report = eval_report(evaluation_rows(scorer, val), LOGITS, "label_id", order_key(["doc_id"]), TRAIN_BATCH_SIZE)
+    near = (F.abs(F.col("loss") - F.col("own_loss")) < 1e-6) & (F.abs(F.col("accuracy") - F.col("own_accuracy")) < 1e-9)
+    agree = report.select(F.lit(1).alias("k"), "loss", "accuracy").join(own.withColumn("k", F.lit(1)), "k").select("k", near.alias("evaluated_alike"))
+    known = F.col("sentiment_id").isin(list(ID_TO_LABEL))
+    each = rows.select(F.lit(1).alias("k"), "doc_id", "label_id", known.alias("has_label"), _r(sum((F.col(f"{n}_prob") for n in LABEL_TO_ID), F.lit(0.0))).alias("chances"))
+    return each.join(agree, "k").drop("k")
+
+
+def q_train_predict_rows(spark, sf):
+    """The same predictions as they are."""
+    scorer, val = _trained(spark, sf)
+    scored = score_posts(val.withColumn("__m", model_text("text")), scorer, "__m")
+    return scored.select("doc_id", "label_id", "sentiment_id", *(_r(f"{n}_prob").alias(f"{n}_prob") for n in LABEL_TO_ID))
+
+
+BEST_ROUNDS = 2
+
+
+def _self_trained(spark, sf, path, **kw):
+    return self_train(labelled(spark, sf), unlabelled(spark, sf), threshold=THRESHOLD, iterations=BEST_ROUNDS, teacher=LetterShareScorer(), output_dir=path, **kw)
 
 
 def q_self_train_best(spark, sf):
-    """One round of the loop with the test teacher: its counts, that it is the
-    best one, and that the saved model scores as the one in hand."""
+    """Two rounds of three steps from the test teacher: each step's counts, whether it
+    is the best of its round, that weights went on, and that the saved model (the
+    best step of all, as asked for) scores as the one in hand."""
     path = scratch_path(spark, "best_model")
-    res = self_train(labelled(spark, sf), unlabelled(spark, sf), threshold=THRESHOLD, iterations=1, teacher=LetterShareScorer(), output_dir=path, max_iter=15)
+    res = _self_trained(spark, sf, path, keep="best")
     docs = table(spark, sf, "documents").select("text")
     both = load_model(path).add_logits(res.scorer.add_logits(docs, "text", "__kept"), "text", "__loaded")
-    same = both.agg(F.count_if(~F.col("__kept").eqNullSafe(F.col("__loaded"))).alias("differ")).select(F.lit(1).alias("step"), (F.col("differ") == 0).alias("same_after_load"))
-    best = best_step(res.metrics).select(F.col("best_step").alias("step"))
-    m = res.metrics.join(best, "step").join(same, "step")
+    same = both.agg((F.count_if(~F.col("__kept").eqNullSafe(F.col("__loaded"))) == 0).alias("same_after_load"))
+    m = res.metrics
+    by_round = Window.partitionBy("round")
+    least = best_step(m.select(F.struct("round", "step").alias("step"), F.col("val_loss_batch_mean").alias("val_loss")))
     finite = (F.col("train_loss") < 1e6) & (F.col("val_loss") < 1e6) & F.col("train_accuracy").between(0, 1) & F.col("val_accuracy").between(0, 1)
-    return m.select("step", "threshold", "unlabelled", "pseudo", "train", "combined", "validation", finite.alias("finite_metrics"), "same_after_load")
+    # untrained weights give each class the same chance; only the first round begins with them
+    fresh = F.abs(F.col("start_loss") - F.ln(F.lit(float(len(ID_TO_LABEL))))) < 1e-9
+    out = m.select(
+        "round", "step", _r("threshold").alias("threshold"), "unlabelled", F.when(F.col("round") == 1, F.col("pseudo")).alias("pseudo_of_teacher"),
+        "train", "validation", (F.col("combined") == F.col("train") + F.col("pseudo")).alias("combined_adds_up"), finite.alias("finite_metrics"),
+        fresh.alias("starts_untrained"), F.count_if("best").over(by_round).alias("best_of_round"),
+        (F.min_by("step", F.struct("val_loss_batch_mean", "step")).over(by_round) == F.min(F.when(F.col("best"), F.col("step"))).over(by_round)).alias("best_is_least"))
+    kept = least.select((F.col("best_step.round") == res.best_round).alias("kept_is_least"))
+    one = F.lit(1).alias("k")  # two reports of one row
+    return out.select("*", one).join(same.select("*", one), "k").join(kept.select("*", one), "k").drop("k")
+
+
+def q_self_train_steps(spark, sf):
+    """Every round's and step's figures as they are."""
+    m = _self_trained(spark, sf, None).metrics
+    return m.select(*(_r(f.name).alias(f.name) if f.dataType.typeName() == "double" else f.name for f in m.schema.fields))
+
+
+# --- jobs, from files to files -------------------------------------------------------
+
+
+def q_clean_job_table(spark, sf):
+    """J1 by its job: a raw CSV, and the Parquet table that the job made of it."""
+    out = scratch_path(spark, "clean_job")
+    clean_job(spark, _raw_csv(spark, sf), out, order_by=["post_id"])
+    return _comparable(read_clean(spark, out).select(*CLEAN_COLUMNS))
+
+
+def q_clean_job_counts(spark, sf):
+    """A1: the rows that the clean job read, found valid and wrote, as it ran."""
+    done = clean_job(spark, _raw_csv(spark, sf), scratch_path(spark, "clean_job"), order_by=["post_id"])
+    return spark.createDataFrame([(done["total"], done["valid"], done["written"])], "total long, valid long, written long")
+
+
+def q_sentiment_job_counts(spark, sf):
+    """A1: the same of the sentiment job, over all documents."""
+    docs, report = table(spark, sf, "documents").select("doc_id", "text"), {}
+    sentiment_job(spark, None, LetterShareScorer(), source=docs, id_cols=["doc_id"], report=report)
+    return spark.createDataFrame([(report["total"], report["valid"], report["labelled"])], "total long, valid_text long, labelled long")
+
+
+def _as_csv(spark, df, name) -> str:
+    path = scratch_path(spark, name)
+    write_scored(df.withColumn("doc_id", F.col("doc_id").cast("string")), path)
+    return path
+
+
+def q_self_train_job(spark, sf):
+    """J3 by its job, from two CSV files: its counts (A1), taken as it ran."""
+    lab, unl = _as_csv(spark, labelled(spark, sf), "labelled_csv"), _as_csv(spark, unlabelled(spark, sf), "unlabelled_csv")
+    c = self_train_job(spark, lab, unl, iterations=1, teacher=LetterShareScorer(), id_cols=["doc_id"], epochs=1).counts
+    names = ["labelled_total", "labelled_valid", "labelled", "unlabelled_total", "unlabelled_valid", "unlabelled", "accepted_1"]
+    return spark.createDataFrame([tuple(c[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+def q_ingest_event(spark, sf):
+    """S4 + J4: a CSV of part files for each language, each named by an event; the
+    rows that lie in the raw zone, beside their file's manifest."""
+    folder, zone = scratch_path(spark, "incoming"), scratch_path(spark, "zone")
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang")
+    out = []
+    for lang in (r["lang"] for r in docs.select("lang").distinct().orderBy("lang").collect()):  # a few names
+        docs.where(F.col("lang").eqNullSafe(lang)).write.option("header", "true").csv(f"{folder}/{lang}.csv")
+        manifest = ingest_job(spark, {"source": "test", "test_data_location": f"{folder}/{lang}.csv"}, zone)
+        m = manifest.first()
+        told = [F.lit(m[c]).alias(n) for n, c in (("tag", "source"), ("file_name", "file_name"), ("dataset", "dataset"), ("record_count", "record_count"))]
+        landed = spark.read.parquet(m["location"])
+        out.append(landed.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").alias("source"), "lang", *told, F.lit(m["file_size_mb"] > 0).alias("has_size")))
+    return reduce(DataFrame.unionByName, out)
+
+
+# --- cases that the queries above don't meet ---------------------------------------------
+
+
+NARROW = ["user_name", "user_location", "user_friends", "user_verified", "hashtags"]
+
+
+def q_clean_posts_narrow(spark, sf):
+    """P13 + D1: a posts table without some of the columns; two dedup keys are left."""
+    return _comparable(clean_posts(raw_posts(spark, sf).drop(*NARROW), order_by=["post_id"]))
+
+
+def q_dedup_single_key(spark, sf):
+    """D1 with one key left: nothing is removed."""
+    return _comparable(clean_posts(raw_posts(spark, sf).drop("user_name", "text"), order_by=["post_id"])).select("tweet_ts", "user_created_ts", "source")
+
+
+def q_acceptance_above_cap(spark, sf):
+    """G9 from a threshold above its cap."""
+    scored = score_posts(_unlabelled_ready(spark, sf).withColumn("__m", model_text("text")), LetterShareScorer(), "__m")
+    return acceptance(scored, threshold_schedule(0.98, ROUNDS)).select("step", _r("threshold").alias("threshold"), "accepted", "total", _r("percent").alias("percent"))
+
+
+def q_exclude_labelled(spark, sf):
+    """Leakage control over ids that are null in one row of eleven on both sides."""
+    holed = F.when(F.col("doc_id") % 11 != 0, F.col("doc_id")).alias("id")
+    docs = table(spark, sf, "documents").select(holed, "lang", "n_chars")
+    known = table(spark, sf, "labels").where(F.col("doc_id") % 11 != 0).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    nulls = table(spark, sf, "labels").where(F.col("doc_id") % 11 == 0).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").where("lang <> 'de'")
+    return without_labelled(docs, known.unionByName(nulls).select(holed, "lang"), ["id", "lang"])
+
+
+def _roberta_like() -> str:
+    """A byte-level tokenizer file, as the reference's model has one."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def q_truncate_subwords(spark, sf):
+    """P17 in subword tokens: every text as a model of that tokenizer would see it."""
+    return table(spark, sf, "documents").select("doc_id", truncate_subwords(F.col("text"), _roberta_like()).alias("model_input"))
+
+
+def q_score_posts_subwords(spark, sf):
+    """Every text scored on its first subword tokens."""
+    return _score_cols(_scored_documents(spark, sf, LetterShareScorer(max_tokens=MAX_TOKENS, tokenizer=_roberta_like())))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -551,5 +700,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "eval_cross_entropy": q_eval_cross_entropy,
     "self_train_round": q_self_train_round,
     "train_predict": q_train_predict,
+    "train_predict_rows": q_train_predict_rows,
     "self_train_best": q_self_train_best,
+    "self_train_steps": q_self_train_steps,
+    "exclude_labelled": q_exclude_labelled,
+    "acceptance_above_cap": q_acceptance_above_cap,
+    "truncate_subwords": q_truncate_subwords,
+    "score_posts_subwords": q_score_posts_subwords,
+    # jobs, from files to files
+    "clean_job_table": q_clean_job_table,
+    "clean_job_counts": q_clean_job_counts,
+    "sentiment_job_counts": q_sentiment_job_counts,
+    "self_train_job": q_self_train_job,
+    "ingest_event": q_ingest_event,
+    "clean_posts_narrow": q_clean_posts_narrow,
+    "dedup_single_key": q_dedup_single_key,
 }

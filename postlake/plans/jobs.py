@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 from ..functions.constants import (
     CLI_ITERATIONS,
     CONFIDENCE_THRESHOLD,
+    LABEL_TO_ID,
     SEED,
     TRAIN_BATCH_SIZE,
+    TRAIN_EPOCHS,
 )
-from ..operators.clean import clean_posts
+from ..functions.text import is_blank
+from ..operators.clean import StageCounts, clean_posts
 from ..operators.metrics import label_distribution
 from ..operators.sampling import sample_exact
 from ..operators.scoring import Scorer, score_posts
 from ..operators.training import SelfTrainResult, load_model, self_train
-from ..session import drop_path, scratch_path
+from ..session import drop_path, is_folder, scratch_path
 from ..sources.ingest import ingest_manifest, land_raw, list_files, pick_input_file, route_source
 from ..sources.readers import nonblank_text, read_raw, read_text_csv, require_columns
 from ..sources.writers import write_clean, write_scored
@@ -46,7 +49,10 @@ def clean_job(
 
     ``input_format='parquet'`` reads a raw zone landed by ``land_raw``
     instead: the same all-string rows, parsed once at landing and splittable
-    by row group, where a multi-line CSV is one task per file on every run."""
+    by row group, where a multi-line CSV is one task per file on every run.
+
+    The result has the paths, the seconds, and the rows read (``total``), valid and
+    written, counted as they are written."""
     paths = {
         "input": input_path or spark.conf.get("spark.etl.input", None),
         "output": output_path or spark.conf.get("spark.etl.output", None),
@@ -55,9 +61,10 @@ def clean_job(
         raise ValueError("; ".join(f"no {n} path: give --{n} or set spark.etl.{n}" for n in unknown))
     t0 = time.time()
     raw = read_raw(spark, paths["input"], input_format)
-    out = clean_posts(raw, order_by=order_by)
+    counts = StageCounts()
+    out = clean_posts(raw, order_by=order_by, counts=counts)
     write_clean(out, paths["output"], layout=layout)
-    return {**paths, "seconds": time.time() - t0}
+    return {**paths, "seconds": time.time() - t0, **counts.read()}
 
 
 def read_texts(spark: SparkSession, path: str, input_format: str = "csv") -> DataFrame:
@@ -90,6 +97,7 @@ def sentiment_job(
     seed: int = SEED,
     id2label: dict[int, str] | None = None,
     input_format: str = "csv",
+    report: dict | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Scan -> sample -> non-blank -> score -> distribution -> CSV sink.
 
@@ -97,7 +105,9 @@ def sentiment_job(
     than ``sample_size`` rows), as in the reference. ``source`` lets a caller
     pass an already-read table (e.g. the clean table with ``text_clean``).
     Returns (scored rows, label distribution), both of a table that the job
-    writes once below the shared folder; nothing is cached.
+    writes once below the shared folder; nothing is cached. ``report`` gets the rows
+    taken (``total``), those with a text (``valid``) and those that got a label
+    (``labelled``), counted by that write.
     """
     df = source if source is not None else read_texts(spark, csv_path, input_format)
     require_columns(df, text_col)
@@ -110,7 +120,12 @@ def sentiment_job(
             df = spark.read.parquet(landed)
         df = sample_exact(df, sample_size, list(id_cols or df.columns), seed)
     kept = scratch_path(spark, "sentiment-scored")
-    score_posts(nonblank_text(df, text_col), scorer, text_col, id2label).write.parquet(kept)
+    counts = StageCounts()
+    taken = counts.mark(df, total=F.lit(True), valid=~is_blank(text_col))
+    named = score_posts(nonblank_text(taken, text_col), scorer, text_col, id2label)
+    counts.mark(named, labelled=F.col("sentiment").isNotNull()).write.parquet(kept)
+    if report is not None:
+        report.update(counts.read())
     if landed:
         drop_path(spark, landed)
     scored = spark.read.parquet(kept)
@@ -140,7 +155,9 @@ def self_train_job(
     All rows are used unless a size is given. The model goes to ``output_dir``,
     below the shared folder without one. A missing input path fails in
     ``spark.read`` itself. Without an id column the rows are identified by
-    their text; copies of a text are told apart by the whole row.
+    their text; copies of a text are told apart by the whole row. The result's
+    ``counts`` have the rows read and valid of both inputs, those used, and those
+    accepted in each round, counted by the writes that the job does anyway.
     """
     ids = list(id_cols or [text_col])
     lab = read_texts(spark, labeled, input_format)
@@ -149,12 +166,17 @@ def self_train_job(
     require_columns(unl, text_col, *ids)
     used = list(dict.fromkeys([*ids, text_col]))
     # sampling reads each input several times: keep the columns used, parsed once
-    held = []
-    for df, cols in ((lab, [*used, "sentiment"]), (unl, used)):
+    held, counts = [], StageCounts()
+    some = F.col("sentiment").isin(list(LABEL_TO_ID))
+    taken = (
+        counts.mark(lab.select(*used, "sentiment"), labelled_total=F.lit(True), labelled_valid=some),
+        counts.mark(unl.select(*used), unlabelled_total=F.lit(True), unlabelled_valid=~is_blank(text_col)),
+    )
+    for df in taken:
         held.append(scratch_path(spark, "self-train-input"))
-        df.select(*cols).write.parquet(held[-1])
+        df.write.parquet(held[-1])
     try:
-        return self_train(
+        done = self_train(
             spark.read.parquet(held[0]),
             spark.read.parquet(held[1]),
             text_col=text_col,
@@ -168,6 +190,8 @@ def self_train_job(
             batch_size=batch_size,
             **kw,
         )
+        done.counts = {**counts.read(), **done.counts}
+        return done
     finally:
         for path in held:
             drop_path(spark, path)
@@ -175,12 +199,18 @@ def self_train_job(
 
 def ingest_job(spark: SparkSession, event: dict, raw_root: str, base: str | None = None) -> DataFrame:
     """Route the event's source, land the chosen CSV in ``raw/`` and return
-    its manifest row (with the landed record count)."""
+    its manifest row (with the landed record count). A CSV may be a folder of part
+    files, as Spark writes it: it lands as one table, with their sizes added up."""
     uri, tag, dataset, source_uri = route_source(event, base)
     if tag == "kaggle":
         picked = pick_input_file(spark, uri, event.get("kaggle_file"))
         uri = picked["path"]
-    files = list_files(spark, uri.rsplit("/", 1)[0], glob=uri.rsplit("/", 1)[1])
+    name = uri.rstrip("/").rsplit("/", 1)
+    if is_folder(spark, uri):
+        parts = list_files(spark, uri)
+        files = parts.agg(F.sum("length").alias("length")).select(F.lit(uri).alias("path"), F.lit(name[1]).alias("file_name"), "length")
+    else:
+        files = list_files(spark, name[0], glob=name[1])
     landed = land_raw(spark, uri, raw_root)
     n = spark.read.parquet(landed).count()
     return ingest_manifest(files, tag, raw_root, dataset, source_uri).withColumn("record_count", F.lit(n))
@@ -220,6 +250,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--iterations", "-i", type=int, default=CLI_ITERATIONS)
     s.add_argument("--output-dir", "-o", default=None, help="default: below spark.checkpoint.dir")
     s.add_argument("--batch-size", "-b", type=int, default=TRAIN_BATCH_SIZE)
+    s.add_argument("--epochs", type=int, default=TRAIN_EPOCHS, help="steps in each round")
     s.add_argument("--teacher", default=None, help="first scorer by import path, package.module:name")
     s.add_argument("--text-col", default="text")
     s.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
@@ -258,7 +289,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             named_scorer(args.teacher) if args.teacher else None,
             args.text_col,
             input_format=args.input_format,
+            epochs=args.epochs,
         )
+        print("rows:", res.counts)
         print("labelled rows by class:", res.label_counts)
         res.metrics.show(truncate=False)
 

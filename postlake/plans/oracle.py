@@ -271,13 +271,37 @@ ORACLE: dict[str, str] = {
         select 1 as step, cast(0.9 as double) as threshold, unlabelled, pseudo,
           round(case when unlabelled = 0 then 0.0 else pseudo * 100.0 / unlabelled end, 6) as pseudo_percent,
           train, train + pseudo as combined, validation from c""",
-    # at the optimum of a model with free intercepts the mean chances are the class shares
-    "train_predict": f"""with {SPLIT} select l.label_id, l.sentiment, count(*) filter (where s.is_train and s.label_id = l.label_id) as n_train,
-        true as mean_is_share
-        from (values (0, 'negative'), (1, 'neutral'), (2, 'positive')) l(label_id, sentiment), split s group by all""",
-    "self_train_best": f"""with {SPLIT}, {PSEUDO}
-        select 1 as step, cast(0.9 as double) as threshold, (select count(*) from unl_ready) as unlabelled,
-          (select count(*) from pseudo) as pseudo, (select count(*) from split where is_train) as train,
-          (select count(*) from pseudo) + (select count(*) from split where is_train) as combined,
-          (select count(*) from split where not is_train) as validation, true as finite_metrics, true as same_after_load""",
+    # losses and chances of a trained model are beyond SQL; what they must satisfy is not
+    "train_predict": f"""with {SPLIT} select doc_id, label_id, true as has_label, 1.0 as chances, true as evaluated_alike from split where not is_train""",
+    "self_train_best": f"""with {SPLIT}, {PSEUDO}, r as (select * from (values (1, cast(0.9 as double)), (2, cast(0.92 as double))) r(round, threshold), (values (1), (2), (3)) s(step))
+        select round, step, threshold, (select count(*) from unl_ready) as unlabelled,
+          case when round = 1 then (select count(*) from pseudo) end as pseudo_of_teacher,
+          (select count(*) from split where is_train) as train, (select count(*) from split where not is_train) as validation,
+          true as combined_adds_up, true as finite_metrics, round = 1 and step = 1 as starts_untrained, 1 as best_of_round, true as best_is_least,
+          true as same_after_load, true as kept_is_least from r""",
+    "exclude_labelled": """with d as (select case when doc_id % 11 <> 0 then doc_id end as id, lang, n_chars from documents),
+        k as (select case when l.doc_id % 11 <> 0 then l.doc_id end as id, d.lang from labels l join documents d on l.doc_id = d.doc_id
+          where l.doc_id % 11 <> 0 or d.lang <> 'de')
+        select * from d where not exists (select 1 from k where k.id is not distinct from d.id and k.lang is not distinct from d.lang)""",
+    "acceptance_above_cap": f"""with {UNL_READY},
+        unl_m as (select doc_id, {strip('text')} as m from unl_ready),
+        {scored('unl_m', 'm', 'ps')}
+        select step, t as threshold, count(*) filter (conf >= t) as accepted, count(*) as total, round(count(*) filter (conf >= t) * 100.0 / count(*), 6) as percent
+        from ps, (values (1, cast(0.98 as double)), (2, cast(0.95 as double)), (3, cast(0.95 as double))) s(step, t) group by step, t""",
+    # the ids of a raw CSV are texts, and so is their order
+    "clean_job_table": f"with {RAW}, {TYPED}, {CLEAN.replace('order by post_id', 'order by cast(post_id as varchar)')} select {CLEAN_SELECT} from clean",
+    "clean_job_counts": f"""with {RAW}, {TYPED}, {CLEAN} select (select count(*) from raw_posts) as total,
+        (select count(*) from typed where {VALID_WHERE} and {COUNTS_WHERE}) as valid, (select count(*) from clean) as written""",
+    "sentiment_job_counts": f"""select count(*) as total, count(*) filter (where not {blank('text')}) as valid_text,
+        count(*) filter (where not {blank('text')}) as labelled from documents""",
+    "self_train_job": f"""with {SPLIT}, {PSEUDO} select (select count(*) from lab) as labelled_total, (select count(*) from labk) as labelled_valid,
+        (select count(*) from split) as labelled, (select count(*) from unl) as unlabelled_total, (select count(*) from unl_ready) as unlabelled_valid,
+        (select count(*) from unl_ready) as unlabelled, (select count(*) from pseudo) as accepted_1""",
+    "ingest_event": """select doc_id, source, lang, 'test_local' as tag, lang || '.csv' as file_name, lang as dataset,
+        count(*) over (partition by lang) as record_count, true as has_size from documents""",
+    "clean_posts_narrow": f"""with {RAW}, {TYPED}, narrow as (select * from typed
+          where {VALID_WHERE} and (user_followers is null or user_followers >= 0) and (user_favourites is null or user_favourites >= 0)
+          qualify row_number() over (partition by tweet_ts, text_clean order by post_id) = 1)
+        select user_description, user_created_ts, user_followers, user_favourites, tweet_ts, tweet_date, text_raw, text_clean, source, is_retweet from narrow""",
+    "dedup_single_key": f"with {RAW}, {TYPED} select tweet_ts, user_created_ts, source from typed where tweet_ts is not null and {COUNTS_WHERE}",
 }

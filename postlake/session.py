@@ -78,7 +78,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that ``scratch_path`` named."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    found, files = _hadoop(spark, path)
+    files.delete(found, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    found, files = _hadoop(spark, path)
+    return files.exists(found) and files.getFileStatus(found).isDirectory()

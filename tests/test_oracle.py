@@ -40,8 +40,12 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(df.columns, rows)[0] == digest(res.columns, orows)[0]
 
 
+#: A trained model's figures and a tokenizer's cuts: held against brute force in test_student.py and test_subwords.py.
+NO_SQL = {"train_predict_rows", "self_train_steps", "truncate_subwords", "score_posts_subwords"}
+
+
 def test_every_query_of_the_catalog_has_an_oracle():
-    assert set(QUERIES) <= set(ORACLE)
+    assert set(QUERIES) - NO_SQL <= set(ORACLE)
 
 
 def test_entry_smoke(spark):

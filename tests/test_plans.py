@@ -12,8 +12,8 @@ import pytest
 from locations import SF_SMALL
 from postlake.plans.catalog import QUERIES
 
-# these two fit Spark ML models while the query is built (their result is a
-# small report); their plans are checked through the operators they call
+# these train models or run whole jobs while the query is built (their result is a
+# small report beside them); their plans are checked through the operators they call
 SKIP = {"train_predict", "self_train_best"}
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|TakeOrderedAndProject|CollectLimit|GlobalLimit")
 
