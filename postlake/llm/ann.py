@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, hash_share, materialise
+from .common import by_hash, drop, materialise
 from .topk import usable
 
 
@@ -147,17 +147,6 @@ def best_of(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.n
     return scores[order], ids[order]
 
 
-def _best_of_each(parts: list[list[np.ndarray]], k: int) -> list[np.ndarray]:
-    """Of rows (query, id, score) the ``k`` best for each query, ties to smaller ids."""
-    query, other, score = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((other, -score, query))
-    query, other, score = query[order], other[order], score[order]
-    new = np.concatenate(([True], query[1:] != query[:-1])) if len(query) else np.empty(0, bool)
-    begin = np.maximum.accumulate(np.where(new, np.arange(len(query)), 0)) if len(query) else np.empty(0, np.int64)
-    first = np.arange(len(query)) - begin < k
-    return [query[first], other[first], score[first]]
-
-
 def _dot(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return queries @ rows.T
 
@@ -252,7 +241,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
     rows = rows.where(F.size("vector") == width)
 
     def some(df: DataFrame, most: int, of: int, seed: str) -> tuple[np.ndarray, np.ndarray]:
-        got = df.where(hash_share(F.col("row"), 0.9 * most / max(of, 1), seed)).select("id", "vector").limit(2 * most).toPandas().sort_values("id")
+        got = by_hash(df.select("id", "row", "vector"), [F.col("row")], most, of, seed).toPandas().sort_values(["id", "row"])
         return got["id"].to_numpy(np.int64), np.array(got["vector"].tolist(), float).reshape(len(got), width)
 
     _, sample = some(rows, sample_rows, n, "tree")

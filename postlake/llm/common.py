@@ -49,9 +49,39 @@ def crc_fold(col: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
 
 
-def hash_share(col: Column, share: float, seed: str = "s") -> Column:
-    """True for about ``share`` of the distinct values, the same ones on every run."""
-    return F.pmod(F.xxhash64(F.lit(seed), col), F.lit(1_000_000)) < F.lit(int(min(1.0, share) * 1_000_000) + 1)
+def by_hash(df: DataFrame, by: Sequence[Column], most: int, of: int, seed: str, kind: str | None = None, quota: dict | None = None) -> DataFrame:
+    """The ``most`` rows of ``of`` with the smallest 64-bit hashes of ``by``; equal
+    values of ``by`` are one row. With ``quota`` ({value of column ``kind``: (rows
+    wanted, rows there are)}) that many of each kind.
+
+    A share of the hashes is let through first, so that what is sorted is a few times
+    what is taken, however large the table. The same rows are taken on every run.
+    """
+
+    def cut(wanted: int, there: int) -> int:
+        return min(2**63 - 1, int(-(2**63) + min(1.0, 2 * (wanted + 50) / max(there, 1)) * 2**64))
+
+    h, n = fresh(df, "hash"), fresh(df, "place")
+    hashed = df.withColumn(h, F.xxhash64(F.lit(seed), *by))
+    if quota is None:
+        return hashed.where(F.col(h) <= cut(most, of)).dropDuplicates([h]).orderBy(h).limit(most).drop(h)
+    if not quota:
+        return df.limit(0)
+    table = F.create_map(*(F.lit(x) for k, (w, t) in quota.items() for x in (k, cut(w, t))))
+    wanted = F.create_map(*(F.lit(x) for k, (w, _) in quota.items() for x in (k, w)))
+    few = hashed.where(F.col(h) <= table[F.col(kind)]).dropDuplicates([kind, h])
+    placed = few.withColumn(n, F.row_number().over(Window.partitionBy(kind).orderBy(h)))
+    return placed.where(F.col(n) <= wanted[F.col(kind)]).drop(h, n)
+
+
+def passages(text: Column, most: int = 20_000, size: int = 2_000) -> Column:
+    """A text, or of one of more than ``most`` characters as many passages as fit:
+    one of ``size`` from each equal part of it, at a place that its hash chooses."""
+    parts, n = most // size, F.length(text)
+    step, h = F.floor(n / parts), F.xxhash64(text)
+    found = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.substring(
+        text, (i * step + F.pmod(F.xxhash64(h, i), step - size + 1) + 1).cast("int"), F.lit(size)))
+    return F.when(n <= most, text).otherwise(F.concat_ws(" ", found))
 
 
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, rows: int, per_task: int = 20_000) -> DataFrame:

@@ -9,6 +9,8 @@ are then set on texts held out of that sample.
 
 Edge cases: a null text, an empty one and one without a letter get ``und`` with
 score 0 and are rejected. With no labelled row at all every text gets ``und``.
+A language that only long texts have is learned from passages of them; a rare one
+from ``least_rows`` rows at least. Equal rows are learned from once.
 Repeated rows get equal results. Other columns of the input are not read.
 """
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import codepoints, cut_text, hash_share, letters
+from .common import by_hash, codepoints, cut_text, letters, passages
 
 UNKNOWN = "und"
 SCHEMA = "lang_pred string, score double, rejected boolean"
@@ -141,17 +143,21 @@ def predict(model: LangModel, texts: list[str | None]) -> tuple[list[str], np.nd
 
 
 def fit(docs: DataFrame, eligible: Column, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        sample_rows: int = 4_000, longest: int = 20_000, **options) -> LangModel:
-    """Train on at most about ``sample_rows`` rows that ``eligible`` admits.
+        sample_rows: int = 4_000, least_rows: int = 100, **options) -> LangModel:
+    """Train on about ``sample_rows`` rows that ``eligible`` admits: of each language
+    its share of them, but at least ``least_rows``, or all if it has fewer.
 
-    The sample is the rows with the smallest share of a hash of ``key`` and has
-    texts of at most ``longest`` characters; both bound what reaches the driver.
+    The rows are those with the smallest hashes of key and text. Of a text of more
+    than 20,000 characters ten passages from all over it are learned from, which
+    bounds what reaches the driver; whole texts are identified.
     """
-    rows = docs.where(eligible & F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= longest))
-    n = rows.select(F.count(F.lit(1))).first()[0]
-    got = rows.where(hash_share(F.col(key), 0.9 * sample_rows / max(n, 1), "lang")).select(key, text, lang).limit(2 * sample_rows).toPandas()
-    got = got.sort_values([key, text, lang])
-    return train(got[text].tolist(), got[lang].tolist(), **options)
+    rows = docs.where(eligible & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    total = max(1, sum(count.values()))
+    quota = {k: (max(least_rows, round(sample_rows * n / total)), n) for k, n in count.items()}
+    few = by_hash(rows, [F.col("key"), F.col("text")], sample_rows, total, "lang", "lang", quota)
+    got = few.select("key", passages(F.col("text")).alias("text"), "lang").toPandas().sort_values(["key", "text", "lang"])
+    return train(got["text"].tolist(), got["lang"].tolist(), **options)
 
 
 def identify(docs: DataFrame, model: LangModel, text: str = "text") -> Column:

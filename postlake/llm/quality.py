@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_share
+from .common import by_hash
 
 BAD, GOOD, ABSTAIN, SILENT = range(4)
 #: Frequent short words of the languages the corpus is made of.
@@ -217,12 +217,18 @@ class Scorer:
 
 def train(texts: list[str], labels: LabelModel, bits: int = 12, epochs: int = 6, rate: float = 0.5, seed: int = 5) -> Scorer:
     """Logistic regression by stochastic gradient descent on posterior labels."""
+    return learn([c for c in (case(t, bits) for t in texts) if c], labels, bits, epochs, rate, seed)
+
+
+def case(text: str, bits: int = 12) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """(buckets, weights, vote pattern) of a text with a word."""
+    f = facts(text)
+    return (*features(text, f, bits), pattern(votes(f))) if f.words else None
+
+
+def learn(found: list[tuple[np.ndarray, np.ndarray, int]], labels: LabelModel, bits: int = 12, epochs: int = 6, rate: float = 0.5, seed: int = 5) -> Scorer:
     rng = np.random.default_rng(seed)
-    cases = []
-    for t in texts:
-        f = facts(t)
-        if f.words:
-            cases.append((*features(t, f, bits), float(labels.posterior(np.array([pattern(votes(f))]))[0])))
+    cases = [(at, x, float(labels.posterior(np.array([p]))[0])) for at, x, p in found]
     w, b = np.zeros((1 << bits) + 64), float(np.log(labels.good / (1 - labels.good)))
     steps, done = epochs * max(len(cases), 1), 0
     for _ in range(epochs):
@@ -247,19 +253,27 @@ def vote_patterns(docs: DataFrame, text: str = "text") -> Counter:
     return Counter({r["p"]: r["count"] for r in got})
 
 
-def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 4_000, longest: int = 20_000) -> Scorer:
-    """Label model from all of ``docs``; scorer from about ``sample_rows`` rows.
-
-    The sample is drawn by a hash of ``key`` among texts of at most ``longest``
-    characters, which bounds what reaches the driver.
+def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 4_000) -> Scorer:
+    """Label model from all of ``docs``; scorer from about ``sample_rows`` rows, those
+    with the smallest hashes of key and text. Their features are taken from whole
+    texts, in tasks: at most 2 ** 12 and some numbers a row reach the driver.
     """
     seen = vote_patterns(docs, text)
     p = np.array(sorted(seen), np.int64)
     labels = estimate(p, np.array([seen[x] for x in p], float))
-    n = sum(seen.values())
-    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= longest)).where(hash_share(F.col(key), 0.9 * sample_rows / max(n, 1), "quality"))
-    got = rows.select(key, text).limit(2 * sample_rows).toPandas().sort_values([key, text])
-    return train(got[text].tolist(), labels)
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    few = by_hash(rows, [F.col("key"), F.col("text")], sample_rows, sum(seen.values()), "quality")
+
+    @F.arrow_udf("struct<at:array<smallint>,w:array<double>,p:int>")
+    def found(batch: pa.Array) -> pa.Array:
+        got = [case(t) for t in batch.to_pylist()]
+        kind = pa.struct([("at", pa.list_(pa.int16())), ("w", pa.list_(pa.float64())), ("p", pa.int32())])
+        return pa.array([None if c is None else {"at": c[0].astype(np.int16), "w": c[1], "p": c[2]} for c in got], kind)
+
+    told = few.select("key", F.xxhash64("text").alias("h"), found("text").alias("c")).where("c is not null").select("key", "h", "c.*").toArrow()
+    told = told.sort_by([("key", "ascending"), ("h", "ascending")])
+    cases = [(np.asarray(at, np.int64), np.asarray(w, float), int(v)) for at, w, v in zip(*(told[c].to_pylist() for c in ("at", "w", "p")))]
+    return learn(cases, labels)
 
 
 def judge(docs: DataFrame, scorer: Scorer, text: str = "text", keep_from: float = 0.5) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import codepoints, cut_text, hash_share, letters, mix, text_runs
+from .common import by_hash, codepoints, cut_text, letters, mix, passages, text_runs
 
 WINDOW, STRIDE = 64, 32
 PAIR_BITS = 12
@@ -343,23 +343,24 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, eligible: Column, text: str = "text", key: str = "doc_id", label: str = "toxic", sample_rows: int = 2_000, longest: int = 20_000, **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, eligible: Column, text: str = "text", key: str = "doc_id", label: str = "toxic", sample_rows: int = 2_000, **options) -> Model:
     """Train on about ``sample_rows`` labelled rows that ``eligible`` (a condition
-    on the key) admits, half of each class where there are so many, with texts of
-    at most ``longest`` characters. Both bound what reaches the driver."""
+    on the key) admits, half of each class where there are so many: the keys with
+    the smallest hashes, and of a key with several texts the one with the smallest.
+    Of a text of more than 20,000 characters ten passages from all over it are
+    learned from, which bounds what reaches the driver; whole texts are scored."""
     spark = docs.sparkSession
-    known = labels.where(eligible & F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).cast("int").alias("y"))
+    known = labels.where(eligible & F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("y"))
     count = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    half = {y: 0.9 * sample_rows / 2 / max(n, 1) for y, n in count.items()}
-    chosen = known.where(F.lit(False) if not half else F.coalesce(*(F.when(F.col("y") == y, hash_share(F.col(key), s, "toxic")) for y, s in half.items())))
-    ids = chosen.limit(2 * sample_rows).collect()
-    few = spark.createDataFrame([(r[key], r["y"]) for r in ids], chosen.schema)
-    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= longest)).select(key, text).join(F.broadcast(few), key)
-    got = rows.limit(4 * sample_rows).toPandas().sort_values([key, text])
+    chosen = by_hash(known, [F.col("key")], sample_rows, 0, "toxic", "y", {y: (sample_rows // 2, n) for y, n in count.items()})
+    few = spark.createDataFrame([(r["key"], r["y"]) for r in chosen.collect()], known.schema)
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(few), "key")
+    one = rows.groupBy("key", "y").agg(F.min_by(passages(F.col("text")), F.xxhash64(F.lit("toxic"), "text")).alias("text"))
+    got = one.toPandas().sort_values(["key", "text"])
     taken = got["y"].value_counts().to_dict()
     weight = got["y"].map({y: count[y] / n for y, n in taken.items()}).to_numpy(float)
     share = count.get(1, 0) / max(sum(count.values()), 1)
-    return train(got[text].tolist(), got["y"].to_numpy(int), weight, share, **options)
+    return train(got["text"].tolist(), got["y"].to_numpy(int), weight, share, **options)
 
 
 def toxicity(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -1,3 +1,5 @@
+import math
+import random
 import zlib
 
 import pytest
@@ -71,3 +73,71 @@ def test_fold_matches_crc_of_the_id_as_text(spark):
     got = spark.range(50).select("id", crc_fold(F.col("id"), 5).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in got)
     assert table(spark, "documents").count() > 0
+
+
+GERMAN = "der die und das ist nicht auf dem den mit von haus fluss stein wolke gehen lesen grün leise tisch unter über nord süd weiß schön".split()
+
+
+def german(seed, n):
+    r = random.Random(seed)
+    return " ".join(r.choice(GERMAN) for _ in range(n))
+
+
+@pytest.mark.parametrize("english", [30, 5_500])
+def test_a_language_of_long_texts_only_is_learned(spark, english):
+    rows = [(i, german(i, 5_000), "de") for i in range(30)] + [(100 + i, prose(i, english), "en") for i in range(30)]
+    assert min(len(t) for _, t, y in rows if y == "de") > 20_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.col("doc_id") % 3 != 1)
+    for r in docs.select("lang", langid.identify(docs, model).alias("f")).collect():
+        assert r.f.lang_pred == r.lang and not r.f.rejected
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, prose(i, 30), "en") for i in range(3_000)] + [(5_000 + i, german(i, 30), "de") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.lit(True), sample_rows=200)
+    got = docs.where("lang = 'de'").select(langid.identify(docs, model).alias("f")).collect()
+    assert model.langs == ["de", "en"] and all(r.f.lang_pred == "de" for r in got)
+
+
+def test_the_sample_is_the_same_whatever_the_layout_and_bounded(spark):
+    from postlake.llm.common import by_hash
+
+    docs = spark.createDataFrame([(i % 300, f"t{i % 300}", "en" if i % 300 > 10 else "fr") for i in range(5_000)], "doc_id long, text string, lang string")
+    picks = [F.col("doc_id"), F.col("text")]
+    for kw in ({}, {"kind": "lang", "quota": {"en": (40, 4_800), "fr": (8, 200)}}):
+        a, b = (sorted(tuple(r) for r in by_hash(d, picks, 50, 5_000, "s", **kw).collect()) for d in (docs.repartition(7), docs.coalesce(1)))
+        assert a == b and len(set(a)) == len(a) <= 50
+    few = by_hash(docs, picks, 50, 10**15, "s")  # a share far below one in a million lets next to nothing through
+    assert few.count() <= 1
+
+
+def test_query_equals_slow_prediction(spark, monkeypatch):
+    """Every document's language and score, word by word in plain Python."""
+    sf, kept = "/root/testdata/sf0.001", []
+    real = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda *a, **k: kept.append(real(*a, **k)) or kept[-1])
+    got = {r.doc_id: r for r in QUERIES["op6_language_id"](spark, sf).collect()}
+    (model,) = kept
+    bits = model.table.shape[0].bit_length() - 1
+
+    def bucket(gram):
+        codes = [0 if c in "<>" else ord(c) for c in gram]
+        h = codes[0] + 1
+        for c in codes[1:]:
+            h = (h * 0x01000193 + c + 1) & 0xFFFFFFFF
+        return ((h * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - bits)
+
+    for r in table(spark, "documents").select("doc_id", "text").collect():
+        grams, sums = slow_subwords(r.text or ""), [0.0] * len(model.langs)
+        for g in grams:
+            for k, w in enumerate(model.table[bucket(g)].tolist()):
+                sums[k] += w
+        if not grams:
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].score == 0
+            continue
+        z = [(s / len(grams) + b) / model.temperature for s, b in zip(sums, model.bias.tolist())]
+        e = [math.exp(x - max(z)) for x in z]
+        assert got[r.doc_id].score == pytest.approx(max(e) / sum(e), abs=1e-4)
+        assert got[r.doc_id].lang_pred == model.langs[e.index(max(e))]

@@ -1,4 +1,6 @@
+import math
 import numpy as np
+import pytest
 from llm_data import EDGE_ROWS, LONG, edge_docs, no_docs, prose
 from pyspark.sql import functions as F
 
@@ -87,3 +89,45 @@ def test_query_against_labels(spark):
     n = {(r.quality, r.keep): r.n for r in got.groupBy("quality", "keep").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert n.get((1, False), 0) <= 0.01 * n[(1, True)]  # clean documents stay
     assert n.get((0, False), 0) >= 0.8 * (n.get((0, False), 0) + n.get((0, True), 0))
+
+
+def slow_features(text, f, bits=12):
+    """{bucket: weight}, shape by shape."""
+    shape = ["a" if c >= 128 or 97 <= c <= 122 else "A" if 65 <= c <= 90 else "0" if 48 <= c <= 57 else chr(c) for c in text.encode("utf-8", "replace")]
+    runs = [s for i, s in enumerate(shape) if i == 0 or shape[i - 1] != s]
+    count = {}
+    for n in (1, 2, 3):
+        for i in range(len(runs) - n + 1):
+            h = 0
+            for j, s in enumerate(runs[i : i + n]):
+                h = ord(s) + 1 if j == 0 else (h * 0x01000193 + ord(s) + 1) & 0xFFFFFFFF
+            at = ((h * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - bits)
+            count[at] = count.get(at, 0) + 1
+    total = sum(count.values())
+    out = {k: math.sqrt(v / total) for k, v in count.items()}
+    shares = (f.symbols, f.upper, f.same_as_before, f.distinct if f.words >= 60 else 1.0, f.repeated_sentences, f.stop_words, f.marks)
+    return out | {(1 << bits) + 8 * i + min(7, int(8 * x)): 0.5 for i, x in enumerate(shares)}
+
+
+def test_query_equals_slow_scores(spark, monkeypatch):
+    """Every document's score, shape by shape in plain Python."""
+    sf, kept = "/root/testdata/sf0.001", []
+    real = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: kept.append(real(*a, **k)) or kept[-1])
+    got = {r.doc_id: r for r in QUERIES["op7_quality"](spark, sf).collect()}
+    (model,) = kept
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        f = quality.facts(r.text or "")
+        z = model.bias + sum(model.weight[k] * w for k, w in slow_features(r.text, f).items()) if f.words else -math.inf
+        score = 1 / (1 + math.exp(-min(30, max(-30, z)))) if f.words else 0.0
+        assert got[r.doc_id].quality_score == pytest.approx(score, abs=1e-6) and got[r.doc_id].keep == (got[r.doc_id].quality_score >= 0.5)
+        assert got[r.doc_id].votes == "".join(map(str, quality.votes(f)))
+
+
+def test_a_table_of_long_texts_only_trains_a_scorer(spark):
+    rows = [(i, prose(i, 5_500)) for i in range(20)] + [(50 + i, "BUY!!! $$$ ### " * 3_000) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scorer = quality.fit(docs)
+    assert np.abs(scorer.weight).sum() > 0
+    keep = {r.doc_id: r.f.keep for r in docs.select("doc_id", quality.judge(docs, scorer).alias("f")).collect()}
+    assert all(keep[i] for i in range(20)) and not any(keep[50 + i] for i in range(6))

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -162,3 +163,66 @@ def test_words_read_in_runs_are_those_read_at_once():
     for name in ("key", "pair", "pair_at", "which", "text_at"):
         assert (getattr(one, name) == getattr(runs, name)).all()
     assert len(T._read_in_runs([]).which) == 0
+
+
+def slow_score(model, text):
+    """One window at a time, one word at a time, one unit at a time where it matters."""
+    words = [w for w in T.read_words([text]).which.tolist()]
+    if not words:
+        return model.share
+    read = T.read_words([text])
+    net, H = model.network, T.HIDDEN
+    known = {int(k): i for i, k in enumerate(net.known)}
+    vec = []
+    for k, key in enumerate(read.key.tolist()):
+        pairs = read.pair[read.pair_at[k] : read.pair_at[k + 1]]
+        own = net.words[known[key]] if key in known else np.zeros(T.WORD_DIM)
+        vec.append(np.concatenate([own, sum(net.pairs[p].astype(float) for p in pairs) / len(pairs)]))
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    logits, first = [], 0
+    while first == 0 or first + T.WINDOW < len(words) + T.STRIDE:
+        xs = [vec[w].astype(float) for w in words[first : first + T.WINDOW]]
+        states = []
+        for d, seq in (("f", xs), ("b", xs[::-1])):
+            h, out = np.zeros(H), []
+            W, U, g = (net.p[n + d].astype(float) for n in "WUg")
+            for x in seq:
+                a, m = x @ W + g, h @ U
+                z, r = sig(a[:H] + m[:H]), sig(a[H : 2 * H] + m[H : 2 * H])
+                new = np.tanh(a[2 * H :] + r * m[2 * H :])
+                h = (1 - z) * new + z * h
+                out.append(h)
+            states.append(out if d == "f" else out[::-1])
+        both = [np.concatenate(p) for p in zip(*states)]
+        e = [float(np.tanh(b @ net.p["A"].astype(float) + net.p["a"]) @ net.p["v"]) for b in both]
+        s = [math.exp(x - max(e)) for x in e]
+        logits.append(float(sum(w * b for w, b in zip(s, both)) / sum(s) @ net.p["w"] + net.p["c"][0]))
+        first += T.STRIDE
+    a, b, c = model.scale
+    return float(sig(np.clip(T._platt(np.array([max(logits)]), np.array([len(logits)]))[0] @ model.scale, -30, 30)))
+
+
+def test_query_equals_slow_scores(spark, monkeypatch):
+    """Documents of up to 8,000 characters, window by window in plain Python."""
+    sf, kept = "/root/testdata/sf0.001", []
+    real = T.fit
+    monkeypatch.setattr(T, "fit", lambda *a, **k: kept.append(real(*a, **k)) or kept[-1])
+    got = {r.doc_id: r for r in QUERIES["op4_toxicity"](spark, sf).collect()}
+    (model,) = kept
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        if len(r.text or "") < 8_000:
+            assert got[r.doc_id].score == pytest.approx(slow_score(model, r.text or ""), abs=1e-4), r.doc_id
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+
+
+def test_a_class_of_long_texts_only_is_learned(spark):
+    r = random.Random(4)
+    clean = [(i, prose(i, 60), 0) for i in range(150)]
+    toxic = [(1_000 + i, " ".join(w if r.random() < 0.8 else r.choice(["grum", "vlek", "snarp"]) for w in prose(500 + i, 5_000).split()), 1) for i in range(60)]
+    assert min(len(t) for _, t, _ in toxic) > 20_000
+    docs = spark.createDataFrame([x[:2] for x in clean + toxic], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in clean + toxic], "doc_id long, toxic int")
+    model = T.fit(docs, labels, F.col("doc_id") % 5 != 0, steps=120)
+    got = {x.doc_id: x.s for x in docs.select("doc_id", T.toxicity(docs, model).alias("s")).collect()}
+    assert model.network is not None
+    assert sum((got[i] >= 0.5) == (y == 1) for i, _, y in clean + toxic if i % 5 == 0) >= 0.95 * sum(i % 5 == 0 for i, _, _ in clean + toxic)
