@@ -1,8 +1,12 @@
 """License scan by sentence rules, with DataFrame functions only.
 
 A text is cut into sentences, each is normalised to lower-case ASCII words, and
-the known ones get their identifier; the row of identifiers is then matched
-against ordered rules, each a row of identifiers that must stand in adjacent
+the known ones get their identifier. Licenses stand wrapped in files, behind
+comment marks and list numbers: a line end is a space, unless a line beside it
+has no word, is a URL or begins a copyright notice, the next one begins with a
+list mark, or a known sentence ends or begins there. Sentences that only say who
+has the copyright, and bare numbers, are no sentences; "v. 2" is no sentence end.
+The row of identifiers is then matched against ordered rules, each a row of identifiers that must stand in adjacent
 sentences. At each sentence the first rule that fits counts; a match inside
 that of an earlier rule is dropped. All of it happens inside one row, so
 nothing is shuffled, and a text with very many license lines only looks at
@@ -21,8 +25,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SENTENCE_END = "[.!?]+[ \t\r\n]+|[\r\n]+"
+LINE_END = "\r\n|\n|\r"
+SENTENCE_END = "[.!?]+[ \t\n]+|\n+"
 NOT_WORD = "[^A-Za-z0-9]+"
+#: Patterns of a line: list marks, a URL alone, a copyright notice; and a version's "v.".
+LIST_MARK = "^[^A-Za-z0-9(]*(?:[0-9]{1,2}[.)]|[(][a-z0-9]{1,3}[)])[ \t]+"
+URL_LINE = "^[^A-Za-z0-9]*(?:https?://|www[.])[^ \t]+[ \t]*[^A-Za-z0-9]*$"
+COPYRIGHT = "(?i)^[^A-Za-z0-9]*copyright[ \t]+(?:[(]c[)]|[0-9]{4})"
+VERSION = "(?i)([^A-Za-z0-9]v)[.][^A-Za-z0-9\n]+([0-9])"
+#: Normalised sentences that are none.
+NO_SENTENCE = "^(?:[0-9 ]*|copyright (?:c |[0-9]{4}).*)$"
 
 #: Sentences of well-known licenses and notices, by identifier.
 SENTENCES = {
@@ -56,9 +68,8 @@ SENTENCES = {
     "lgpl-work": "This library is licensed under the GNU Lesser General Public License, version 3",
     "agpl-work": "This work is licensed under the GNU Affero General Public License, version 3",
     "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "mpl-subject-start": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
-    "mpl-version": "2.0",  # the sentence after "v.", where the text is cut
     "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
+    "mpl-copy-at": "If a copy of the MPL was not distributed with this file, You can obtain one at",  # the URL on a line of its own
     "cc-by": "Licensed under CC BY 4.0",
     "cc-by-sa": "Licensed under CC BY-SA 4.0",
     "cc-by-nc": "Licensed under CC BY-NC 4.0",
@@ -81,11 +92,15 @@ RULES = [
     ("MIT", ["mit-title-short", "mit-grant", "mit-notice", "mit-as-is", "mit-liable"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-as-is", "mit-liable"]),
     ("Apache-2.0", ["apache-full", "apache-copy", "apache-unless", "apache-see"]),
+    ("Apache-2.0", ["apache-the", "apache-not-except", "apache-copy", "apache-unless", "apache-see"]),
+    ("BSD-3-Clause", ["reserved", "bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
+    ("BSD-2-Clause", ["reserved", "bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope", "gpl-details"]),
     ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope", "gpl-details"]),
     ("MPL-2.0", ["mpl-subject", "mpl-copy"]),
+    ("MPL-2.0", ["mpl-subject", "mpl-copy-at"]),
     ("GPL-3.0-or-later", ["gpl-free"]),
     ("GPL-2.0-or-later", ["gpl2-free"]),
     ("MIT", ["mit-grant"]),
@@ -118,9 +133,8 @@ RULES = [
     ("Apache-2.0", ["spdx-apache"]),
     ("GPL-3.0-only", ["spdx-gpl3"]),
     ("Proprietary", ["reserved"]),
-    ("MPL-2.0", ["mpl-subject-start", "mpl-version", "mpl-copy"]),
-    ("MPL-2.0", ["mpl-subject-start", "mpl-version"]),
     ("MPL-2.0", ["mpl-copy"]),
+    ("MPL-2.0", ["mpl-copy-at"]),
 ]
 
 
@@ -136,11 +150,37 @@ def _tables(sentences: dict[str, str], rules: Sequence[tuple[str, list[str]]]) -
     return known, [(name, [at[x] for x in parts]) for name, parts in rules]
 
 
-def sentence_ids(text: Column, known: list[str]) -> Column:
-    """Identifier of each sentence of ``text`` with a word, 0 for unknown ones."""
+def _plain(sentence: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(sentence, NOT_WORD, " ")))
+
+
+def with_sentence_ids(docs: DataFrame, known: list[str]) -> DataFrame:
+    """Columns ``key`` and ``ids``, the identifier of each sentence of ``text``, 0 for unknown ones."""
     table = F.array(*map(F.lit, known))
-    plain = F.transform(F.split(text, SENTENCE_END), lambda s: F.lower(F.trim(F.regexp_replace(s, NOT_WORD, " "))))
-    return F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.array_position(table, s).cast("int"))
+
+    def line(raw: Column) -> Column:
+        item, url = raw.rlike(LIST_MARK), raw.rlike(URL_LINE)
+        body = F.when(url, "").otherwise(F.regexp_replace(F.regexp_replace(raw, LIST_MARK, ""), VERSION, "$1 $2"))
+        return F.struct(body.alias("body"), item.alias("item"), raw.rlike(COPYRIGHT).alias("notice"))
+
+    def edges(x: Column) -> Column:
+        parts = F.split(x.body, SENTENCE_END)
+        parts = F.filter(F.transform(parts, _plain), lambda s: s != "")
+        bare = F.size(parts) == 0
+        begins = bare | x.item | x.notice | F.array_contains(table, F.get(parts, F.lit(0)))
+        ends = bare | x.notice | F.array_contains(table, F.element_at(parts, F.greatest(F.size(parts), F.lit(1))))
+        return F.struct(x.body.alias("body"), begins.alias("begins"), F.when(bare, F.lit(True)).otherwise(ends).alias("ends"))
+
+    lines = docs.select("key", F.transform(F.split("text", LINE_END), line).alias("lines"))
+    marked = lines.select("key", F.transform("lines", edges).alias("lines"))
+
+    def joined(x: Column, i: Column) -> Column:
+        cut = x.begins | F.get("lines", i - 1).ends
+        return F.concat(F.when(i == 0, "").when(cut, "\n").otherwise(" "), x.body)
+
+    text = marked.select("key", F.regexp_replace(F.array_join(F.transform("lines", joined), ""), VERSION, "$1 $2").alias("text"))
+    plain = text.select("key", F.filter(F.transform(F.split("text", SENTENCE_END), _plain), lambda s: ~s.rlike(NO_SENTENCE)).alias("plain"))
+    return plain.select("key", F.transform("plain", lambda s: F.array_position(table, s).cast("int")).alias("ids"))
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", sentences: dict[str, str] | None = None, rules: Sequence[tuple[str, list[str]]] | None = None) -> DataFrame:
@@ -149,7 +189,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", sentences: di
     known, ordered = _tables(sentences or SENTENCES, rules or RULES)
     longest = max(len(ids) for _, ids in ordered)
     table = F.array(*(F.struct(F.lit(k).alias("rule"), F.lit(name).alias("license"), F.array(*map(F.lit, ids)).alias("ids")) for k, (name, ids) in enumerate(ordered, 1)))
-    found = docs.select(F.col(key).alias("key"), sentence_ids(F.col(text), known).alias("ids"))
+    found = with_sentence_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), known)
 
     def first_rule(at: Column) -> Column:
         return F.get(F.filter(table, lambda r: F.slice("ids", at, F.size(r.ids)) == r.ids), F.lit(0))
@@ -171,12 +211,27 @@ def oracle() -> str:
     """The same over table documents, as DuckDB SQL with relations instead of arrays."""
     known, ordered = _tables(SENTENCES, RULES)
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    end, word = (quote(x.replace("\t", r"\t").replace("\r", r"\r").replace("\n", r"\n")) for x in (SENTENCE_END, NOT_WORD))
+    pattern = lambda x: quote(x.replace("\t", r"\t").replace("\r", r"\r").replace("\n", r"\n"))
+    end, word = pattern(SENTENCE_END), pattern(NOT_WORD)
+    plain = f"lower(trim(regexp_replace(@, {word}, ' ', 'g'), ' '))"
     return f"""
 with rules(rule, license, ids) as (values {", ".join(f"({k}, {quote(name)}, {ids})" for k, (name, ids) in enumerate(ordered, 1))}),
 known as (select unnest({"[" + ", ".join(map(quote, known)) + "]"}) as sentence, unnest(range(1, {len(known) + 1})) as id),
-numbered as (select row_number() over () as rid, doc_id, string_split_regex(text, {end}) as parts from documents),
-words as (select rid, doc_id, list_filter(list_transform(parts, lambda s: lower(trim(regexp_replace(s, {word}, ' ', 'g'), ' '))), lambda s: s <> '') as w from numbered),
+numbered as (select row_number() over () as rid, doc_id, string_split_regex(text, {pattern(LINE_END)}) as raw from documents where text is not null),
+raws as (select rid, doc_id, unnest(raw) as raw, generate_subscripts(raw, 1) as ln from numbered),
+lines as (select rid, doc_id, ln, regexp_matches(raw, {pattern(LIST_MARK)}) as item, regexp_matches(raw, {pattern(COPYRIGHT)}) as notice,
+  case when regexp_matches(raw, {pattern(URL_LINE)}) then '' else regexp_replace(regexp_replace(raw, {pattern(LIST_MARK)}, ''), {pattern(VERSION)}, '\\1 \\2', 'g') end as body from raws),
+parts as (select rid, ln, unnest(string_split_regex(body, {end})) as part, generate_subscripts(string_split_regex(body, {end}), 1) as p from lines),
+said as (select rid, ln, p, {plain.replace("@", "part")} as s from parts),
+edges as (select rid, ln, bool_or(id is not null and first) as begins, bool_or(id is not null and last) as ends from (
+  select rid, ln, s, row_number() over (partition by rid, ln order by p) = 1 as first, row_number() over (partition by rid, ln order by p desc) = 1 as last
+  from said where s <> '') t left join known on known.sentence = t.s group by rid, ln),
+cuts as (select l.rid, l.doc_id, l.ln, l.body, e.rid is null or item or notice or e.begins as begins, e.rid is null or notice or e.ends as ends
+  from lines l left join edges e on l.rid = e.rid and l.ln = e.ln),
+joins as (select rid, doc_id, ln, case when lag(ends) over w is null then '' when begins or lag(ends) over w then chr(10) else ' ' end || body as body
+  from cuts window w as (partition by rid order by ln)),
+texts as (select rid, any_value(doc_id) as doc_id, regexp_replace(string_agg(body, '' order by ln), {pattern(VERSION)}, '\\1 \\2', 'g') as text from joins group by rid),
+words as (select rid, doc_id, list_filter(list_transform(string_split_regex(text, {end}), lambda s: {plain.replace("@", "s")}), lambda s: not regexp_matches(s, {pattern(NO_SENTENCE)})) as w from texts),
 placed as (select rid, doc_id, unnest(w) as sentence, generate_subscripts(w, 1) as pos from words),
 rows as (select rid, any_value(doc_id) as doc_id, list(coalesce(id, 0) order by pos) as ids from placed left join known using (sentence) group by rid having max(coalesce(id, 0)) > 0),
 starts as (select rid, doc_id, ids, unnest(range(1, len(ids) + 1)) as pos from rows),
