@@ -222,7 +222,7 @@ def _vectors(data: bytes, width: int) -> np.ndarray:
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding", target: float = 0.96,
-           sample_rows: int = 16_000, calibration: int = 200, block_rows: int = 16_384, query_rows: int = 512, report: dict | None = None) -> DataFrame:
+           sample_rows: int = 16_000, calibration: int = 200, block_rows: int = 16_384, query_rows: int = 512, together: int = 2, report: dict | None = None) -> DataFrame:
     """(query_id, rank, id, score): for each row that ``queries`` admits, the ``k``
     nearest found. The tree is fitted on about ``sample_rows`` rows, the visits on
     about ``calibration`` queries; ``report`` gets the recall reached on those."""
@@ -323,8 +323,13 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
     parts = max(1, -(-int(asked or 0) // query_rows))
     sent = grouped.where("asks").select("id", "row", "vector", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"), F.inline(visits("vector")))
     asking = sent.groupBy("group", "part").applyInArrow(gather, "group int, part int, id binary, row binary, matrix binary, lens binary, leaves binary")
-    asking = asking.select("group", *(F.col(c).alias(f"q_{c}") for c in ("id", "row", "matrix", "lens", "leaves")))
-    pairs = asking.join(stored.drop("block"), "group")
+    asking = asking.select("group", "part", *(F.col(c).alias(f"q_{c}") for c in ("id", "row", "matrix", "lens", "leaves")))
+    # a task's key has one group of leaves and ``together`` parts of the queries, however many there are
+    turns = max(1, -(-parts // together))
+    tasks = min(10_000, max(1, -(-n // block_rows)) * turns)
+    asking = asking.withColumn("turn", (F.col("part") / together).cast("int")).repartition(tasks, "group", "turn")
+    stored = stored.drop("block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))).repartition(tasks, "group", "turn")
+    pairs = asking.join(stored, ["group", "turn"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

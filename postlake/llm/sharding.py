@@ -9,13 +9,16 @@ one part in ``slack``) whose packing does not open another.
 Groups of one size are alike, so the driver packs counts of groups by size
 class, never groups: sizes below 2 ** 16 bytes are exact, larger ones are
 rounded up to 12 leading bits, so there are under 200,000 classes whatever the
-corpus, and a bin's room is never overrun. The groups then take the places of
-their class by rank.
+corpus, and a bin's room is never overrun. Bins of one room that follow one
+another are packed as one, with the places that each has, so what the driver
+holds grows with the classes and not with the bins. The groups then take the
+places of their class by rank, and their bin follows by division.
 
 Edge cases: null texts form one group, empty ones another; each row counts its
 UTF-8 bytes (null: none) plus 1. Repeated rows belong to one group and each take
 a slot. Null keys are carried along. An empty table gives no rows. A group that
-is larger than an even share has a bin to itself. Other columns are not read.
+is larger than an even share has a bin to itself, one larger than the capacity asked
+for sets it. Very long texts are only hashed and measured. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -81,12 +84,14 @@ class Rooms:
 
 @dataclass(frozen=True)
 class Run:
-    """Ranks ``first`` to ``first + count - 1`` of a size class are in ``shard``."""
+    """Ranks ``first`` to ``first + count - 1`` of a size class are in ``shard`` and
+    those after it, ``each`` in every one."""
 
     size: int
     first: int
     count: int
     shard: int
+    each: int
 
 
 def best_fit_decreasing(classes: Iterable[tuple[int, int]], capacity: int, bins: int = 0, open_more: bool = True) -> tuple[list[Run], int] | None:
@@ -94,11 +99,17 @@ def best_fit_decreasing(classes: Iterable[tuple[int, int]], capacity: int, bins:
 
     Returns the runs and the number of bins, or None where one more is needed
     and ``open_more`` is false. As many groups of a class as fit enter the
-    tightest bin at once: after the first, it is tighter still.
+    tightest bin at once: after the first, it is tighter still. So do those that
+    fill the bins of the same room after it.
     """
-    rooms = Rooms()
-    for b in range(bins):
-        rooms.add(capacity, b)
+    rooms, alike = Rooms(), {}  # the tree has the first bin of each stretch of one room, ``alike`` its bins
+
+    def put(room: int, first: int, n: int) -> None:
+        if n:
+            rooms.add(room, first)
+            alike[first] = n
+
+    put(capacity, 0, bins)
     runs: list[Run] = []
     for size, count in sorted(classes, reverse=True):
         first = 0
@@ -108,12 +119,19 @@ def best_fit_decreasing(classes: Iterable[tuple[int, int]], capacity: int, bins:
                 if not open_more or size > capacity:
                     return None
                 found = (capacity, bins)
-                bins += 1
+                alike[bins] = -(-count // (capacity // size))
+                bins += alike[bins]
             room, b = found
-            n = min(count, room // size)
-            runs.append(Run(size, first, n, b))
-            first, count = first + n, count - n
-            rooms.add(room - n * size, b)
+            n, each = alike.pop(b), room // size
+            full = min(n, count // each)
+            put(room - each * size, b, full)
+            taken = full * each
+            if full < n and taken < count:  # the bin that the last of them share
+                put(room - (count - taken) * size, b + full, 1)
+                full, taken = full + 1, count
+            put(room, b + full, n - full)
+            runs.append(Run(size, first, taken, b, each))
+            first, count = first + taken, count - taken
     return runs, bins
 
 
@@ -133,13 +151,13 @@ def pack_classes(classes: list[tuple[int, int]], bins: int | None = None, capaci
     for size in sorted(left, reverse=True):
         while left[size] and len(alone) + 1 < bins and size * (bins - len(alone)) > total:
             first = sum(r.count for r in alone if r.size == size)
-            alone.append(Run(size, first, 1, len(alone)))
+            alone.append(Run(size, first, 1, len(alone), 1))
             left[size] -= 1
             total -= size
     rest = [(s, n) for s, n in left.items() if n]
     runs, _ = _even(rest, bins - len(alone), total, slack) if rest else ([], 0)
     taken = {r.size: sum(x.count for x in alone if x.size == r.size) for r in alone}
-    return alone + [Run(r.size, r.first + taken.get(r.size, 0), r.count, r.shard + len(alone)) for r in runs], bins
+    return alone + [Run(r.size, r.first + taken.get(r.size, 0), r.count, r.shard + len(alone), r.each) for r in runs], bins
 
 
 def _even(classes: list[tuple[int, int]], bins: int, total: int, slack: int) -> tuple[list[Run], int]:
@@ -184,11 +202,12 @@ def shard(docs: DataFrame, shards: int | None = 8, capacity: int | None = None,
     counts = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()  # under 200,000 classes
     runs, _ = pack_classes([(r["class"], r["n"]) for r in counts], shards, capacity)
     spark = docs.sparkSession
-    places = spark.createDataFrame([(r.size, r.first, r.first + r.count, r.shard) for r in runs], "class long, first long, until long, shard int")
-    per_class = places.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("first", "until", "shard"))).alias("runs"))  # at most one run for each bin
+    places = spark.createDataFrame([(r.size, r.first, r.first + r.count, r.shard, r.each) for r in runs], "class long, first long, until long, shard long, each long")
+    per_class = places.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("first", "until", "shard", "each"))).alias("runs"))  # a run for each stretch of like bins
     ranked = numbered(groups, ["class"], ["same"], "rank", sum(r["n"] for r in counts), task_rows)
-    own = F.filter("runs", lambda r: (r.first <= F.col("rank")) & (F.col("rank") < r.until))[0].shard
-    homes = ranked.join(per_class, "class").select("same", own.alias("shard"))
+    own = F.filter("runs", lambda r: (r.first <= F.col("rank")) & (F.col("rank") < r.until))[0]
+    homes = ranked.join(per_class, "class").select("same", "rank", own.alias("own"))
+    homes = homes.select("same", (F.col("own.shard") + F.floor((F.col("rank") - F.col("own.first")) / F.col("own.each"))).cast("int").alias("shard"))
     dealt = materialise(rows.join(homes, "same").select("key", "size", "text_crc32", "shard", "row"), "shard-dealt")
     drop(spark, paths)
     n = dealt.count()

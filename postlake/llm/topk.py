@@ -116,7 +116,7 @@ def _matrix(ids: bytes, matrix: bytes, width: int) -> tuple[np.ndarray, np.ndarr
     return who, np.frombuffer(matrix, "<f8").reshape(len(who), width)
 
 
-def top_k(vectors: DataFrame, queries: Column, k: int = 5, id: str = "vec_id", vector: str = "embedding", scale: int | None = None, block_rows: int = 16_384, query_rows: int = 256) -> DataFrame:
+def top_k(vectors: DataFrame, queries: Column, k: int = 5, id: str = "vec_id", vector: str = "embedding", scale: int | None = None, block_rows: int = 16_384, query_rows: int = 256, together: int = 2) -> DataFrame:
     """(query_id, rank, id, score) of the ``k`` best rows of each row that
     ``queries`` (a condition on ``id``) admits; with ``scale`` on integers."""
     part = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
@@ -128,7 +128,12 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id: str = "vec_id", v
     asking = blocks(rows.where("asks").select("id", "vector", "row"), query_rows, asked, "qblock")
     per_block = max(1, -(-n // block_rows))
     asking = asking.select("width", "qblock", F.col("ids").alias("qids"), F.col("row_ids").alias("qrows"), F.col("matrix").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(per_block - 1))).alias("block"))
-    pairs = asking.join(stored.drop("row_ids"), ["block", "width"])
+    # a task's key has one block and ``together`` blocks of queries, however many queries there are
+    turns = max(1, -(-asked // (query_rows * together)))
+    on, tasks = ["block", "turn", "width"], min(10_000, per_block * turns)
+    asking = asking.withColumn("turn", (F.col("qblock") / together).cast("int")).repartition(tasks, *on)
+    stored = stored.drop("row_ids").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))).repartition(tasks, *on)
+    pairs = asking.join(stored, on)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, lists, ids = None, None, None

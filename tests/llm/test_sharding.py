@@ -28,7 +28,7 @@ def test_runs_equal_item_by_item_packing(seed):
     items = [r.randint(1, 40) for _ in range(r.randint(1, 80))]
     capacity, bins = r.randint(40, 100), r.randint(0, 3)
     runs, n = sharding.best_fit_decreasing(Counter(items).items(), capacity, bins)
-    assert (sorted((x.size, x.shard) for x in runs for _ in range(x.count)), n) == slow_pack(items, capacity, bins)
+    assert (sorted((x.size, x.shard + j // x.each) for x in runs for j in range(x.count)), n) == slow_pack(items, capacity, bins)
     for size in set(items):  # the ranks of a class are dealt without a gap
         own = sorted((x.first, x.count) for x in runs if x.size == size)
         assert own[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(own, own[1:]))
@@ -40,7 +40,8 @@ def test_given_number_of_bins_is_near_equal():
     runs, n = sharding.pack_classes(list(classes.items()), bins=8)
     load = defaultdict(int)
     for x in runs:
-        load[x.shard] += x.size * x.count
+        for j in range(x.count):
+            load[x.shard + j // x.each] += x.size
     assert n == 8 and max(load.values()) - min(load.values()) < 0.01 * sum(load.values()) / 8
 
 
@@ -49,7 +50,8 @@ def test_groups_above_an_even_share_stand_alone():
     runs, n = sharding.pack_classes(list(classes.items()), bins=8)
     load, ranks = defaultdict(int), defaultdict(list)
     for x in runs:
-        load[x.shard] += x.size * x.count
+        for j in range(x.count):
+            load[x.shard + j // x.each] += x.size
         ranks[x.size] += range(x.first, x.first + x.count)
     assert n == 8 and set(load) == set(range(8)) and {s: sorted(r) for s, r in ranks.items()} == {s: list(range(n)) for s, n in classes.items()}
     assert sorted(load.values())[-3:] == [300, 300, 900] and max(sorted(load.values())[:5]) - min(load.values()) <= 30
@@ -123,3 +125,27 @@ def test_query(spark):
         load[r.shard] += r["size"]
     assert max(load.values()) - min(load.values()) <= max(r["size"] for r in rows)
     assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+
+
+def test_a_million_bins_are_few_runs():
+    classes = [(900, 400_000), (700, 300_000), (300, 700_000), (290, 100_000), (100, 1_000_000), (7, 5_000_000)]
+    runs, n = sharding.pack_classes(classes, capacity=1_000)
+    assert n >= 700_000 and len(runs) <= 4 * len(classes)
+    for size, count in classes:
+        own = sorted((r.first, r.count) for r in runs if r.size == size)
+        assert own[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(own, own[1:])) and sum(own[-1]) == count
+    import numpy as np
+
+    load = np.zeros(n, np.int64)
+    for r in runs:
+        np.add.at(load, r.shard + np.arange(r.count) // r.each, r.size)
+    assert load.max() <= 1_000 and load.min() > 0
+
+
+def test_many_bins_by_spark(spark):
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat(cast(id as string), repeat('x', cast(20 + id % 11 as int)))  as text")
+    rows = sharding.shard(docs, shards=None, capacity=64, task_rows=5_000).groupBy("shard").agg(F.sum("size").alias("load"), F.count(F.lit(1)).alias("n"), F.max("slot").alias("last")).collect()
+    assert len(rows) > 10_000 and max(r.load for r in rows) <= 64 and all(r.last == r.n - 1 for r in rows)
+    items = [len(str(i)) + 20 + i % 11 + 1 for i in range(30_000)]
+    runs, n = sharding.best_fit_decreasing(Counter(items).items(), 64)
+    assert n == len(rows)
