@@ -150,6 +150,18 @@ def _tables(sentences: dict[str, str], rules: Sequence[tuple[str, list[str]]]) -
     return known, [(name, [at[x] for x in parts]) for name, parts in rules]
 
 
+def cover_words(known: Sequence[str]) -> list[str]:
+    """A few words of which each known sentence has one, long ones where it can be:
+    a text without any of them has no known sentence."""
+    words = {s: {w for w in s.split() if len(w) >= min(6, max(map(len, s.split())))} for s in known if s}
+    out: list[str] = []
+    while words:
+        most = max(sorted({w for ws in words.values() for w in ws}), key=lambda w: sum(w in ws for ws in words.values()))
+        out.append(most)
+        words = {s: ws for s, ws in words.items() if most not in ws}
+    return out
+
+
 def _plain(sentence: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(sentence, NOT_WORD, " ")))
 
@@ -159,20 +171,23 @@ def with_sentence_ids(docs: DataFrame, known: list[str]) -> DataFrame:
     table = F.array(*map(F.lit, known))
 
     def line(raw: Column) -> Column:
-        item, url = raw.rlike(LIST_MARK), raw.rlike(URL_LINE)
-        body = F.when(url, "").otherwise(F.regexp_replace(F.regexp_replace(raw, LIST_MARK, ""), VERSION, "$1 $2"))
-        return F.struct(body.alias("body"), item.alias("item"), raw.rlike(COPYRIGHT).alias("notice"))
+        body = F.when(raw.rlike(URL_LINE), "").otherwise(F.regexp_replace(F.regexp_replace(raw, LIST_MARK, ""), VERSION, "$1 $2"))
+        return F.struct(body.alias("body"), raw.rlike(LIST_MARK).alias("item"), raw.rlike(COPYRIGHT).alias("notice"))
+
+    def parts(x: Column) -> Column:
+        plain = F.transform(F.split(x.body, SENTENCE_END), _plain)
+        return F.struct(x.body.alias("body"), x.item.alias("item"), x.notice.alias("notice"), F.filter(plain, lambda s: s != "").alias("parts"))
 
     def edges(x: Column) -> Column:
-        parts = F.split(x.body, SENTENCE_END)
-        parts = F.filter(F.transform(parts, _plain), lambda s: s != "")
-        bare = F.size(parts) == 0
-        begins = bare | x.item | x.notice | F.array_contains(table, F.get(parts, F.lit(0)))
-        ends = bare | x.notice | F.array_contains(table, F.element_at(parts, F.greatest(F.size(parts), F.lit(1))))
-        return F.struct(x.body.alias("body"), begins.alias("begins"), F.when(bare, F.lit(True)).otherwise(ends).alias("ends"))
+        bare = F.size(x.parts) == 0
+        begins = bare | x.item | x.notice | F.array_contains(table, F.get(x.parts, F.lit(0)))
+        ends = bare | x.notice | F.array_contains(table, F.get(x.parts, F.size(x.parts) - 1))
+        return F.struct(x.body.alias("body"), begins.alias("begins"), ends.alias("ends"))
 
+    # each step reads a column of the one before: within a lambda, what is named twice is computed twice
     lines = docs.select("key", F.transform(F.split("text", LINE_END), line).alias("lines"))
-    marked = lines.select("key", F.transform("lines", edges).alias("lines"))
+    said = lines.select("key", F.transform("lines", parts).alias("lines"))
+    marked = said.select("key", F.transform("lines", edges).alias("lines"))
 
     def joined(x: Column, i: Column) -> Column:
         cut = x.begins | F.get("lines", i - 1).ends
@@ -189,7 +204,8 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", sentences: di
     known, ordered = _tables(sentences or SENTENCES, rules or RULES)
     longest = max(len(ids) for _, ids in ordered)
     table = F.array(*(F.struct(F.lit(k).alias("rule"), F.lit(name).alias("license"), F.array(*map(F.lit, ids)).alias("ids")) for k, (name, ids) in enumerate(ordered, 1)))
-    found = with_sentence_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), known)
+    some = docs.where(F.col(text).rlike("(?i)" + "|".join(cover_words(known))))
+    found = with_sentence_ids(some.select(F.col(key).alias("key"), F.col(text).alias("text")), known)
 
     def first_rule(at: Column) -> Column:
         return F.get(F.filter(table, lambda r: F.slice("ids", at, F.size(r.ids)) == r.ids), F.lit(0))
