@@ -18,7 +18,7 @@ zero), which is how the tree measures.
 Edge cases: vectors that are null, zero or hold a null or non-finite component,
 those not of the most frequent length, and rows with a null id, take no part. A
 query's own row (same id) is no candidate. Rows that repeat an id are candidates
-each, and queries each. With fewer rows than ``k`` + 1 all are returned. An empty table, or one
+each, and queries each. Copies of a vector score alike to the last digit. With fewer rows than ``k`` + 1 all are returned. An empty table, or one
 without queries, gives no rows. Other columns are not read.
 """
 
@@ -151,6 +151,17 @@ def _dot(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return queries @ rows.T
 
 
+def best_exact(query: np.ndarray, rows: np.ndarray, about: np.ndarray, ids: np.ndarray, own: int, k: int, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """``best_of`` with each product summed in the same order, so that copies score
+    alike. ``about`` has the scores to within ``slack``, and picks the rows to sum:
+    the last digits of a matrix product depend on where in it a row stands."""
+    ok = np.flatnonzero(ids != own)
+    if len(ok) > k:
+        kth = -np.partition(-about[ok], k - 1)[k - 1]
+        ok = ok[about[ok] >= kth - slack]
+    return best_of((rows[ok] * query).sum(axis=1), ids[ok], own, k)
+
+
 @dataclass
 class Index:
     tree: Tree
@@ -222,10 +233,12 @@ def _vectors(data: bytes, width: int) -> np.ndarray:
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding", target: float = 0.96,
-           sample_rows: int = 16_000, calibration: int = 200, block_rows: int = 16_384, query_rows: int = 512, together: int = 2, report: dict | None = None) -> DataFrame:
+           sample_rows: int = 16_000, most_sample_rows: int = 128_000, calibration: int = 200, block_rows: int = 16_384, query_rows: int = 512, together: int = 2, report: dict | None = None) -> DataFrame:
     """(query_id, rank, id, score): for each row that ``queries`` admits, the ``k``
-    nearest found. The tree is fitted on about ``sample_rows`` rows, the visits on
-    about ``calibration`` queries; ``report`` gets the recall reached on those."""
+    nearest found. The tree is fitted on ``sample_rows`` rows or, if that is more, 64
+    times the root of the table's, up to ``most_sample_rows``: the leaves grow in
+    number with the table and not only in size. The visits are fitted on about
+    ``calibration`` queries; ``report`` gets the recall reached on those."""
     spark = vectors.sparkSession
     part = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
     part = part.where(F.col("id").isNotNull() & usable(F.col("vector")))
@@ -244,9 +257,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
         got = by_hash(df.select("id", "row", "vector"), [F.col("row")], most, of, seed).toPandas().sort_values(["id", "row"])
         return got["id"].to_numpy(np.int64), np.array(got["vector"].tolist(), float).reshape(len(got), width)
 
-    _, sample = some(rows, sample_rows, n, "tree")
+    _, sample = some(rows, max(sample_rows, min(most_sample_rows, int(64 * n**0.5))), n, "tree")
     tree = grow(sample, float(longest))
-    shared = spark.sparkContext.broadcast(tree)  # at most 2 * sample_rows centres
+    shared = spark.sparkContext.broadcast(tree)  # at most 2 centres for each row of the sample
 
     @F.arrow_udf("int")
     def leaf_of(batch: pa.Array) -> pa.Array:
@@ -287,7 +300,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
             truth[q] = g["leaf"].to_numpy(np.int64)
     index = calibrate(Index(tree, np.empty(0), np.empty(0), 0.0), probes, truth, target)
     if report is not None:
-        report.update(recall=index.recall, visits=index.visits.tolist(), leaves=tree.leaves, rows=n)
+        report.update(recall=index.recall, visits=index.visits.tolist(), leaves=tree.leaves, rows=n, calibrated_on=probe_ids.tolist())
     # a query's own id is no candidate: a leaf has its rows but those of its most frequent id for any query
     of_id = indexed.groupBy("leaf", "id").agg(F.count(F.lit(1)).alias("n"))
     counts = of_id.groupBy("leaf").agg((F.sum("n") - F.max("n")).alias("held")).toPandas()  # at most one row for each leaf
@@ -337,13 +350,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
                 ids, leaf, x = np.frombuffer(r["id"], "<i8"), np.frombuffer(r["leaf"], "<i4"), _vectors(r["matrix"], width)
                 who, asker, q = np.frombuffer(r["q_id"], "<i8"), np.frombuffer(r["q_row"], "<i8"), _vectors(r["q_matrix"], width)
                 wanted, visitor = np.frombuffer(r["q_leaves"], "<i4"), np.repeat(np.arange(len(q)), np.frombuffer(r["q_lens"], "<i4"))
+                slack = 4 * width * np.finfo(float).eps * float(longest) * np.sqrt((q**2).sum(axis=1))
                 by_leaf = np.argsort(wanted, kind="stable")
                 found: list[list[np.ndarray]] = [[] for _ in q]
                 for v in np.unique(leaf):  # a leaf's rows against the queries that visit it
                     rows = slice(np.searchsorted(leaf, v), np.searchsorted(leaf, v, side="right"))
                     there = visitor[by_leaf[np.searchsorted(wanted[by_leaf], v) : np.searchsorted(wanted[by_leaf], v, side="right")]]
                     for i, s in zip(there, _dot(q[there], x[rows])):
-                        score, other = best_of(s, ids[rows], who[i], k)
+                        score, other = best_exact(q[i], x[rows], s, ids[rows], who[i], k, slack[i])
                         found[i].append([np.full(len(score), asker[i]), other, score])
                 flat = [f for fs in found for f in fs]
                 if flat:

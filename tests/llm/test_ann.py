@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +98,42 @@ def test_recall_against_brute_force(spark):
     assert hits / total >= 0.9
 
 
+LARGE = "/root/testdata/check_l/embeddings.parquet"
+
+
+@pytest.mark.skipif(not Path(LARGE).exists(), reason="the check tool's tables are not here")
+def test_recall_on_a_large_table_for_queries_not_calibrated_on(spark):
+    """Over 50,000 rows: the tree is fitted on a sample, the visits on other queries."""
+    frame = spark.read.parquet(LARGE)
+    rows = frame.select("vec_id", "embedding").toPandas()
+    ids = rows["vec_id"].to_numpy()
+    x = np.array(rows["embedding"].tolist(), float)
+    report = {}
+    found = ann.search(frame, F.col("vec_id") % 20 == 0, report=report).toPandas().groupby("query_id")["vec_id"].agg(set)
+    asked = np.array(sorted(set(found.index) - set(report["calibrated_on"])))
+    at = {i: n for n, i in enumerate(ids)}
+    hits = 0
+    for part in np.array_split(asked, 20):
+        scores = x[[at[i] for i in part]] @ x.T
+        for q, s in zip(part, scores):
+            s[ids == q] = -np.inf
+            near = np.argpartition(-s, 60)[:60]
+            hits += len(set(ids[near[np.lexsort((ids[near], -s[near].round(12)))][:20]]) & found[q])
+    assert len(ids) > 50_000 and len(asked) > 2_000
+    assert hits / (20 * len(asked)) >= 0.9
+
+
+def test_copies_score_alike_wherever_they_stand():
+    r = np.random.default_rng(6)
+    x, q = r.normal(size=(997, 64)), r.normal(size=64)
+    same = r.choice(997, 400, replace=False)
+    x[same] = q  # the best of all, in many places
+    ids = r.permutation(997)
+    score, found = ann.best_exact(q, x, ann._dot(q[None], x)[0], ids, -1, 20, 1e-10)
+    assert len(set(score.tolist())) == 1
+    assert found.tolist() == sorted(ids[same].tolist())[:20]
+
+
 def test_widening_reaches_the_recall_asked_for(spark):
     report = {}
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
