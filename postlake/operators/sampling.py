@@ -8,8 +8,8 @@ Both operators keep the first ``q_g`` rows of every group ``g`` in the order of
 (id hash, hash of the whole row). They find each group's cut point, the key of
 its ``q_g``-th row, by histograms over 16 further bits of the hash per pass (a
 hash aggregate of at most 65,536 buckets a group, of which one row a group
-reaches the driver), until the bucket of the cut holds one key. The rows are
-then flagged by comparison with the cut, in one scan and without moving any.
+reaches the driver), until the bucket of the cut holds one key; a pass and the keys
+it ends at take one job each for all groups. The rows are then flagged by comparison with the cut, in one scan and without moving any.
 No table size changes the rule, and no group meets in one task.
 
 Only the row hash can tell rows of one id apart; it is computed for the rows at
@@ -79,24 +79,23 @@ def cut_keys(keyed: DataFrame, quotas: dict) -> dict:
             need = F.when(_is_group("g", g), F.lit(q)).otherwise(need)
         found = hist.where((F.col("before") < need) & (F.col("before") + F.col("n") >= need)).collect()  # one row a group
         size += DIGITS_PER_PASS
-        still = {}
-        for r in found:
-            prefix, q = open_[r["g"]]
-            prefix, q = prefix + r["b"], q - int(r["before"])
-            one = r["low"] == r["high"]
-            key = _only_key(keyed, r["g"], prefix) if one or size >= HEX_DIGITS else None
-            if key is not None:
-                cuts[r["g"]] = (key, q, int(r["n"]))
-            else:
-                still[r["g"]] = (prefix, q)
-        open_ = still
+        placed = {r["g"]: (open_[r["g"]][0] + r["b"], open_[r["g"]][1] - int(r["before"]), int(r["n"])) for r in found}
+        keys = _only_keys(keyed, {r["g"]: placed[r["g"]][0] for r in found if r["low"] == r["high"] or size >= HEX_DIGITS})
+        cuts.update((g, (key, *placed[g][1:])) for g, key in keys.items())
+        open_ = {g: (prefix, q) for g, (prefix, q, _) in placed.items() if g not in keys}
     return cuts
 
 
-def _only_key(keyed: DataFrame, group, prefix: str) -> str | None:
-    """The key of a bucket all of whose rows share it, else None."""
-    r = keyed.where(_is_group("g", group) & F.col("k").startswith(F.lit(prefix))).agg(F.min("k").alias("low"), F.max("k").alias("high")).first()
-    return r["low"] if r["low"] == r["high"] else None
+def _only_keys(keyed: DataFrame, prefixes: dict) -> dict:
+    """{group: key} for the groups whose rows with their prefix share one key, in
+    one job. The buckets asked for hold one key each, but for equal 64-bit hashes."""
+    if not prefixes:
+        return {}
+    inside = _any_group("g", {g: F.col("k").startswith(F.lit(prefix)) for g, prefix in prefixes.items()})
+    found: dict = {}
+    for r in keyed.where(inside).select("g", "k").distinct().collect():
+        found.setdefault(r["g"], []).append(r["k"])
+    return {g: keys[0] for g, keys in found.items() if len(keys) == 1}
 
 
 def first_in_order(
