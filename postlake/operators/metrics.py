@@ -48,9 +48,6 @@ def cross_entropy(logits: Column, label: Column) -> Column:
     return -log_softmax_at(logits, label)
 
 
-TAIL_SALTS = 1_024
-
-
 def eval_report(
     df: DataFrame,
     logits_col: str,
@@ -61,36 +58,45 @@ def eval_report(
     """A5 + A6 as one row: ``n, loss, loss_batch_mean, accuracy, null_losses``.
 
     ``loss`` is the row mean of the cross-entropy. ``loss_batch_mean`` is the
-    mean of batch means for batches of ``batch_size`` in ``order_key`` order:
-    full batches weigh equally, so only the rows of a short last batch matter
-    one by one. Those are among the last ``batch_size - 1`` rows of each of a
-    fixed number of salts, which bounds what the aggregate holds. Both losses
-    are null when some row has none (``null_losses`` of them).
+    mean of batch means for batches of ``batch_size`` in ``order_key`` order
+    (null keys first): full batches weigh equally, so only the rows of a short
+    last batch matter one by one. It begins at one of the last ``batch_size - 1``
+    keys, which each task finds for its own rows from the keys alone; rows before
+    those are one group of the aggregate, so no row is shuffled or sorted. Of rows
+    that share the key it begins at, each counts with their mean. Both losses are
+    null when some row has none (``null_losses`` of them).
     """
     ce = cross_entropy(F.col(logits_col), F.col(label_col))
     l = F.col(logits_col)
     pred = (F.array_position(l, F.array_max(l)) - 1).cast("int")
     size = int(batch_size) if batch_size and order_key is not None else 1
-    x = df.select(
-        ce.alias("ce"),
-        (pred == F.col(label_col)).cast("int").alias("ok"),
-        (order_key if size > 1 else F.lit("")).alias("ord"),
-    )
+    late = F.lit(None).cast("string")
     if size > 1:
-        last = Window.partitionBy(F.pmod(F.xxhash64("ord"), F.lit(TAIL_SALTS))).orderBy(F.desc("ord"))
-        x = x.withColumn("late", F.row_number().over(last) < size)
-    else:
-        x = x.withColumn("late", F.lit(False))
-    r = x.agg(
-        F.count(F.lit(1)).alias("n"),
+        last_keys = df.select(order_key.alias("ord")).orderBy(F.desc("ord")).limit(size - 1)
+        late = F.when(order_key >= last_keys.agg(F.min("ord")).scalar(), order_key)
+    x = df.select(ce.alias("ce"), (pred == F.col(label_col)).cast("int").alias("ok"), late.alias("ord"))
+    groups = x.groupBy("ord").agg(
+        F.count(F.lit(1)).alias("rows"),
         F.sum("ce").alias("s"),
-        F.avg("ok").alias("accuracy"),
-        F.count_if(F.col("ce").isNull()).alias("null_losses"),
-        F.collect_list(F.when(F.col("late"), F.struct("ord", "ce"))).alias("late"),
+        F.sum("ok").alias("right"),
+        F.count("ok").alias("told"),
+        F.count_if(F.col("ce").isNull()).alias("nulls"),
+    )
+    r = groups.agg(  # of at most batch_size groups
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
+        F.sum("s").alias("s"),
+        F.try_divide(F.sum("right"), F.sum("told")).alias("accuracy"),
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_losses"),
+        F.sort_array(F.collect_list(F.struct("ord", "rows", "s")), asc=False).alias("late"),
     )
     whole = F.col("null_losses") == 0
-    rem = (F.col("n") % size).cast("int")
-    tail = F.aggregate(F.slice(F.sort_array("late", asc=False), 1, rem), F.lit(0.0), lambda a, v: a + v.ce)
+    rem = F.col("n") % size
+
+    def take(a: Column, group: Column) -> Column:
+        taken = F.least(a["left"], group["rows"])
+        return F.struct((a["left"] - taken).alias("left"), (a["sum"] + group["s"] * taken / group["rows"]).alias("sum"))
+
+    tail = F.aggregate("late", F.struct(rem.alias("left"), F.lit(0.0).alias("sum")), take, lambda a: a["sum"])
     batches = F.ceil(F.col("n") / size)
     loss = F.try_divide(F.col("s"), F.col("n"))
     means = F.when(rem == 0, loss).otherwise(((F.col("s") - tail) / size + F.try_divide(tail, rem)) / batches)

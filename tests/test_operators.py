@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -255,6 +256,28 @@ def test_null_loss_is_an_error_not_the_best_loss(spark):
     assert math.isnan(eval_metrics(df.limit(0), "l", "y")["loss"])
 
 
+@pytest.mark.parametrize("n,size", [(0, 8), (5, 8), (8, 8), (9, 8), (61, 8), (64, 8), (63, 8), (61, 1)])
+def test_batch_means_by_brute_force(spark, n, size):
+    rnd = random.Random(n)
+    rows = [(i // 3, [rnd.gauss(0, 1) for _ in range(3)], rnd.randrange(3)) for i in range(n)]  # three rows of each key
+    rows = [(k, rows[3 * k][1], rows[3 * k][2]) for k, _, _ in rows]  # copies
+    rows += [(None, [0.5, -0.5, 0.0], 1)] * (n // 20)  # no key: first
+    df = spark.createDataFrame(rows, "k long, l array<double>, y int").repartition(4)
+    ce = [math.log(sum(map(math.exp, l))) - l[y] for _, l, y in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+    batches = [ce[i : i + size] for i in range(0, len(ce), size)]
+    r = eval_report(df, "l", "y", F.col("k"), size)
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "cartesian" not in plan.lower() and "NestedLoop" not in plan
+    r = r.first()
+    assert r.n == len(ce) and r.null_losses == 0
+    if ce:
+        assert r.loss == pytest.approx(sum(ce) / len(ce))
+        assert r.loss_batch_mean == pytest.approx(sum(sum(b) / len(b) for b in batches) / len(batches))
+        assert r.accuracy == pytest.approx(sum(l.index(max(l)) == y for _, l, y in rows) / len(rows))
+    else:
+        assert r.loss is None and r.loss_batch_mean is None and r.accuracy is None
+
+
 def test_scorers_with_a_token_limit_read_the_first_tokens(spark):
     text = " ".join(["aaa"] * 5 + ["ooo"] * 50)
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
