@@ -48,6 +48,9 @@ def cross_entropy(logits: Column, label: Column) -> Column:
     return -log_softmax_at(logits, label)
 
 
+TAIL_SALTS = 64
+
+
 def eval_report(
     df: DataFrame,
     logits_col: str,
@@ -61,10 +64,11 @@ def eval_report(
     mean of batch means for batches of ``batch_size`` in ``order_key`` order
     (null keys first): full batches weigh equally, so only the rows of a short
     last batch matter one by one. It begins at one of the last ``batch_size - 1``
-    keys, which each task finds for its own rows from the keys alone; rows before
-    those are one group of the aggregate, so no row is shuffled or sorted. Of rows
-    that share the key it begins at, each counts with their mean. Both losses are
-    null when some row has none (``null_losses`` of them).
+    keys, found from the keys alone: each task passes on that many for each of a
+    fixed number of salts, as the aggregate of those does. Rows before them are one
+    group, so no row is shuffled. Of rows that share the key it begins at, each
+    counts with their mean. Both losses are null when some row has none
+    (``null_losses`` of them).
     """
     ce = cross_entropy(F.col(logits_col), F.col(label_col))
     l = F.col(logits_col)
@@ -72,8 +76,11 @@ def eval_report(
     size = int(batch_size) if batch_size and order_key is not None else 1
     late = F.lit(None).cast("string")
     if size > 1:
-        last_keys = df.select(order_key.alias("ord")).orderBy(F.desc("ord")).limit(size - 1)
-        late = F.when(order_key >= last_keys.agg(F.min("ord")).scalar(), order_key)
+        keys = df.select(order_key.alias("ord")).where(F.col("ord").isNotNull())
+        last = Window.partitionBy(F.pmod(F.xxhash64("ord"), F.lit(TAIL_SALTS))).orderBy(F.desc("ord"))
+        keys = keys.withColumn("place", F.row_number().over(last)).where(F.col("place") < size)
+        cut = F.array_min(F.slice(F.sort_array(F.collect_list("ord"), asc=False), 1, size - 1))
+        late = F.when(order_key >= keys.agg(cut).scalar(), order_key)
     x = df.select(ce.alias("ce"), (pred == F.col(label_col)).cast("int").alias("ok"), late.alias("ord"))
     groups = x.groupBy("ord").agg(
         F.count(F.lit(1)).alias("rows"),

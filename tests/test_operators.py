@@ -267,7 +267,7 @@ def test_batch_means_by_brute_force(spark, n, size):
     batches = [ce[i : i + size] for i in range(0, len(ce), size)]
     r = eval_report(df, "l", "y", F.col("k"), size)
     plan = r._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "cartesian" not in plan.lower() and "NestedLoop" not in plan
+    assert ("WindowGroupLimit" in plan) == (size > 1) and "cartesian" not in plan.lower() and "NestedLoop" not in plan
     r = r.first()
     assert r.n == len(ce) and r.null_losses == 0
     if ce:
