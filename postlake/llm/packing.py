@@ -28,20 +28,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Memo, materialise, numbered
 
-#: White space as the tokenizer's normalizer knows it.
-_SPACE = re.compile("[" + "".join(map(chr, (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))) + "]+")
-_NOT_SPACE = "".join(map(chr, range(28, 32)))  # what str.split() takes for white space beyond that
+_SPACE = re.compile("[ \\t-\\r]+")
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
-
-
-def _words(text: str) -> list[str]:
-    return _SPACE.split(text) if any(c in text for c in _NOT_SPACE) else text.split()
+LETTERS_END = "\u0250"  # Latin letters lie before it; of those beyond, a tokenizer may know fewer than Python
+#: Byte-level vocabularies write a byte as its Latin-1 character, or in turn from
+#: U+0100 on where that is not printable; spaces stay between words.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTES = np.arange(256, dtype="<u4")
+_BYTES[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+_BYTES[32] = 32
 
 
 def _parts(text: str, most: int = 1 << 20) -> Iterator[str]:
@@ -60,75 +62,103 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordIds:
-    """Ids of a text as little-endian unsigned 32-bit bytes, by its words.
+    """Ids of texts as little-endian unsigned 32-bit bytes, by their words.
 
-    Remembers the ids of words of up to 64 characters met lately.
+    The distinct words of some texts are looked up, their ids put side by side,
+    and the texts' ids gathered from there. Words are what ASCII white space
+    parts; one that holds other white space is left to the tokenizer. Remembers
+    the ids of words of up to 64 characters met lately.
     """
 
     def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.memo = Memo(most)
+        # the same vocabulary without the search for words and case, for words known to be lower-case letters
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        probe = "word stra\u00dfe \u00e9t\u00e9 \u00f1and\u00fa \u010dlov\u011bk"
+        if self._encode(self.bare, _as_bytes(probe)) != self._encode(self.tokenizer, probe):
+            self.bare = None  # a vocabulary of another kind
+
+    @staticmethod
+    def _encode(tokenizer, text: str) -> bytes:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Letters before closing marks are words of their own to the tokenizer,
         and of either case; so "Word." needs the ids of "word" and of "."."""
-        known, parts, alone = self.memo.now, [], set()
+        known, marked, cores, alone = self.memo.now, [], [], set()
         for w in words:
             core = w.lower().rstrip(".,;:!?")
             if core.isalpha() and (w.isascii() or ("Σ" not in w and unicodedata.is_normalized("NFC", w))):
-                parts.append((w, core, w[len(core) :]))
+                marked.append(w)
+                cores.append(core)
             else:
                 alone.add(w)
-        self._letters([c for c in {c for _, c, _ in parts} if c not in known])
-        alone.update(t for t in {t for _, _, t in parts} if t not in known)
+        self._letters(list(set(cores).difference(known)))
+        alone.update({w[len(c) :] for w, c in zip(marked, cores)}.difference(known))
         some = list(alone)
         for e, w in zip(self.tokenizer.encode_batch_fast(some, add_special_tokens=False), some):
             known[w] = np.array(e.ids, "<u4").tobytes()
-        known.update((w, known[c] + known[t]) for w, c, t in parts if t or w not in known)
+        known.update((w, known[c] + known[w[len(c) :]]) for w, c in zip(marked, cores) if w not in known)
 
     def _letters(self, words: list[str], most: int = 2_000) -> None:
-        """Ids of words of letters, many in one text: each ends with the one of
-        its ids that ends a word."""
-        for a in range(0, len(words), most):
-            some = words[a : a + most]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            if len(ends) == len(some):
-                self.memo.now.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-            else:  # letters to us, not all to the tokenizer
-                self.memo.now.update((w, self._ids(w)) for w in some)
-
-    def texts(self, texts: list[str | None]) -> Iterator[bytes]:
-        for a in range(0, len(texts), 256):
-            few = [t or "" for t in texts[a : a + 256]]
-            if max(map(len, few)) > 1 << 20:  # one by one, and part by part
-                for t in few:
-                    yield b"".join(ids for part in _parts(t) for ids in self._batch([part]))
+        """Ids of words of letters, many in one text."""
+        latin = [w for w in words if max(w) < LETTERS_END] if self.bare else []
+        others = [w for w in words if max(w) >= LETTERS_END] if self.bare else words
+        for a in range(0, len(latin), most):
+            self._side_by_side(some := latin[a : a + most], self._encode(self.bare, _as_bytes(" ".join(some))))
+        for a in range(0, len(others), most):
+            self._side_by_side(some := others[a : a + most], self._encode(self.tokenizer, " ".join(some)))
+
+    def _side_by_side(self, words: list[str], raw: bytes) -> None:
+        """Each word ends with the one of its ids that ends a word."""
+        ends = (4 * (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1)).tolist()
+        if len(ends) == len(words):
+            self.memo.now.update(zip(words, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        else:  # letters to us, not all to the tokenizer
+            self.memo.now.update((w, self._encode(self.tokenizer, w)) for w in words)
+
+    def texts(self, texts: pa.Array, most: int = 1 << 22) -> Iterator[bytes]:
+        """Of each text of an Arrow array; null counts as empty."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+        a = 0
+        while a < len(texts):
+            before = int(ends[a - 1]) if a else 0
+            n = max(1, int(np.searchsorted(ends, before + most, side="right")) - a)
+            if ends[a] - before > most:  # part by part
+                yield b"".join(ids for part in _parts(texts[a].as_py()) for ids in self._batch(pa.array([part], texts.type)))
             else:
-                yield from self._batch(few)
-
-    def _batch(self, texts: list[str]) -> Iterator[bytes]:
-        if texts:
-            split = [_words(t) for t in texts]
-            new = self.memo.missing(set().union(*split))
-            known = self.memo.now
-            long = {w: self._ids(w) for w in new if len(w) > 64}
-            self._learn(list(new.difference(long)))
-            for words in split:
-                if long and not long.keys().isdisjoint(words):
-                    yield b"".join(long[w] if w in long else known[w] for w in words)
-                else:
-                    yield b"".join(map(known.__getitem__, words))
-
-    def _ids(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                yield from self._batch(texts.slice(a, n))
+            a += n
+
+    def _batch(self, texts: pa.Array) -> Iterator[bytes]:
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = self.memo.missing(set(words))
+        known = self.memo.now
+        long = {w: self._encode(self.tokenizer, w) for w in new if len(w) > 64}
+        self._learn(list(new.difference(long)))
+        each = [long[w] if w in long else known[w] for w in words] if long else list(map(known.__getitem__, words))
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(each), "<u4")[np.repeat((np.cumsum(sizes) - sizes)[at] - ends + n, n) + np.arange(n.sum())]
+        raw, ends = ids.tobytes(), np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
+        yield from (raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
+
+
+def _as_bytes(text: str) -> str:
+    return text if text.isascii() else _BYTES[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -152,7 +182,7 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: i
         words = word_ids(path)
         for batch in batches:
             out: list[tuple] = []
-            for i, ids in enumerate(words.texts(batch.column(1).to_pylist())):
+            for i, ids in enumerate(words.texts(batch.column(1))):
                 ids += end
                 n = len(ids) // 4
                 for a in range(0, n, capacity):

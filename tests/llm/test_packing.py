@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import EDGE_ROWS, SF, edge_docs, no_docs
 from tokenizers import Tokenizer
@@ -20,7 +21,7 @@ ODD = ["", " ", "a b", "don't STOP.", "Word. word, WORD!?", "x" * 300 + " y", "\
 
 def test_word_ids_equal_the_tokenizers(tokenizer, spark):
     texts = ODD + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    got = packing.WordIds(packing.tokenizer_path(), most=50).texts(texts)
+    got = packing.WordIds(packing.tokenizer_path(), most=50).texts(pa.array(texts))
     for t, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
@@ -30,7 +31,7 @@ def test_parts_of_a_long_text_end_at_white_space(tokenizer):
     parts = list(packing._parts(text, 100))
     assert "".join(parts) == text and len(parts) > 30 and all(p[-1].isspace() for p in parts[:-1])
     long = "word and, more. " * 80_000
-    got = next(packing.WordIds(packing.tokenizer_path()).texts([long]))
+    got = next(packing.WordIds(packing.tokenizer_path()).texts(pa.array([long])))
     assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode("word and, more. ", add_special_tokens=False).ids * 80_000
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import SF, edge_docs, no_docs, prose
 
@@ -56,6 +57,6 @@ def test_run_packs_what_the_stages_keep(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert {r.doc_id for r in rows} == set(texts)
     words = packing.WordIds(packing.tokenizer_path())
-    for (d, t), ids in zip(texts.items(), words.texts(list(texts.values()))):
+    for (d, t), ids in zip(texts.items(), words.texts(pa.array(list(texts.values())))):
         assert sum(r.length for r in rows if r.doc_id == d) == len(np.frombuffer(ids, "<u4")) + 1
     docs.unpersist()
