@@ -51,12 +51,24 @@ def cross_entropy(logits: Column, label: Column) -> Column:
 TAIL_SALTS = 64
 
 
+def tail_cut(df: DataFrame, order_key: Column, batch_size: int) -> DataFrame:
+    """One row, ``cut``: the least of the last ``batch_size - 1`` keys (null without
+    keys). Rows of a short last batch lie at or behind it. Only keys are read: each
+    task passes on that many for each of a fixed number of salts, as the aggregate
+    of those does."""
+    keys = df.select(order_key.alias("ord")).where(F.col("ord").isNotNull())
+    last = Window.partitionBy(F.pmod(F.xxhash64("ord"), F.lit(TAIL_SALTS))).orderBy(F.desc("ord"))
+    keys = keys.withColumn("place", F.row_number().over(last)).where(F.col("place") < batch_size)
+    return keys.agg(F.array_min(F.slice(F.sort_array(F.collect_list("ord"), asc=False), 1, batch_size - 1)).alias("cut"))
+
+
 def eval_report(
     df: DataFrame,
     logits_col: str,
     label_col: str,
     order_key: Column | None = None,
     batch_size: int | None = None,
+    cut: Column | None = None,
 ) -> DataFrame:
     """A5 + A6 as one row: ``n, loss, loss_batch_mean, accuracy, null_losses``.
 
@@ -64,11 +76,10 @@ def eval_report(
     mean of batch means for batches of ``batch_size`` in ``order_key`` order
     (null keys first): full batches weigh equally, so only the rows of a short
     last batch matter one by one. It begins at one of the last ``batch_size - 1``
-    keys, found from the keys alone: each task passes on that many for each of a
-    fixed number of salts, as the aggregate of those does. Rows before them are one
-    group, so no row is shuffled. Of rows that share the key it begins at, each
-    counts with their mean. Both losses are null when some row has none
-    (``null_losses`` of them).
+    keys, the least of which is ``cut`` (``tail_cut``; found here unless given, by
+    a scan more). Rows before them are one group, so no row is shuffled. Of rows
+    that share the key it begins at, each counts with their mean. Both losses are
+    null when some row has none (``null_losses`` of them).
     """
     ce = cross_entropy(F.col(logits_col), F.col(label_col))
     l = F.col(logits_col)
@@ -76,11 +87,7 @@ def eval_report(
     size = int(batch_size) if batch_size and order_key is not None else 1
     late = F.lit(None).cast("string")
     if size > 1:
-        keys = df.select(order_key.alias("ord")).where(F.col("ord").isNotNull())
-        last = Window.partitionBy(F.pmod(F.xxhash64("ord"), F.lit(TAIL_SALTS))).orderBy(F.desc("ord"))
-        keys = keys.withColumn("place", F.row_number().over(last)).where(F.col("place") < size)
-        cut = F.array_min(F.slice(F.sort_array(F.collect_list("ord"), asc=False), 1, size - 1))
-        late = F.when(order_key >= keys.agg(cut).scalar(), order_key)
+        late = F.when(order_key >= (tail_cut(df, order_key, size).scalar() if cut is None else cut), order_key)
     x = df.select(ce.alias("ce"), (pred == F.col(label_col)).cast("int").alias("ok"), late.alias("ord"))
     groups = x.groupBy("ord").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -116,10 +123,11 @@ def eval_metrics(
     label_col: str,
     order_key: Column | None = None,
     batch_size: int | None = None,
+    cut: Column | None = None,
 ) -> dict:
     """``eval_report`` on the driver. A row without a loss (null logits, or a
     label that no logit belongs to) is an error, never a small loss."""
-    r = eval_report(df, logits_col, label_col, order_key, batch_size).first()
+    r = eval_report(df, logits_col, label_col, order_key, batch_size, cut).first()
     if r["null_losses"]:
         raise ValueError(f"{r['null_losses']} of {r['n']} rows have no loss: null logits, or labels beyond the classes")
     nan = float("nan")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import (
@@ -37,7 +37,7 @@ from ..functions.constants import (
 from ..functions.probs import label_id
 from ..functions.text import is_blank, model_text, truncate_tokens
 from .barrier import materialize
-from .metrics import eval_metrics
+from .metrics import eval_metrics, tail_cut
 from .sampling import order_key, sample_exact, stratified_split
 from ..session import drop_path, is_folder, scratch_path
 from .scoring import LOGITS, FeaturizedScorer, ModelScorer, Scorer, known_margins, pseudo_label
@@ -231,11 +231,20 @@ def evaluate(
     id_cols: Sequence[str] = ("doc_id",),
     batch_size: int = TRAIN_BATCH_SIZE,
     seed: int = SEED,
+    cut: Column | None = None,
 ) -> dict:
     """Validation loss (row mean and batch-mean parity form) + accuracy. A
-    row without a loss is an error."""
+    row without a loss is an error. ``cut`` spares the scan that finds where the
+    last batch may begin (``validation_cut``), for rows scored more than once."""
     scored = evaluation_rows(scorer, val, text_col)
-    return eval_metrics(scored, LOGITS, label_col, order_key(list(id_cols), seed), batch_size)
+    return eval_metrics(scored, LOGITS, label_col, order_key(list(id_cols), seed), batch_size, cut)
+
+
+def validation_cut(val: DataFrame, id_cols: Sequence[str] = ("doc_id",), batch_size: int = TRAIN_BATCH_SIZE, seed: int = SEED) -> Column | None:
+    """The ``cut`` of ``evaluate`` for ``val``: one key of one row."""
+    if batch_size < 2:
+        return None
+    return F.lit(tail_cut(val, order_key(list(id_cols), seed), batch_size).first()["cut"]).cast("string")
 
 
 def evaluation_rows(scorer: Scorer, val: DataFrame, text_col: str = "text") -> DataFrame:
@@ -434,11 +443,12 @@ def self_train(
         n_unl = int(unl_seen.get["n"])
         if epochs is not None:  # each step reads the validation rows: flagged once
             val = stored(val, "self-train-validation")
+        cut = validation_cut(val, ids, batch_size, seed)  # the same rows in every step
         spent = [0.0]
 
         def validate(scorer: Scorer) -> dict:
             t = time.perf_counter()
-            found = evaluate(on_features(scorer), val, text_col, "label_id", ids, batch_size, seed)
+            found = evaluate(on_features(scorer), val, text_col, "label_id", ids, batch_size, seed, cut)
             spent[0] += time.perf_counter() - t
             return {"loss": found["loss"], "loss_batch_mean": found.get("loss_batch_mean", found["loss"]), "accuracy": found["accuracy"]}
 
