@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from .constants import MAX_TOKENS
 
 #: Tokens that a model's tokenizer puts around a text, within its limit.
 SPECIAL_TOKENS = 2
+#: Rows of a batch that are Python strings at a time.
+ROWS = 64
 WORD_END = re.compile(r"(?<=\S)(?=\s)")
 
 
@@ -26,27 +29,34 @@ def _tokenizer(path: str):
     return found
 
 
-def cut_texts(texts: list[str | None], path: str, n: int) -> list[str | None]:
+def _cut(text: str, tokenizer, n: int) -> str:
+    reach = 8 * n
+    while True:
+        end = WORD_END.search(text, reach) if len(text) > reach else None
+        part = text[: end.start()] if end else text
+        found = tokenizer.encode(part, add_special_tokens=False)
+        if len(found) > n:
+            return text[: found.token_to_chars(n - 1)[1]]
+        if len(part) == len(text):
+            return text
+        reach *= 4
+
+
+def cut_texts(texts: Iterable[str | None], path: str, n: int) -> list[str | None]:
     """Each text up to the end of its ``n``-th token (whole, if it has no more). Only
     as much of a long text is tokenised as the limit takes: tokens never cross the
-    end of a word, so a part that ends there has the first tokens of the whole."""
-    out = list(texts)
+    end of a word, so a part that ends there has the first tokens of the whole. The
+    tokens of one text are held at a time, as they take many times its memory."""
     if n <= 0:
         return [None if t is None else "" for t in texts]
-    todo, reach = [i for i, t in enumerate(texts) if t], 8 * n
-    while todo:
-        parts = []
-        for i in todo:
-            end = WORD_END.search(texts[i], reach) if len(texts[i]) > reach else None
-            parts.append(texts[i][: end.start()] if end else texts[i])
-        again = []
-        for i, part, found in zip(todo, parts, _tokenizer(path).encode_batch(parts, add_special_tokens=False)):
-            if len(found.ids) > n:
-                out[i] = texts[i][: found.offsets[n - 1][1]]
-            elif len(part) < len(texts[i]):
-                again.append(i)
-        todo, reach = again, 4 * reach
-    return out
+    tokenizer = _tokenizer(path)
+    return [_cut(t, tokenizer, n) if t else t for t in texts]
+
+
+def cut_batch(batch: pa.Array, path: str, n: int) -> pa.Array:
+    """``cut_texts`` of an Arrow batch, a slice of its rows in Python at a time."""
+    parts = [pa.array(cut_texts(batch.slice(at, ROWS).to_pylist(), path, n), pa.string()) for at in range(0, len(batch), ROWS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def truncate_subwords(text: Column, path: str, n: int = MAX_TOKENS, special: int = SPECIAL_TOKENS) -> Column:
@@ -57,6 +67,6 @@ def truncate_subwords(text: Column, path: str, n: int = MAX_TOKENS, special: int
 
     @F.arrow_udf("string")
     def cut(batch: pa.Array) -> pa.Array:
-        return pa.array(cut_texts(batch.to_pylist(), path, n - special), pa.string())
+        return cut_batch(batch, path, n - special)
 
     return cut(text)

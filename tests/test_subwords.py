@@ -1,10 +1,14 @@
 """Texts cut by a model's own tokens, against the tokenizer's truncation of whole texts."""
 
+import subprocess
+import sys
+
+import pyarrow as pa
 import pytest
-from locations import SF_SMALL
+from locations import ROOT, SF_SMALL
 from pyspark.sql import functions as F
 
-from postlake.functions.subwords import cut_texts, truncate_subwords
+from postlake.functions.subwords import ROWS, cut_batch, cut_texts, truncate_subwords
 from postlake.operators.scoring import BatchScorer, LetterShareScorer, letter_share_factory, score_posts
 from postlake.plans.catalog import QUERIES
 
@@ -59,3 +63,31 @@ def test_registered_query_scores_the_cut_texts(spark):
     cut = QUERIES["truncate_subwords"](spark, SF_SMALL).withColumnRenamed("model_input", "text")
     want = score_posts(cut, LetterShareScorer(), "text")
     assert {r.doc_id: pytest.approx(r.confidence, abs=1e-6) for r in want.collect()} == got
+
+
+PEAK = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from postlake.functions.subwords import cut_texts
+
+def peak():
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith("VmHWM")) // 1024
+
+texts = [f"{i} " + "word " * 800 for i in range(2_000)]
+cut_texts(texts[:10], sys.argv[2], 510)
+before = peak()
+assert len(cut_texts(texts, sys.argv[2], 510)) == len(texts)
+print(peak() - before)
+"""
+
+
+def test_tokens_of_few_texts_are_held_at_a_time():
+    done = subprocess.run([sys.executable, "-c", PEAK, ROOT, FILES[0]], capture_output=True, text=True, timeout=120, check=True)
+    assert int(done.stdout) < 60  # MB; the 1.6 million tokens at once took 173
+
+
+def test_batches_are_cut_in_slices_of_rows():
+    texts = [None if i % 7 == 0 else f"{i} " + "some words " * (i % 11) for i in range(2 * ROWS + 3)]
+    assert cut_batch(pa.array(texts), FILES[0], 9).to_pylist() == cut_texts(texts, FILES[0], 9)
+    assert cut_batch(pa.array(texts).slice(5, ROWS), FILES[0], 9).to_pylist() == cut_texts(texts[5 : 5 + ROWS], FILES[0], 9)
+    assert cut_batch(pa.array([], pa.string()), FILES[0], 9).to_pylist() == []
